@@ -1,0 +1,104 @@
+"""MD5 whose unfinished state can be stored as bytes and resumed in another task.
+
+``hashlib`` cannot export a running digest. The state kept here has the layout of the
+C library's context: four words, a 64-bit bit count, a 64-byte block and its fill.
+"""
+
+from __future__ import annotations
+
+import ctypes
+import ctypes.util
+import hashlib
+import math
+import struct
+
+_LAYOUT = struct.Struct("<4I2I64sI")
+_START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+_SINES = [int(abs(math.sin(i + 1)) * 2**32) & 0xFFFFFFFF for i in range(64)]
+_TURNS = [t for turns in ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21))
+          for t in turns * 4]
+
+
+def new_state() -> bytes:
+    return _LAYOUT.pack(*_START, 0, 0, b"", 0)
+
+
+def _native():
+    try:
+        lib = ctypes.CDLL(ctypes.util.find_library("crypto"))
+        lib.MD5_Update.argtypes = [ctypes.c_void_p, ctypes.c_char_p, ctypes.c_size_t]
+        state = ctypes.create_string_buffer(new_state(), 256)
+        lib.MD5_Update(state, b"abc", 3)
+        usable = _finish(bytes(state[: _LAYOUT.size])) == hashlib.md5(b"abc").hexdigest()
+        return lib if usable else None
+    except (OSError, AttributeError, TypeError):
+        return None
+
+
+def _compress(words: tuple[int, ...], block: bytes) -> tuple[int, ...]:
+    m = struct.unpack("<16I", block)
+    a, b, c, d = words
+    for i in range(64):
+        if i < 16:
+            f, g = (b & c) | (~b & d), i
+        elif i < 32:
+            f, g = (d & b) | (~d & c), (5 * i + 1) % 16
+        elif i < 48:
+            f, g = b ^ c ^ d, (3 * i + 5) % 16
+        else:
+            f, g = c ^ (b | (~d & 0xFFFFFFFF)), (7 * i) % 16
+        x = (a + f + _SINES[i] + m[g]) & 0xFFFFFFFF
+        a, d, c = d, c, b
+        b = (b + ((x << _TURNS[i]) | (x >> (32 - _TURNS[i])))) & 0xFFFFFFFF
+    return tuple((x + y) & 0xFFFFFFFF for x, y in zip(words, (a, b, c, d), strict=True))
+
+
+def _update_plain(state: bytes, data: bytes) -> bytes:
+    *words, low, high, block, fill = _LAYOUT.unpack(state)
+    bits = ((high << 32) | low) + 8 * len(data)
+    data = block[:fill] + data
+    words = tuple(words)
+    end = len(data) - len(data) % 64
+    for at in range(0, end, 64):
+        words = _compress(words, data[at : at + 64])
+    return _LAYOUT.pack(
+        *words, bits & 0xFFFFFFFF, (bits >> 32) & 0xFFFFFFFF, data[end:], len(data) - end
+    )
+
+
+def _finish(state: bytes) -> str:
+    *words, low, high, block, fill = _LAYOUT.unpack(state)
+    tail = block[:fill] + b"\x80"
+    tail += b"\x00" * ((56 - len(tail)) % 64) + struct.pack("<2I", low, high)
+    words = tuple(words)
+    for at in range(0, len(tail), 64):
+        words = _compress(words, tail[at : at + 64])
+    return struct.pack("<4I", *words).hex()
+
+
+def finish(state: bytes) -> str:
+    """Hex digest of everything the state has seen."""
+    return _finish(state)
+
+
+class Resumable:
+    """A running digest; the C library does the bulk work where it can be loaded."""
+
+    _lib = None
+    _probed = False
+
+    def __init__(self, state: bytes | None = None):
+        if not Resumable._probed:
+            Resumable._lib, Resumable._probed = _native(), True
+        self._state = state or new_state()
+        if self._lib is not None:
+            self._buffer = ctypes.create_string_buffer(self._state, 256)
+
+    def update(self, data: bytes) -> None:
+        if self._lib is not None:
+            self._lib.MD5_Update(self._buffer, data, len(data))
+        else:
+            self._state = _update_plain(self._state, data)
+
+    def state(self) -> bytes:
+        return self._state if self._lib is None else bytes(self._buffer[: _LAYOUT.size])
