@@ -40,12 +40,13 @@ def chunk_payloads(
     """Cut each payload into messages: (key, chunk_no, n_bytes, value). No shuffle.
 
     The slices are made inside the exploded array, so the generator carries the key and
-    one slice per row and never repeats the whole payload.
+    one slice per row and never repeats the whole payload. The outer form of the generator
+    keeps the optimizer from building every array a second time to test its size.
     """
     data = F.col(payload).cast("binary")
     return df.select(
-        key, F.posexplode(_slices(data, message_bytes)).alias("chunk_no", "value")
-    ).select(
+        key, F.posexplode_outer(_slices(data, message_bytes)).alias("chunk_no", "value")
+    ).where("chunk_no IS NOT NULL").select(
         key,
         F.col("chunk_no").cast("bigint").alias("chunk_no"),
         F.octet_length("value").cast("bigint").alias("n_bytes"),
@@ -95,7 +96,7 @@ def envelope(
         ),
         F.array(_message(last, KIND_EOF, F.lit(0), eof_message(length, digest))),
     )
-    return df.select(F.col(key), key_prefix.alias("_prefix"), F.inline(messages)).select(
+    return df.select(F.col(key), key_prefix.alias("_prefix"), F.inline_outer(messages)).select(
         key, "seq", "kind", F.concat("_prefix", "kind").alias("key"), "n_bytes", "value"
     )
 
@@ -130,7 +131,7 @@ def rechunk_rows(
         "k",
         "at",
         F.expr(f"""
-            inline(transform(sequence(at div {size}L, (at + n - 1) div {size}L), c -> named_struct(
+            inline_outer(transform(sequence(at div {size}L, (at + n - 1) div {size}L), c -> named_struct(
                 'chunk_no', c,
                 'piece_at', greatest(c * {size}L, at),
                 'piece', substring(data,

@@ -7,16 +7,22 @@ from pyspark.sql import functions as F
 
 from tidegate.schemas import MANIFEST
 
+_CORRUPT = "_corrupt_record"
 
-def parse_manifests(manifests: DataFrame, xml: str = "xml") -> DataFrame:
-    """Add ``mpd``, the manifest as a struct; NULL where the text is not a manifest.
 
-    Parsing is per row and reads only declared fields; unknown elements are dropped.
+def parse_manifests(manifests: DataFrame, xml: str = "xml", schema: str = MANIFEST) -> DataFrame:
+    """Add ``mpd``, the manifest as a struct; NULL where the text cannot be parsed.
+
+    Only the fields of ``schema`` are built, so a job that needs a few of them passes a smaller
+    one. The one-element array keeps the parser in a generator: without it the optimizer copies
+    the parse into every filter and projection that uses a field of it.
     """
-    parsed = F.from_xml(xml, MANIFEST, {"mode": "PERMISSIVE"})
-    has_root = F.col(xml).rlike(r"^\s*(<\?xml[^>]*\?>)?\s*(<!--.*?-->\s*)*<MPD[\s>/]")
-    closed = F.col(xml).rlike(r"(</MPD>|<MPD[^>]*/>)\s*$")
-    return manifests.withColumn("mpd", F.when(has_root & closed, parsed))
+    doc = F.from_xml(
+        xml, f"{schema}, {_CORRUPT} STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    )
+    parsed = manifests.select("*", F.explode(F.array(doc)).alias("_doc"))
+    sound = F.col("_doc").isNotNull() & F.col(f"_doc.{_CORRUPT}").isNull()
+    return parsed.withColumn("mpd", F.when(sound, F.col("_doc").dropFields(_CORRUPT))).drop("_doc")
 
 
 def rejected_manifests(parsed: DataFrame) -> DataFrame:

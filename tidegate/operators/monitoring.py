@@ -256,8 +256,11 @@ def offline_requests(
 
 
 def flatten_job_status(docs: DataFrame, doc: str = "doc") -> DataFrame:
-    """One row per task record of each job-status document; counters become numbers."""
-    parsed = docs.select(F.from_json(doc, JOB_STATUS).alias("d"))
+    """One row per task record of each job-status document; counters become numbers.
+
+    The one-element array keeps the JSON parse in a generator, so it runs once per document.
+    """
+    parsed = docs.select(F.explode(F.array(F.from_json(doc, JOB_STATUS))).alias("d"))
     records = parsed.select(
         F.col("d.data.job.id").alias("job_id"), F.explode("d.data.job.tasks.records").alias("r")
     )

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tidegate.operators import manifests as m
 from tidegate.plans.fixtures import view
+from tidegate.schemas import MANIFEST, MANIFEST_RENDITIONS
 
 
-def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.parse_manifests(view(spark, sf_dir, "v_manifests"))
+def _parsed(spark: SparkSession, sf_dir: str, schema: str = MANIFEST) -> DataFrame:
+    return m.parse_manifests(view(spark, sf_dir, "v_manifests"), schema=schema)
 
 
 def manifest_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +36,8 @@ def manifest_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def single_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _parsed(spark, sf_dir).select("manifest_id", m.is_single_audio().alias("single_audio"))
+    heads = _parsed(spark, sf_dir, MANIFEST_RENDITIONS)
+    return heads.select("manifest_id", m.is_single_audio().alias("single_audio"))
 
 
 def manifest_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ def manifest_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def best_rendition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.best_rendition(_parsed(spark, sf_dir))
+    return m.best_rendition(_parsed(spark, sf_dir, MANIFEST_RENDITIONS))
 
 
 QUERIES = {

@@ -60,3 +60,9 @@ MANIFEST = f"""
     _timeShiftBufferDepth STRING, _publishTime STRING, _profiles STRING,
     Period STRUCT<_start: STRING, _id: STRING, AdaptationSet: ARRAY<{_ADAPTATION_SET}>>
 """
+
+# What rendition choice and single-audio detection need of a manifest.
+MANIFEST_RENDITIONS = """
+    Period STRUCT<_id: STRING, AdaptationSet: ARRAY<STRUCT<
+        Representation: ARRAY<STRUCT<_id: STRING, _mimeType: STRING, _bandwidth: BIGINT>>>>>
+"""
