@@ -9,7 +9,6 @@ from tidegate.functions.constants import DURATION_UNITS, MEDIA_TIME_LAYOUT
 
 _NUMBER = r"([0-9]+\.?[0-9]*|\.[0-9]+)"
 _UNIT = "(" + "|".join(unit for unit, _ in DURATION_UNITS) + ")"
-_MAX_NANOS = 9223372036854775807
 MICROS = 1_000_000
 
 
@@ -39,10 +38,10 @@ def duration_nanos(text: Column) -> Column:
         F.lit(0).cast("decimal(38,6)"),
         lambda acc, x: (acc + x).cast("decimal(38,6)"),
     )
-    nanos = F.floor(total)
-    signed = F.when(text.startswith("-"), -nanos).otherwise(nanos)
+    # try_cast drops what does not fit 64 bits; using the total once keeps it computed once.
+    sign = F.when(text.startswith("-"), -1).otherwise(1)
     return F.when(text.rlike(r"^[+-]?0$"), F.lit(0).cast("bigint")).when(
-        text.rlike(f"^[+-]?({_NUMBER}{_UNIT})+$") & (nanos <= _MAX_NANOS), signed.cast("bigint")
+        text.rlike(f"^[+-]?({_NUMBER}{_UNIT})+$"), (F.floor(total) * sign).try_cast("bigint")
     )
 
 

@@ -62,6 +62,23 @@ def eof_message(n_bytes: Column, md5: Column) -> Column:
     return F.to_json(F.struct(n_bytes.alias("contentLength"), md5.alias("md5Checksum")))
 
 
+def eof_claim() -> Column:
+    """What an eof message says about its stream, as a struct; NULL for other kinds."""
+    parsed = F.from_json(F.col("value").cast("string"), "contentLength BIGINT, md5Checksum STRING")
+    return F.when(F.col("kind") == KIND_EOF, parsed)
+
+
+def envelope_totals(messages: DataFrame, key: str = "stream_id") -> DataFrame:
+    """Messages, raw bytes and the claims of the eof message per stream."""
+    lean = messages.select(key, "n_bytes", eof_claim().alias("_eof"))
+    return lean.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_messages"),
+        F.sum("n_bytes").alias("raw_bytes"),
+        F.max("_eof.contentLength").alias("content_length"),
+        F.max("_eof.md5Checksum").alias("md5_checksum"),
+    )
+
+
 def _message(seq: Column, kind: str, n_bytes: Column, value: Column) -> Column:
     return F.struct(
         seq.cast("bigint").alias("seq"),
@@ -235,27 +252,32 @@ def integrity_audit(
     All checks but the digest are one partially aggregated group-by; the digest is
     recomputed from the raw messages in order.
     """
-    eof = F.from_json(F.col("value").cast("string"), "contentLength BIGINT, md5Checksum STRING")
     is_raw = F.col("kind") == KIND_RAW
-    parsed = messages.withColumn("_eof", F.when(F.col("kind") == KIND_EOF, eof))
-    facts = parsed.groupBy(key).agg(
+    # Values leave the rows before the group-by, so that it moves and sorts small rows only.
+    lean = messages.select(
+        key,
+        "seq",
+        "kind",
+        F.octet_length("value").cast("bigint").alias("_size"),
+        eof_claim().alias("_eof"),
+    )
+    facts = lean.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_messages"),
         F.max("seq").alias("_last"),
         F.coalesce(F.max(F.col("kind") == KIND_INIT), F.lit(False)).alias("has_init"),
         F.coalesce(F.max(F.col("kind") == KIND_EOF), F.lit(False)).alias("has_eof"),
-        F.coalesce(F.sum(F.when(is_raw, F.octet_length("value").cast("bigint"))), F.lit(0)).alias(
-            "raw_bytes"
-        ),
+        F.coalesce(F.sum(F.when(is_raw, F.col("_size"))), F.lit(0)).alias("raw_bytes"),
         F.max("_eof.contentLength").alias("_length"),
         F.max("_eof.md5Checksum").alias("_md5"),
     )
     digests = stream_digests(
-        messages.where(is_raw).select(key, "seq", "value"),
+        messages.where(is_raw),
         key,
         "seq",
         "value",
         segment_bytes,
         block_rows,
+        size="n_bytes" if "n_bytes" in messages.columns else None,
     ).select(key, F.col("md5").alias("_actual"))
     actual = F.coalesce(F.col("_actual"), F.lit(EMPTY_MD5))
     return facts.join(digests, key, "left").select(

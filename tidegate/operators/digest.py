@@ -114,18 +114,26 @@ def stream_digests(
     value: str = "value",
     segment_bytes: int = SEGMENT_BYTES,
     block_rows: int = BLOCK_ROWS,
+    size: str | None = None,
 ) -> DataFrame:
     """(stream, n_bytes, md5) of the bytes of each stream in order.
 
     One cheap pass over the lengths (partially aggregated, so safe for hot streams) tells
-    whether any stream is longer than a segment and how many tasks the bytes need.
+    whether any stream is longer than a segment and how many tasks the bytes need. ``size``
+    names a column with the row's length, so that this pass need not read the bytes; it only
+    steers the work, a wrong length never changes a digest.
     """
     spark = chunks.sparkSession
     key_ddl = _key_ddl(chunks, key)
     rows = chunks.select(
-        F.col(key).alias("k"), F.col(order).alias("seq"), F.col(value).alias("value")
+        F.col(key).alias("k"),
+        F.col(order).alias("seq"),
+        F.col(value).alias("value"),
+        F.coalesce(
+            F.col(size) if size else F.octet_length(F.col(value)), F.lit(0)
+        ).cast("bigint").alias("n"),
     )
-    totals = rows.groupBy("k").agg(F.sum(F.octet_length("value").cast("bigint")).alias("total"))
+    totals = rows.groupBy("k").agg(F.sum("n").alias("total"))
     longest, everything = totals.agg(
         F.coalesce(F.max("total"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))
     ).first()
@@ -148,8 +156,7 @@ def _chained_digests(
     spark = rows.sparkSession
     shared_dir(spark)
     path = scratch_path(spark, "digest-segments")
-    sized = rows.withColumn("n", F.coalesce(F.octet_length("value").cast("bigint"), F.lit(0)))
-    placed = running_total(sized, "k", "seq", {"at": "n"}, block_rows, inclusive=False)
+    placed = running_total(rows, "k", "seq", {"at": "n"}, block_rows, inclusive=False)
     (
         placed.withColumn("segment", F.expr(f"at div {int(segment_bytes)}L"))
         .select("k", "seq", "value", "segment")

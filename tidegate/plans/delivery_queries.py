@@ -67,15 +67,7 @@ def stream_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def envelope_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages, length and digest per document stream."""
-    messages = document_messages(view(spark, sf_dir, "v_streams"))
-    eof = F.from_json(F.col("value").cast("string"), "contentLength BIGINT, md5Checksum STRING")
-    closing = F.when(F.col("kind") == d.KIND_EOF, eof)
-    return messages.groupBy("stream_id").agg(
-        F.count(F.lit(1)).alias("n_messages"),
-        F.sum("n_bytes").alias("raw_bytes"),
-        F.max(closing["contentLength"]).alias("content_length"),
-        F.max(closing["md5Checksum"]).alias("md5_checksum"),
-    )
+    return d.envelope_totals(document_messages(view(spark, sf_dir, "v_streams")))
 
 
 def stream_digest(spark: SparkSession, sf_dir: str) -> DataFrame:

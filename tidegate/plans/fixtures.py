@@ -1,6 +1,7 @@
 """Views that give the test tables the shapes of tasks, probes, captures and logs.
 
-Each text runs unchanged in Spark SQL and in ANSI-style engines; ``{table}`` marks a base table.
+Each text runs in Spark SQL and, but for the calls in ``ANSI``, in ANSI-style engines; ``{table}``
+marks a base table.
 """
 
 from __future__ import annotations
@@ -65,7 +66,8 @@ SELECT page_id, a.attempt,
        cast(CASE WHEN page_id % 17 = 0 THEN 503 WHEN page_id % 19 = 0 THEN 404
                  WHEN page_id % 5 = 0 AND a.attempt < 3 THEN 503 ELSE 200 END AS int) AS status_code,
        CASE WHEN page_id % 23 = 0 THEN 'transport' END AS error_kind
-FROM {pages} CROSS JOIN (SELECT 1 AS attempt UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5) a""",
+FROM (SELECT page_id, url, cast(n AS int) AS attempt
+      FROM (SELECT page_id, url, explode(sequence(1, 5)) AS n FROM {pages}) p) a""",
     "v_attempts": """
 SELECT cast(floor(event_id / 5) AS bigint) AS stream_id,
        cast(event_id % 5 + 1 AS int) AS attempt_no,
@@ -144,6 +146,10 @@ FROM {lineitem} GROUP BY l_orderkey""",
 }
 
 
+# Calls with another spelling in the SQL twins.
+ANSI = {"explode(sequence(1, 5))": "unnest(range(1, 6))"}
+
+
 def _base_tables(text: str) -> list[str]:
     return sorted({field for _, field, _, _ in string.Formatter().parse(text) if field})
 
@@ -167,6 +173,8 @@ def with_views(names: list[str], body: str, *extra: str) -> str:
     for name in names:
         text = VIEWS[name]
         plain = text.format(**{t: t for t in _base_tables(text)})
+        for spark_call, ansi_call in ANSI.items():
+            plain = plain.replace(spark_call, ansi_call)
         ctes.append(f"{name} AS ({plain})")
     return "WITH " + ",\n".join([*ctes, *extra]) + "\n" + body
 

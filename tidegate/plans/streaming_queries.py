@@ -47,6 +47,12 @@ def stream_heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running bytes per stream at the end of each closed interval."""
+    running = jobs.running_windows(stream_heartbeats(spark, sf_dir))
+    return running.withColumn("ordinal", F.col("ordinal").cast("bigint"))
+
+
 def stream_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sessions = jobs.session_ends(_byte_stream(spark, sf_dir), TIMEOUT)
     first = jobs.first_sessions(jobs.run_to_table(sessions, "stream-timeouts"))
@@ -108,21 +114,31 @@ def stream_task_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "stream_chunks": stream_chunks,
     "stream_heartbeats": stream_heartbeats,
+    "stream_progress": stream_progress,
     "stream_timeouts": stream_timeouts,
     "stream_slice": stream_slice,
     "stream_tee": stream_tee,
     "stream_task_intake": stream_task_intake,
 }
 
+_CLOSED = """
+closed AS (
+  SELECT stream_id, w AS window_start, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(n_bytes) AS BIGINT) AS n_bytes
+  FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS w FROM v_bytes)
+  WHERE w + INTERVAL 6 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) FROM v_bytes)
+  GROUP BY stream_id, w)"""
+
 ORACLES = {
     "stream_chunks": CHUNK_SQL,
-    "stream_heartbeats": with_views(
+    "stream_heartbeats": with_views(["v_bytes"], "SELECT * FROM closed", _CLOSED),
+    "stream_progress": with_views(
         ["v_bytes"],
         """
-SELECT stream_id, w AS window_start, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(n_bytes) AS BIGINT) AS n_bytes
-FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS w FROM v_bytes)
-WHERE w + INTERVAL 6 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) FROM v_bytes)
-GROUP BY stream_id, w""",
+SELECT stream_id, window_start,
+       CAST(row_number() OVER (PARTITION BY stream_id ORDER BY window_start) AS BIGINT) AS ordinal,
+       CAST(sum(n_bytes) OVER (PARTITION BY stream_id ORDER BY window_start) AS BIGINT) AS bytes_read
+FROM closed""",
+        _CLOSED,
     ),
     "stream_timeouts": with_views(
         ["v_bytes"],

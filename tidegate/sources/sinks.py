@@ -21,17 +21,21 @@ def log_rows(messages: DataFrame) -> DataFrame:
     )
 
 
-def write_log(messages: DataFrame, path: str, stream: str = "stream_id", order: str = "seq") -> None:
-    """Message log as Parquet, files sorted by stream and order.
-
-    Rows are range-partitioned on (stream, order): a hot stream spans several tasks and files,
-    and each file covers one contiguous run of messages.
+def write_log(
+    messages: DataFrame,
+    path: str,
+    keep: tuple[str, ...] = ("stream_id", "seq", "kind", "n_bytes"),
+    cluster_by: tuple[str, ...] = (),
+) -> None:
+    """Message log as Parquet; the order of a stream is its ``seq`` column, kept with the rows.
+
+    Rows are written where they are, without a shuffle. ``cluster_by`` range-partitions and
+    sorts them first, e.g. by (stream_id, seq), where readers gain from clustered files; a hot
+    stream then spans several files.
     """
-    placed = [c for c in (stream, order, "kind") if c in messages.columns]
-    keys = [c for c in (stream, order) if c in messages.columns]
-    out = messages.select(*LOG_COLUMNS, *placed)
-    if keys:
-        out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    out = messages.select(*LOG_COLUMNS, *[c for c in keep if c in messages.columns])
+    if cluster_by:
+        out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     out.write.mode("overwrite").parquet(path)
 
 
@@ -46,16 +50,15 @@ def write_kafka(messages: DataFrame, servers: str, **options: str) -> None:
     rows.write.format("kafka").option("kafka.bootstrap.servers", servers).options(**options).save()
 
 
-def write_objects(chunks: DataFrame, path: str, key: str = "dest_key", order: str = "chunk_no") -> None:
-    """Object cache: ordered chunks clustered by object.
+def write_objects(chunks: DataFrame, path: str, key: str = "dest_key") -> None:
+    """Object cache: the ordered chunks of all objects in one table.
 
-    One directory per object would mean one per stream, so objects are laid out by range:
-    reading one object prunes files and row groups by the key's min and max.
+    One directory per object would mean one per stream. Instead a Bloom filter on the key lets a
+    reader of one object skip the other row groups, and the write needs no shuffle.
     """
     (
-        chunks.repartitionByRange(key, order)
-        .sortWithinPartitions(key, order)
-        .write.mode("overwrite")
+        chunks.write.mode("overwrite")
+        .option(f"parquet.bloom.filter.enabled#{key}", "true")
         .parquet(path)
     )
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.constants import HEARTBEAT_INTERVAL, NO_DATA_TIMEOUT
@@ -57,6 +57,24 @@ def heartbeat_windows(
     )
 
 
+def running_windows(windows: DataFrame, key: str = "stream_id") -> DataFrame:
+    """Running totals over the written intervals: what a heartbeat at each interval's end reports.
+
+    The table has one row per stream and interval with data, never one per captured row.
+    """
+    so_far = (
+        Window.partitionBy(key)
+        .orderBy("window_start")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return windows.select(
+        key,
+        "window_start",
+        F.row_number().over(Window.partitionBy(key).orderBy("window_start")).alias("ordinal"),
+        F.sum("n_bytes").over(so_far).alias("bytes_read"),
+    )
+
+
 def session_ends(
     captures: DataFrame,
     timeout: str = NO_DATA_TIMEOUT,
