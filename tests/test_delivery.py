@@ -111,7 +111,7 @@ def test_envelope_of_rows_passes_its_own_audit(spark, hot, hot_rows):
 def expected_timeouts(rows, limit):
     out = {}
     for stream in {r[0] for r in rows}:
-        mine = sorted((r for r in rows if r[0] == stream), key=lambda r: r[1])
+        mine = sorted((r for r in rows if r[0] == stream and r[3]), key=lambda r: r[1])
         kept = [mine[0]]
         for before, row in zip(mine, mine[1:]):
             if row[2] - before[2] >= limit:

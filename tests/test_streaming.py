@@ -9,13 +9,14 @@ from tidegate.operators import delivery as d
 from tidegate.plans.fixtures import view
 from tidegate.session import scratch_path
 from tidegate.streaming import jobs
+from tidegate.streaming.state import latest_digests, running_digests
 
 
 @pytest.fixture(scope="module")
 def parts(spark, sf_dir):
     """The byte table as four files in time order, one per micro-batch."""
     path = scratch_path(spark, "stream-input")
-    rows = view(spark, sf_dir, "v_bytes").select("stream_id", "seq", "ts", "n_bytes")
+    rows = view(spark, sf_dir, "v_bytes")
     quarter = rows.count() // 4 + 1
     for i in range(4):
         part = rows.where(F.floor(F.col("seq") / quarter) == i)
@@ -45,6 +46,19 @@ def test_first_sessions_equal_batch_timeouts(parts):
     assert {k: got[k] for k in want} == want
 
 
+def test_digests_carry_over_micro_batches(parts):
+    import hashlib
+
+    rows, stream = parts
+    written = jobs.run_to_table(running_digests(stream), "t-digests")
+    assert written.groupBy("stream_id").count().agg(F.max("count")).first()[0] == 4
+    got = {r["stream_id"]: (r["n_rows"], r["md5"], r["late_rows"]) for r in latest_digests(written).collect()}
+    texts = {}
+    for r in rows.orderBy("seq").select("stream_id", "payload").collect():
+        texts.setdefault(r["stream_id"], []).append(r["payload"])
+    assert got == {s: (len(t), hashlib.md5("".join(t).encode()).hexdigest(), 0) for s, t in texts.items()}
+
+
 def test_tee_keeps_batches_apart(spark, parts):
     from tidegate.sources.sinks import batch_folder, tee
 

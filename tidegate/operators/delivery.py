@@ -302,7 +302,7 @@ def no_data_timeouts(
     starts: DataFrame | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Where each stream ends when no data arrives for ``timeout``.
+    """Where each stream ends when no data arrives for ``timeout``; rows without bytes are no data.
 
     ``starts(key, start_time)`` adds the wait for the first row. Rows meet only their own
     block; each block reports what it holds before its first gap, and the blocks of a stream
@@ -315,7 +315,7 @@ def no_data_timeouts(
         micros(F.col(ts)).alias("us"),
         F.col(n_bytes).cast("bigint").alias("n"),
         F.lit(1).cast("bigint").alias("is_row"),
-    )
+    ).where("n > 0")
     rows = with_block(rows, "o", block_rows)
     if starts is not None:
         # The start is a block of its own before all others.

@@ -348,7 +348,7 @@ SELECT stream_id, bool_or(late) AS timed_out,
 FROM flagged GROUP BY stream_id""",
         """
 gaps AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY stream_id ORDER BY seq) >= INTERVAL 24 HOUR, false) AS gap
-         FROM v_bytes),
+         FROM v_bytes WHERE n_bytes > 0),
 flagged AS (SELECT *, bool_or(gap) OVER (PARTITION BY stream_id ORDER BY seq) AS late FROM gaps)""",
     ),
     "byte_progress": with_views(

@@ -134,6 +134,19 @@ SELECT l_orderkey AS manifest_id,
                       '"/><SegmentURL media="m', l_partkey, '"/><SegmentURL media="n', l_suppkey, '"/></SegmentList></Representation>'), '')
               WITHIN GROUP (ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice),
               '</AdaptationSet></Period></MPD>') AS xml
+FROM {lineitem} GROUP BY l_orderkey""",
+    "v_template_manifests": """
+SELECT l_orderkey AS manifest_id,
+       concat('<MPD profiles="p"><Period id="0"><AdaptationSet mimeType="video/mp4" segmentAlignment="',
+              CASE WHEN l_orderkey % 2 = 0 THEN 'true' ELSE '1' END,
+              '"><ContentProtection schemeIdUri="urn:set', l_orderkey % 7, '" value="cenc"/>',
+              '<Representation id="r" bandwidth="1000"><ContentProtection schemeIdUri="urn:rep"/>',
+              '<SegmentTemplate timescale="1000" media="$Number$" startNumber="1"><SegmentTimeline>',
+              listagg(concat('<S ', CASE WHEN l_returnflag = 'A' THEN concat('t="', l_partkey, '" ') ELSE '' END,
+                             'd="', cast(l_quantity AS bigint),
+                             CASE WHEN l_linestatus = 'O' THEN concat('" r="', l_linenumber) ELSE '' END, '"/>'), '')
+              WITHIN GROUP (ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice),
+              '</SegmentTimeline></SegmentTemplate></Representation></AdaptationSet></Period></MPD>') AS xml
 FROM {lineitem} GROUP BY l_orderkey""",
     "v_jobs": """
 SELECT to_json(named_struct('data', named_struct('job', named_struct('id', concat('job', l_orderkey), 'tasks', named_struct('records',

@@ -53,6 +53,35 @@ def best_rendition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.best_rendition(_parsed(spark, sf_dir, MANIFEST_RENDITIONS))
 
 
+def _templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.parse_manifests(view(spark, sf_dir, "v_template_manifests"))
+
+
+def manifest_timelines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = m.timeline_segments(_templates(spark, sf_dir))
+    return entries.withColumn("entry_no", F.col("entry_no").cast("bigint"))
+
+
+def manifest_template_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments and length of template renditions; the MIME type comes from their set."""
+    return m.renditions(_templates(spark, sf_dir)).select(
+        "manifest_id", "rep_id", "mime_type", "n_segments", "duration_units"
+    )
+
+
+def manifest_protections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.protections(_templates(spark, sf_dir))
+
+
+def manifest_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The integer-or-boolean attribute of each first set, taken apart."""
+    first = F.col("mpd.Period.AdaptationSet")[0]
+    parts = m.union_uint(first["_segmentAlignment"])
+    return _templates(spark, sf_dir).select("manifest_id", parts.alias("a")).select(
+        "manifest_id", F.col("a.u").alias("as_integer"), F.col("a.b").alias("as_boolean"), "a.invalid"
+    )
+
+
 QUERIES = {
     "manifest_parse": manifest_parse,
     "manifest_renditions": manifest_renditions,
@@ -60,6 +89,10 @@ QUERIES = {
     "single_audio": single_audio,
     "manifest_patch": manifest_patch,
     "best_rendition": best_rendition,
+    "manifest_timelines": manifest_timelines,
+    "manifest_template_totals": manifest_template_totals,
+    "manifest_protections": manifest_protections,
+    "manifest_alignment": manifest_alignment,
 }
 
 _REPS = """
@@ -72,6 +105,16 @@ WITH reps AS (
   FROM lineitem)
 """
 
+_ENTRIES = """
+WITH entries AS (
+  SELECT l_orderkey AS manifest_id,
+         CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS BIGINT) AS entry_no,
+         CASE WHEN l_returnflag = 'A' THEN l_partkey END AS t,
+         CAST(floor(l_quantity) AS BIGINT) AS d,
+         CAST(CASE WHEN l_linestatus = 'O' THEN l_linenumber + 1 ELSE 1 END AS BIGINT) AS repeats
+  FROM lineitem)
+"""
+
 ORACLES = {
     "manifest_parse": """
 SELECT l_orderkey AS manifest_id, 'urn:mpeg:dash:schema:mpd:2011' AS xmlns, 'static' AS type, 'p' AS profiles,
@@ -91,6 +134,20 @@ FROM reps GROUP BY manifest_id""",
     + """SELECT manifest_id, rep_no, rep_id, mime_type, bandwidth, CAST(2 AS BIGINT) AS n_segments, CAST(4 AS BIGINT) AS duration_units FROM reps
 UNION ALL
 SELECT manifest_id, 1, '1', mime_type, 0, 2, 4 FROM reps WHERE n = 1 AND mime_type = 'audio/mp4'""",
+    "manifest_timelines": _ENTRIES
+    + "SELECT manifest_id, 'r' AS rep_id, CAST(1000 AS BIGINT) AS timescale, entry_no, t, d, repeats FROM entries",
+    "manifest_template_totals": _ENTRIES
+    + """SELECT manifest_id, 'r' AS rep_id, 'video/mp4' AS mime_type, CAST(sum(repeats) AS BIGINT) AS n_segments,
+       CAST(sum(d * repeats) AS BIGINT) AS duration_units FROM entries GROUP BY manifest_id""",
+    "manifest_protections": """
+SELECT DISTINCT l_orderkey AS manifest_id, NULL::VARCHAR AS rep_id, 'urn:set' || (l_orderkey % 7) AS scheme_id_uri, 'cenc' AS value
+FROM lineitem
+UNION ALL
+SELECT DISTINCT l_orderkey, 'r', 'urn:rep', NULL FROM lineitem""",
+    "manifest_alignment": """
+SELECT DISTINCT l_orderkey AS manifest_id, CAST(CASE WHEN l_orderkey % 2 = 1 THEN 1 END AS BIGINT) AS as_integer,
+       CASE WHEN l_orderkey % 2 = 0 THEN true END AS as_boolean, false AS invalid
+FROM lineitem""",
     "best_rendition": _REPS
     + """SELECT manifest_id, rep_id, bandwidth FROM (
   SELECT *, row_number() OVER (PARTITION BY manifest_id ORDER BY bandwidth DESC, rep_id) AS rn FROM reps) WHERE rn = 1""",

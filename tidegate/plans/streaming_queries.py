@@ -19,6 +19,7 @@ from tidegate.session import scratch_path
 from tidegate.sources.sinks import batch_folder, tee
 from tidegate.sources.tables import read_tasks
 from tidegate.streaming import jobs
+from tidegate.streaming.state import latest_digests, running_digests
 
 INTERVAL = "6h"
 TIMEOUT = "24h"
@@ -32,6 +33,7 @@ def _byte_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("seq"),
         "ts",
         (F.col("event_id") * 7919 % 20480).alias("n_bytes"),
+        F.col("props").alias("payload"),
     )
 
 
@@ -61,6 +63,12 @@ def stream_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest and counters carried as state from micro-batch to micro-batch."""
+    written = jobs.run_to_table(running_digests(_byte_stream(spark, sf_dir)), "stream-digests")
+    return latest_digests(written)
+
+
 def stream_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slices of the byte stream; windows without a limit reach to the end of the test period."""
     rows = _byte_stream(spark, sf_dir).select("stream_id", "seq", "ts", "n_bytes")
@@ -116,6 +124,7 @@ QUERIES = {
     "stream_heartbeats": stream_heartbeats,
     "stream_progress": stream_progress,
     "stream_timeouts": stream_timeouts,
+    "stream_digests": stream_digests,
     "stream_slice": stream_slice,
     "stream_tee": stream_tee,
     "stream_task_intake": stream_task_intake,
@@ -149,12 +158,19 @@ FROM (SELECT *, row_number() OVER (PARTITION BY stream_id ORDER BY start_time) A
         """
 marked AS (
   SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY stream_id ORDER BY ts) < INTERVAL 24 HOUR THEN 0 ELSE 1 END AS fresh
-  FROM v_bytes),
+  FROM v_bytes WHERE n_bytes > 0),
 numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY stream_id ORDER BY ts) AS s FROM marked),
 sessions AS (
   SELECT stream_id, min(ts) AS start_time, max(ts) + INTERVAL 24 HOUR AS end_time,
          CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(n_bytes) AS BIGINT) AS n_bytes
   FROM numbered GROUP BY stream_id, s)""",
+    ),
+    "stream_digests": with_views(
+        ["v_bytes"],
+        """
+SELECT stream_id, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(length(payload)) AS BIGINT) AS n_bytes,
+       md5(string_agg(payload, '' ORDER BY seq)) AS md5, CAST(0 AS BIGINT) AS late_rows
+FROM v_bytes GROUP BY stream_id""",
     ),
     "stream_slice": with_views(
         ["v_bytes", "v_windows"],

@@ -83,11 +83,11 @@ def session_ends(
     ts: str = "ts",
     n_bytes: str = "n_bytes",
 ) -> DataFrame:
-    """Sessions of each stream; a session ends when no row arrives for ``timeout``.
+    """Sessions of each stream; a session ends when no row with data arrives for ``timeout``.
 
     The first session of a stream is what a writer with that timeout would have delivered.
     """
-    timed = with_event_time(captures, ts, delay)
+    timed = with_event_time(captures.where(F.col(n_bytes) > 0), ts, delay)
     return (
         timed.groupBy(key, F.session_window(ts, _text(timeout)).alias("s"))
         .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(n_bytes).alias("n_bytes"))
