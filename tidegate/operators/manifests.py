@@ -120,20 +120,29 @@ def timeline_segments(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
 
 
 def protections(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
-    """Content-protection descriptors of sets and renditions."""
-    sets = parsed.select(key, F.explode("mpd.Period.AdaptationSet").alias("set"))
-    of_sets = sets.select(
-        key, F.lit(None).cast("string").alias("rep_id"), F.explode("set.ContentProtection").alias("p")
-    )
-    of_reps = sets.select(key, F.explode("set.Representation").alias("rep")).select(
-        key, F.col("rep._id").alias("rep_id"), F.explode("rep.ContentProtection").alias("p")
-    )
-    return of_sets.unionByName(of_reps).select(
-        key,
-        "rep_id",
-        F.col("p._schemeIdUri").alias("scheme_id_uri"),
-        F.col("p._value").alias("value"),
-    )
+    """Content-protection descriptors of sets (no rendition id) and renditions, in one pass."""
+    none = F.array().cast("array<struct<rep_id: string, scheme_id_uri: string, value: string>>")
+
+    def descriptors(owner: Column, rep_id: Column) -> Column:
+        found = F.transform(
+            owner["ContentProtection"],
+            lambda p: F.struct(
+                rep_id.alias("rep_id"),
+                p["_schemeIdUri"].alias("scheme_id_uri"),
+                p["_value"].alias("value"),
+            ),
+        )
+        return F.coalesce(found, none)
+
+    def of_set(adaptation: Column) -> Column:
+        of_reps = F.flatten(
+            F.transform(adaptation["Representation"], lambda r: descriptors(r, r["_id"]))
+        )
+        own = descriptors(adaptation, F.lit(None).cast("string"))
+        return F.concat(own, F.coalesce(of_reps, none))
+
+    every = F.flatten(F.transform("mpd.Period.AdaptationSet", of_set))
+    return parsed.select(key, F.inline(every))
 
 
 def is_single_audio(mpd: str = "mpd") -> Column:
