@@ -28,8 +28,13 @@ def running_total(
     amounts: dict[str, str],
     block_rows: int = BLOCK_ROWS,
     inclusive: bool = True,
+    attach: DataFrame | None = None,
 ) -> DataFrame:
-    """Add running sums per stream: ``amounts`` maps each new column to the summed one."""
+    """Add running sums per stream: ``amounts`` maps each new column to the summed one.
+
+    ``attach`` (one row per stream) adds its columns on the way: it is joined to the block
+    summaries, so the rows themselves are not shuffled for it. Streams it lacks are left out.
+    """
     rows = with_block(df, order, block_rows)
     within = (
         Window.partitionBy(key, BLOCK)
@@ -41,6 +46,8 @@ def running_total(
     bases = sums.select(
         key, BLOCK, *[F.sum(f"_sum_{k}").over(before).alias(f"_base_{k}") for k in amounts]
     )
+    if attach is not None:
+        bases = bases.join(attach, key)
     zero = F.lit(0)
     totals = {
         k: F.coalesce(F.sum(v).over(within), zero) + F.coalesce(F.col(f"_base_{k}"), zero)

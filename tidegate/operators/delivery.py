@@ -133,20 +133,26 @@ def rechunk_rows(
     payload: str = "payload",
     message_bytes: int = MESSAGE_BYTES,
     block_rows: int = BLOCK_ROWS,
+    attach: DataFrame | None = None,
 ) -> DataFrame:
     """Messages of streams captured as many rows; row borders leave no trace.
 
     Each row learns its byte offset, is cut at message borders, and the pieces of one message
-    (at most ``message_bytes`` bytes) are put together in offset order.
+    (at most ``message_bytes`` bytes) are put together in offset order. ``attach`` adds columns
+    of a table with one row per stream.
     """
+    extra = [c for c in attach.columns if c != key] if attach is not None else []
+    attach = attach.withColumnRenamed(key, "k") if attach is not None else None
     size = int(message_bytes)
     rows = captures.select(
         F.col(key).alias("k"), F.col(order).alias("o"), F.col(payload).cast("binary").alias("data")
     ).withColumn("n", _size(F.col("data")))
-    placed = running_total(rows.where("n > 0"), "k", "o", {"at": "n"}, block_rows, inclusive=False)
+    placed = running_total(
+        rows.where("n > 0"), "k", "o", {"at": "n"}, block_rows, inclusive=False, attach=attach
+    )
     pieces = placed.select(
         "k",
-        "at",
+        *extra,
         F.expr(f"""
             inline_outer(transform(sequence(at div {size}L, (at + n - 1) div {size}L), c -> named_struct(
                 'chunk_no', c,
@@ -157,13 +163,14 @@ def rechunk_rows(
         """),
     )
     return (
-        pieces.groupBy("k", "chunk_no")
+        pieces.groupBy("k", "chunk_no", *extra)
         .agg(F.expr("listagg(piece) within group (order by piece_at)").alias("value"))
         .select(
             F.col("k").alias(key),
             "chunk_no",
             F.octet_length("value").cast("bigint").alias("n_bytes"),
             "value",
+            *extra,
         )
     )
 
@@ -182,9 +189,11 @@ def envelope_from_rows(
 ) -> DataFrame:
     """Messages of streams captured as many rows; ``streams`` has one row per stream.
 
-    Raw rows stay where re-chunking left them; only init and eof rows meet the digests.
+    Raw rows stay where re-chunking left them, with their prefix attached through the block
+    summaries; only init and eof rows meet the digests.
     """
-    raw = rechunk_rows(captures, key, order, payload, message_bytes, block_rows)
+    prefixes = streams.select(key, key_prefix.alias("_prefix"))
+    raw = rechunk_rows(captures, key, order, payload, message_bytes, block_rows, prefixes)
     digests = stream_digests(captures, key, order, payload, segment_bytes, block_rows)
     heads = streams.select(
         key, key_prefix.alias("_prefix"), init_message(init).alias("_init")
@@ -202,8 +211,7 @@ def envelope_from_rows(
     framed = heads.select(key, "_prefix", F.inline(ends)).select(
         key, "seq", "kind", F.concat("_prefix", "kind").alias("key"), "n_bytes", "value"
     )
-    prefixes = streams.select(key, key_prefix.alias("_prefix"))
-    body = raw.join(prefixes, key).select(
+    body = raw.select(
         key,
         (F.col("chunk_no") + 1).alias("seq"),
         F.lit(KIND_RAW).alias("kind"),

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tidegate.operators import delivery as d
 from tidegate.operators.digest import stream_digests
 from tidegate.operators.failures import retry_outcomes
+from tidegate.operators.slicing import capture_slice
 from tidegate.plans.failure_queries import RETRY_CTES
 from tidegate.plans.fixtures import table, view, with_views
+from tidegate.plans.routing_queries import SLICE_CTES
 from tidegate.sources import sinks
 from tidegate.sources.tables import read_landed_objects
 from tidegate.session import scratch_path
@@ -98,6 +100,23 @@ def row_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _readable(messages)
 
 
+def ingest_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From capture to message log: rows are sliced by recording window, each window is a stream."""
+    windows = view(spark, sf_dir, "v_windows")
+    rows = view(spark, sf_dir, "v_bytes").select("stream_id", "seq", "ts", "payload")
+    slices = capture_slice(rows, windows, "6h").select(
+        "window_id", "seq", F.col("payload").cast("binary").alias("payload")
+    )
+    text = F.col("window_id").cast("string")
+    init = {"jobId": F.concat(F.lit("job"), text), "mimeType": F.lit("application/json")}
+    messages = d.envelope_from_rows(
+        slices, windows, init, F.concat(F.lit("w"), text, F.lit("__")), "window_id", message_bytes=64
+    )
+    return messages.select(
+        "window_id", "seq", "key", "n_bytes", F.col("value").cast("string").alias("value")
+    )
+
+
 def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document message table with faults planted by source, for the audit to find."""
     streams = view(spark, sf_dir, "v_streams")
@@ -201,6 +220,7 @@ QUERIES = {
     "row_digests": row_digests,
     "rechunk_rows": rechunk_rows,
     "row_envelope": row_envelope,
+    "ingest_messages": ingest_messages,
     "integrity_audit": integrity_audit,
     "empty_envelopes": empty_envelopes,
     "key_partitions": key_partitions,
@@ -301,6 +321,27 @@ messages AS (
   SELECT stream_id, (length(whole) + 15) // 16 + 1, 'stream_eof', 0,
          encode('{"contentLength":' || length(whole) || ',"md5Checksum":"' || md5(whole) || '"}')
   FROM texts)""",
+    ),
+    "ingest_messages": with_views(
+        ["v_bytes", "v_windows"],
+        """
+SELECT window_id, CAST(0 AS BIGINT) AS seq, 'w' || window_id || '__stream_init' AS key, CAST(0 AS BIGINT) AS n_bytes,
+       '{"jobId":"job' || window_id || '","mimeType":"application/json"}' AS value
+FROM v_windows
+UNION ALL
+SELECT window_id, i + 1, 'w' || window_id || '__raw_stream', length(substr(whole, CAST(i * 64 + 1 AS BIGINT), 64)),
+       substr(whole, CAST(i * 64 + 1 AS BIGINT), 64)
+FROM (SELECT *, unnest(range(0, (length(whole) + 63) // 64)) AS i FROM wholes)
+UNION ALL
+SELECT window_id, (length(whole) + 63) // 64 + 1, 'w' || window_id || '__stream_eof', 0,
+       '{"contentLength":' || length(whole) || ',"md5Checksum":"' || md5(whole) || '"}'
+FROM wholes""",
+        SLICE_CTES,
+        """
+wholes AS (
+  SELECT w.window_id, coalesce(string_agg(b.payload, '' ORDER BY b.seq), '') AS whole
+  FROM v_windows w LEFT JOIN slices s ON s.window_id = w.window_id
+    LEFT JOIN v_bytes b ON b.seq = s.seq GROUP BY w.window_id)""",
     ),
     "integrity_audit": """
 WITH d AS (

@@ -65,7 +65,7 @@ QUERIES = {
     "reader_routes": reader_routes,
 }
 
-_WINDOWS = """
+SLICE_CTES = """
 cut AS (
   SELECT stream_id, window_id, epoch_us(start_ts) AS s,
          CASE WHEN reader IN ('rtsp', 'mjpeg') THEN CAST(ceil(duration_us / 1000000.0) AS BIGINT) * 1000000
@@ -103,13 +103,13 @@ classes AS (
 
 ORACLES = {
     "capture_slice": with_views(
-        ["v_bytes", "v_windows"], "SELECT window_id, stream_id, seq, n_bytes FROM slices", _WINDOWS
+        ["v_bytes", "v_windows"], "SELECT window_id, stream_id, seq, n_bytes FROM slices", SLICE_CTES
     ),
     "slice_totals": with_views(
         ["v_bytes", "v_windows"],
         "SELECT window_id, stream_id, CAST(count(*) AS BIGINT) AS n_rows, "
         "CAST(sum(n_bytes) AS BIGINT) AS n_bytes FROM slices GROUP BY ALL",
-        _WINDOWS,
+        SLICE_CTES,
     ),
     "suffix_filter": with_views(
         ["v_probes"],

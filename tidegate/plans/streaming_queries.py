@@ -13,7 +13,7 @@ from tidegate.operators import delivery as d
 from tidegate.operators.slicing import slice_totals
 from tidegate.plans.delivery_queries import CHUNK_SQL, document_messages
 from tidegate.plans.fixtures import table, view, with_views
-from tidegate.plans.routing_queries import BIN, _WINDOWS
+from tidegate.plans.routing_queries import BIN, SLICE_CTES
 from tidegate.plans.task_queries import _INTAKE_SQL, _intake, task_documents
 from tidegate.session import scratch_path
 from tidegate.sources.sinks import batch_folder, tee
@@ -176,7 +176,7 @@ FROM v_bytes GROUP BY stream_id""",
         ["v_bytes", "v_windows"],
         "SELECT window_id, stream_id, CAST(count(*) AS BIGINT) AS n_rows, "
         "CAST(sum(n_bytes) AS BIGINT) AS n_bytes FROM slices GROUP BY ALL",
-        _WINDOWS,
+        SLICE_CTES,
     ),
     "stream_tee": """
 WITH sizes AS (SELECT octet_length(encode(text)) AS len FROM documents),
