@@ -105,6 +105,24 @@ def test_url_path(spark):
     assert column(spark, ["http://h/a+b%20c?q"], url_path) == ["/a+b c"]
 
 
+def test_package_archive(tmp_path):
+    import zipfile
+
+    from tidegate.session import package_archive
+
+    names = zipfile.ZipFile(package_archive(str(tmp_path))).namelist()
+    assert "tidegate/functions/md5state.py" in names and "tidegate/__init__.py" in names
+
+
+def test_scratch_folder_follows_the_session(spark):
+    from tidegate.session import materialise, scratch_path
+
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(f"{base}/x-")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert materialise(spark.range(3), "x").count() == 3
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.binary(max_size=300), max_size=6), st.booleans())
 def test_resumable_digest(parts, native):

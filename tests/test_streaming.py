@@ -59,6 +59,22 @@ def test_digests_carry_over_micro_batches(parts):
     assert got == {s: (len(t), hashlib.md5("".join(t).encode()).hexdigest(), 0) for s, t in texts.items()}
 
 
+def test_window_join_over_micro_batches(spark, parts, sf_dir):
+    from tidegate.operators.slicing import capture_slice
+
+    rows, stream = parts
+    windows = view(spark, sf_dir, "v_windows").where("duration_us > 0")
+    path = scratch_path(spark, "window-input")
+    quarter = rows.count() // 4 + 1
+    for i in range(4):
+        windows.where(F.floor(F.col("window_id") / quarter) == i).coalesce(1).write.mode("append").parquet(path)
+    window_stream = spark.readStream.schema(windows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = jobs.run_to_table(jobs.slice_streams(stream, window_stream, "48h", "1 hour", "6h"), "t-join")
+    want = capture_slice(rows, windows, "6h")
+    key = ("window_id", "seq")
+    assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, want.select(*key).collect()))
+
+
 def test_tee_keeps_batches_apart(spark, parts):
     from tidegate.sources.sinks import batch_folder, tee
 

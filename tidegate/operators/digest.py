@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.md5state import Resumable, finish
 from tidegate.operators.blocks import BLOCK_ROWS, running_total
-from tidegate.session import scratch_path, shared_dir
+from tidegate.session import scratch_path, shared_dir, ship_package
 
 SEGMENT_BYTES = 1 << 30
 TASK_BYTES = 256 << 20
@@ -124,6 +124,7 @@ def stream_digests(
     steers the work, a wrong length never changes a digest.
     """
     spark = chunks.sparkSession
+    ship_package(spark)
     key_ddl = _key_ddl(chunks, key)
     rows = chunks.select(
         F.col(key).alias("k"),

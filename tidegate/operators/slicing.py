@@ -20,16 +20,21 @@ def _limit_us(duration_us: Column, reader: Column) -> Column:
 
 
 def window_bins(
-    windows: DataFrame, bin_us: int, horizon_us: Column | None = None
+    windows: DataFrame,
+    bin_us: int,
+    horizon_us: Column | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per window and time bin it touches: the join side of a slice.
 
     ``windows`` has stream_id, window_id, start_ts, duration_us and reader. Windows without
-    a limit reach to ``horizon_us``.
+    a limit reach to ``horizon_us``; without a horizon they are left out. ``keep`` names more
+    columns to carry along.
     """
     sized = windows.select(
         F.col("stream_id"),
         "window_id",
+        *keep,
         micros(F.col("start_ts")).alias("start_us"),
         _limit_us(F.col("duration_us"), F.col("reader")).alias("limit_us"),
     )
@@ -40,7 +45,12 @@ def window_bins(
     first = F.floor(F.col("start_us") / bin_us)
     last = F.floor((F.col("end_us") - 1) / bin_us)
     return bounded.select(
-        "stream_id", "window_id", "start_us", "end_us", F.explode(F.sequence(first, last)).alias("bin")
+        "stream_id",
+        "window_id",
+        *keep,
+        "start_us",
+        "end_us",
+        F.explode(F.sequence(first, last)).alias("bin"),
     )
 
 

@@ -14,7 +14,7 @@ from tidegate.plans.fixtures import table, view, with_views
 from tidegate.plans.routing_queries import SLICE_CTES
 from tidegate.sources import sinks
 from tidegate.sources.tables import read_landed_objects
-from tidegate.session import scratch_path
+from tidegate.session import materialise, scratch_path
 
 SMALL_MESSAGE = 16
 TIMEOUT = "24h"
@@ -101,12 +101,16 @@ def row_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From capture to message log: rows are sliced by recording window, each window is a stream."""
+    """From capture to messages: rows are sliced by recording window, each window is a stream.
+
+    The slices are written once, since lengths, digests and messages each pass over them.
+    """
     windows = view(spark, sf_dir, "v_windows")
     rows = view(spark, sf_dir, "v_bytes").select("stream_id", "seq", "ts", "payload")
     slices = capture_slice(rows, windows, "6h").select(
         "window_id", "seq", F.col("payload").cast("binary").alias("payload")
     )
+    slices = materialise(slices, "slices")
     text = F.col("window_id").cast("string")
     init = {"jobId": F.concat(F.lit("job"), text), "mimeType": F.lit("application/json")}
     messages = d.envelope_from_rows(
@@ -136,7 +140,8 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def integrity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.integrity_audit(damaged_messages(spark, sf_dir))
+    """Audit of a stored message table: it is written once and read by each check."""
+    return d.integrity_audit(materialise(damaged_messages(spark, sf_dir), "audited-log"))
 
 
 def empty_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,6 +81,24 @@ def stream_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slice_totals(jobs.run_to_table(slices, "stream-slice"))
 
 
+def stream_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices from two streams, rows and windows; windows without a limit are not part of it."""
+    rows = _byte_stream(spark, sf_dir).select("stream_id", "seq", "ts", "n_bytes")
+    signups = jobs.read_table_stream(spark, sf_dir, "events").where("event_type = 'signup'")
+    n = F.col("event_id")
+    windows = signups.select(
+        F.col("user_id").alias("stream_id"),
+        n.alias("window_id"),
+        F.col("ts").alias("start_ts"),
+        F.when(n % 48 == 0, 0).otherwise((n % 48 * 3600000 + n % 1000) * 1000).alias("duration_us"),
+        F.element_at(
+            F.array(*map(F.lit, ("capture", "rtsp", "plugin", "mjpeg"))), (n % 4 + 1).cast("int")
+        ).alias("reader"),
+    )
+    slices = jobs.slice_streams(rows, windows, longest="48h", bin_width=BIN)
+    return slice_totals(jobs.run_to_table(slices, "stream-window-join"))
+
+
 def stream_tee(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document messages sent to two sinks from one computed batch."""
     docs = jobs.read_table_stream(spark, sf_dir, "documents")
@@ -126,6 +144,7 @@ QUERIES = {
     "stream_timeouts": stream_timeouts,
     "stream_digests": stream_digests,
     "stream_slice": stream_slice,
+    "stream_window_join": stream_window_join,
     "stream_tee": stream_tee,
     "stream_task_intake": stream_task_intake,
 }
@@ -178,6 +197,13 @@ FROM v_bytes GROUP BY stream_id""",
         "CAST(sum(n_bytes) AS BIGINT) AS n_bytes FROM slices GROUP BY ALL",
         SLICE_CTES,
     ),
+    "stream_window_join": with_views(
+        ["v_bytes", "v_windows"],
+        "SELECT window_id, s.stream_id, CAST(count(*) AS BIGINT) AS n_rows, "
+        "CAST(sum(n_bytes) AS BIGINT) AS n_bytes FROM slices s JOIN cut USING (window_id) "
+        "WHERE len IS NOT NULL GROUP BY ALL",
+        SLICE_CTES,
+    ),
     "stream_tee": """
 WITH sizes AS (SELECT octet_length(encode(text)) AS len FROM documents),
 kinds AS (

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_SHIPPED: set[str] = set()
 
 
 def build_session(app: str = "tidegate", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,6 +45,34 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def package_archive(folder: str) -> str:
+    """Zip of this package, as Python workers import it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    return shutil.make_archive(f"{folder}/tidegate", "zip", root, "tidegate")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers of a cluster import this package; once per application."""
+    context = spark.sparkContext
+    if context.master.startswith("local") or context.applicationId in _SHIPPED:
+        return
+    # Code, not data: the driver serves this file to the executors while the application lives.
+    context.addPyFile(package_archive(tempfile.mkdtemp(prefix="tidegate-code-")))
+    _SHIPPED.add(context.applicationId)
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For results that several passes use: the plan behind them runs once, and a lost executor
+    costs a re-read, not a recomputation.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; one per call, so reruns never collide."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.constants import HEARTBEAT_INTERVAL, NO_DATA_TIMEOUT
-from tidegate.functions.values import literal_micros
-from tidegate.operators.slicing import capture_slice
+from tidegate.functions.values import literal_micros, micros
+from tidegate.operators.slicing import capture_slice, window_bins
 from tidegate.session import scratch_path
 
 
@@ -114,6 +114,35 @@ def slice_stream(
     return capture_slice(captures, windows, bin_width, F.lit(horizon_us))
 
 
+def slice_streams(
+    captures: DataFrame,
+    windows: DataFrame,
+    longest: str,
+    delay: str = "0 seconds",
+    bin_width: str = "1h",
+) -> DataFrame:
+    """Slice join of two streams: captured rows and recording windows, both in event time.
+
+    Windows must have a limit of at most ``longest``; that bound and the watermarks let Spark
+    drop rows and windows from the join state once nothing can match them any more. Windows
+    without a limit belong in :func:`slice_stream`.
+    """
+    bin_us = literal_micros(bin_width)
+    spans = with_event_time(windows, "start_ts", delay)
+    limited = window_bins(spans, bin_us, keep=("start_ts",)).withColumnRenamed("stream_id", "_stream")
+    rows = with_event_time(captures, "ts", delay).withColumn("_at", micros(F.col("ts")))
+    rows = rows.withColumn("_bin", F.floor(F.col("_at") / bin_us))
+    reach = F.expr(f"start_ts + INTERVAL {literal_micros(longest)} MICROSECONDS")
+    inside = (
+        (F.col("stream_id") == F.col("_stream"))
+        & (F.col("_bin") == F.col("bin"))
+        & (F.col("ts") >= F.col("start_ts"))
+        & (F.col("ts") < reach)
+        & (F.col("_at") < F.col("end_us"))
+    )
+    return rows.join(limited, inside).drop("_stream", "_bin", "_at", "bin", "start_us", "end_us", "start_ts")
+
+
 def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """Process everything available into Parquet and return the written table."""
     spark = stream.sparkSession

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidegate.functions.md5state import Resumable, finish, new_state
+from tidegate.session import ship_package
 
 _STATE = "md5 BINARY, n_rows BIGINT, n_bytes BIGINT, last_seq BIGINT"
 
@@ -51,6 +52,7 @@ def running_digests(
     Rows of a stream must arrive in order across micro-batches; ``late_rows`` counts those that
     did not, and a stream with any has no valid digest.
     """
+    ship_package(rows.sparkSession)
     shaped = rows.select(
         F.col(key).alias("k"),
         F.col(order).cast("bigint").alias("seq"),
