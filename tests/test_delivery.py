@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidegate.operators import delivery as d
 from tidegate.operators.digest import stream_digests
 from tidegate.sources import sinks
+from tidegate.sources.tables import read_captures, read_landed_objects
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -189,6 +190,19 @@ def test_tee_writes_both_and_replays_in_place(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "a")).count() == spark.read.parquet(str(tmp_path / "b")).count() == 20
 
 
+def test_captures_read_back(spark, hot, tmp_path):
+    hot.write.parquet(str(tmp_path / "captures"))
+    back = read_captures(spark, str(tmp_path / "captures"))
+    assert back.columns == ["stream_id", "seq", "ts", "payload"] and back.count() == hot.count()
+
+
+def test_landed_files_become_messages(spark, tmp_path):
+    (tmp_path / "a.mov").write_bytes(bytes(25_000))
+    objects = read_landed_objects(spark, str(tmp_path))
+    messages = d.envelope(objects, "object", "payload", {"jobId": F.lit("j")}, F.lit("")).collect()
+    assert len(messages) == 2 + 3 and objects.first()["n_bytes"] == 25_000
+
+
 def test_console_sink(spark, capsys):
     sinks.show(spark.range(1))
     assert "|id |" in capsys.readouterr().out

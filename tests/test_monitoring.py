@@ -5,7 +5,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidegate.operators import monitoring as m
 from tidegate.plans import fixtures

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,12 +54,8 @@ def duration_micros(text: Column) -> Column:
 
 def literal_micros(text: str) -> int:
     """Driver-side twin of :func:`duration_micros` for parameters."""
-    import re
-
     if not re.fullmatch(f"({_NUMBER}{_UNIT})+", text):
         raise ValueError(f"not a duration: {text!r}")
-    from decimal import Decimal
-
     nanos = dict(DURATION_UNITS)
     total = sum(Decimal(n) * nanos[u] for n, u in re.findall(_NUMBER + _UNIT, text))
     return int(total) // 1000

@@ -14,7 +14,6 @@ from tidegate.functions.constants import (
 )
 from tidegate.functions.values import (
     duration_micros,
-    from_micros,
     human_size,
     literal_micros,
     media_time_micros,
@@ -222,10 +221,8 @@ def offline_requests(
 
     ``tasks`` has key, scheduled_job_id, source_id, organization_id, job_id and task_id.
     """
-    joined = (
-        tasks.join(objects, key)
-        .join(finals.select(key, "uptime_ms", "status", "error_message"), key)
-        .withColumn("status", F.col("status"))
+    joined = tasks.join(objects, key).join(
+        finals.select(key, "uptime_ms", "status", "error_message"), key
     )
     summary = F.struct(
         F.col("organization_id").cast("string").alias("orgId"),

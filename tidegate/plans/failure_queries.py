@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidegate.functions.constants import LOG_RULES
 from tidegate.operators import failures as f
@@ -18,7 +19,8 @@ def status_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return f.log_triage(view(spark, sf_dir, "v_logs"))
+    triage = f.log_triage(view(spark, sf_dir, "v_logs"))
+    return triage.withColumn("rule_no", F.coalesce("rule_no", F.lit(0)))
 
 
 def plugin_log_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +101,7 @@ ORACLES = {
     "log_triage": with_views(
         ["v_logs"],
         """
-SELECT stream_id, CAST(min(rule_no) AS INT) AS rule_no,
+SELECT stream_id, CAST(coalesce(min(rules.rule_no), 0) AS INT) AS rule_no,
        coalesce(min_by(class, rule_no), max_by(tail.line, line_no)) AS error_class
 FROM tail LEFT JOIN rules ON contains(tail.line, phrase) GROUP BY stream_id""",
         _TAIL,

@@ -59,7 +59,9 @@ def _templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manifest_timelines(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = m.timeline_segments(_templates(spark, sf_dir))
-    return entries.withColumn("entry_no", F.col("entry_no").cast("bigint"))
+    return entries.withColumns(
+        {"entry_no": F.col("entry_no").cast("bigint"), "t": F.coalesce("t", F.lit(-1).cast("bigint"))}
+    )
 
 
 def manifest_template_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +80,10 @@ def manifest_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.col("mpd.Period.AdaptationSet")[0]
     parts = m.union_uint(first["_segmentAlignment"])
     return _templates(spark, sf_dir).select("manifest_id", parts.alias("a")).select(
-        "manifest_id", F.col("a.u").alias("as_integer"), F.col("a.b").alias("as_boolean"), "a.invalid"
+        "manifest_id",
+        F.col("a.u").cast("string").alias("as_integer"),
+        F.col("a.b").cast("string").alias("as_boolean"),
+        "a.invalid",
     )
 
 
@@ -135,7 +140,7 @@ FROM reps GROUP BY manifest_id""",
 UNION ALL
 SELECT manifest_id, 1, '1', mime_type, 0, 2, 4 FROM reps WHERE n = 1 AND mime_type = 'audio/mp4'""",
     "manifest_timelines": _ENTRIES
-    + "SELECT manifest_id, 'r' AS rep_id, CAST(1000 AS BIGINT) AS timescale, entry_no, t, d, repeats FROM entries",
+    + "SELECT manifest_id, 'r' AS rep_id, CAST(1000 AS BIGINT) AS timescale, entry_no, coalesce(t, -1) AS t, d, repeats FROM entries",
     "manifest_template_totals": _ENTRIES
     + """SELECT manifest_id, 'r' AS rep_id, 'video/mp4' AS mime_type, CAST(sum(repeats) AS BIGINT) AS n_segments,
        CAST(sum(d * repeats) AS BIGINT) AS duration_units FROM entries GROUP BY manifest_id""",
@@ -145,8 +150,8 @@ FROM lineitem
 UNION ALL
 SELECT DISTINCT l_orderkey, 'r', 'urn:rep', NULL FROM lineitem""",
     "manifest_alignment": """
-SELECT DISTINCT l_orderkey AS manifest_id, CAST(CASE WHEN l_orderkey % 2 = 1 THEN 1 END AS BIGINT) AS as_integer,
-       CASE WHEN l_orderkey % 2 = 0 THEN true END AS as_boolean, false AS invalid
+SELECT DISTINCT l_orderkey AS manifest_id, CASE WHEN l_orderkey % 2 = 1 THEN '1' END AS as_integer,
+       CASE WHEN l_orderkey % 2 = 0 THEN 'true' END AS as_boolean, false AS invalid
 FROM lineitem""",
     "best_rendition": _REPS
     + """SELECT manifest_id, rep_id, bandwidth FROM (
