@@ -44,8 +44,8 @@ def test_query_matches_sql(spark, duck, sf_dir, name):
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
 
-def test_every_query_but_the_file_scan_has_a_twin():
-    assert set(queries()) - set(oracle_sql()) == {"landed_objects"}
+def test_every_query_but_the_file_scans_has_a_twin():
+    assert set(queries()) - set(oracle_sql()) == {"landed_objects", "landed_digests"}
 
 
 def test_landed_objects_match_the_files(spark, sf_dir):
@@ -57,8 +57,12 @@ def test_landed_objects_match_the_files(spark, sf_dir):
     assert set(rows) == set(files)
     for name, data in files.items():
         assert rows[name]["n_bytes"] == len(data)
-        assert rows[name]["md5"] == hashlib.md5(data).hexdigest()
         assert rows[name]["n_messages"] == -(-len(data) // 10240) + 2
+    digest = queries()["landed_digests"](spark, sf_dir).first()
+    pages = files["pages.parquet"]
+    assert (digest["object"], digest["raw_bytes"]) == ("pages.parquet", len(pages))
+    assert digest["md5_checksum"] == hashlib.md5(pages).hexdigest()
+    assert digest["n_messages"] == rows["pages.parquet"]["n_messages"]
 
 
 def test_entry_runs(spark):

@@ -75,6 +75,15 @@ def test_window_join_over_micro_batches(spark, parts, sf_dir):
     assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, want.select(*key).collect()))
 
 
+def test_a_table_may_be_a_folder(spark, sf_dir):
+    folder = scratch_path(spark, "tables")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages.repartition(3).write.parquet(f"{folder}/pages.parquet")
+    for place in (folder, sf_dir):
+        stream = jobs.read_table_stream(spark, place, "pages", maxFilesPerTrigger="1").select("page_id")
+        assert jobs.run_to_table(stream, "t-folder").count() == pages.count()
+
+
 def test_tee_keeps_batches_apart(spark, parts):
     from tidegate.sources.sinks import batch_folder, tee
 

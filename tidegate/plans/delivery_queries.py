@@ -13,7 +13,7 @@ from tidegate.plans.failure_queries import RETRY_CTES
 from tidegate.plans.fixtures import table, view, with_views
 from tidegate.plans.routing_queries import SLICE_CTES
 from tidegate.sources import sinks
-from tidegate.sources.tables import read_landed_objects
+from tidegate.sources.tables import MAX_PAYLOAD, read_landed_objects
 from tidegate.session import materialise, scratch_path
 
 SMALL_MESSAGE = 16
@@ -206,17 +206,31 @@ def object_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The given files themselves as landed objects: length, digest and message count."""
-    files = read_landed_objects(spark, sf_dir, pathGlobFilter="*.parquet")
+    """The given files themselves as landed objects: length and message count, no content read."""
+    files = read_landed_objects(
+        spark, sf_dir, pathGlobFilter="*.parquet", recursiveFileLookup="true"
+    )
     name = F.element_at(F.split("object", "/"), -1)
     return files.select(
         name.alias("object"),
         "n_bytes",
-        F.md5("payload").alias("md5"),
         (F.ceil(F.col("n_bytes") / d.MESSAGE_BYTES) + 2).alias("n_messages"),
     )
 
 
+def landed_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of the page table as landed payloads: cut into messages and summed up again.
+
+    Larger files than a row can hold are left to the length filter, which the scan applies.
+    """
+    files = read_landed_objects(spark, f"{sf_dir}/pages.parquet").where(
+        F.col("n_bytes") <= MAX_PAYLOAD
+    )
+    name = F.element_at(F.split("object", "/"), -1)
+    messages = d.envelope(files, "object", "payload", {"mimeType": F.lit("")}, F.lit(""))
+    return d.envelope_totals(messages, "object").withColumn("object", name)
+
+
 QUERIES = {
     "chunk_payloads": chunk_payloads,
     "stream_envelope": stream_envelope,
@@ -234,6 +248,7 @@ QUERIES = {
     "message_log": message_log,
     "object_cache": object_cache,
     "landed_objects": landed_objects,
+    "landed_digests": landed_digests,
 }
 
 _CHUNKS = """

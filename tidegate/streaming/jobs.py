@@ -18,14 +18,12 @@ from tidegate.session import scratch_path
 
 
 def read_table_stream(spark: SparkSession, folder: str, table: str, **options: str) -> DataFrame:
-    """File stream over ``<folder>/<table>.parquet`` with the schema of the files."""
+    """File stream over ``<folder>/<table>.parquet``, one file or a folder of files.
+
+    The braces make the path a glob: a file stream refuses the plain path of a single file.
+    """
     schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{table}.parquet")
-        .options(**options)
-        .parquet(folder)
-    )
+    return spark.readStream.schema(schema).options(**options).parquet(f"{folder}/{{{table}.parquet}}")
 
 
 def with_event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
