@@ -93,6 +93,31 @@ def test_digests_in_segments(hot, hot_rows, segment_bytes, block_rows):
     assert got == {s: (len(b), hashlib.md5(b).hexdigest()) for s, b in whole(hot_rows).items()}
 
 
+@pytest.mark.parametrize("runtime_broadcast", ["-1", "10MB"])
+def test_digests_when_a_join_is_replanned(spark, hot, hot_rows, runtime_broadcast):
+    """A join that is split for skew or broadcast at run time must not scatter a stream."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": runtime_broadcast,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        keyed = hot.join(spark.range(6).withColumnRenamed("id", "stream_id"), "stream_id")
+        want = sorted((s, len(b), hashlib.md5(b).hexdigest()) for s, b in whole(hot_rows).items())
+        for segment_bytes in (1 << 30, 2500):
+            rows = stream_digests(keyed, value="payload", segment_bytes=segment_bytes, block_rows=64).collect()
+            assert sorted(map(tuple, rows)) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_envelope_of_rows_passes_its_own_audit(spark, hot, hot_rows):
     streams = spark.range(8).select(F.col("id").alias("stream_id"))
     messages = d.envelope_from_rows(

@@ -100,9 +100,18 @@ def _key_ddl(df: DataFrame, key: str) -> str:
     return df.schema[key].dataType.simpleString()
 
 
+def _by_stream(rows: DataFrame, partitions: int) -> DataFrame:
+    """Whole streams per partition, in order.
+
+    The shuffle is on a hash of the key, not the key: a join on the key below would already have
+    that partitioning, Spark would drop the shuffle as redundant, and adaptive execution could
+    then split the join for skew and scatter a stream over tasks.
+    """
+    return rows.repartition(partitions, F.xxhash64("k")).sortWithinPartitions("k", "seq")
+
+
 def _digest_streams(rows: DataFrame, partitions: int, key_ddl: str) -> DataFrame:
-    ordered = rows.repartition(partitions, "k").sortWithinPartitions("k", "seq")
-    return ordered.select("k", "value").mapInArrow(
+    return _by_stream(rows, partitions).select("k", "value").mapInArrow(
         _digest_sorted, f"k {key_ddl}, n_bytes BIGINT, md5 STRING"
     )
 
@@ -147,12 +156,12 @@ def stream_digests(
     long_keys = totals.where(F.col("total") > segment_bytes).select("k")
     ordinary = _digest_streams(rows.join(long_keys, "k", "left_anti"), partitions, key_ddl)
     long_rows = rows.join(long_keys, "k", "left_semi")
-    chained = _chained_digests(long_rows, key_ddl, segment_bytes, block_rows)
+    chained = _chained_digests(long_rows, key_ddl, segment_bytes, block_rows, partitions)
     return ordinary.unionByName(chained).withColumnRenamed("k", key)
 
 
 def _chained_digests(
-    rows: DataFrame, key_ddl: str, segment_bytes: int, block_rows: int
+    rows: DataFrame, key_ddl: str, segment_bytes: int, block_rows: int, partitions: int
 ) -> DataFrame:
     spark = rows.sparkSession
     shared_dir(spark)
@@ -171,8 +180,7 @@ def _chained_digests(
     states = spark.createDataFrame([], f"k {key_ddl}, n_bytes BIGINT, state BINARY")
     for segment in range(last + 1):
         rows_now = written.where(F.col("segment") == segment).join(states, "k", "left")
-        ordered = rows_now.repartition("k").sortWithinPartitions("k", "seq")
-        moved = ordered.select("k", "value", "state", "n_bytes").mapInArrow(
+        moved = _by_stream(rows_now, partitions).select("k", "value", "state", "n_bytes").mapInArrow(
             _advance_sorted, f"k {key_ddl}, n_bytes BIGINT, state BINARY"
         )
         # A stream can skip a segment when a single row is longer than one.
