@@ -52,9 +52,9 @@ def package_archive(folder: str) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let the Python workers of a cluster import this package; once per application."""
+    """Let Python workers import this package, wherever they start; once per application."""
     context = spark.sparkContext
-    if context.master.startswith("local") or context.applicationId in _SHIPPED:
+    if context.applicationId in _SHIPPED:
         return
     # Code, not data: the driver serves this file to the executors while the application lives.
     context.addPyFile(package_archive(tempfile.mkdtemp(prefix="tidegate-code-")))
