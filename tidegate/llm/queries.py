@@ -2,20 +2,92 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidegate.llm import ngram_join
+from tidegate.llm import byte_bpe, embedding_dedup, language_id, ngram_join, quality, warc
+from tidegate.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(modulus: int) -> Column:
+    """Fold of a document: CRC-32 of its id as text."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles have a Jaccard index of 0.85."""
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), n=4, similar=(85, 100))
 
 
-QUERIES = {"op1_ngram_join": op1_ngram_join}
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text by the public rank file, and the bytes they decode to, as digests."""
+    ranks = byte_bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = byte_bpe.encode(
+        _table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN
+    )
+    decoded = byte_bpe.decode(encoded, ranks)
+    ids = F.array_join(F.col("tokens").cast("array<string>"), " ")
+    return decoded.select(
+        "doc_id",
+        F.size("tokens").cast("bigint").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write_archives(warc.plan_records(_table(spark, sf_dir, "pages")), path)
+    found = warc.resolve(warc.payloads(warc.reassemble(warc.read_records(spark, path))))
+    page = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+):", 1).try_cast("bigint")
+    return found.select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+        "complete",
+    )
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text; dictionaries come from the folds 1 to 4 of 5."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.train(docs, fold(5) != 0)
+    found = language_id.classify(docs, model)
+    return found.select("doc_id", (fold(5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text; labels are learned from the folds other than 2 of 4."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"), fold(4) != 2)
+    return quality.score(docs, model).select(
+        "doc_id",
+        (fold(4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors linked by a cosine of at least 0.95."""
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op5_warc": op5_warc,
+    "op6_language_id": op6_language_id,
+    "op7_quality": op7_quality,
+    "op9_embedding_dedup": op9_embedding_dedup,
+}
 
 ORACLES: dict[str, str] = {}
