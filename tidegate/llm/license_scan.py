@@ -54,12 +54,17 @@ class Template:
     need: int
 
 
+def template_tokens(text: str) -> list[str]:
+    """Distinct tokens of a template, sorted."""
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    return sorted(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)))
+
+
 def _templates(texts, share: tuple[int, int]) -> list[Template]:
     num, den = share
     out = []
     for number, (label, text) in enumerate(texts):
-        lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text)
-        tokens = tuple(sorted(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered))))
+        tokens = tuple(template_tokens(text))
         if not tokens:
             raise ValueError(f"template {number} has no tokens")
         out.append(Template(number, label, tokens, -(-num * len(tokens) // den)))

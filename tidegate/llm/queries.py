@@ -6,10 +6,26 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import byte_bpe, embedding_dedup, language_id, ngram_join, quality, warc
+from tidegate.llm import (
+    byte_bpe,
+    decontamination,
+    embedding_dedup,
+    language_id,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    oracles,
+    pii,
+    quality,
+    warc,
+)
 from tidegate.session import scratch_path
 
 
+#: Key of the registered query; a job passes its own.
+PSEUDONYM_SECRET = "demonstration"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,6 +40,20 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), n=4, similar=(85, 100))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its private values replaced by pseudonyms, and their number by kind."""
+    return pii.pseudonymise(_table(spark, sf_dir, "documents"), PSEUDONYM_SECRET)
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a 10-word window of a benchmark item."""
+    found = decontamination.scan(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    items = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text by the public rank file, and the bytes they decode to, as digests."""
     ranks = byte_bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -76,18 +106,41 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every text."""
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors linked by a cosine of at least 0.95."""
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the runs of lines, of 50 words or more, that repeat an earlier place."""
+    found = line_dedup.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_deleted", "text")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents through all stages of ``corpus_pipeline``."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_pii": op2_pii,
+    "op3_decontamination": op3_decontamination,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_warc": op5_warc,
     "op6_language_id": op6_language_id,
     "op7_quality": op7_quality,
+    "op8_license_scan": op8_license_scan,
     "op9_embedding_dedup": op9_embedding_dedup,
+    "op10_line_dedup": op10_line_dedup,
+    "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = oracles.ORACLES
