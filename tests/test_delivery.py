@@ -46,12 +46,12 @@ def whole(rows):
 def test_five_kib_make_seven_messages(spark):
     df = spark.createDataFrame([(1, bytes(5120))], "id INT, data BINARY")
     init = {"taskId": F.lit("task1"), "jobId": F.lit("job1"), "tdoId": F.lit("tdo1"), "offsetMS": F.lit(20000),
-            "mimeType": F.lit("video/mp4"), "ffmpegFormat": F.lit("mp4"), "mediaStartTimeUTC": F.lit(1563297367)}
+            "mimeType": F.lit("video/mp4"), "ffmpegFormat": F.lit("mp4"), "mediaStartTimeUTC": F.lit(1717200000)}
     rows = d.envelope(df, "id", "data", init, F.lit("prefix__"), 1024).orderBy("seq").collect()
     assert [r["key"] for r in rows] == ["prefix__stream_init"] + ["prefix__raw_stream"] * 5 + ["prefix__stream_eof"]
     assert json.loads(rows[0]["value"]) == {
         "jobId": "job1", "taskId": "task1", "tdoId": "tdo1", "offsetMS": 20000,
-        "mediaStartTimeUTC": 1563297367, "mimeType": "video/mp4", "ffmpegFormat": "mp4"}
+        "mediaStartTimeUTC": 1717200000, "mimeType": "video/mp4", "ffmpegFormat": "mp4"}
     assert all(bytes(r["value"]) == bytes(1024) for r in rows[1:6])
     assert json.loads(rows[6]["value"]) == {"contentLength": 5120, "md5Checksum": hashlib.md5(bytes(5120)).hexdigest()}
 
@@ -84,11 +84,10 @@ def test_rechunked_rows(hot, hot_rows, block_rows):
         assert [got[stream][i] for i in range(len(got[stream]))] == pieces
 
 
-@pytest.mark.parametrize("segment_bytes,block_rows", [(1 << 30, 1 << 18), (2500, 16), (900, 8)])
-def test_digests_in_segments(hot, hot_rows, segment_bytes, block_rows):
+def test_digests_of_streams(hot, hot_rows):
     got = {
         r["stream_id"]: (r["n_bytes"], r["md5"])
-        for r in stream_digests(hot, value="payload", segment_bytes=segment_bytes, block_rows=block_rows).collect()
+        for r in stream_digests(hot, value="payload").collect()
     }
     assert got == {s: (len(b), hashlib.md5(b).hexdigest()) for s, b in whole(hot_rows).items()}
 
@@ -110,9 +109,8 @@ def test_digests_when_a_join_is_replanned(spark, hot, hot_rows, runtime_broadcas
     try:
         keyed = hot.join(spark.range(6).withColumnRenamed("id", "stream_id"), "stream_id")
         want = sorted((s, len(b), hashlib.md5(b).hexdigest()) for s, b in whole(hot_rows).items())
-        for segment_bytes in (1 << 30, 2500):
-            rows = stream_digests(keyed, value="payload", segment_bytes=segment_bytes, block_rows=64).collect()
-            assert sorted(map(tuple, rows)) == want
+        rows = stream_digests(keyed, value="payload").collect()
+        assert sorted(map(tuple, rows)) == want
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
@@ -122,16 +120,23 @@ def test_envelope_of_rows_passes_its_own_audit(spark, hot, hot_rows):
     streams = spark.range(8).select(F.col("id").alias("stream_id"))
     messages = d.envelope_from_rows(
         hot, streams, {"jobId": F.lit("j")}, F.concat(F.lit("s"), F.col("stream_id").cast("string"), F.lit("__")),
-        message_bytes=64, block_rows=32, segment_bytes=2000,
+        message_bytes=64, block_rows=32,
     )
-    audit = {r["stream_id"]: r for r in d.integrity_audit(messages, segment_bytes=2000, block_rows=8).collect()}
+    audit = {r["stream_id"]: r for r in d.integrity_audit(messages).collect()}
     sizes = {s: len(b) for s, b in whole(hot_rows).items()}
     assert set(audit) == set(range(8))
     for stream, row in audit.items():
         assert row["raw_bytes"] == sizes.get(stream, 0)
         assert row["n_messages"] == 2 + -(-sizes.get(stream, 0) // 64)
         assert row["has_init"] and row["has_eof"]
-        assert not (row["missing_seq"] or row["length_mismatch"] or row["digest_mismatch"])
+        assert not (row["missing_seq"] or row["duplicate_seq"] or row["length_mismatch"] or row["digest_mismatch"])
+
+
+def test_audit_tells_gaps_from_repeats(spark):
+    rows = [(1, s, d.KIND_RAW, b"x") for s in (0, 1, 1, 3)] + [(2, s, d.KIND_RAW, b"x") for s in (0, 1, 1)]
+    messages = spark.createDataFrame(rows, "stream_id BIGINT, seq BIGINT, kind STRING, value BINARY")
+    got = {r["stream_id"]: (r["missing_seq"], r["duplicate_seq"]) for r in d.integrity_audit(messages).collect()}
+    assert got == {1: (True, True), 2: (False, True)}
 
 
 def expected_timeouts(rows, limit):
@@ -228,6 +233,8 @@ def test_landed_files_become_messages(spark, tmp_path):
     assert len(messages) == 2 + 3 and objects.first()["n_bytes"] == 25_000
 
 
-def test_console_sink(spark, capsys):
-    sinks.show(spark.range(1))
-    assert "|id |" in capsys.readouterr().out
+def test_empty_objects_are_kept(spark):
+    df = spark.createDataFrame([("a", b""), ("b", None), ("c", b"xyz")], "dest_key STRING, payload BINARY")
+    rows = d.chunk_payloads(df, "dest_key", "payload", 2, keep_empty=True).collect()
+    assert sorted((r["dest_key"], r["chunk_no"], r["n_bytes"]) for r in rows) == [
+        ("a", 0, 0), ("b", 0, 0), ("c", 0, 2), ("c", 1, 1)]

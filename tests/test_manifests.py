@@ -84,3 +84,15 @@ def test_union_attribute(spark):
     df = spark.createDataFrame([(k,) for k in cases], "v STRING")
     got = {r["v"]: tuple(r["x"]) for r in df.select("v", m.union_uint(F.col("v")).alias("x")).collect()}
     assert got == cases
+
+
+def test_every_period_is_read_and_written(spark):
+    second = '<Period id="1"><AdaptationSet/><AdaptationSet>' + rep(7, "video/mp4") + "</AdaptationSet></Period></MPD>"
+    docs = {"two": AUDIO.replace("</MPD>", second)}
+    out = parsed(spark, docs)
+    rows = [(r["period_no"], r["set_no"], r["rep_id"]) for r in m.renditions(out).collect()]
+    assert sorted(rows) == [(0, 0, "0"), (1, 1, "7")]
+    assert m.segments(out).count() == 34 and m.best_rendition(out).first()["rep_id"] == "0"
+    assert not out.select(m.is_single_audio().alias("x")).first()["x"]
+    again = m.parse_manifests(m.patch_manifests(out).select("manifest_id", F.col("patched_xml").alias("xml")))
+    assert sorted((r["period_no"], r["set_no"], r["rep_id"]) for r in m.renditions(again).collect()) == sorted(rows)

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidegate.plans.catalog import ORACLES, QUERIES
 
 TABLES = """region nation customer supplier part orders lineitem events documents embeddings pages
 benchmark labels conversations""".split()
@@ -27,14 +28,14 @@ def duck(sf_dir):
     con.close()
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, duck, sf_dir, name):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     columns = sorted(df.columns)
     got = [tuple(row) for row in df.select(*columns).collect()]
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(ORACLES[name])
     described = {d[0]: str(d[1]) for d in result.description}
     order = list(described)
     want = [tuple(row[order.index(c)] for c in columns) for row in result.fetchall()]
@@ -44,25 +45,9 @@ def test_query_matches_sql(spark, duck, sf_dir, name):
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
 
-def test_every_query_but_the_file_scans_has_a_twin():
-    assert set(queries()) - set(oracle_sql()) == {"landed_objects", "landed_digests"}
-
-
-def test_landed_objects_match_the_files(spark, sf_dir):
-    import hashlib
-    import pathlib
-
-    rows = {r["object"]: r for r in queries()["landed_objects"](spark, sf_dir).collect()}
-    files = {p.name: p.read_bytes() for p in pathlib.Path(sf_dir).glob("*.parquet")}
-    assert set(rows) == set(files)
-    for name, data in files.items():
-        assert rows[name]["n_bytes"] == len(data)
-        assert rows[name]["n_messages"] == -(-len(data) // 10240) + 2
-    digest = queries()["landed_digests"](spark, sf_dir).first()
-    pages = files["pages.parquet"]
-    assert (digest["object"], digest["raw_bytes"]) == ("pages.parquet", len(pages))
-    assert digest["md5_checksum"] == hashlib.md5(pages).hexdigest()
-    assert digest["n_messages"] == rows["pages.parquet"]["n_messages"]
+def test_every_query_has_a_twin():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry_runs(spark):

@@ -115,10 +115,10 @@ def test_sources(spark):
 
 def test_media_time(spark):
     df = frame(spark, {
-        "kept": {}, "both": {"tdo_offset_ms": 60000, "start_time_override": 1563297367}, "negative": {"tdo_offset_ms": -5},
+        "kept": {}, "both": {"tdo_offset_ms": 60000, "start_time_override": 1717200000}, "negative": {"tdo_offset_ms": -5},
     }).withColumns({"off": F.lit(7), "start": F.lit(NOW)})
     got = by_case(t.rebase_media_time(df, "off", "start"), "off", "start")
-    moved = dt.datetime(2019, 7, 16, 17, 16, 7)
+    moved = dt.datetime(2024, 6, 1)
     assert got == {"kept": (7, NOW), "both": (60000, moved), "negative": (7, NOW)}
 
 
@@ -157,7 +157,11 @@ def test_topic_addresses(spark):
 
 
 def test_audit_view_has_no_token(spark):
-    assert "token" not in t.audit_view(frame(spark, {"x": {}}).withColumn("token", F.lit("secret"))).columns
+    tasks = frame(spark, {"x": {}}).withColumn("token", F.lit("secret"))
+    assert "token" not in t.audit_view(tasks).columns
+    broken = tasks.withColumn("_corrupt_record", F.lit('{"token":"secret", broken'))
+    shown = t.audit_view(broken).first()
+    assert "secret" not in str(shown) and shown["_corrupt_record"].startswith("unreadable: 25 bytes")
 
 
 def test_task_documents(spark, tmp_path):

@@ -29,7 +29,7 @@ def from_micros(us: Column) -> Column:
 
 
 def duration_nanos(text: Column) -> Column:
-    """Nanoseconds of texts such as ``9m44.191s``; NULL where the text is not a duration."""
+    """Nanoseconds of texts such as ``7m31.25s``; NULL where the text is not a duration."""
     factor = F.create_map(*[F.lit(v) for unit, n in DURATION_UNITS for v in (unit, n)])
     number = F.regexp_extract_all(text, F.lit(_NUMBER + _UNIT), F.lit(1))
     unit = F.regexp_extract_all(text, F.lit(_NUMBER + _UNIT), F.lit(2))

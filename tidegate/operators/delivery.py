@@ -14,7 +14,7 @@ from tidegate.functions.constants import (
 )
 from tidegate.functions.values import from_micros, literal_micros, micros
 from tidegate.operators.blocks import BLOCK, BLOCK_ROWS, running_total, with_block
-from tidegate.operators.digest import SEGMENT_BYTES, stream_digests
+from tidegate.operators.digest import stream_digests
 
 INIT_FIELDS = ("jobId", "taskId", "tdoId", "offsetMS", "mediaStartTimeUTC", "mimeType", "ffmpegFormat")
 EMPTY_MD5 = "d41d8cd98f00b204e9800998ecf8427e"
@@ -35,18 +35,28 @@ def _slices(payload: Column, size: int) -> Column:
 
 
 def chunk_payloads(
-    df: DataFrame, key: str, payload: str, message_bytes: int = MESSAGE_BYTES
+    df: DataFrame,
+    key: str,
+    payload: str,
+    message_bytes: int = MESSAGE_BYTES,
+    keep_empty: bool = False,
 ) -> DataFrame:
     """Cut each payload into messages: (key, chunk_no, n_bytes, value). No shuffle.
 
-    The slices are made inside the exploded array, so the generator carries the key and
+    A payload without bytes has no messages; ``keep_empty`` gives it one empty chunk, so that an
+    object store keeps the object. The slices are made inside the exploded array, so the generator carries the key and
     one slice per row and never repeats the whole payload. The outer form of the generator
     keeps the optimizer from building every array a second time to test its size.
     """
     data = F.col(payload).cast("binary")
-    return df.select(
-        key, F.posexplode_outer(_slices(data, message_bytes)).alias("chunk_no", "value")
-    ).where("chunk_no IS NOT NULL").select(
+    cut = df.select(key, F.posexplode_outer(_slices(data, message_bytes)).alias("chunk_no", "value"))
+    if keep_empty:
+        cut = cut.fillna(0, "chunk_no").withColumn(
+            "value", F.coalesce("value", F.lit("").cast("binary"))
+        )
+    else:
+        cut = cut.where("chunk_no IS NOT NULL")
+    return cut.select(
         key,
         F.col("chunk_no").cast("bigint").alias("chunk_no"),
         F.octet_length("value").cast("bigint").alias("n_bytes"),
@@ -185,7 +195,6 @@ def envelope_from_rows(
     payload: str = "payload",
     message_bytes: int = MESSAGE_BYTES,
     block_rows: int = BLOCK_ROWS,
-    segment_bytes: int = SEGMENT_BYTES,
 ) -> DataFrame:
     """Messages of streams captured as many rows; ``streams`` has one row per stream.
 
@@ -194,7 +203,7 @@ def envelope_from_rows(
     """
     prefixes = streams.select(key, key_prefix.alias("_prefix"))
     raw = rechunk_rows(captures, key, order, payload, message_bytes, block_rows, prefixes)
-    digests = stream_digests(captures, key, order, payload, segment_bytes, block_rows)
+    digests = stream_digests(captures, key, order, payload)
     heads = streams.select(
         key, key_prefix.alias("_prefix"), init_message(init).alias("_init")
     ).join(digests, key, "left")
@@ -249,15 +258,11 @@ def place_messages(
     )
 
 
-def integrity_audit(
-    messages: DataFrame,
-    key: str = "stream_id",
-    segment_bytes: int = SEGMENT_BYTES,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
+def integrity_audit(messages: DataFrame, key: str = "stream_id") -> DataFrame:
     """Check each stream of a message table against its own eof message.
 
-    All checks but the digest are one partially aggregated group-by; the digest is
+    Gaps are told from distinct sequence numbers, messages that were sent twice by
+    ``duplicate_seq``; bytes and digest are those of the messages as they stand. All checks but the digest are one partially aggregated group-by; the digest is
     recomputed from the raw messages in order.
     """
     is_raw = F.col("kind") == KIND_RAW
@@ -272,21 +277,16 @@ def integrity_audit(
     facts = lean.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_messages"),
         F.max("seq").alias("_last"),
+        F.count_distinct("seq").alias("_distinct"),
         F.coalesce(F.max(F.col("kind") == KIND_INIT), F.lit(False)).alias("has_init"),
         F.coalesce(F.max(F.col("kind") == KIND_EOF), F.lit(False)).alias("has_eof"),
         F.coalesce(F.sum(F.when(is_raw, F.col("_size"))), F.lit(0)).alias("raw_bytes"),
         F.max("_eof.contentLength").alias("_length"),
         F.max("_eof.md5Checksum").alias("_md5"),
     )
-    digests = stream_digests(
-        messages.where(is_raw),
-        key,
-        "seq",
-        "value",
-        segment_bytes,
-        block_rows,
-        size="n_bytes" if "n_bytes" in messages.columns else None,
-    ).select(key, F.col("md5").alias("_actual"))
+    digests = stream_digests(messages.where(is_raw), key, "seq", "value").select(
+        key, F.col("md5").alias("_actual")
+    )
     actual = F.coalesce(F.col("_actual"), F.lit(EMPTY_MD5))
     return facts.join(digests, key, "left").select(
         key,
@@ -294,7 +294,8 @@ def integrity_audit(
         "raw_bytes",
         "has_init",
         "has_eof",
-        (F.col("_last") + 1 != F.col("n_messages")).alias("missing_seq"),
+        (F.col("_last") + 1 != F.col("_distinct")).alias("missing_seq"),
+        (F.col("_distinct") != F.col("n_messages")).alias("duplicate_seq"),
         F.coalesce(F.col("_length") != F.col("raw_bytes"), F.lit(False)).alias("length_mismatch"),
         F.coalesce(F.col("_md5") != actual, F.lit(False)).alias("digest_mismatch"),
     )

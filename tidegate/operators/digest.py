@@ -1,10 +1,9 @@
 """MD5 of streams that arrive as many rows.
 
-MD5 depends on byte order and cannot be merged, so one stream is one chain of work. A chain
-is cut into segments of at most ``segment_bytes`` (plus one row). Streams of one segment are
-all digested in a single pass. Longer streams go on in rounds: round g digests segment g of
-every long stream in parallel and hands a 92-byte state to round g + 1 through a checkpoint,
-so no task ever holds more than one segment and a lost executor costs at most one segment.
+MD5 depends on byte order and cannot be merged, and its running state cannot be stored with public
+means: one stream is one chain of work for one task. All streams take the same path. A task holds
+one Arrow batch at a time, whatever the length of a stream; a very long stream costs its task time
+(some 500 MB a second), and a lost executor costs the streams of its unfinished tasks.
 """
 
 from __future__ import annotations
@@ -16,12 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions.md5state import Resumable, finish
-from tidegate.operators.blocks import BLOCK_ROWS, running_total
-from tidegate.session import scratch_path, shared_dir, ship_package
-
-SEGMENT_BYTES = 1 << 30
-TASK_BYTES = 256 << 20
+from tidegate.session import ship_package
 
 
 def _runs(keys: list) -> Iterator[tuple[int, int]]:
@@ -65,134 +59,33 @@ def _digest_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _batch(columns: dict[str, list], key_type: pa.DataType) -> pa.RecordBatch:
-    types = {"k": key_type, "n_bytes": pa.int64(), "md5": pa.string(), "state": pa.binary()}
+    types = {"k": key_type, "n_bytes": pa.int64(), "md5": pa.string()}
     return pa.record_batch({n: pa.array(v, types[n]) for n, v in columns.items()})
 
 
-def _advance_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Carry each stream's stored state over the rows of one segment."""
-    current, md5, size = None, None, 0
-    done: dict[str, list] = {"k": [], "n_bytes": [], "state": []}
-
-    def close() -> None:
-        if md5 is not None:
-            done["k"].append(current)
-            done["n_bytes"].append(size)
-            done["state"].append(md5.state())
-
-    key_type = None
-    for batch in batches:
-        key_type = batch.schema.field(0).type
-        columns = [batch.column(i).to_pylist() for i in range(4)]
-        for key, value, state, before in zip(*columns, strict=True):
-            if md5 is None or key != current:
-                close()
-                current, md5, size = key, Resumable(state), before or 0
-            if value:
-                md5.update(value)
-                size += len(value)
-    close()
-    if done["k"]:
-        yield _batch(done, key_type)
-
-
 def _key_ddl(df: DataFrame, key: str) -> str:
     return df.schema[key].dataType.simpleString()
 
 
-def _by_stream(rows: DataFrame, partitions: int) -> DataFrame:
+def _by_stream(rows: DataFrame) -> DataFrame:
     """Whole streams per partition, in order.
 
     The shuffle is on a hash of the key, not the key: a join on the key below would already have
     that partitioning, Spark would drop the shuffle as redundant, and adaptive execution could
     then split the join for skew and scatter a stream over tasks.
     """
-    return rows.repartition(partitions, F.xxhash64("k")).sortWithinPartitions("k", "seq")
-
-
-def _digest_streams(rows: DataFrame, partitions: int, key_ddl: str) -> DataFrame:
-    return _by_stream(rows, partitions).select("k", "value").mapInArrow(
-        _digest_sorted, f"k {key_ddl}, n_bytes BIGINT, md5 STRING"
-    )
+    return rows.repartition(F.xxhash64("k")).sortWithinPartitions("k", "seq")
 
 
 def stream_digests(
-    chunks: DataFrame,
-    key: str = "stream_id",
-    order: str = "seq",
-    value: str = "value",
-    segment_bytes: int = SEGMENT_BYTES,
-    block_rows: int = BLOCK_ROWS,
-    size: str | None = None,
+    chunks: DataFrame, key: str = "stream_id", order: str = "seq", value: str = "value"
 ) -> DataFrame:
-    """(stream, n_bytes, md5) of the bytes of each stream in order.
-
-    One cheap pass over the lengths (partially aggregated, so safe for hot streams) tells
-    whether any stream is longer than a segment and how many tasks the bytes need. ``size``
-    names a column with the row's length, so that this pass need not read the bytes; it only
-    steers the work, a wrong length never changes a digest.
-    """
-    spark = chunks.sparkSession
-    ship_package(spark)
-    key_ddl = _key_ddl(chunks, key)
+    """(stream, n_bytes, md5) of the bytes of each stream in order: one shuffle, one sort."""
+    ship_package(chunks.sparkSession)
     rows = chunks.select(
-        F.col(key).alias("k"),
-        F.col(order).alias("seq"),
-        F.col(value).alias("value"),
-        F.coalesce(
-            F.col(size) if size else F.octet_length(F.col(value)), F.lit(0)
-        ).cast("bigint").alias("n"),
-    )
-    totals = rows.groupBy("k").agg(F.sum("n").alias("total"))
-    longest, everything = totals.agg(
-        F.coalesce(F.max("total"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))
-    ).first()
-    partitions = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(everything) // TASK_BYTES)
-    )
-    if longest <= segment_bytes:
-        return _digest_streams(rows, partitions, key_ddl).withColumnRenamed("k", key)
-
-    long_keys = totals.where(F.col("total") > segment_bytes).select("k")
-    ordinary = _digest_streams(rows.join(long_keys, "k", "left_anti"), partitions, key_ddl)
-    long_rows = rows.join(long_keys, "k", "left_semi")
-    chained = _chained_digests(long_rows, key_ddl, segment_bytes, block_rows, partitions)
-    return ordinary.unionByName(chained).withColumnRenamed("k", key)
-
-
-def _chained_digests(
-    rows: DataFrame, key_ddl: str, segment_bytes: int, block_rows: int, partitions: int
-) -> DataFrame:
-    spark = rows.sparkSession
-    shared_dir(spark)
-    path = scratch_path(spark, "digest-segments")
-    placed = running_total(rows, "k", "seq", {"at": "n"}, block_rows, inclusive=False)
-    (
-        placed.withColumn("segment", F.expr(f"at div {int(segment_bytes)}L"))
-        .select("k", "seq", "value", "segment")
-        .write.partitionBy("segment")
-        .parquet(path)
+        F.col(key).alias("k"), F.col(order).alias("seq"), F.col(value).cast("binary").alias("value")
     )
-    written = spark.read.schema(f"k {key_ddl}, seq BIGINT, value BINARY, segment BIGINT").parquet(
-        path
+    digested = _by_stream(rows).select("k", "value").mapInArrow(
+        _digest_sorted, f"k {_key_ddl(chunks, key)}, n_bytes BIGINT, md5 STRING"
     )
-    last = written.agg(F.max("segment")).first()[0]
-    states = spark.createDataFrame([], f"k {key_ddl}, n_bytes BIGINT, state BINARY")
-    for segment in range(last + 1):
-        rows_now = written.where(F.col("segment") == segment).join(states, "k", "left")
-        moved = _by_stream(rows_now, partitions).select("k", "value", "state", "n_bytes").mapInArrow(
-            _advance_sorted, f"k {key_ddl}, n_bytes BIGINT, state BINARY"
-        )
-        # A stream can skip a segment when a single row is longer than one.
-        kept = states.join(
-            written.where(F.col("segment") == segment).select("k").distinct(), "k", "left_anti"
-        )
-        states = moved.unionByName(kept).checkpoint()
-
-    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            digests = [finish(s) for s in batch.column(2).to_pylist()]
-            columns = {"k": batch.column(0), "n_bytes": batch.column(1), "md5": pa.array(digests)}
-            yield pa.record_batch(columns)
-
-    return states.mapInArrow(close, f"k {key_ddl}, n_bytes BIGINT, md5 STRING")
+    return digested.withColumnRenamed("k", key)

@@ -29,6 +29,12 @@ def rejected_manifests(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("mpd").isNull()).drop("mpd")
 
 
+def all_sets(mpd: str = "mpd") -> Column:
+    """Adaptation sets of all Periods, in order."""
+    sets = F.transform(f"{mpd}.Period", lambda p: p["AdaptationSet"])
+    return F.flatten(F.filter(sets, lambda s: s.isNotNull()))
+
+
 def union_uint(text: Column) -> Column:
     """An attribute that is an integer or a boolean; an integer wins, anything else is flagged."""
     number = F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint"))
@@ -43,12 +49,13 @@ def union_uint(text: Column) -> Column:
 
 
 def renditions(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
-    """One row per rendition with its set and rendition position and its segment totals."""
-    sets = parsed.select(
-        key, F.posexplode("mpd.Period.AdaptationSet").alias("set_no", "set")
+    """One row per rendition with its positions (Period, set, rendition) and its segment totals."""
+    periods = parsed.select(key, F.posexplode("mpd.Period").alias("period_no", "period"))
+    sets = periods.select(
+        key, "period_no", F.posexplode("period.AdaptationSet").alias("set_no", "set")
     )
     reps = sets.select(
-        key, "set_no", F.col("set._mimeType").alias("set_mime"),
+        key, "period_no", "set_no", F.col("set._mimeType").alias("set_mime"),
         F.posexplode("set.Representation").alias("rep_no", "rep"),
     )
     timeline = F.coalesce(
@@ -69,6 +76,7 @@ def renditions(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
     listed_units = listed * F.coalesce(F.col("rep.SegmentList._duration"), F.lit(0))
     return reps.select(
         key,
+        F.col("period_no").cast("bigint").alias("period_no"),
         F.col("set_no").cast("bigint").alias("set_no"),
         F.col("rep_no").cast("bigint").alias("rep_no"),
         F.col("rep._id").alias("rep_id"),
@@ -81,7 +89,7 @@ def renditions(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
 
 def segments(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
     """One row per listed segment in order."""
-    reps = parsed.select(key, F.explode("mpd.Period.AdaptationSet").alias("set")).select(
+    reps = parsed.select(key, F.explode(all_sets()).alias("set")).select(
         key, F.explode("set.Representation").alias("rep")
     )
     return reps.select(
@@ -100,7 +108,7 @@ def segments(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
 
 def timeline_segments(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
     """One row per timeline entry of segment templates."""
-    reps = parsed.select(key, F.explode("mpd.Period.AdaptationSet").alias("set")).select(
+    reps = parsed.select(key, F.explode(all_sets()).alias("set")).select(
         key, F.explode("set.Representation").alias("rep")
     )
     return reps.select(
@@ -141,13 +149,13 @@ def protections(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
         own = descriptors(adaptation, F.lit(None).cast("string"))
         return F.concat(own, F.coalesce(of_reps, none))
 
-    every = F.flatten(F.transform("mpd.Period.AdaptationSet", of_set))
+    every = F.flatten(F.transform(all_sets(), of_set))
     return parsed.select(key, F.inline(every))
 
 
 def is_single_audio(mpd: str = "mpd") -> Column:
-    """Exactly one set with exactly one rendition, whose own MIME type starts with audio."""
-    sets = F.col(f"{mpd}.Period.AdaptationSet")
+    """Exactly one set, over all Periods, with one rendition whose own MIME type starts with audio."""
+    sets = all_sets(mpd)
     reps = F.try_element_at(sets, F.lit(1))["Representation"]
     mime = F.try_element_at(reps, F.lit(1))["_mimeType"]
     single = (F.size(sets) == 1) & (F.size(reps) == 1) & mime.startswith("audio")
@@ -171,12 +179,12 @@ def patch_manifests(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
         )
         return adaptation.withField("Representation", F.concat(reps, dummy))
 
-    sets = F.col("mpd.Period.AdaptationSet")
-    widened = F.when(is_single_audio(), F.transform(sets, with_dummy)).otherwise(sets)
-    period = F.when(
-        F.col("mpd.Period").isNotNull(), F.col("mpd.Period").withField("AdaptationSet", widened)
-    )
-    patched = F.when(F.col("mpd").isNotNull(), F.col("mpd").withField("Period", period))
+    def widened(period: Column) -> Column:
+        return period.withField("AdaptationSet", F.transform(period["AdaptationSet"], with_dummy))
+
+    periods = F.col("mpd.Period")
+    periods = F.when(is_single_audio(), F.transform(periods, widened)).otherwise(periods)
+    patched = F.when(F.col("mpd").isNotNull(), F.col("mpd").withField("Period", periods))
     return parsed.withColumn("patched", patched).withColumn(
         "patched_xml", F.to_xml("patched", {"rowTag": "MPD"})
     )
@@ -187,7 +195,8 @@ def best_rendition(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
 
     A manifest is one row, so this is a fold over its arrays and needs no window or shuffle.
     """
-    reps = F.flatten(F.transform("mpd.Period.AdaptationSet", lambda s: s["Representation"]))
+    listed = F.transform(all_sets(), lambda s: s["Representation"])
+    reps = F.flatten(F.filter(listed, lambda r: r.isNotNull()))
     slim = F.transform(
         reps,
         lambda r: F.struct(

@@ -148,18 +148,27 @@ def offline_log(beats: DataFrame, tasks: DataFrame, key: str = "stream_id") -> D
 
 def heartbeat_messages(series: DataFrame, tasks: DataFrame, key: str = "stream_id",
                        topic: str = DEFAULT_STATUS_TOPIC) -> DataFrame:
-    """Heartbeats as (topic, partition, key, value) messages; the task id is the key."""
-    ids = tasks.select(key, "job_id", "task_id", "tdo_id")
+    """Heartbeats as (topic, partition, key, value) messages; the task id is the key.
+
+    ``series`` is a :func:`status_log`: running and final heartbeats of online tasks, the final
+    ones with the failure of a failed stream. ``tasks`` has the ids of tasks and engines.
+    """
+    ids = tasks.select(key, "job_id", "task_id", "tdo_id", "engine_id", "engine_instance_id")
     body = F.to_json(
         F.struct(
             F.col("job_id").alias("jobId"),
             F.col("task_id").alias("taskId"),
             F.col("tdo_id").alias("tdoId"),
+            F.col("engine_id").alias("engineId"),
+            F.col("engine_instance_id").alias("engineInstanceId"),
             F.col("ordinal").alias("count"),
             "status",
             F.col("uptime_ms").alias("upTime"),
             F.col("bytes_read").alias("bytesRead"),
             F.col("bytes_written").alias("bytesWritten"),
+            F.col("error_message").alias("errorMsg"),
+            F.col("error_message").alias("failureMsg"),
+            F.col("failure_reason").alias("failureReason"),
         )
     )
     return series.join(ids, key).select(
@@ -219,17 +228,23 @@ def offline_requests(
 ) -> DataFrame:
     """Offline-ingestion requests as messages, one per finished offline task.
 
-    ``tasks`` has key, scheduled_job_id, source_id, organization_id, job_id and task_id.
+    ``tasks`` has key, scheduled_job_id, source_id, organization_id, job_id, task_id, engine_id,
+    engine_instance_id and disable_s3; tasks that do not cache their object send no request. The
+    final heartbeat tells the bytes read and written.
     """
-    joined = tasks.join(objects, key).join(
-        finals.select(key, "uptime_ms", "status", "error_message"), key
+    caching = tasks.where(~F.coalesce("disable_s3", F.lit(False)))
+    totals = finals.select(
+        key, "uptime_ms", "status", "error_message", "bytes_read", "bytes_written"
     )
+    joined = caching.join(objects.drop("n_bytes"), key).join(totals, key)
     summary = F.struct(
         F.col("organization_id").cast("string").alias("orgId"),
         F.col("job_id").alias("jobId"),
         F.col("task_id").alias("taskId"),
-        F.col("n_bytes").alias("bytesRead"),
-        F.col("n_bytes").alias("bytesWritten"),
+        F.col("engine_id").alias("engineId"),
+        F.col("engine_instance_id").alias("engineInstanceId"),
+        F.col("bytes_read").alias("bytesRead"),
+        F.col("bytes_written").alias("bytesWritten"),
         F.col("uptime_ms").alias("upTime"),
         "status",
         F.col("error_message").alias("errorMsg"),
@@ -255,11 +270,14 @@ def offline_requests(
 def flatten_job_status(docs: DataFrame, doc: str = "doc") -> DataFrame:
     """One row per task record of each job-status document; counters become numbers.
 
-    The one-element array keeps the JSON parse in a generator, so it runs once per document.
+    A job without records gives one row without a record; documents without a job are left to
+    :func:`rejected_job_status`. The one-element array keeps the JSON parse in a generator, so it
+    runs once per document.
     """
     parsed = docs.select(F.explode(F.array(F.from_json(doc, JOB_STATUS))).alias("d"))
-    records = parsed.select(
-        F.col("d.data.job.id").alias("job_id"), F.explode("d.data.job.tasks.records").alias("r")
+    records = parsed.where("d.data.job IS NOT NULL").select(
+        F.col("d.data.job.id").alias("job_id"),
+        F.explode_outer("d.data.job.tasks.records").alias("r"),
     )
 
     def number(name: str) -> Column:
@@ -280,6 +298,17 @@ def flatten_job_status(docs: DataFrame, doc: str = "doc") -> DataFrame:
     )
 
 
+def rejected_job_status(docs: DataFrame, doc: str = "doc") -> DataFrame:
+    """Documents that hold no job, by length and digest, with the other columns of ``docs``."""
+    job = F.from_json(doc, "data STRUCT<job: STRUCT<id: STRING>>")["data"]["job"]
+    text = F.coalesce(F.col(doc), F.lit(""))
+    return docs.where(job.isNull()).select(
+        *(c for c in docs.columns if c != doc),
+        F.octet_length(text).cast("bigint").alias("n_bytes"),
+        F.sha2(text, 256).alias("sha256"),
+    )
+
+
 def _report(grouped) -> DataFrame:
     return grouped.agg(
         F.count(F.lit(1)).alias("n_tasks"),
@@ -301,9 +330,10 @@ def status_rollup(records: DataFrame) -> DataFrame:
 def reconcile_bytes(
     records: DataFrame, writer_engine: str, message_bytes: int = MESSAGE_BYTES
 ) -> DataFrame:
-    """Bytes written by one engine against bytes read by the others, per target.
+    """Bytes written by one engine against bytes read by the others, per target with a writer.
 
-    Both sides come from one conditional group-by instead of a self-join.
+    A target that no other engine reads, or whose readers report no bytes, has lost everything:
+    it counts as 0 bytes read and is flagged ``unread``. Both sides come from one conditional group-by instead of a self-join.
     """
     is_writer = F.col("engine_id") == writer_engine
     sides = records.groupBy("target_id").agg(
@@ -311,7 +341,11 @@ def reconcile_bytes(
         F.min(F.when(~is_writer, F.col("bytes_read"))).alias("read_bytes"),
         F.count(F.when(~is_writer, 1)).alias("n_readers"),
     )
-    both = sides.where(F.col("written_bytes").isNotNull() & F.col("read_bytes").isNotNull())
+    both = (
+        sides.where(F.col("written_bytes").isNotNull())
+        .withColumn("unread", F.col("read_bytes").isNull())
+        .withColumn("read_bytes", F.coalesce("read_bytes", F.lit(0).cast("bigint")))
+    )
     missing = F.col("written_bytes") - F.col("read_bytes")
 
     def messages(n: str) -> Column:
@@ -325,4 +359,5 @@ def reconcile_bytes(
         missing.alias("missing_bytes"),
         (messages("written_bytes") - messages("read_bytes")).alias("missing_messages"),
         (F.col("read_bytes") % message_bytes == 0).alias("whole_messages"),
+        "unread",
     )

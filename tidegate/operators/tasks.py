@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.values import (
     blank_to_null,
-    duration_micros,
+    duration_nanos,
     duration_nanos,
     from_micros,
     micros,
 )
+from tidegate.schemas import CORRUPT
 
 # Texts of the validation contract, fixed values.
 MISSING_SOURCE_ID = "missing sourceID"
@@ -168,7 +169,9 @@ def plan_windows(tasks: DataFrame, now: Column) -> DataFrame:
     """Add the recording window of each task as of ``now``; needs ``is_live``."""
     now_us = micros(now)
     start_us = F.greatest(F.coalesce(micros(F.col("record_start")), now_us), now_us)
-    given = duration_micros(F.col("record_duration"))
+    # Rounded up, so that a window of less than a microsecond is a short one and not a missed one.
+    nanos = duration_nanos(F.col("record_duration"))
+    given = F.ceil(nanos / F.lit(1000).cast("decimal(4,0)")).cast("bigint")
     duration = (
         F.when(F.col("record_duration").isNotNull(), F.coalesce(given, F.lit(0)))
         .when(F.col("record_end").isNotNull(), micros(F.col("record_end")) - F.col("_start_us"))
@@ -241,5 +244,14 @@ def parse_topic(address: Column) -> Column:
 
 
 def audit_view(tasks: DataFrame) -> DataFrame:
-    """Tasks without their token: the form every log and report uses."""
-    return tasks.drop("token")
+    """Tasks without their token: the form every log and report uses.
+
+    The text of an unreadable document may hold the token anywhere, so its length and digest
+    stand for it.
+    """
+    shown = tasks.drop("token")
+    if CORRUPT not in shown.columns:
+        return shown
+    size = F.octet_length(CORRUPT).cast("string")
+    text = F.concat(F.lit("unreadable: "), size, F.lit(" bytes, sha256 "), F.sha2(CORRUPT, 256))
+    return shown.withColumn(CORRUPT, text)

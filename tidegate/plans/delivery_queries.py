@@ -13,11 +13,12 @@ from tidegate.plans.failure_queries import RETRY_CTES
 from tidegate.plans.fixtures import table, view, with_views
 from tidegate.plans.routing_queries import SLICE_CTES
 from tidegate.sources import sinks
-from tidegate.sources.tables import MAX_PAYLOAD, read_landed_objects
+from tidegate.sources.tables import read_captures
 from tidegate.session import materialise, scratch_path
 
 SMALL_MESSAGE = 16
 TIMEOUT = "24h"
+LANDED_BYTES = 4096
 
 
 def _init(offset: Column, start: Column, mime: str, container: Column) -> dict[str, Column]:
@@ -136,7 +137,10 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = F.when((F.col("fault") == 4) & is_raw, F.upper(F.hex("value")).cast("binary")).otherwise(
         F.col("value")
     )
-    return flat.where(~F.coalesce(lost, F.lit(False))).withColumn("value", changed).drop("fault")
+    twice = (F.col("fault") == 5) & is_raw & (F.col("seq") == 1)
+    times = F.when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    kept = flat.where(~F.coalesce(lost, F.lit(False))).withColumn("value", changed)
+    return kept.withColumn("time", F.explode(times)).drop("fault", "time")
 
 
 def integrity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,14 +165,22 @@ def empty_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def key_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages and distinct partitions per key; every key must sit in one partition."""
+    """Messages and physical partitions per key, for keyed and for fixed places.
+
+    Rows are dealt out by their place and report the task partition they ended up in.
+    """
     rows = view(spark, sf_dir, "v_bytes").select(
         F.concat(F.lit("key_"), F.col("stream_id").cast("string")).alias("key")
     )
-    placed = d.place_messages(rows, F.lit("stream_1"), F.lit(-1), 8)
-    return placed.groupBy("key").agg(
+    keyed = d.place_messages(rows, F.lit("stream_1"), F.lit(-1), 8)
+    fixed = d.place_messages(
+        rows.withColumn("key", F.concat(F.lit("fixed_"), "key")), F.lit("stream_2"), F.lit(5), 8
+    )
+    dealt = keyed.unionByName(fixed).repartition(16, "topic", "partition")
+    return dealt.withColumn("task", F.spark_partition_id()).groupBy("key").agg(
         F.count(F.lit(1)).alias("n_messages"),
-        (F.max("partition") - F.min("partition") + 1).cast("bigint").alias("n_partitions"),
+        F.count_distinct("task").alias("n_partitions"),
+        F.count_distinct("partition").alias("n_places"),
     )
 
 
@@ -197,38 +209,38 @@ def object_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "object-cache")
     docs = table(spark, sf_dir, "documents").select(
         F.concat(F.lit("cache/"), F.col("doc_id").cast("string"), F.lit(".nut")).alias("dest_key"),
-        "text",
+        F.when(F.col("doc_id") % 50 != 0, F.col("text")).otherwise(F.lit("")).alias("text"),
     )
-    sinks.write_objects(d.chunk_payloads(docs, "dest_key", "text"), path)
+    sinks.write_objects(d.chunk_payloads(docs, "dest_key", "text", keep_empty=True), path)
     return spark.read.parquet(path).groupBy("dest_key").agg(
         F.count(F.lit(1)).alias("n_chunks"), F.sum("n_bytes").alias("n_bytes")
     )
 
 
-def landed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The given files themselves as landed objects: length and message count, no content read."""
-    files = read_landed_objects(
-        spark, sf_dir, pathGlobFilter="*.parquet", recursiveFileLookup="true"
+def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages landed as captured rows: each object arrives as rows of at most 4 KiB, in any size."""
+    pages = table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("stream_id"), F.col("html").alias("payload")
     )
-    name = F.element_at(F.split("object", "/"), -1)
-    return files.select(
-        name.alias("object"),
-        "n_bytes",
-        (F.ceil(F.col("n_bytes") / d.MESSAGE_BYTES) + 2).alias("n_messages"),
+    rows = d.chunk_payloads(pages, "stream_id", "payload", LANDED_BYTES, keep_empty=True)
+    path = scratch_path(spark, "landed")
+    ts = F.timestamp_seconds(F.col("chunk_no"))
+    rows.select("stream_id", F.col("chunk_no").alias("seq"), ts.alias("ts"), F.col("value").alias("payload")).write.parquet(path)
+    return read_captures(spark, path)
+
+
+def landed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed objects of the page table: rows, bytes and messages of each, from their lengths."""
+    n = F.sum(F.octet_length("payload")).cast("bigint")
+    objects = _landed(spark, sf_dir).groupBy("stream_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), n.alias("n_bytes")
     )
+    return objects.withColumn("n_messages", F.ceil(F.col("n_bytes") / d.MESSAGE_BYTES) + 2)
 
 
 def landed_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of the page table as landed payloads: cut into messages and summed up again.
-
-    Larger files than a row can hold are left to the length filter, which the scan applies.
-    """
-    files = read_landed_objects(spark, f"{sf_dir}/pages.parquet").where(
-        F.col("n_bytes") <= MAX_PAYLOAD
-    )
-    name = F.element_at(F.split("object", "/"), -1)
-    messages = d.envelope(files, "object", "payload", {"mimeType": F.lit("")}, F.lit(""))
-    return d.envelope_totals(messages, "object").withColumn("object", name)
+    """Length and MD5 of landed objects that arrive as many rows; none is too long for that."""
+    return stream_digests(_landed(spark, sf_dir), value="payload")
 
 
 QUERIES = {
@@ -294,6 +306,12 @@ row_chunks AS (
   FROM (SELECT stream_id, whole, unnest(range(0, (length(whole) + 15) // 16)) AS i FROM texts))"""
 
 ORACLES = {
+    "landed_objects": """
+SELECT page_id AS stream_id, CAST(greatest((n + 4095) // 4096, 1) AS BIGINT) AS n_rows, CAST(n AS BIGINT) AS n_bytes,
+       CAST((n + 10239) // 10240 + 2 AS BIGINT) AS n_messages
+FROM (SELECT page_id, octet_length(encode(html)) AS n FROM pages)""",
+    "landed_digests": """
+SELECT page_id AS stream_id, CAST(octet_length(encode(html)) AS BIGINT) AS n_bytes, md5(html) AS md5 FROM pages""",
     "chunk_payloads": CHUNK_SQL,
     "stream_envelope": with_views(
         ["v_streams"],
@@ -370,15 +388,17 @@ WITH d AS (
          TRY_CAST(replace(source, 'src', '') AS INT) AS fault FROM documents),
 e AS (
   SELECT *, CASE WHEN fault = 1 AND n >= 1 THEN least(len, 10240) ELSE 0 END AS lost,
-         CASE WHEN fault = 1 AND n >= 1 THEN 1 WHEN fault IN (2, 3) THEN 1 ELSE 0 END AS gone
+         CASE WHEN fault = 1 AND n >= 1 THEN 1 WHEN fault IN (2, 3) THEN 1 ELSE 0 END AS gone,
+         CASE WHEN fault = 5 AND n >= 1 THEN 1 ELSE 0 END AS extra
   FROM d)
-SELECT doc_id AS stream_id, CAST(n + 2 - gone AS BIGINT) AS n_messages,
-       CAST(CASE WHEN fault = 4 THEN len * 2 ELSE len - lost END AS BIGINT) AS raw_bytes,
+SELECT doc_id AS stream_id, CAST(n + 2 - gone + extra AS BIGINT) AS n_messages,
+       CAST(CASE WHEN fault = 4 THEN len * 2 ELSE len - lost + extra * least(len, 10240) END AS BIGINT) AS raw_bytes,
        coalesce(fault, 0) <> 3 AS has_init,
        coalesce(fault, 0) <> 2 AS has_eof,
        gone = 1 AND coalesce(fault, 0) <> 2 AS missing_seq,
-       coalesce(fault, 0) IN (1, 4) AND len > 0 AS length_mismatch,
-       coalesce(fault, 0) IN (1, 4) AND len > 0 AS digest_mismatch
+       extra = 1 AS duplicate_seq,
+       coalesce(fault, 0) IN (1, 4, 5) AND len > 0 AS length_mismatch,
+       coalesce(fault, 0) IN (1, 4, 5) AND len > 0 AS digest_mismatch
 FROM e""",
     "empty_envelopes": with_views(
         ["v_attempts"],
@@ -394,9 +414,9 @@ WHERE policy = 'http' AND outcome IN ('exhausted', 'non_retryable')
         *RETRY_CTES,
     ),
     "key_partitions": """
-SELECT 'key_' || user_id AS key, CAST(count(*) AS BIGINT) AS n_messages,
-       CAST(1 AS BIGINT) AS n_partitions
-FROM events GROUP BY user_id""",
+SELECT prefix || 'key_' || user_id AS key, CAST(count(*) AS BIGINT) AS n_messages,
+       CAST(1 AS BIGINT) AS n_partitions, CAST(1 AS BIGINT) AS n_places
+FROM events, (VALUES (''), ('fixed_')) p(prefix) GROUP BY ALL""",
     "no_data_timeouts": with_views(
         ["v_bytes"],
         """
@@ -427,7 +447,6 @@ flagged AS (SELECT *, bool_or(gap) OVER (PARTITION BY stream_id ORDER BY seq) AS
     ),
     "object_cache": """
 SELECT 'cache/' || doc_id || '.nut' AS dest_key,
-       CAST((octet_length(encode(text)) + 10239) // 10240 AS BIGINT) AS n_chunks,
-       CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes
-FROM documents WHERE octet_length(encode(text)) > 0""",
+       CAST(greatest((n + 10239) // 10240, 1) AS BIGINT) AS n_chunks, CAST(n AS BIGINT) AS n_bytes
+FROM (SELECT doc_id, CASE WHEN doc_id % 50 <> 0 THEN octet_length(encode(text)) ELSE 0 END AS n FROM documents)""",
 }

@@ -27,8 +27,8 @@ SELECT CASE WHEN o_orderkey % 41 <> 0 THEN concat('job', cast(o_orderkey AS stri
        CASE WHEN o_orderkey % 5 <> 0 THEN concat('src', cast(o_custkey AS string)) END AS source_id,
        CASE WHEN o_orderkey % 4 = 1 THEN o_orderdate END AS record_start,
        CASE WHEN o_orderkey % 4 = 1 AND o_orderkey % 12 <> 1 THEN o_orderdate + INTERVAL '1' HOUR END AS record_end,
-       CASE o_orderkey % 20 WHEN 2 THEN '30s' WHEN 6 THEN '9m44.191s' WHEN 10 THEN 'xyz'
-                            WHEN 14 THEN '0s' WHEN 18 THEN '1m' WHEN 5 THEN '10s' END AS record_duration,
+       CASE o_orderkey % 20 WHEN 2 THEN '30s' WHEN 6 THEN '7m31.25s' WHEN 10 THEN 'xyz'
+                            WHEN 14 THEN '0s' WHEN 18 THEN '1m' WHEN 5 THEN '10s' WHEN 13 THEN '500ns' END AS record_duration,
        CASE WHEN o_orderkey % 11 = 0 THEN concat('cache/', cast(o_orderkey AS string)) END AS cache_key,
        CASE WHEN o_orderkey % 22 = 0 THEN concat('sched', cast(o_orderkey AS string)) END AS scheduled_job_id,
        o_orderkey % 44 = 0 AS has_source_details,
@@ -37,7 +37,7 @@ SELECT CASE WHEN o_orderkey % 41 <> 0 THEN concat('job', cast(o_orderkey AS stri
        o_orderkey % 7 = 0 AS disable_kafka,
        o_orderkey % 33 = 0 AS disable_s3,
        cast(CASE WHEN o_orderkey % 6 = 0 THEN 60000 ELSE 0 END AS int) AS tdo_offset_ms,
-       cast(CASE WHEN o_orderkey % 9 = 0 THEN 1563297367 + o_orderkey ELSE 0 END AS bigint) AS start_time_override,
+       cast(CASE WHEN o_orderkey % 9 = 0 THEN 1717200000 + o_orderkey ELSE 0 END AS bigint) AS start_time_override,
        cast(o_custkey % 10 AS bigint) AS organization_id
 FROM {orders}""",
     "v_overrides": """
@@ -111,7 +111,10 @@ SELECT user_id AS stream_id,
        concat('task', cast(user_id AS string), '__') AS key_prefix,
        concat('sched', cast(user_id AS string)) AS scheduled_job_id,
        concat('src', cast(user_id AS string)) AS source_id,
-       user_id % 10 AS organization_id
+       user_id % 10 AS organization_id,
+       concat('engine', cast(user_id % 3 AS string)) AS engine_id,
+       concat('instance', cast(user_id AS string)) AS engine_instance_id,
+       user_id % 12 = 0 AS disable_s3
 FROM {events} GROUP BY user_id""",
     "v_streams": """
 SELECT doc_id AS stream_id,
@@ -120,7 +123,7 @@ SELECT doc_id AS stream_id,
        concat('tdo', cast(doc_id AS string)) AS tdo_id,
        concat('task', cast(doc_id AS string), '__') AS key_prefix,
        cast(doc_id % 3 * 20000 AS int) AS offset_ms,
-       1563297367 + doc_id AS start_s,
+       1717200000 + doc_id AS start_s,
        lang AS container,
        source,
        text AS payload
@@ -133,7 +136,9 @@ SELECT l_orderkey AS manifest_id,
                       cast(l_quantity AS bigint) * 1000, '"><SegmentList timescale="1" duration="2"><Initialization sourceURL="i', l_partkey,
                       '"/><SegmentURL media="m', l_partkey, '"/><SegmentURL media="n', l_suppkey, '"/></SegmentList></Representation>'), '')
               WITHIN GROUP (ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice),
-              '</AdaptationSet></Period></MPD>') AS xml
+              '</AdaptationSet></Period>',
+              CASE WHEN l_orderkey % 3 = 0 THEN '<Period id="1" start="PT9S"><AdaptationSet id="0"/><AdaptationSet id="1"><Representation id="late" mimeType="text/vtt" bandwidth="1"><SegmentList duration="5"><Initialization sourceURL="j"/><SegmentURL media="k"/></SegmentList></Representation></AdaptationSet></Period>' ELSE '' END,
+              '</MPD>') AS xml
 FROM {lineitem} GROUP BY l_orderkey""",
     "v_template_manifests": """
 SELECT l_orderkey AS manifest_id,

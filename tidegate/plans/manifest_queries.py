@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegate.operators import manifests as m
 from tidegate.plans.fixtures import view
-from tidegate.schemas import MANIFEST, MANIFEST_RENDITIONS
+from tidegate.schemas import MANIFEST, MANIFEST_RENDITIONS, MANIFEST_SEGMENTS, MANIFEST_TOTALS
 
 
 def _parsed(spark: SparkSession, sf_dir: str, schema: str = MANIFEST) -> DataFrame:
@@ -15,24 +15,27 @@ def _parsed(spark: SparkSession, sf_dir: str, schema: str = MANIFEST) -> DataFra
 
 
 def manifest_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sets = m.all_sets()
     return _parsed(spark, sf_dir).select(
         "manifest_id",
         F.col("mpd._xmlns").alias("xmlns"),
         F.col("mpd._type").alias("type"),
         F.col("mpd._profiles").alias("profiles"),
-        F.col("mpd.Period._id").alias("period_id"),
-        F.col("mpd.Period._start").alias("period_start"),
-        F.size("mpd.Period.AdaptationSet").cast("bigint").alias("n_sets"),
-        F.size(F.col("mpd.Period.AdaptationSet")[0]["Representation"]).cast("bigint").alias("n_renditions"),
+        F.array_join("mpd.Period._id", ",").alias("period_ids"),
+        F.array_join("mpd.Period._start", ",").alias("period_starts"),
+        F.size(sets).cast("bigint").alias("n_sets"),
+        F.aggregate(sets, F.lit(0), lambda n, s: n + F.greatest(F.size(s["Representation"]), F.lit(0)))
+        .cast("bigint")
+        .alias("n_renditions"),
     )
 
 
 def manifest_renditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.renditions(_parsed(spark, sf_dir))
+    return m.renditions(_parsed(spark, sf_dir, MANIFEST_TOTALS))
 
 
 def manifest_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.segments(_parsed(spark, sf_dir))
+    return m.segments(_parsed(spark, sf_dir, MANIFEST_SEGMENTS))
 
 
 def single_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,9 +46,9 @@ def single_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
 def manifest_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Renditions of the patched manifests after writing and parsing them again."""
     patched = m.patch_manifests(_parsed(spark, sf_dir)).select("manifest_id", "patched_xml")
-    again = m.parse_manifests(patched, "patched_xml")
+    again = m.parse_manifests(patched, "patched_xml", MANIFEST_TOTALS)
     return m.renditions(again).select(
-        "manifest_id", "rep_no", "rep_id", "mime_type", "bandwidth", "n_segments", "duration_units"
+        "manifest_id", "period_no", "rep_no", "rep_id", "mime_type", "bandwidth", "n_segments", "duration_units"
     )
 
 
@@ -76,10 +79,10 @@ def manifest_protections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The integer-or-boolean attribute of each first set, taken apart."""
-    first = F.col("mpd.Period.AdaptationSet")[0]
-    parts = m.union_uint(first["_segmentAlignment"])
-    return _templates(spark, sf_dir).select("manifest_id", parts.alias("a")).select(
+    """The integer-or-boolean attribute of each set, taken apart."""
+    sets = _templates(spark, sf_dir).select("manifest_id", F.explode(m.all_sets()).alias("s"))
+    parts = m.union_uint(F.col("s._segmentAlignment"))
+    return sets.select("manifest_id", parts.alias("a")).select(
         "manifest_id",
         F.col("a.u").cast("string").alias("as_integer"),
         F.col("a.b").cast("string").alias("as_boolean"),
@@ -123,22 +126,30 @@ WITH entries AS (
 ORACLES = {
     "manifest_parse": """
 SELECT l_orderkey AS manifest_id, 'urn:mpeg:dash:schema:mpd:2011' AS xmlns, 'static' AS type, 'p' AS profiles,
-       '0' AS period_id, 'PT0S' AS period_start, CAST(1 AS BIGINT) AS n_sets, CAST(count(*) AS BIGINT) AS n_renditions
+       CASE WHEN l_orderkey % 3 = 0 THEN '0,1' ELSE '0' END AS period_ids,
+       CASE WHEN l_orderkey % 3 = 0 THEN 'PT0S,PT9S' ELSE 'PT0S' END AS period_starts,
+       CAST(CASE WHEN l_orderkey % 3 = 0 THEN 3 ELSE 1 END AS BIGINT) AS n_sets,
+       CAST(count(*) + CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_renditions
 FROM lineitem GROUP BY l_orderkey""",
     "manifest_renditions": _REPS
-    + """SELECT manifest_id, CAST(0 AS BIGINT) AS set_no, rep_no, rep_id, mime_type, bandwidth,
-       CAST(2 AS BIGINT) AS n_segments, CAST(4 AS BIGINT) AS duration_units FROM reps""",
+    + """SELECT manifest_id, CAST(0 AS BIGINT) AS period_no, CAST(0 AS BIGINT) AS set_no, rep_no, rep_id, mime_type,
+       bandwidth, CAST(2 AS BIGINT) AS n_segments, CAST(4 AS BIGINT) AS duration_units FROM reps
+UNION ALL SELECT DISTINCT manifest_id, 1, 1, 0, 'late', 'text/vtt', 1, 1, 5 FROM reps WHERE manifest_id % 3 = 0""",
     "manifest_segments": _REPS
     + """SELECT manifest_id, rep_id, 'i' || l_partkey AS init_url, CAST(k AS BIGINT) AS segment_no,
        CASE k WHEN 0 THEN 'm' || l_partkey ELSE 'n' || l_suppkey END AS media
-FROM reps, (VALUES (0), (1)) s(k)""",
+FROM reps, (VALUES (0), (1)) s(k)
+UNION ALL SELECT DISTINCT manifest_id, 'late', 'j', 0, 'k' FROM reps WHERE manifest_id % 3 = 0""",
     "single_audio": _REPS
-    + """SELECT manifest_id, bool_and(n = 1 AND mime_type = 'audio/mp4') AS single_audio
+    + """SELECT manifest_id, bool_and(n = 1 AND mime_type = 'audio/mp4' AND manifest_id % 3 <> 0) AS single_audio
 FROM reps GROUP BY manifest_id""",
     "manifest_patch": _REPS
-    + """SELECT manifest_id, rep_no, rep_id, mime_type, bandwidth, CAST(2 AS BIGINT) AS n_segments, CAST(4 AS BIGINT) AS duration_units FROM reps
+    + """SELECT manifest_id, CAST(0 AS BIGINT) AS period_no, rep_no, rep_id, mime_type, bandwidth,
+       CAST(2 AS BIGINT) AS n_segments, CAST(4 AS BIGINT) AS duration_units FROM reps
 UNION ALL
-SELECT manifest_id, 1, '1', mime_type, 0, 2, 4 FROM reps WHERE n = 1 AND mime_type = 'audio/mp4'""",
+SELECT manifest_id, 0, 1, '1', mime_type, 0, 2, 4 FROM reps WHERE n = 1 AND mime_type = 'audio/mp4' AND manifest_id % 3 <> 0
+UNION ALL
+SELECT DISTINCT manifest_id, 1, 0, 'late', 'text/vtt', 1, 1, 5 FROM reps WHERE manifest_id % 3 = 0""",
     "manifest_timelines": _ENTRIES
     + "SELECT manifest_id, 'r' AS rep_id, CAST(1000 AS BIGINT) AS timescale, entry_no, coalesce(t, -1) AS t, d, repeats FROM entries",
     "manifest_template_totals": _ENTRIES

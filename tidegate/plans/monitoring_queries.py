@@ -31,7 +31,9 @@ def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = m.status_log(
         heartbeats(spark, sf_dir), final_status(spark, sf_dir), view(spark, sf_dir, "v_stream_tasks")
     )
-    return log.select("stream_id", "ordinal", "status", "uptime_ms", "bytes_read", "bytes_written", "failure_reason")
+    return log.select(
+        "stream_id", "ordinal", "status", "uptime_ms", "bytes_read", "bytes_written", "failure_reason", "error_message"
+    )
 
 
 def current_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,8 +45,9 @@ def offline_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def heartbeat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running and final heartbeats of online tasks as messages."""
     messages = m.heartbeat_messages(
-        heartbeats(spark, sf_dir), view(spark, sf_dir, "v_stream_tasks")
+        status_log(spark, sf_dir), view(spark, sf_dir, "v_stream_tasks")
     )
     return messages.withColumn("value", F.col("value").cast("string"))
 
@@ -144,9 +147,9 @@ finals AS (
 _LOG = """
 log AS (
   SELECT * FROM (
-    SELECT stream_id, ordinal, status, uptime_ms, bytes_read, bytes_written, NULL AS failure_reason FROM beats
+    SELECT stream_id, ordinal, status, uptime_ms, bytes_read, bytes_written, NULL AS failure_reason, NULL AS error_message FROM beats
     UNION ALL
-    SELECT stream_id, ordinal, status, uptime_ms, bytes_read, bytes_written, failure_reason FROM finals)
+    SELECT stream_id, ordinal, status, uptime_ms, bytes_read, bytes_written, failure_reason, error_message FROM finals)
   WHERE stream_id NOT IN (SELECT stream_id FROM v_stream_tasks WHERE is_offline))"""
 
 _SIZE = """CASE
@@ -205,14 +208,19 @@ ORACLES = {
         _BEATS,
     ),
     "heartbeat_messages": with_views(
-        ["v_bytes", "v_stream_tasks"],
+        ["v_bytes", "v_errors", "v_stream_tasks"],
         """
 SELECT 'engine_status' AS topic, CAST(-1 AS INT) AS partition, task_id AS key,
-       '{"jobId":"' || job_id || '","taskId":"' || task_id || '","tdoId":"' || tdo_id || '","count":' || ordinal
+       '{"jobId":"' || job_id || '","taskId":"' || task_id || '","tdoId":"' || tdo_id || '","engineId":"' || engine_id
+         || '","engineInstanceId":"' || engine_instance_id || '","count":' || ordinal
          || ',"status":"' || status || '","upTime":' || uptime_ms || ',"bytesRead":' || bytes_read
-         || ',"bytesWritten":' || bytes_written || '}' AS value
-FROM beats JOIN v_stream_tasks USING (stream_id)""",
+         || ',"bytesWritten":' || bytes_written
+         || coalesce(',"errorMsg":"' || error_message || '","failureMsg":"' || error_message
+                     || '","failureReason":"' || failure_reason || '"', '') || '}' AS value
+FROM log JOIN v_stream_tasks USING (stream_id)""",
         _BEATS,
+        _FINALS,
+        _LOG,
     ),
     "media_duration": with_views(["v_logs"], "SELECT * FROM durations", _DURATIONS),
     "object_summaries": with_views(
@@ -225,9 +233,11 @@ SELECT 'ingestion_queue_0' AS topic, CAST(-1 AS INT) AS partition, scheduled_job
        '{"scheduledJobId":"' || scheduled_job_id || '","sourceId":"' || source_id || '","mediaUri":"' || media_uri
          || '","startTime":' || start_s || ',"endTime":' || end_s
          || ',"sourceTaskSummary":{"orgId":"' || organization_id || '","jobId":"' || job_id || '","taskId":"' || task_id
-         || '","bytesRead":' || n_bytes || ',"bytesWritten":' || n_bytes || ',"upTime":' || uptime_ms
+         || '","engineId":"' || engine_id || '","engineInstanceId":"' || engine_instance_id
+         || '","bytesRead":' || bytes_read || ',"bytesWritten":' || bytes_written || ',"upTime":' || uptime_ms
          || ',"status":"' || status || '"' || coalesce(',"errorMsg":"' || error_message || '"', '') || '}}' AS value
-FROM v_stream_tasks t JOIN objects USING (stream_id) JOIN finals USING (stream_id) WHERE is_offline""",
+FROM v_stream_tasks t JOIN objects USING (stream_id) JOIN finals USING (stream_id)
+WHERE is_offline AND NOT disable_s3""",
         _DURATIONS,
         _OBJECTS,
         _FINALS,
@@ -242,9 +252,9 @@ sides AS (
          min(bytes_read) FILTER (WHERE engine_id <> '{WRITER_ENGINE}') AS read_bytes,
          count(*) FILTER (WHERE engine_id <> '{WRITER_ENGINE}') AS n_readers
   FROM records GROUP BY target_id)
-SELECT target_id, CAST(n_readers AS BIGINT) AS n_readers, written_bytes, read_bytes,
-       written_bytes - read_bytes AS missing_bytes,
-       CAST(ceil(written_bytes / 10240.0) - ceil(read_bytes / 10240.0) AS BIGINT) AS missing_messages,
-       read_bytes % 10240 = 0 AS whole_messages
-FROM sides WHERE written_bytes IS NOT NULL AND read_bytes IS NOT NULL""",
+SELECT target_id, CAST(n_readers AS BIGINT) AS n_readers, written_bytes, coalesce(read_bytes, 0) AS read_bytes,
+       written_bytes - coalesce(read_bytes, 0) AS missing_bytes,
+       CAST(ceil(written_bytes / 10240.0) - ceil(coalesce(read_bytes, 0) / 10240.0) AS BIGINT) AS missing_messages,
+       coalesce(read_bytes, 0) % 10240 = 0 AS whole_messages, read_bytes IS NULL AS unread
+FROM sides WHERE written_bytes IS NOT NULL""",
 }

@@ -19,7 +19,7 @@ from tidegate.session import scratch_path
 from tidegate.sources.sinks import batch_folder, tee
 from tidegate.sources.tables import read_tasks
 from tidegate.streaming import jobs
-from tidegate.streaming.state import latest_digests, running_digests
+from tidegate.streaming.state import landed_digests, landed_rows
 
 INTERVAL = "6h"
 TIMEOUT = "24h"
@@ -64,9 +64,8 @@ def stream_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digest and counters carried as state from micro-batch to micro-batch."""
-    written = jobs.run_to_table(running_digests(_byte_stream(spark, sf_dir)), "stream-digests")
-    return latest_digests(written)
+    """Digest and counters of live streams, from their landed rows."""
+    return landed_digests(jobs.run_to_table(landed_rows(_byte_stream(spark, sf_dir)), "stream-digests"))
 
 
 def stream_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +108,7 @@ def stream_tee(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("tdo"), F.col("doc_id").cast("string")).alias("tdo_id"),
         F.concat(F.lit("task"), F.col("doc_id").cast("string"), F.lit("__")).alias("key_prefix"),
         (F.col("doc_id") % 3 * 20000).cast("int").alias("offset_ms"),
-        (F.col("doc_id") + 1563297367).alias("start_s"),
+        (F.col("doc_id") + 1717200000).alias("start_s"),
         F.col("lang").alias("container"),
         F.col("text").alias("payload"),
     )
@@ -188,7 +187,7 @@ sessions AS (
         ["v_bytes"],
         """
 SELECT stream_id, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(length(payload)) AS BIGINT) AS n_bytes,
-       md5(string_agg(payload, '' ORDER BY seq)) AS md5, CAST(0 AS BIGINT) AS late_rows
+       md5(string_agg(payload, '' ORDER BY seq)) AS md5
 FROM v_bytes GROUP BY stream_id""",
     ),
     "stream_slice": with_views(

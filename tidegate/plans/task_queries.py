@@ -240,7 +240,7 @@ started AS (SELECT *, greatest(coalesce(record_start, TIMESTAMP '{NOW}'), TIMEST
 sized AS (
   SELECT *, CAST(CASE
       WHEN record_duration IS NOT NULL THEN CASE record_duration WHEN '30s' THEN 30000000
-        WHEN '9m44.191s' THEN 584191000 WHEN '0s' THEN 0 WHEN '1m' THEN 60000000 WHEN '10s' THEN 10000000 END
+        WHEN '7m31.25s' THEN 451250000 WHEN '500ns' THEN 1 WHEN '0s' THEN 0 WHEN '1m' THEN 60000000 WHEN '10s' THEN 10000000 END
       WHEN record_end IS NOT NULL THEN epoch_us(record_end) - epoch_us(window_start)
       ELSE 0 END AS BIGINT) AS duration_us,
     CAST(epoch_us(window_start) - epoch_us(TIMESTAMP '{NOW}') AS BIGINT) AS wait_us

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+# Column that keeps the text of documents a reader could not decode.
+CORRUPT = "_corrupt_record"
+
 SOURCE_DETAILS = "STRUCT<url: STRING, radioStreamUrl: STRING>"
 
 # One JSON task document. Keys outside this list are dropped, as the data contract asks.
@@ -58,11 +61,33 @@ MANIFEST = f"""
     _xmlns STRING, _type STRING, _minimumUpdatePeriod STRING, _availabilityStartTime STRING,
     _mediaPresentationDuration STRING, _minBufferTime STRING, _suggestedPresentationDelay STRING,
     _timeShiftBufferDepth STRING, _publishTime STRING, _profiles STRING,
-    Period STRUCT<_start: STRING, _id: STRING, AdaptationSet: ARRAY<{_ADAPTATION_SET}>>
+    Period ARRAY<STRUCT<_start: STRING, _id: STRING, AdaptationSet: ARRAY<{_ADAPTATION_SET}>>>
 """
 
 # What rendition choice and single-audio detection need of a manifest.
 MANIFEST_RENDITIONS = """
-    Period STRUCT<_id: STRING, AdaptationSet: ARRAY<STRUCT<
-        Representation: ARRAY<STRUCT<_id: STRING, _mimeType: STRING, _bandwidth: BIGINT>>>>>
+    Period ARRAY<STRUCT<_id: STRING, AdaptationSet: ARRAY<STRUCT<
+        Representation: ARRAY<STRUCT<_id: STRING, _mimeType: STRING, _bandwidth: BIGINT>>>>>>
+"""
+
+# What the position, type and segment totals of renditions need of one.
+MANIFEST_TOTALS = """
+    Period ARRAY<STRUCT<_id: STRING, AdaptationSet: ARRAY<STRUCT<
+        _mimeType: STRING,
+        Representation: ARRAY<STRUCT<
+            _id: STRING, _mimeType: STRING, _bandwidth: BIGINT,
+            SegmentTemplate: STRUCT<
+                SegmentTimeline: STRUCT<S: ARRAY<STRUCT<_t: BIGINT, _d: BIGINT, _r: BIGINT>>>>,
+            SegmentList: STRUCT<
+                _duration: BIGINT, SegmentURL: ARRAY<STRUCT<_media: STRING>>>>>>>>>
+"""
+
+# What listed segments need.
+MANIFEST_SEGMENTS = """
+    Period ARRAY<STRUCT<_id: STRING, AdaptationSet: ARRAY<STRUCT<
+        Representation: ARRAY<STRUCT<
+            _id: STRING,
+            SegmentList: STRUCT<
+                Initialization: STRUCT<_sourceURL: STRING>,
+                SegmentURL: ARRAY<STRUCT<_media: STRING>>>>>>>>>
 """

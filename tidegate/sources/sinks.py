@@ -90,7 +90,3 @@ def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
 
     return write
 
-
-def show(df: DataFrame, rows: int = 20) -> None:
-    """Console sink."""
-    df.show(rows, truncate=False)

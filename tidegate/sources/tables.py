@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.values import blank_to_null
 from tidegate.operators.tasks import normalise
-from tidegate.schemas import SOURCE_JSON, TASK_JSON
+from tidegate.schemas import CORRUPT, SOURCE_JSON, TASK_JSON
 
-CORRUPT = "_corrupt_record"
-MAX_PAYLOAD = 2**31 - 1
 
 
 def flatten_tasks(docs: DataFrame) -> DataFrame:
@@ -86,8 +84,8 @@ def read_sources(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
 def read_landed_objects(spark: SparkSession, path: str, streaming: bool = False, **options: str) -> DataFrame:
     """Landed payload files, one row each: object, modified_at, n_bytes, payload.
 
-    Objects beyond the 2 GiB row limit (``MAX_PAYLOAD``) belong in a captures table of many rows
-    per stream. Without the payload column only file metadata is read.
+    A row holds 2 GiB at most: Spark fails on a longer file, and such objects belong in a captures
+    table of many rows per stream (:func:`read_captures`). Without the payload column only file metadata is read.
     """
     if streaming:
         reader = spark.readStream.schema(

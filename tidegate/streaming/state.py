@@ -1,77 +1,30 @@
-"""Stateful streaming: the running digest and counters of each live stream."""
+"""Counters of live streams carried from micro-batch to micro-batch, and digests of landed ones."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from tidegate.functions.md5state import Resumable, finish, new_state
-from tidegate.session import ship_package
 
-_STATE = "md5 BINARY, n_rows BIGINT, n_bytes BIGINT, last_seq BIGINT"
+from tidegate.operators.digest import stream_digests
 
 
-def _advance(
-    key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Move one stream's digest and counters over its rows of this micro-batch."""
-    stored, n_rows, n_bytes, last_seq = state.get if state.exists else (new_state(), 0, 0, -1)
-    batch = pd.concat(list(frames)).sort_values("seq")
-    digest = Resumable(bytes(stored))
-    late = int((batch["seq"] <= last_seq).sum())
-    for value in batch["value"]:
-        if value:
-            digest.update(bytes(value))
-            n_bytes += len(value)
-    n_rows += len(batch)
-    last_seq = max(last_seq, int(batch["seq"].iloc[-1]))
-    state.update((digest.state(), n_rows, n_bytes, last_seq))
-    yield pd.DataFrame(
-        {
-            "k": [key[0]],
-            "n_rows": [n_rows],
-            "n_bytes": [n_bytes],
-            "last_seq": [last_seq],
-            "late_rows": [late],
-            "md5": [finish(digest.state())],
-        }
-    )
-
-
-def running_digests(
+def landed_rows(
     rows: DataFrame, key: str = "stream_id", order: str = "seq", value: str = "payload"
 ) -> DataFrame:
-    """After each micro-batch: rows, bytes and MD5 of every stream that moved in it.
+    """Rows of a live stream in the shape that :func:`landed_digests` reads back.
 
-    State is about 130 bytes per stream, whatever its length. A task holds one stream's rows of
-    one micro-batch, so ``maxBytesPerTrigger`` or ``maxFilesPerTrigger`` of the source bounds it.
-    Rows of a stream must arrive in order across micro-batches; ``late_rows`` counts those that
-    did not, and a stream with any has no valid digest.
+    A running MD5 cannot be stored as state, so a stream's rows are landed as they come (append
+    mode, no state at all) and digested once it has ended. Rows may arrive late or out of order.
     """
-    ship_package(rows.sparkSession)
-    shaped = rows.select(
+    return rows.select(
         F.col(key).alias("k"),
         F.col(order).cast("bigint").alias("seq"),
         F.col(value).cast("binary").alias("value"),
     )
-    ddl = rows.schema[key].dataType.simpleString()
-    out = shaped.groupBy("k").applyInPandasWithState(
-        _advance,
-        f"k {ddl}, n_rows BIGINT, n_bytes BIGINT, last_seq BIGINT, late_rows BIGINT, md5 STRING",
-        _STATE,
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
-    return out.withColumnRenamed("k", key)
 
 
-def latest_digests(written: DataFrame, key: str = "stream_id") -> DataFrame:
-    """The last state of each stream from the table its running digests were written to."""
-    last = F.max(F.struct("n_rows", "n_bytes", "last_seq", "md5")).alias("d")
-    return written.groupBy(key).agg(F.sum("late_rows").alias("late_rows"), last).select(
-        key, "d.n_rows", "d.n_bytes", "d.md5", "late_rows"
-    )
+def landed_digests(landed: DataFrame, key: str = "stream_id") -> DataFrame:
+    """Rows, bytes and MD5 of each landed stream."""
+    counts = landed.groupBy("k").agg(F.count(F.lit(1)).alias("n_rows"))
+    digests = stream_digests(landed, "k", "seq", "value")
+    return counts.join(digests, "k").select(F.col("k").alias(key), "n_rows", "n_bytes", "md5")
