@@ -11,7 +11,7 @@ from tidegate.functions.values import MICROS, literal_micros, micros
 EXACT_READERS = ("capture", "plugin")
 
 
-def _limit_us(duration_us: Column, reader: Column) -> Column:
+def limit_us(duration_us: Column, reader: Column) -> Column:
     """Length of the cut in microseconds; NULL means no limit."""
     exact = F.bround(duration_us / 1000.0).cast("bigint") * 1000
     whole = F.ceil(duration_us / float(MICROS)).cast("bigint") * MICROS
@@ -19,64 +19,49 @@ def _limit_us(duration_us: Column, reader: Column) -> Column:
     return F.when(~is_exact, whole).when(duration_us > 0, exact)
 
 
-def window_bins(
-    windows: DataFrame,
-    bin_us: int,
-    horizon_us: Column | None = None,
-    keep: tuple[str, ...] = (),
-) -> DataFrame:
-    """One row per window and time bin it touches: the join side of a slice.
+def window_bins(windows: DataFrame, bin_us: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per limited window and time bin it touches: the join side of a slice.
 
-    ``windows`` has stream_id, window_id, start_ts, duration_us and reader. Windows without
-    a limit reach to ``horizon_us``; without a horizon they are left out. ``keep`` names more
+    ``windows`` has stream_id, window_id, start_ts, duration_us and reader. ``keep`` names more
     columns to carry along.
     """
-    sized = windows.select(
+    limit = limit_us(F.col("duration_us"), F.col("reader"))
+    sized = windows.where(limit > 0).select(
         F.col("stream_id"),
         "window_id",
         *keep,
         micros(F.col("start_ts")).alias("start_us"),
-        _limit_us(F.col("duration_us"), F.col("reader")).alias("limit_us"),
+        (micros(F.col("start_ts")) + limit).alias("end_us"),
     )
-    end = F.col("start_us") + F.col("limit_us")
-    if horizon_us is not None:
-        end = F.coalesce(end, horizon_us + 1)
-    bounded = sized.withColumn("end_us", end).where(F.col("end_us") > F.col("start_us"))
     first = F.floor(F.col("start_us") / bin_us)
     last = F.floor((F.col("end_us") - 1) / bin_us)
-    return bounded.select(
-        "stream_id",
-        "window_id",
-        *keep,
-        "start_us",
-        "end_us",
-        F.explode(F.sequence(first, last)).alias("bin"),
-    )
+    return sized.select("*", F.explode(F.sequence(first, last)).alias("bin"))
 
 
 def capture_slice(
-    captures: DataFrame,
-    windows: DataFrame,
-    bin_width: str = "1h",
-    horizon_us: Column | None = None,
-    ts: str = "ts",
+    captures: DataFrame, windows: DataFrame, bin_width: str = "1h", ts: str = "ts"
 ) -> DataFrame:
     """Rows of ``captures`` in ``[start, start + duration)`` of each window of their stream.
 
     An interval join. The equi keys are stream and time bin, so a hot stream is spread over
-    its bins; the exact bounds are the residual condition. Without a given horizon, windows
-    with no limit end at the last captured row, found by a scalar subquery.
+    its bins; the exact bounds are the residual condition. Windows without a limit take every
+    later row of their stream and are joined on the stream alone: nothing ends them, so rows that
+    arrive later (``captures`` may be a stream) are theirs too.
     """
     bin_us = literal_micros(bin_width)
-    if horizon_us is None and not captures.isStreaming:
-        horizon_us = captures.agg(F.max(micros(F.col(ts)))).scalar()
-    spans = window_bins(windows, bin_us, horizon_us)
     at = micros(F.col(ts))
     rows = captures.withColumn("_at", at).withColumn("bin", F.floor(F.col("_at") / bin_us))
+    spans = window_bins(windows, bin_us)
     inside = (F.col("_at") >= F.col("start_us")) & (F.col("_at") < F.col("end_us"))
-    return rows.join(spans, ["stream_id", "bin"]).where(inside).drop(
+    limited = rows.join(spans, ["stream_id", "bin"]).where(inside).drop(
         "_at", "bin", "start_us", "end_us"
     )
+    limit = limit_us(F.col("duration_us"), F.col("reader"))
+    endless = windows.where(limit.isNull()).select(
+        "stream_id", "window_id", micros(F.col("start_ts")).alias("start_us")
+    )
+    later = captures.withColumn("_at", at).join(endless, "stream_id").where("_at >= start_us")
+    return limited.unionByName(later.drop("_at", "start_us"))
 
 
 def slice_totals(slices: DataFrame, n_bytes: str = "n_bytes") -> DataFrame:

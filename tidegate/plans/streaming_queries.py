@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.operators import delivery as d
-from tidegate.operators.slicing import slice_totals
+from tidegate.operators.slicing import limit_us, slice_totals
 from tidegate.plans.delivery_queries import CHUNK_SQL, document_messages
 from tidegate.plans.fixtures import table, view, with_views
 from tidegate.plans.routing_queries import BIN, SLICE_CTES
@@ -23,6 +23,7 @@ from tidegate.streaming.state import landed_digests, landed_rows
 
 INTERVAL = "6h"
 TIMEOUT = "24h"
+DELAY = "1 hour"
 
 
 def _byte_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,20 +45,22 @@ def stream_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windows = jobs.heartbeat_windows(_byte_stream(spark, sf_dir), INTERVAL)
-    written = jobs.run_to_table(windows, "stream-heartbeats")
+    rows, end = jobs.ending(_byte_stream(spark, sf_dir))
+    windows = jobs.heartbeat_windows(rows, DELAY, INTERVAL)
+    written = jobs.run_to_table(windows, "stream-heartbeats", end=end)
     return written.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running bytes per stream at the end of each closed interval."""
+    """Running bytes per stream at the end of each interval."""
     running = jobs.running_windows(stream_heartbeats(spark, sf_dir))
     return running.withColumn("ordinal", F.col("ordinal").cast("bigint"))
 
 
 def stream_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sessions = jobs.session_ends(_byte_stream(spark, sf_dir), TIMEOUT)
-    first = jobs.first_sessions(jobs.run_to_table(sessions, "stream-timeouts"))
+    rows, end = jobs.ending(_byte_stream(spark, sf_dir))
+    sessions = jobs.session_ends(rows, DELAY, TIMEOUT)
+    first = jobs.first_sessions(jobs.run_to_table(sessions, "stream-timeouts", end=end))
     return first.withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("start_time", "end_time")}
     )
@@ -69,19 +72,14 @@ def stream_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slices of the byte stream; windows without a limit reach to the end of the test period."""
+    """Slices of the byte stream, by a table of windows."""
     rows = _byte_stream(spark, sf_dir).select("stream_id", "seq", "ts", "n_bytes")
-    horizon = table(spark, sf_dir, "events").agg(F.max("ts").cast("timestamp")).select(
-        F.unix_micros("CAST(max(ts) AS TIMESTAMP)")
-    )
-    slices = jobs.slice_stream(
-        rows, view(spark, sf_dir, "v_windows"), horizon.first()[0], BIN
-    )
+    slices = jobs.slice_stream(rows, view(spark, sf_dir, "v_windows"), BIN)
     return slice_totals(jobs.run_to_table(slices, "stream-slice"))
 
 
 def stream_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slices from two streams, rows and windows; windows without a limit are not part of it."""
+    """Slices from two streams, rows and windows; those without a limit come from the table."""
     rows = _byte_stream(spark, sf_dir).select("stream_id", "seq", "ts", "n_bytes")
     signups = jobs.read_table_stream(spark, sf_dir, "events").where("event_type = 'signup'")
     n = F.col("event_id")
@@ -94,8 +92,15 @@ def stream_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.array(*map(F.lit, ("capture", "rtsp", "plugin", "mjpeg"))), (n % 4 + 1).cast("int")
         ).alias("reader"),
     )
-    slices = jobs.slice_streams(rows, windows, longest="48h", bin_width=BIN)
-    return slice_totals(jobs.run_to_table(slices, "stream-window-join"))
+    endless = limit_us(F.col("duration_us"), F.col("reader")).isNull()
+    slices = jobs.slice_streams(rows, windows.where(~endless), "72h", DELAY, BIN)
+    written = jobs.run_to_table(slices, "stream-window-join")
+    rest = jobs.slice_stream(rows, view(spark, sf_dir, "v_windows").where(endless), BIN)
+    names = ("window_id", "stream_id", "seq", "n_bytes")
+    every = written.select(*names).unionByName(
+        jobs.run_to_table(rest, "stream-endless").select(*names)
+    )
+    return slice_totals(every)
 
 
 def stream_tee(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +157,6 @@ _CLOSED = """
 closed AS (
   SELECT stream_id, w AS window_start, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(n_bytes) AS BIGINT) AS n_bytes
   FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS w FROM v_bytes)
-  WHERE w + INTERVAL 6 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) FROM v_bytes)
   GROUP BY stream_id, w)"""
 
 ORACLES = {
@@ -171,8 +175,7 @@ FROM closed""",
         ["v_bytes"],
         """
 SELECT stream_id, start_time, end_time, n_rows, n_bytes
-FROM (SELECT *, row_number() OVER (PARTITION BY stream_id ORDER BY start_time) AS rn FROM sessions
-      WHERE end_time <= (SELECT date_trunc('milliseconds', max(ts)) FROM v_bytes)) WHERE rn = 1""",
+FROM (SELECT *, row_number() OVER (PARTITION BY stream_id ORDER BY start_time) AS rn FROM sessions) WHERE rn = 1""",
         """
 marked AS (
   SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY stream_id ORDER BY ts) < INTERVAL 24 HOUR THEN 0 ELSE 1 END AS fresh
@@ -198,9 +201,8 @@ FROM v_bytes GROUP BY stream_id""",
     ),
     "stream_window_join": with_views(
         ["v_bytes", "v_windows"],
-        "SELECT window_id, s.stream_id, CAST(count(*) AS BIGINT) AS n_rows, "
-        "CAST(sum(n_bytes) AS BIGINT) AS n_bytes FROM slices s JOIN cut USING (window_id) "
-        "WHERE len IS NOT NULL GROUP BY ALL",
+        "SELECT window_id, stream_id, CAST(count(*) AS BIGINT) AS n_rows, "
+        "CAST(sum(n_bytes) AS BIGINT) AS n_bytes FROM slices GROUP BY ALL",
         SLICE_CTES,
     ),
     "stream_tee": """

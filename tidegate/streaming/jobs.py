@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.constants import HEARTBEAT_INTERVAL, NO_DATA_TIMEOUT
 from tidegate.functions.values import literal_micros, micros
-from tidegate.operators.slicing import capture_slice, window_bins
+from tidegate.operators.slicing import capture_slice, limit_us, window_bins
 from tidegate.session import scratch_path
 
 
@@ -36,15 +36,16 @@ def _text(duration: str) -> str:
 
 def heartbeat_windows(
     captures: DataFrame,
+    delay: str,
     interval: str = HEARTBEAT_INTERVAL,
-    delay: str = "0 seconds",
     key: str = "stream_id",
     ts: str = "ts",
     n_bytes: str = "n_bytes",
 ) -> DataFrame:
     """Rows and bytes per stream and interval, sent when the watermark closes the interval.
 
-    Only intervals with data appear; rows are pre-aggregated before the shuffle and state
+    ``delay`` is how late a row may come: later ones are dropped, and :func:`run_to_table` counts
+    them. The last intervals close with the end of the input (:func:`ending`). Only intervals with data appear; rows are pre-aggregated before the shuffle and state
     holds one row per open (stream, interval). :func:`running_windows` adds running totals.
     """
     timed = with_event_time(captures, ts, delay)
@@ -75,8 +76,8 @@ def running_windows(windows: DataFrame, key: str = "stream_id") -> DataFrame:
 
 def session_ends(
     captures: DataFrame,
+    delay: str,
     timeout: str = NO_DATA_TIMEOUT,
-    delay: str = "0 seconds",
     key: str = "stream_id",
     ts: str = "ts",
     n_bytes: str = "n_bytes",
@@ -84,6 +85,7 @@ def session_ends(
     """Sessions of each stream; a session ends when no row with data arrives for ``timeout``.
 
     The first session of a stream is what a writer with that timeout would have delivered.
+    ``delay`` and the end of the input are as in :func:`heartbeat_windows`.
     """
     timed = with_event_time(captures.where(F.col(n_bytes) > 0), ts, delay)
     return (
@@ -105,28 +107,32 @@ def first_sessions(sessions: DataFrame, key: str = "stream_id") -> DataFrame:
     return sessions.groupBy(key).agg(first).select(key, "s.*")
 
 
-def slice_stream(
-    captures: DataFrame, windows: DataFrame, horizon_us: int, bin_width: str = "1h"
-) -> DataFrame:
-    """Stream-static slice join; windows without a limit end at the given horizon."""
-    return capture_slice(captures, windows, bin_width, F.lit(horizon_us))
+def slice_stream(captures: DataFrame, windows: DataFrame, bin_width: str = "1h") -> DataFrame:
+    """Stream-static slice join; windows without a limit go on as long as the stream does."""
+    return capture_slice(captures, windows, bin_width)
 
 
 def slice_streams(
     captures: DataFrame,
     windows: DataFrame,
     longest: str,
-    delay: str = "0 seconds",
+    delay: str,
     bin_width: str = "1h",
 ) -> DataFrame:
     """Slice join of two streams: captured rows and recording windows, both in event time.
 
     Windows must have a limit of at most ``longest``; that bound and the watermarks let Spark
-    drop rows and windows from the join state once nothing can match them any more. Windows
-    without a limit belong in :func:`slice_stream`.
+    drop rows and windows from the join state once nothing can match them any more. A window
+    beyond it fails the job rather than being cut; windows without a limit belong in
+    :func:`slice_stream`. ``delay`` is how late a row or window may come.
     """
     bin_us = literal_micros(bin_width)
-    spans = with_event_time(windows, "start_ts", delay)
+    limit = limit_us(F.col("duration_us"), F.col("reader"))
+    fits = F.coalesce(limit <= literal_micros(longest), F.lit(False))
+    checked = F.when(fits, F.col("duration_us")).otherwise(
+        F.raise_error(F.lit(f"a window has no limit or one beyond {longest}")).cast("bigint")
+    )
+    spans = with_event_time(windows.withColumn("duration_us", checked), "start_ts", delay)
     limited = window_bins(spans, bin_us, keep=("start_ts",)).withColumnRenamed("stream_id", "_stream")
     rows = with_event_time(captures, "ts", delay).withColumn("_at", micros(F.col("ts")))
     rows = rows.withColumn("_bin", F.floor(F.col("_at") / bin_us))
@@ -141,18 +147,63 @@ def slice_streams(
     return rows.join(limited, inside).drop("_stream", "_bin", "_at", "bin", "start_us", "end_us", "start_ts")
 
 
-def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
-    """Process everything available into Parquet and return the written table."""
+def ending(stream: DataFrame, ts: str = "ts") -> tuple[DataFrame, Callable[[], None]]:
+    """``stream`` with an end: calling the second value says that no more rows will come.
+
+    It lands one row without a key in the far future. Where the watermark follows it, all windows
+    and sessions before it close; its own never does.
+    """
+    spark = stream.sparkSession
+    path = scratch_path(spark, "stream-end")
+    spark.createDataFrame([], stream.schema).write.parquet(path)
+    marks = spark.readStream.schema(stream.schema).parquet(path)
+
+    def end() -> None:
+        kinds = {f.name: f.dataType for f in stream.schema}
+        fields = [
+            F.lit("9999-01-01 00:00:00").cast(kind).alias(name)
+            if name == ts
+            else (F.lit(1) if name == "n_bytes" else F.lit(None)).cast(kind).alias(name)
+            for name, kind in kinds.items()
+        ]
+        spark.range(1).select(*fields).write.mode("append").parquet(path)
+
+    return stream.unionByName(marks), end
+
+
+def run_to_table(
+    stream: DataFrame,
+    label: str,
+    mode: str = "append",
+    end: Callable[[], None] | None = None,
+    report: dict | None = None,
+) -> DataFrame:
+    """Process everything available into Parquet and return the written table.
+
+    With ``end`` (of :func:`ending`) the input ends there: the job runs on from its checkpoint
+    until every window is closed. ``report`` gets the number of rows dropped as too late.
+    """
     spark = stream.sparkSession
     path = scratch_path(spark, label)
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode(mode)
-        .option("checkpointLocation", f"{path}/_progress")
-        .trigger(availableNow=True)
-        .start(f"{path}/rows")
-    )
-    query.awaitTermination()
+    late = 0
+    for finish in (None, end) if end else (None,):
+        if finish:
+            finish()
+        query = (
+            stream.writeStream.format("parquet")
+            .outputMode(mode)
+            .option("checkpointLocation", f"{path}/_progress")
+            .trigger(availableNow=True)
+            .start(f"{path}/rows")
+        )
+        query.awaitTermination()
+        late += sum(
+            state["numRowsDroppedByWatermark"]
+            for progress in query.recentProgress
+            for state in progress["stateOperators"]
+        )
+    if report is not None:
+        report["late_rows"] = late
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")
 
 
