@@ -106,7 +106,17 @@ def test_package_archive(tmp_path):
 def test_scratch_folder_follows_the_session(spark):
     from tidegate.session import materialise, scratch_path
 
-    base = spark.conf.get("spark.checkpoint.dir")
+    base = f"{spark.conf.get('spark.checkpoint.dir')}/scratch-{spark.sparkContext.applicationId}"
     assert scratch_path(spark, "x").startswith(f"{base}/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert materialise(spark.range(3), "x").count() == 3
+
+
+def test_scratch_is_dropped(tmp_path, monkeypatch, spark):
+    from tidegate import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"file://{tmp_path}")
+    session.materialise(spark.range(3), "x")
+    assert any(tmp_path.iterdir())
+    session.drop_scratch(spark)
+    assert not any(p.is_dir() for p in tmp_path.iterdir())

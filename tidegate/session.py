@@ -73,6 +73,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """Folder of all intermediates of this application; remove it when their results are used up."""
+    return f"{shared_dir(spark)}/scratch-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; one per call, so reruns never collide."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the scratch folder; one per call, so reruns never collide."""
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove the intermediates of this application; results still lazy then fail to read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
