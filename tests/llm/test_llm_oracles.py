@@ -13,7 +13,7 @@ KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
     df = QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)

@@ -142,9 +142,42 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_de
 FROM documents d LEFT JOIN kept USING (doc_id)
 """
 
+OP5 = """
+SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id < latest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id < latest THEN latest END AS refers_to, true AS complete
+FROM (
+  SELECT page_id, coalesce(html, '') AS body, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n,
+    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS latest
+  FROM pages)
+"""
+
+OP9 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y
+    ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.95
+), r AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM r JOIN l ON l.a = r.b
+), c AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a
+), n AS (
+  SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+"""
+
 ORACLES = {
     "op1_ngram_join": OP1,
     "op3_decontamination": OP3,
+    "op5_warc": OP5,
     "op8_license_scan": _op8(),
+    "op9_embedding_dedup": OP9,
     "op10_line_dedup": OP10,
 }
