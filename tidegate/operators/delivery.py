@@ -352,6 +352,7 @@ def no_data_timeouts(
         F.sum(F.when(alive, F.col("is_row")).otherwise(0)).alias("alive_rows"),
         F.sum(F.when(alive, F.col("n")).otherwise(0)).alias("alive_bytes"),
         F.max(F.when(alive, F.col("us"))).alias("alive_us"),
+        F.max(F.when(alive, F.col("o"))).alias("alive_o"),
     )
     over_blocks = Window.partitionBy("k").orderBy(BLOCK)
     wait = F.coalesce(
@@ -368,6 +369,7 @@ def no_data_timeouts(
         F.sum(F.when(live, F.col("alive_rows")).otherwise(0)).alias("rows_kept"),
         F.sum(F.when(live, F.col("alive_bytes")).otherwise(0)).alias("bytes_kept"),
         F.max(F.when(live, F.col("alive_us"))).alias("last_us"),
+        F.max(F.when(live, F.col("alive_o"))).alias("last_seq"),
     )
     timed_out = (F.col("rows_kept") < F.col("all_rows")) | (F.col("all_rows") == 0)
     end_us = F.when(timed_out, F.col("last_us") + limit).otherwise(F.col("last_us"))
@@ -378,9 +380,27 @@ def no_data_timeouts(
         "rows_kept",
         "bytes_kept",
         (F.col("all_rows") - F.col("rows_kept")).alias("rows_dropped"),
+        "last_seq",
     )
 
 
+def cut_at_timeout(
+    captures: DataFrame,
+    ends: DataFrame,
+    key: str = "stream_id",
+    order: str = "seq",
+    n_bytes: str = "n_bytes",
+) -> DataFrame:
+    """Rows that are delivered before the no-data timer ends their stream.
+
+    ``ends`` is the result of :func:`no_data_timeouts`. An envelope of these rows carries an eof
+    message that agrees with what was delivered.
+    """
+    last = ends.select(key, F.col("last_seq").alias("_last"))
+    kept = captures.where(F.col(n_bytes) > 0).join(last, key).where(F.col(order) <= F.col("_last"))
+    return kept.drop("_last")
+
+
 def byte_progress(
     captures: DataFrame,
     key: str = "stream_id",

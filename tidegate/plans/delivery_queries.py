@@ -189,6 +189,17 @@ def no_data_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ends.withColumn("end_time", F.col("end_time").cast("timestamp_ntz"))
 
 
+def timed_out_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and eof claims of the streams as the no-data timer lets them through."""
+    rows = view(spark, sf_dir, "v_bytes")
+    kept = d.cut_at_timeout(rows, d.no_data_timeouts(rows, TIMEOUT))
+    streams = kept.select("stream_id").distinct()
+    prefix = F.concat(F.lit("task"), F.col("stream_id").cast("string"), F.lit("__"))
+    messages = d.envelope_from_rows(kept, streams, {"jobId": F.lit("j")}, prefix, message_bytes=SMALL_MESSAGE)
+    audit = d.integrity_audit(materialise(messages, "timed-out-log"))
+    return audit.select("stream_id", "n_messages", "raw_bytes", "missing_seq", "length_mismatch", "digest_mismatch")
+
+
 def byte_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.byte_progress(view(spark, sf_dir, "v_bytes")).select("stream_id", "seq", "bytes_so_far")
 
@@ -256,6 +267,7 @@ QUERIES = {
     "empty_envelopes": empty_envelopes,
     "key_partitions": key_partitions,
     "no_data_timeouts": no_data_timeouts,
+    "timed_out_messages": timed_out_messages,
     "byte_progress": byte_progress,
     "message_log": message_log,
     "object_cache": object_cache,
@@ -305,6 +317,11 @@ row_chunks AS (
   SELECT stream_id, i AS chunk_no, substr(whole, CAST(i * 16 + 1 AS BIGINT), 16) AS value
   FROM (SELECT stream_id, whole, unnest(range(0, (length(whole) + 15) // 16)) AS i FROM texts))"""
 
+_FLAGGED = """
+gaps AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY stream_id ORDER BY seq) >= INTERVAL 24 HOUR, false) AS gap
+         FROM v_bytes WHERE n_bytes > 0),
+flagged AS (SELECT *, bool_or(gap) OVER (PARTITION BY stream_id ORDER BY seq) AS late FROM gaps)"""
+
 ORACLES = {
     "landed_objects": """
 SELECT page_id AS stream_id, CAST(greatest((n + 4095) // 4096, 1) AS BIGINT) AS n_rows, CAST(n AS BIGINT) AS n_bytes,
@@ -425,12 +442,19 @@ SELECT stream_id, bool_or(late) AS timed_out,
          + CASE WHEN bool_or(late) THEN INTERVAL 24 HOUR ELSE INTERVAL 0 HOUR END AS end_time,
        CAST(count(*) FILTER (WHERE NOT late) AS BIGINT) AS rows_kept,
        CAST(sum(n_bytes) FILTER (WHERE NOT late) AS BIGINT) AS bytes_kept,
-       CAST(count(*) FILTER (WHERE late) AS BIGINT) AS rows_dropped
+       CAST(count(*) FILTER (WHERE late) AS BIGINT) AS rows_dropped,
+       max(seq) FILTER (WHERE NOT late) AS last_seq
 FROM flagged GROUP BY stream_id""",
-        """
-gaps AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY stream_id ORDER BY seq) >= INTERVAL 24 HOUR, false) AS gap
-         FROM v_bytes WHERE n_bytes > 0),
-flagged AS (SELECT *, bool_or(gap) OVER (PARTITION BY stream_id ORDER BY seq) AS late FROM gaps)""",
+        _FLAGGED,
+    ),
+    "timed_out_messages": with_views(
+        ["v_bytes"],
+        f"""
+SELECT stream_id, CAST((sum(length(payload)) + {SMALL_MESSAGE - 1}) // {SMALL_MESSAGE} + 2 AS BIGINT) AS n_messages,
+       CAST(sum(length(payload)) AS BIGINT) AS raw_bytes, false AS missing_seq, false AS length_mismatch,
+       false AS digest_mismatch
+FROM flagged WHERE NOT late GROUP BY stream_id""",
+        _FLAGGED,
     ),
     "byte_progress": with_views(
         ["v_bytes"],

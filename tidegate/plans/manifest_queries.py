@@ -90,7 +90,16 @@ def manifest_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def manifest_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests that cannot be read: every fifth one is cut short here."""
+    texts = view(spark, sf_dir, "v_manifests")
+    cut = F.when(F.col("manifest_id") % 5 == 0, F.substring("xml", 1, 60)).otherwise(F.col("xml"))
+    parsed = m.parse_manifests(texts.withColumn("xml", cut), schema=MANIFEST_RENDITIONS)
+    return m.rejected_manifests(parsed).select("manifest_id")
+
+
 QUERIES = {
+    "manifest_rejections": manifest_rejections,
     "manifest_parse": manifest_parse,
     "manifest_renditions": manifest_renditions,
     "manifest_segments": manifest_segments,
@@ -124,6 +133,7 @@ WITH entries AS (
 """
 
 ORACLES = {
+    "manifest_rejections": "SELECT DISTINCT l_orderkey AS manifest_id FROM lineitem WHERE l_orderkey % 5 = 0",
     "manifest_parse": """
 SELECT l_orderkey AS manifest_id, 'urn:mpeg:dash:schema:mpd:2011' AS xmlns, 'static' AS type, 'p' AS profiles,
        CASE WHEN l_orderkey % 3 = 0 THEN '0,1' ELSE '0' END AS period_ids,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidegate.operators import tasks as t
 from tidegate.plans.fixtures import sources, tasks, view, with_views
 from tidegate.session import scratch_path
-from tidegate.sources.tables import CORRUPT, decode_tasks, read_tasks
+from tidegate.sources.tables import CORRUPT, decode_tasks, read_sources, read_tasks
 
 NOW = "1998-04-25 00:00:00"
 
@@ -186,7 +186,24 @@ def ingest_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def source_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source catalogue landed as JSON documents and read with the explicit schema."""
+    path = scratch_path(spark, "sources")
+    details = F.struct("url", F.coalesce("radio_stream_url", F.lit("")).alias("radioStreamUrl"))
+    doc = F.struct(
+        F.col("source_id").alias("id"),
+        F.when(F.col("is_live"), F.struct(F.lit(True).alias("isLive"))).alias("sourceType"),
+        details.alias("details"),
+        F.lit(1).alias("unknown"),
+    )
+    view(spark, sf_dir, "v_sources").select(F.to_json(doc).alias("value")).write.text(path)
+    return read_sources(spark, path, "json").select(
+        "source_id", "is_live", "details.url", "details.radio_stream_url"
+    )
+
+
 QUERIES = {
+    "source_catalogue": source_catalogue,
     "task_intake": task_intake,
     "task_decode": task_decode,
     "task_validation": task_validation,
@@ -269,6 +286,9 @@ FROM (SELECT *, token IS NOT NULL OR cache_key IS NULL AS ok FROM v_tasks)""",
 )
 
 ORACLES = {
+    "source_catalogue": with_views(
+        ["v_sources"], "SELECT source_id, is_live, url, radio_stream_url FROM v_sources"
+    ),
     "task_intake": _INTAKE_SQL,
     "task_decode": _INTAKE_SQL,
     "task_validation": with_views(
