@@ -35,6 +35,7 @@ def test_pseudonyms_keep_formats_and_link_values(spark):
         (6, ""),
         (None, "É 10.0.0.255é"),
         (7, "plain words, nothing else."),
+        (8, 'TOKEN!! =!! "0123456789ABCDEF0123456789ABCDEF"!! +1%%% (212)*** 555-0147%%% and 11111111111111111111111111111111'),
     ]
     docs = spark.createDataFrame([(*r, 9) for r in rows], "doc_id bigint, text string, n_card int")
     out = pii.pseudonymise(docs, "key")
@@ -56,6 +57,9 @@ def test_pseudonyms_keep_formats_and_link_values(spark):
     assert "0123456789abcdef" not in got[3]["text"]
     assert got[4]["text"] == rows[3][1] and got[5]["text"] is None and got[6]["text"] == ""
     assert got[7]["text"] == rows[7][1]
+    assert re.search(r'"[0-9a-f]{32}"!! \+1%%% \([2-9]\d\d\)\*\*\* [2-9]\d\d-\d{4}%%% and 1{32}$', got[8]["text"])
+    assert "0123456789ABCDEF" not in got[8]["text"] and "555-0147" not in got[8]["text"]
+    assert (got[8]["n_secret"], got[8]["n_phone"]) == (1, 1)
     counts = {i: [got[i][f"n_{k}"] for k in pii.KINDS] for i in got}
     assert counts[1] == [0, 0, 2, 0, 2, 0, 0] and counts[2] == [0, 0, 1, 1, 0, 1, 3]
     assert counts[3] == [2, 1, 0, 0, 1, 0, 0] and not any(counts[4] + counts[5] + counts[6] + counts[7])

@@ -14,14 +14,15 @@ ROUNDS = 8
 # it fits as a whole.
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 _SECRET = r"(?i:\b(?:password|passwd|secret|token|api_?key)\s*[=:]\s*[\"']?)[A-Za-z0-9+/_-]{8,}"
+_HEX = r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])"
 _CARD = r"(?<![0-9A-Za-z.+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])(?![.-][0-9])"
-_PHONE = r"(?<![0-9A-Za-z.-])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
+_PHONE = r"(?<![0-9A-Za-z.-])(?:\+?1[^0-9A-Za-z\n]{0,5})?(?:\([0-9]{3}\)[^0-9A-Za-z\n]{0,5}|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
 _ABROAD = r"(?<![0-9A-Za-z])\+[2-9][0-9](?:[ .-]?[0-9]){6,12}(?![0-9A-Za-z])"
 _SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 _ADDRESS = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])"
 _DATE = r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z])(?![./-][0-9])"
 
-_ALL = "|".join((_EMAIL, _SECRET, _CARD, _SSN, _PHONE, _ABROAD, _ADDRESS, _DATE))
+_ALL = "|".join((_EMAIL, _SECRET, _HEX, _CARD, _SSN, _PHONE, _ABROAD, _ADDRESS, _DATE))
 KINDS = ("email", "secret", "card", "ssn", "phone", "ip", "date")
 
 #: Days of the Gregorian calendar's cycle of 400 years, and the first one of the permuted range.
@@ -265,10 +266,12 @@ def _pseudonym(key: str) -> Callable[[Column], Column]:
     def run(match: Column) -> Column:
         luhn = F.pmod(_luhn(_digits(match)), F.lit(10)) == 0
         card = F.when(luhn, _card(key, match))
+        mixed = F.when(match.rlike("[0-9]") & match.rlike("[A-Fa-f]"), _secret(key, match))
         phone = F.when(match.rlike(r"^\+[2-9]"), _abroad(key, match)).otherwise(_phone(key, match))
         return (
             F.when(match.contains("@"), named("email", _email(key, match), match))
             .when(match.rlike("[=:]"), named("secret", _secret(key, match), match))
+            .when(match.rlike(whole(_HEX)), named("secret", mixed, match))
             .when(match.rlike(whole(_SSN)), named("ssn", _ssn(key, match), match))
             .when(match.rlike(whole(_DATE)), named("date", _date(key, match), match))
             .when(match.rlike(whole(_ADDRESS)), named("ip", _ip(key, match), match))
@@ -288,7 +291,8 @@ def pseudonymise(
     addresses and dates that are valid are permuted within their format: digits change, signs
     between them, lengths, check digits and validity stay. Equal values get equal pseudonyms in all
     documents, different values different ones, and only the key leads back. E-mail addresses and
-    secrets get keyed names. Numbers that are not valid stay as they are. Counts are by kind.
+    secrets (what follows a password or token sign, and 32 to 64 hexadecimal digits with a letter
+    among them) get keyed names. Numbers that are not valid stay as they are. Counts are by kind.
 
     Null texts stay null with counts of 0. Rows are kept one for one in a narrow pass without a
     shuffle; ids may be null or repeat; other columns are ignored.
