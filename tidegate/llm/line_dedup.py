@@ -147,9 +147,9 @@ def dedup(
         "line-runs",
     )
     own, sig = _key(id_col, text_col)
-    joined = docs.join(
-        runs, (sig == F.col("__sig")) & own.eqNullSafe(F.col("__doc")), "left"
-    )
+    # The runs follow the data and have no bound: they are never broadcast.
+    same = (sig == F.col("__sig")) & own.eqNullSafe(F.col("__doc"))
+    joined = docs.join(runs.hint("merge"), same, "left")
     text = F.col(text_col).cast("string")
     lines = F.split(text, "\n")
     dead = lambda i: F.exists("__runs", lambda run: (i >= run["first"]) & (i <= run["last"]))
