@@ -74,7 +74,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC archives and read back."""
     path = scratch_path(spark, "warc")
     warc.write_archives(warc.plan_records(_table(spark, sf_dir, "pages")), path)
-    found = warc.resolve(warc.payloads(warc.reassemble(warc.read_records(spark, path))))
+    found = warc.resolve(warc.reassemble(warc.read_records(spark, path)))
     page = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+):", 1).try_cast("bigint")
     return found.select(
         page("record_id").alias("page_id"),

@@ -24,10 +24,9 @@ _HTTP = (
     b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
     b"Transfer-Encoding: chunked\r\n\r\n"
 )
-_PARSED = (
-    "record_type string, record_id string, refers_to string, digest string, origin string,"
-    " segment int, total bigint, block binary, complete boolean"
-)
+_HEAD = "record_type string, record_id string, refers_to string, digest string"
+_READ = f"{_HEAD}, origin string, segment int, total bigint, body binary, complete boolean"
+_PAYLOAD = f"{_HEAD}, payload binary, complete boolean"
 
 
 def plan_records(
@@ -179,73 +178,6 @@ def _parse(record: bytes) -> tuple:
     )
 
 
-def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [
-        ("record_type", pa.string()), ("record_id", pa.string()), ("refers_to", pa.string()),
-        ("digest", pa.string()), ("origin", pa.string()), ("segment", pa.int32()),
-        ("total", pa.int64()), ("block", pa.binary()), ("complete", pa.bool_()),
-    ]
-    for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
-        rows = [_parse(record) for record in batch.column(0).to_pylist()]
-        columns = zip(*rows) if rows else [[] for _ in kinds]
-        yield pa.record_batch(
-            [pa.array(list(c), kind) for c, (_, kind) in zip(columns, kinds)],
-            [name for name, _ in kinds],
-        )
-
-
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record below ``path``: its type, ids, segment fields and block.
-
-    Files are split between tasks at the line that starts a record. A block that is shorter than
-    its ``Content-Length`` (a torn file, or a block that holds such a line) has ``complete`` false.
-    """
-    ship_package(spark)
-    raw = spark.read.option("lineSep", VERSION).text(path).select(F.col("value").cast("binary").alias("value"))
-    return raw.filter(F.octet_length("value") > 0).mapInArrow(_reader, _PARSED)
-
-
-def _join_segments(table: pa.Table) -> pa.Table:
-    """One record from its segments: in order of their numbers, none missing, total as stated."""
-    parts = {}
-    for row in table.select(["segment", "block", "total", "complete"]).to_pylist():
-        parts.setdefault(row["segment"], row)
-    numbers = sorted(n for n in parts if n is not None)
-    block = b"".join(parts[n]["block"] for n in numbers)
-    totals = {parts[n]["total"] for n in numbers} - {None}
-    ok = (
-        numbers == list(range(1, len(numbers) + 1))
-        and totals == {len(block)}
-        and all(parts[n]["complete"] for n in numbers)
-    )
-    origin = table.column("origin")[0].as_py()
-    first = next((r for r in table.to_pylist() if r["record_id"] == origin), {})
-    return pa.table(
-        {
-            "record_type": pa.array([first.get("record_type")], pa.string()),
-            "record_id": pa.array([origin], pa.string()),
-            "refers_to": pa.array([first.get("refers_to")], pa.string()),
-            "digest": pa.array([first.get("digest")], pa.string()),
-            "block": pa.array([block], pa.binary()),
-            "complete": pa.array([ok], pa.bool_()),
-        }
-    )
-
-
-def reassemble(records: DataFrame) -> DataFrame:
-    """``(record_type, record_id, refers_to, digest, block, complete)``, segments joined.
-
-    Continuations are grouped by the record they continue and ordered by number; ``complete`` is
-    false when a number is missing or the joined length is not the stated total. Segments that
-    were read twice count once. Only segmented records are shuffled; a group is one payload.
-    """
-    columns = ("record_type", "record_id", "refers_to", "digest", "block", "complete")
-    whole = records.filter("origin IS NULL").select(*columns)
-    schema = "record_type string, record_id string, refers_to string, digest string, block binary, complete boolean"
-    joined = records.filter("origin IS NOT NULL").groupBy("origin").applyInArrow(_join_segments, schema)
-    return whole.unionByName(joined)
-
-
 def dechunk(body: bytes) -> tuple[bytes, bool]:
     """Payload of chunked framing, and whether the framing was whole."""
     out, at = [], 0
@@ -264,35 +196,83 @@ def dechunk(body: bytes) -> tuple[bytes, bool]:
             return b"".join(out), False
 
 
-def _payload(block: bytes) -> tuple[bytes, bool]:
+def _payload(kind: str | None, block: bytes) -> tuple[bytes | None, bool]:
+    """Payload of a whole block: no header, no framing; a revisit has none."""
+    if kind == "revisit":
+        return None, True
     head, _, body = block.partition(b"\r\n\r\n")
     if re.search(rb"(?im)^transfer-encoding:[^\r\n]*chunked", head):
         return dechunk(body)
     return body, True
 
 
-def _decoder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["record_type", "record_id", "refers_to", "digest", "origin", "segment", "total", "body", "complete"]
+    kinds = [pa.string()] * 5 + [pa.int32(), pa.int64(), pa.binary(), pa.bool_()]
     for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
-        revisit = batch.column("record_type").to_pylist()
-        payloads, whole = [], []
-        for kind, block, complete in zip(revisit, batch.column("block").to_pylist(), batch.column("complete").to_pylist()):
-            payload, ok = (None, True) if kind == "revisit" else _payload(block or b"")
-            payloads.append(payload)
-            whole.append(bool(complete and ok))
-        yield pa.record_batch(
-            [*(batch.column(c) for c in ("record_type", "record_id", "refers_to", "digest")),
-             pa.array(payloads, pa.binary()), pa.array(whole, pa.bool_())],
-            ["record_type", "record_id", "refers_to", "digest", "payload", "complete"],
-        )
-
-
-def payloads(records: DataFrame) -> DataFrame:
-    """``(record_type, record_id, refers_to, digest, payload, complete)`` with framing undone.
-
-    Revisits have a null payload: theirs is that of the record they refer to.
+        rows = []
+        for record in batch.column(0).to_pylist():
+            *head, segment, total, body, complete = _parse(record)
+            if segment is None:
+                body, whole = _payload(head[0], body)
+                complete = complete and whole
+            rows.append((*head, segment, total, body, complete))
+        columns = [pa.array(list(c), kind) for c, kind in zip(zip(*rows), kinds)]
+        yield pa.record_batch(columns, names)
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Every record below ``path``: its type and ids, segment fields, and ``body``.
+
+    ``body`` is the payload, with the transfer framing undone, or the bare block of a segment.
+    Files are split between tasks at the line that starts a record. A block that is shorter than
+    its ``Content-Length`` (a torn file, or a block that holds such a line) or whose framing breaks
+    off has ``complete`` false.
     """
-    schema = "record_type string, record_id string, refers_to string, digest string, payload binary, complete boolean"
-    return records.mapInArrow(_decoder, schema)
+    ship_package(spark)
+    raw = spark.read.option("lineSep", VERSION).text(path)
+    raw = raw.select(F.col("value").cast("binary").alias("value"))
+    return raw.filter(F.octet_length("value") > 0).mapInArrow(_reader, _READ)
+
+
+def _join_segments(table: pa.Table) -> pa.Table:
+    """One record from its segments: in order of their numbers, none missing, total as stated."""
+    parts, first = {}, {}
+    for row in table.to_pylist():
+        parts.setdefault(row["segment"], row)
+        if row["record_id"] == row["origin"]:
+            first = row
+    numbers = sorted(n for n in parts if n is not None)
+    block = b"".join(parts[n]["body"] for n in numbers)
+    totals = {parts[n]["total"] for n in numbers} - {None}
+    payload, whole = _payload(first.get("record_type"), block)
+    complete = (
+        whole
+        and numbers == list(range(1, len(numbers) + 1))
+        and totals == {len(block)}
+        and all(parts[n]["complete"] for n in numbers)
+    )
+    head = [first.get("record_type"), table.column("origin")[0].as_py(), first.get("refers_to"), first.get("digest")]
+    return pa.table(
+        [*(pa.array([x], pa.string()) for x in head), pa.array([payload], pa.binary()), pa.array([complete])],
+        ["record_type", "record_id", "refers_to", "digest", "payload", "complete"],
+    )
+
+
+def reassemble(records: DataFrame) -> DataFrame:
+    """``(record_type, record_id, refers_to, digest, payload, complete)``, segments joined.
+
+    Continuations are grouped by the record they continue and ordered by number, then their
+    framing is undone; ``complete`` is false when a number is missing, the joined length is not
+    the stated total or the framing breaks off. Segments that were read twice count once. Only
+    segmented records are shuffled; a group is one payload. Revisits have a null payload: theirs
+    is that of the record they refer to.
+    """
+    whole = records.filter("origin IS NULL").select(
+        "record_type", "record_id", "refers_to", "digest", F.col("body").alias("payload"), "complete"
+    )
+    segments = records.filter("origin IS NOT NULL")
+    return whole.unionByName(segments.groupBy("origin").applyInArrow(_join_segments, _PAYLOAD))
 
 
 def resolve(found: DataFrame) -> DataFrame:
