@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from tidegate.llm import tokens
 from tidegate.llm.components import connected_components
-from tidegate.session import materialise, ship_package
+from tidegate.session import materialise, scratch_path, ship_package
 
 #: Counters of the frequency sketch; its one byte each (a frequency class) is what gets broadcast.
-SKETCH_BITS = 20
+#: They blur the order of grams, not the result, once there are many more grams than counters.
+SKETCH_BITS = 24
 _BLOCK_BITS = 14
 #: Ranges of gram hashes whose counts the suffix filter compares.
 RANGES = 64
@@ -23,10 +24,7 @@ LIST_ROWS = 100_000
 #: Sets that a task remembers in order not to list equal sets twice.
 REMEMBERED = 500_000
 
-_PROFILE = (
-    "block int, counts binary, id bigint, n bigint, digest bigint, digest2 bigint,"
-    " ranges array<int>"
-)
+_PROFILE = "block int, counts binary, id bigint, n bigint, digest bigint, digest2 bigint"
 
 
 def near_duplicates(
@@ -65,20 +63,20 @@ def near_duplicates(
     classes = materialise(
         profiles.filter("n > 0")
         .groupBy("digest", "digest2", "n")
-        .agg(F.min("id").alias("node"), F.first("ranges").alias("ranges"))
+        .agg(F.min("id").alias("node"))
         .filter("node IS NOT NULL"),
         "ngram-classes",
     )
     order = spark.sparkContext.broadcast(_frequency_classes(scanned.filter("block IS NOT NULL")))
     postings = materialise(_lists(rows, classes, order, n, similar), "ngram-lists")
-    sets = materialise(_sets(rows, postings, n), "ngram-sets")
-    sizes = classes.select("node", "ranges")
+    sets, table = _sets(rows, postings, n)
 
     def test(pairs: DataFrame, label: str) -> DataFrame:
-        return materialise(_verify(_suffix_filter(pairs, sizes, similar), sets, similar), label)
+        return materialise(_verify(_suffix_filter(pairs, sets, similar), sets, similar), label)
 
-    # Stars around an arbitrary member, the same one in all lists it is in.
-    first = F.xxhash64("node")
+    # Stars around the member with the fewest rarer grams, mostly the origin of its copies; equals
+    # are ordered alike in all lists.
+    first = F.struct("pos", F.xxhash64("node"))
     tested = test(_stars(postings, first, similar), "ngram-star1")
     links = tested.filter("linked")
     groups = materialise(connected_components(links), "ngram-groups1")
@@ -100,6 +98,7 @@ def near_duplicates(
     pairs = _cross_pairs(rest, similar).join(done, ["a", "b"], "left_anti")
     tested3 = test(pairs, "ngram-cross")
     links = links.unionByName(tested3.filter("linked"))
+    spark.sql(f"DROP TABLE {table}")
     groups = connected_components(links)
     member = classes.join(groups, "node", "left").select(
         "digest", "digest2", "n", F.coalesce("component", "node").alias("component")
@@ -162,60 +161,34 @@ def _small(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
 
 
 def _profiles(n: int) -> Callable:
-    """Profile of each row, and at the end of a task its gram counts in blocks of counters."""
+    """Profile of each row, and at the end of a task its gram counts in blocks of counters.
+
+    A task's count of one counter stops at 255: the order of grams needs no more.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema(
-            [
-                ("block", pa.int32()),
-                ("counts", pa.binary()),
-                ("id", pa.int64()),
-                ("n", pa.int64()),
-                ("digest", pa.int64()),
-                ("digest2", pa.int64()),
-                ("ranges", pa.list_(pa.int32())),
-            ]
-        )
-        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        names = ["block", "counts", "id", "n", "digest", "digest2"]
+        counts = np.zeros(1 << SKETCH_BITS, np.uint8)
         for batch in (part for whole in batches for part in _small(whole)):
-            size, one, two, ranges, seen = [], [], [], [], []
+            size, one, two, seen = [], [], [], []
             for _, grams in batch_sets(batch.column(1), n):
-                size.append(grams.size)
                 left, right = _digests(grams)
+                size.append(grams.size)
                 one.append(left)
                 two.append(right)
-                ranges.append(
-                    np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=RANGES)
-                )
                 seen.append(grams)
-            bucket = np.concatenate(seen) >> np.uint64(64 - SKETCH_BITS)
-            counts += np.bincount(bucket.astype(np.int64), minlength=counts.size)
-            rows = batch.num_rows
-            flat = pa.array(np.concatenate(ranges), pa.int32())
-            steps = pa.array(np.arange(rows + 1) * RANGES, pa.int32())
-            yield pa.record_batch(
-                [
-                    pa.nulls(rows, pa.int32()),
-                    pa.nulls(rows, pa.binary()),
-                    batch.column(0),
-                    pa.array(size, pa.int64()),
-                    pa.array(one, pa.int64()),
-                    pa.array(two, pa.int64()),
-                    pa.ListArray.from_arrays(steps, flat),
-                ],
-                schema=schema,
-            )
-        if counts.any():
-            parts = counts.astype(np.uint32).reshape(-1, 1 << _BLOCK_BITS)
-            rows = len(parts)
-            yield pa.record_batch(
-                [
-                    pa.array(range(rows), pa.int32()),
-                    pa.array([part.tobytes() for part in parts], pa.binary()),
-                    *(pa.nulls(rows, kind) for kind in schema.types[2:]),
-                ],
-                schema=schema,
+            bucket, more = np.unique(
+                np.concatenate(seen) >> np.uint64(64 - SKETCH_BITS), return_counts=True
             )
+            bucket = bucket.astype(np.int64)
+            counts[bucket] = np.minimum(counts[bucket] + more, 255)
+            rows = batch.num_rows
+            own = [batch.column(0), *(pa.array(x, pa.int64()) for x in (size, one, two))]
+            yield pa.record_batch([pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()), *own], names)
+        parts = counts.reshape(-1, 1 << _BLOCK_BITS)
+        for block in np.flatnonzero(parts.any(axis=1)).tolist():
+            head = [pa.array([block], pa.int32()), pa.array([parts[block].tobytes()])]
+            yield pa.record_batch([*head, *(pa.nulls(1, pa.int64()) for _ in range(4))], names)
 
     return run
 
@@ -224,7 +197,7 @@ def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            part = np.frombuffer(counts, np.uint32).astype(np.int64)
+            part = np.frombuffer(counts, np.uint8).astype(np.int64)
             total[block] = total[block] + part if block in total else part
     if total:
         classes = [
@@ -237,11 +210,11 @@ def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _frequency_classes(blocks: DataFrame) -> np.ndarray:
     """One byte for each counter: eight times the binary logarithm of its count.
 
-    The size is fixed (1 MiB), whatever the input, so it may pass through the driver.
+    The size is fixed (16 MiB), whatever the input, so it may pass through the driver.
     """
     summed = (
         blocks.select("block", "counts")
-        .repartition(1 << (SKETCH_BITS - _BLOCK_BITS), "block")
+        .repartition(64, "block")
         .mapInArrow(_sum_blocks, "block int, counts binary")
     )
     out = np.zeros((1 << (SKETCH_BITS - _BLOCK_BITS), 1 << _BLOCK_BITS), np.uint8)
@@ -295,11 +268,7 @@ def _prefixes(order, n: int, similar: tuple[int, int]) -> Callable:
 def _lists(
     rows: DataFrame, classes: DataFrame, order, n: int, similar: tuple[int, int]
 ) -> DataFrame:
-    """``(gram, node, n, pos, before)`` of grams that several sets list.
-
-    ``before`` counts the listed grams that stand before this one in the node's prefix: only
-    those can be shared with another set.
-    """
+    """``(gram, node, n, pos)`` of grams that several sets list."""
     listed = rows.select("id", "text").mapInArrow(
         _prefixes(order, n, similar), "gram bigint, digest bigint, place bigint"
     )
@@ -313,7 +282,7 @@ def _lists(
         "high", F.max("digest").over(within)
     )
     several = several.filter((F.col("low") != F.col("high")) | (lists > 0))
-    placed = (
+    return (
         several.join(classes.select("digest", "node"), "digest")
         .select(
             "gram",
@@ -323,40 +292,56 @@ def _lists(
         )
         .distinct()
     )
-    along = Window.partitionBy("node").orderBy("pos", "gram")
-    return placed.withColumn("before", F.row_number().over(along) - 1)
 
 
-def _sets(rows: DataFrame, postings: DataFrame, n: int) -> DataFrame:
-    """``(node, grams)`` of the sets that are in a list."""
+def _sets(rows: DataFrame, postings: DataFrame, n: int) -> tuple[DataFrame, str]:
+    """Table ``(node, grams, ranges)`` of the sets that are in a list, and its name.
+
+    ``ranges`` counts a set's grams by hash range. The table is bucketed by node, below the shared
+    folder: the joins that test pairs bring the pairs to the sets and never shuffle all sets.
+    """
+    spark = rows.sparkSession
     nodes = postings.select(F.col("node").alias("id")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in _small(whole)):
-            grams = [g.view(np.int64) for _, g in batch_sets(batch.column(1), n)]
-            steps = np.concatenate([[0], np.cumsum([g.size for g in grams])])
-            flat = pa.array(np.concatenate(grams), pa.int64())
-            yield pa.record_batch(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(steps, pa.int32()), flat)],
-                ["node", "grams"],
-            )
+            sets = [grams for _, grams in batch_sets(batch.column(1), n)]
+            steps = np.concatenate([[0], np.cumsum([grams.size for grams in sets])])
+            flat = np.concatenate(sets)
+            place = np.repeat(np.arange(len(sets)), np.diff(steps)) * RANGES
+            place += (flat >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64)
+            ranges = np.bincount(place, minlength=len(sets) * RANGES)
+            even = np.arange(len(sets) + 1) * RANGES
+            lists = [
+                pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, kind))
+                for at, values, kind in (
+                    (steps, flat.view(np.int64), pa.int64()),
+                    (even, ranges, pa.int32()),
+                )
+            ]
+            yield pa.record_batch([batch.column(0), *lists], ["node", "grams", "ranges"])
 
-    wanted = rows.join(nodes, "id", "left_semi")
-    return wanted.select("id", "text").mapInArrow(run, "node bigint, grams array<bigint>")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = rows.repartition(parts, "id").join(nodes, "id", "left_semi")
+    made = wanted.select("id", "text").mapInArrow(
+        run, "node bigint, grams array<bigint>, ranges array<int>"
+    )
+    path = scratch_path(spark, "ngram-sets")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    made.write.bucketBy(parts, "node").sortBy("node").option("path", path).saveAsTable(name)
+    return spark.table(name), name
 
 
 def _filtered(pairs: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Length and positional filters over joined list rows, then one row for each pair.
 
-    Two sets share at most the listed grams before the one they meet at, that one, and what
-    follows it in the smaller rest.
+    At the rarest gram that two sets share they can share that one and what follows it in the
+    smaller rest. A linked pair meets at that gram, so others need not pass.
     """
     num, den = similar
     kept = pairs.filter(
-        (F.col("n1") * den >= F.col("n2") * num) & (F.col("n2") * den >= F.col("n1") * num)
-    ).filter(
-        F.least("q1", "q2") + 1 + F.least(F.expr("n1 - p1 - 1"), F.expr("n2 - p2 - 1"))
-        >= _need(F.col("n1"), F.col("n2"), similar)
+        f"n1 * {den} >= n2 * {num} AND n2 * {den} >= n1 * {num}"
+        f" AND least(n1 - p1, n2 - p2) * {num + den} >= {num} * (n1 + n2)"
     )
     return kept.select(
         F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")
@@ -365,7 +350,7 @@ def _filtered(pairs: DataFrame, similar: tuple[int, int]) -> DataFrame:
 
 def _stars(postings: DataFrame, first: Column, similar: tuple[int, int]) -> DataFrame:
     """Each list's members with the one that comes first by ``first``."""
-    member = F.struct("node", "n", "pos", "before")
+    member = F.struct("node", "n", "pos")
     pivots = postings.groupBy("gram").agg(F.min_by(member, F.struct(first, "node")).alias("p"))
     joined = postings.join(pivots, "gram").filter("node <> p.node")
     return _filtered(
@@ -373,11 +358,9 @@ def _stars(postings: DataFrame, first: Column, similar: tuple[int, int]) -> Data
             F.col("node").alias("node1"),
             F.col("n").alias("n1"),
             F.col("pos").alias("p1"),
-            F.col("before").alias("q1"),
             F.col("p.node").alias("node2"),
             F.col("p.n").alias("n2"),
             F.col("p.pos").alias("p2"),
-            F.col("p.before").alias("q2"),
         ),
         similar,
     )
@@ -400,42 +383,45 @@ def _open_lists(postings: DataFrame, groups: DataFrame) -> DataFrame:
 def _cross_pairs(rows: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Pairs of a list's members from different components.
 
-    The components of a list are paired first, so members of the same one never meet.
+    The components of a list are paired first, so members of the same one never meet. The best
+    position and the sizes of a component's members bound what any two of them can share.
     """
-    parts = rows.select("gram", "component").distinct()
-    pairs = (
-        parts.withColumnRenamed("component", "component1")
-        .join(parts.withColumnRenamed("component", "component2"), "gram")
-        .filter("component1 < component2")
-    )
-    left = rows.select(
-        "gram",
-        F.col("component").alias("component1"),
-        F.col("node").alias("node1"),
-        F.col("n").alias("n1"),
-        F.col("pos").alias("p1"),
-        F.col("before").alias("q1"),
+    num, den = similar
+    parts = rows.groupBy("gram", "component").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.expr("n - pos")).alias("rest"),
+    )
+    one, two = (
+        parts.select("gram", *(F.col(c).alias(f"{c}{i}") for c in parts.columns[1:])) for i in "12"
     )
-    right = rows.select(
-        "gram",
-        F.col("component").alias("component2"),
-        F.col("node").alias("node2"),
-        F.col("n").alias("n2"),
-        F.col("pos").alias("p2"),
-        F.col("before").alias("q2"),
+    pairs = one.join(two, "gram").filter(
+        f"component1 < component2 AND high1 * {den} >= low2 * {num} AND high2 * {den} >= low1 * {num}"
+        f" AND least(rest1, rest2) * {num + den} >= {num} * (low1 + low2)"
     )
+    pairs = pairs.select("gram", "component1", "component2")
+    left, right = (
+        rows.select(
+            "gram",
+            *(
+                F.col(c).alias(f"{short}{i}")
+                for c, short in (
+                    ("component", "component"), ("node", "node"), ("n", "n"), ("pos", "p"),
+                )
+            ),
+        )
+        for i in "12"
+    )
     met = pairs.join(left, ["gram", "component1"]).join(right, ["gram", "component2"])
     return _filtered(met, similar)
 
 
-def _suffix_filter(pairs: DataFrame, sizes: DataFrame, similar: tuple[int, int]) -> DataFrame:
+def _suffix_filter(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Drop pairs whose gram counts by hash range already differ too much.
 
     The differences of the counts add up to no more than the grams that only one of the two sets
     has, and linked sets have at most ``|A| + |B| - 2 * need`` of those.
     """
-    one = sizes.select(F.col("node").alias("a"), F.col("ranges").alias("ranges1"))
-    two = sizes.select(F.col("node").alias("b"), F.col("ranges").alias("ranges2"))
+    one = sets.select(F.col("node").alias("a"), F.col("ranges").alias("ranges1"))
+    two = sets.select(F.col("node").alias("b"), F.col("ranges").alias("ranges2"))
     joined = pairs.join(one, "a").join(two, "b")
     total = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)
     apart = total(F.zip_with("ranges1", "ranges2", lambda x, y: F.abs(x - y)))
