@@ -397,7 +397,7 @@ def _cross_pairs(rows: DataFrame, similar: tuple[int, int]) -> DataFrame:
         f"component1 < component2 AND high1 * {den} >= low2 * {num} AND high2 * {den} >= low1 * {num}"
         f" AND least(rest1, rest2) * {num + den} >= {num} * (low1 + low2)"
     )
-    pairs = pairs.select("gram", "component1", "component2")
+    pairs = pairs.select("gram", "component1", "component2", "low2", "high2", "rest2")
     left, right = (
         rows.select(
             "gram",
@@ -410,8 +410,12 @@ def _cross_pairs(rows: DataFrame, similar: tuple[int, int]) -> DataFrame:
         )
         for i in "12"
     )
-    met = pairs.join(left, ["gram", "component1"]).join(right, ["gram", "component2"])
-    return _filtered(met, similar)
+    # Of the first component only members that the best of the second could link with go on.
+    some = pairs.join(left, ["gram", "component1"]).filter(
+        f"n1 * {den} >= low2 * {num} AND high2 * {den} >= n1 * {num}"
+        f" AND least(n1 - p1, rest2) * {num + den} >= {num} * (n1 + low2)"
+    )
+    return _filtered(some.join(right, ["gram", "component2"]), similar)
 
 
 def _suffix_filter(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
