@@ -73,7 +73,9 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC archives and read back."""
     path = scratch_path(spark, "warc")
-    warc.write_archives(warc.plan_records(_table(spark, sf_dir, "pages")), path)
+    records = warc.plan_records(_table(spark, sf_dir, "pages"))
+    # Compressed, as archives are kept; a file is what one task wrote, so it need not be split.
+    warc.write_archives(records, path, compression="gzip")
     found = warc.resolve(warc.reassemble(warc.read_records(spark, path)))
     page = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+):", 1).try_cast("bigint")
     return found.select(
