@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -237,3 +238,72 @@ def test_line_dedup_of_repeated_rows_null_ids_and_nothing(spark):
         [(5, "", 1), (5, "", 1), (None, "", 1), (2, rows[3][1], 0), (9, "more", 1)], key=repr
     )
     assert line_dedup.dedup(df.limit(0)).count() == 0
+
+
+def _windows(text, span, rule):
+    """Labels and best share by brute force: ``rule`` gives need and check of a template."""
+    words, labels, best = _words(text), set(), 0.0
+    for label, template in license_scan.TEMPLATES:
+        wanted, size = set(_words(template)), span * len(_words(template))
+        for at in range(len(words)):
+            have = len(wanted & set(words[at : at + size]))
+            if words[at] in wanted and rule(label, wanted, have, words[max(at - 12, 0) : at + size + 12]):
+                labels.add(label)
+                best = max(best, have / len(wanted))
+    return labels, best
+
+
+def _scanned(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r["doc_id"]: r for r in license_scan.windows(docs).collect()}
+
+
+def _wrapped(text, width, prefix=""):
+    return "\n".join(prefix + line for line in textwrap.wrap(text, width))
+
+
+def test_license_windows_find_wrapped_notices(spark):
+    notices = [n for n in license_scan.TEMPLATES if len(n[1].split()) > 15]
+    assert {label for label, _ in notices} == {"mit", "gpl-3", "bsd"}
+    texts, labels = [], []
+    for label, text in notices:
+        for width, prefix in ((78, ""), (40, " * "), (30, "# "), (10_000, "")):
+            texts.append("Copyright (c) 2020\n\n" + _wrapped(text, width, prefix) + "\n\nmore text")
+            labels.append(label)
+    got = _scanned(spark, texts)
+    assert [got[i]["labels"] for i in range(len(texts))] == labels
+    assert all(got[i]["score"] == 1.0 for i in got)
+
+
+def test_license_windows_are_bounded(spark):
+    apart = " ".join(["all", *["x"] * 40, "rights", *["y"] * 40, "reserved"])
+    got = _scanned(spark, [apart, "w " * 500 + "all rights\nreserved" + " w" * 500, None, ""])
+    assert [got[i]["labels"] for i in range(4)] == ["", "reserved", "", ""]
+    assert [got[i]["score"] for i in range(4)] == [0.0, 1.0, 0.0, 0.0]
+    assert license_scan.windows(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def _share_rule(label, wanted, have, around):
+    return 100 * have >= 85 * len(wanted)
+
+
+def test_license_windows_match_brute_force(spark):
+    rng = random.Random(28)
+    tokens = sorted({t for _, text in license_scan.TEMPLATES for t in license_scan.template_tokens(text)})
+    texts = []
+    for _ in range(80):
+        label, text = rng.choice(license_scan.TEMPLATES)
+        words = [w for w in text.split() if rng.random() < 0.93]
+        for at in sorted(rng.sample(range(len(words)), min(3, len(words))), reverse=True):
+            words[at:at] = rng.choices(["and", "filler", "words", *tokens], k=rng.choice([0, 1, 12, 40]))
+        texts.append(_wrapped(" ".join([*rng.choices(tokens, k=9), *words, *rng.choices(tokens, k=9)]), 40))
+    got = _scanned(spark, texts)
+    hits = 0
+    for i, text in enumerate(texts):
+        labels, best = _windows(text, license_scan.SPAN, _share_rule)
+        row = got[i]
+        base = set(row["base_labels"].split(",")) - {""}
+        assert row["labels"] == ",".join(sorted(base | labels)), text
+        assert row["score"] == (1.0 if row["n_base"] else best)
+        hits += bool(labels)
+    assert 10 < hits

@@ -13,6 +13,8 @@ from tidegate.session import materialise
 
 #: Share of a template's tokens that a block must hold.
 CONTAINMENT = (85, 100)
+#: Words of a window, as a multiple of its template's words.
+SPAN = 2
 
 # Phrases whose words stand consecutively, and their labels.
 PHRASES = (
@@ -54,10 +56,14 @@ class Template:
     need: int
 
 
+def _template_words(text: str) -> list[str]:
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
 def template_tokens(text: str) -> list[str]:
     """Distinct tokens of a template, sorted."""
-    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text)
-    return sorted(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)))
+    return sorted(set(_template_words(text)))
 
 
 def _templates(texts, share: tuple[int, int]) -> list[Template]:
@@ -230,3 +236,70 @@ def _join(scanned: DataFrame, known: list[Template], least: int) -> DataFrame:
     met = met.filter(~F.arrays_overlap(rarer, "tokens"))
     met = met.filter(F.size(shared) >= F.col("need"))
     return met.select("row", "label", (F.size(shared) / F.col("n")).alias("share"))
+
+
+def windows(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    phrases=PHRASES,
+    templates=TEMPLATES,
+    share: tuple[int, int] = CONTAINMENT,
+    span: int = SPAN,
+) -> DataFrame:
+    """As ``scan``, but a notice may wrap over any number of lines: the columns are the same.
+
+    A block is a window: ``span`` times as many consecutive words of the text as the template has,
+    wherever lines end, from any word that is a token of the template (fewer at the end of the
+    text). It meets the template when it holds at least ``share`` of its distinct tokens.
+
+    How it runs. One narrow pass: each text is reduced to the template tokens it has at all, and
+    only the templates of which it has enough are looked for, in every window of the text.
+    """
+    known = _templates(templates, share)
+    vocabulary = sorted({token for t in known for token in t.tokens})
+    rows = docs.select(
+        F.col(id_col).alias("id"),
+        ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text"),
+    )
+    # From a generator, so that the optimizer does not split a text more than once.
+    lines = F.explode(F.array(F.array(words(F.col("text"))))).alias("lines")
+    scanned = rows.select("*", lines).withColumn("n_words", F.size(F.col("lines")[0]).cast("bigint"))
+    scanned = _base(scanned, phrases).select(
+        "id", "n_words", "n_base", "first_word", "last_word", "base",
+        F.col("lines")[0].alias("words"),
+        F.array_intersect(F.col("lines")[0], _literals(vocabulary)).alias("present"),
+    )
+    met = F.array(
+        *(
+            F.struct(F.lit(t.label).alias("label"), _most(t, span * len(_template_words(text))).alias("share"))
+            for t, (_, text) in zip(known, templates)
+        )
+    )
+    # As above: the windows are looked through once.
+    out = scanned.withColumn("met", F.explode(F.array(F.filter(met, lambda m: m["share"] > 0)))).drop("words")
+    more = F.transform("met", lambda m: m["label"])
+    best = F.coalesce(F.array_max(F.transform("met", lambda m: m["share"])), F.lit(0.0))
+    return out.select(
+        F.col("id").alias(id_col),
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base", ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union("base", more)), ",").alias("labels"),
+        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(best).alias("score"),
+    )
+
+
+def _most(template: Template, size: int) -> Column:
+    """Largest share of a template in a window of ``size`` words that meets it, else 0."""
+    tokens = _literals(template.tokens)
+    held = lambda i: F.size(F.array_intersect(tokens, F.slice("words", i, size)))
+    starts = F.filter(
+        F.sequence(F.lit(1), F.size("words")), lambda i: F.array_contains(tokens, F.get("words", i - 1))
+    )
+    most = F.array_max(F.transform(starts, held))
+    enough = F.size(F.array_intersect("present", tokens)) >= template.need
+    share = F.when(enough, most).otherwise(F.lit(0)) / F.lit(len(template.tokens))
+    return F.when(share >= template.need / len(template.tokens), share).otherwise(F.lit(0.0))

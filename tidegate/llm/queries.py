@@ -113,6 +113,11 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op8_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every text, also of notices wrapped over lines."""
+    return license_scan.windows(_table(spark, sf_dir, "documents"))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors linked by a cosine of at least 0.95."""
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
@@ -140,6 +145,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_quality": op7_quality,
     "op8_license_scan": op8_license_scan,
+    "op8_license_windows": op8_license_windows,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_line_dedup": op10_line_dedup,
     "pipeline": pipeline,
