@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +15,10 @@ from tidegate.session import materialise
 CONTAINMENT = (85, 100)
 #: Words of a window, as a multiple of its template's words.
 SPAN = 2
+#: Templates of at most so many distinct tokens must be held whole in a window.
+SHORT = 12
+#: Words after a window in which its mark is looked for as well; one word before it.
+CONTEXT = 16
 
 # Phrases whose words stand consecutively, and their labels.
 PHRASES = (
@@ -47,6 +51,18 @@ TEMPLATES = (
     ("reserved", "All rights reserved."),
 )
 
+# What tells a license from its relatives, by label, in words with spaces around them.
+MARKS = {
+    "mit": " (?:mit license|restriction) ",
+    "apache-2": " apache license (?!version 1 (?!(?:[01] )?or (?:version )?2 ))",
+    "cc-by-nc": " cc by nc (?:(?!sa |nd )[^ ]+ )?4 0 ",
+    # The first GNU license named is the general one, and not of version 1 or 2 alone.
+    "gpl-3": "^(?: (?!gnu (?:[^ ]+ )?general public license )[^ ]+)* gnu general public license "
+    "(?!(?:(?!version |v[0-9])[^ ]+ ){0,10}(?:version |v)[12] (?!or (?:version )?3 ))",
+    "bsd": " redistribution ",
+    "reserved": "(?<! some) rights ",
+}
+
 
 @dataclass(frozen=True)
 class Template:
@@ -246,17 +262,23 @@ def windows(
     templates=TEMPLATES,
     share: tuple[int, int] = CONTAINMENT,
     span: int = SPAN,
+    marks=MARKS,
 ) -> DataFrame:
-    """As ``scan``, but a notice may wrap over any number of lines: the columns are the same.
+    """As ``scan``, but a notice may wrap and relatives are told apart: the columns are the same.
 
     A block is a window: ``span`` times as many consecutive words of the text as the template has,
     wherever lines end, from any word that is a token of the template (fewer at the end of the
-    text). It meets the template when it holds at least ``share`` of its distinct tokens.
+    text). It meets the template when it holds at least ``share`` of its distinct tokens, all of
+    them if those are at most ``SHORT``, and has the mark of the label, if there is one; a mark is
+    also looked for in the word before the window and the ``CONTEXT`` words after it.
 
     How it runs. One narrow pass: each text is reduced to the template tokens it has at all, and
     only the templates of which it has enough are looked for, in every window of the text.
     """
-    known = _templates(templates, share)
+    known = [
+        replace(t, need=len(t.tokens)) if len(t.tokens) <= SHORT else t
+        for t in _templates(templates, share)
+    ]
     vocabulary = sorted({token for t in known for token in t.tokens})
     rows = docs.select(
         F.col(id_col).alias("id"),
@@ -272,7 +294,10 @@ def windows(
     )
     met = F.array(
         *(
-            F.struct(F.lit(t.label).alias("label"), _most(t, span * len(_template_words(text))).alias("share"))
+            F.struct(
+                F.lit(t.label).alias("label"),
+                _most(t, span * len(_template_words(text)), marks.get(t.label)).alias("share"),
+            )
             for t, (_, text) in zip(known, templates)
         )
     )
@@ -292,14 +317,22 @@ def windows(
     )
 
 
-def _most(template: Template, size: int) -> Column:
+def _most(template: Template, size: int, mark: str | None) -> Column:
     """Largest share of a template in a window of ``size`` words that meets it, else 0."""
     tokens = _literals(template.tokens)
-    held = lambda i: F.size(F.array_intersect(tokens, F.slice("words", i, size)))
+
+    def held(i):
+        n = F.size(F.array_intersect(tokens, F.slice("words", i, size)))
+        met = n >= template.need
+        if mark:
+            before = F.least(i - 1, F.lit(1))
+            around = F.slice("words", i - before, before + size + CONTEXT)
+            met = met & F.concat(F.lit(" "), F.array_join(around, " "), F.lit(" ")).rlike(mark)
+        return F.when(met, n).otherwise(F.lit(0))
+
     starts = F.filter(
         F.sequence(F.lit(1), F.size("words")), lambda i: F.array_contains(tokens, F.get("words", i - 1))
     )
-    most = F.array_max(F.transform(starts, held))
     enough = F.size(F.array_intersect("present", tokens)) >= template.need
-    share = F.when(enough, most).otherwise(F.lit(0)) / F.lit(len(template.tokens))
-    return F.when(share >= template.need / len(template.tokens), share).otherwise(F.lit(0.0))
+    most = F.when(enough, F.array_max(F.transform(starts, held)))
+    return F.coalesce(most, F.lit(0)) / F.lit(len(template.tokens))
