@@ -93,6 +93,22 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.resolve(warc.reassemble(warc.read_records(spark, none))).count() == 0
 
 
+def test_warc_keeps_version_at_the_end_of_pages_chunks_and_urls(spark, tmp_path):
+    rows = [
+        (1, "http://a/WARC/1.1", "<p>see WARC/1.1"), (2, "u", "WARC/1.1"), (3, "u", "x" * 56 + "WARC/1.1" + "y" * 80),
+        (4, "u", "WARC/1.1" * 300), (5, "u", "x" * 1200 + "WARC/1.1"), (6, "http://b/WARC/1.1", "x" * 1200 + "WARC/1.1"),
+        (7, "u", "WARC/1.1\r"), (8, "u", "WARC/1.1\r\n"),
+    ]
+    rows += [(100 + i, "u", "z" * i + "WARC/1.1" + "z" * 200) for i in range(64)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    path = str(tmp_path / "archives")
+    warc.write_archives(warc.plan_records(pages), path, segment_bytes=150, chunk_bytes=64)
+    whole = warc.reassemble(warc.read_records(spark, path))
+    got = {r["record_id"]: (r["payload_digest"], r["complete"]) for r in warc.resolve(whole).collect()}
+    digests = {page: hashlib.sha1(html.encode()).hexdigest() for page, _, html in rows}
+    assert got == {warc.record_id(page, digest): (digest, True) for page, digest in digests.items()}
+
+
 def test_warc_query_matches_pages(spark, sf_dir):
     got = {r["page_id"]: r for r in QUERIES["op5_warc"](spark, sf_dir).collect()}
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()

@@ -61,11 +61,12 @@ def record_id(page: int | None, digest: str) -> str:
 
 
 def _chunked(payload: bytes, size: int) -> bytes:
-    """Chunked transfer framing; a chunk ends inside each version line of the payload.
+    """Chunked transfer framing; a chunk ends inside each version of the payload.
 
-    So the line that starts a record never stands in a block.
+    So the line that starts a record never stands in a block, also where the line end would be
+    that of a chunk or a record.
     """
-    marker = VERSION.encode()
+    marker = VERSION.rstrip().encode()
     cuts = {m.start() + 4 for m in re.finditer(re.escape(marker), payload)}
     cuts.update(range(0, len(payload), size))
     ends = sorted(cuts | {len(payload)})
@@ -81,8 +82,12 @@ def _head(fields: list[tuple[str, str]], block: bytes) -> bytes:
 
 
 def _safe(url: str) -> str:
-    """A URL as a header value: white space and control characters are escaped."""
-    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
+    """A URL as a header value: white space and control characters are escaped.
+
+    So is the slash of a version at its end, which with the line end would start a record.
+    """
+    escaped = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
+    return re.sub(r"(?<=WARC)/(?=1\.1\Z)", "%2F", escaped)
 
 
 def _records(row: dict, segment_bytes: int, chunk_bytes: int) -> Iterator[bytes]:
