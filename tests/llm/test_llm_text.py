@@ -140,6 +140,25 @@ def test_decontamination_matches_brute_force(spark, limit):
     assert decontamination.scan(df.limit(0), bench, set_windows=limit).count() == 0
 
 
+def test_decontamination_never_broadcasts_many_items_of_one_wording(spark):
+    prompt = " ".join(f"p{i}" for i in range(12))
+    items = [(i, f"{prompt} q{i}") for i in range(60)]
+    docs = [(1, f"a {prompt} b"), (2, f"{prompt} q7"), (3, "nothing"), (4, prompt)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # 63 windows, 240 rows of windows and items; the windows stand in the plan twice.
+        for limit, hints in ((240, 3), (239, 2), (63, 2), (62, 0)):
+            found = decontamination.scan(df, bench, set_windows=limit)
+            plan = found._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("strategy=broadcast") == hints
+            assert sorted((tuple(r) for r in found.collect()), key=repr) == _scan(docs, items)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_license_scan_matches_brute_force(spark):
     rng = random.Random(6)
     tokens = sorted({t for _, text in license_scan.TEMPLATES for t in license_scan.template_tokens(text)})

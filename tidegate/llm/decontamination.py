@@ -95,7 +95,8 @@ def scan(
     One pass looks up the hash of every token window in a literal hash set of benchmark windows
     and keeps the words of the hits; those are compared with the windows themselves in a join of
     the few that remain. No text is shuffled. With more than ``set_windows`` distinct windows
-    there is no set and the join, then unhinted, does all the work.
+    there is no set and the join, then unhinted, does all the work; with more rows of windows and
+    items than that, the items are joined unhinted too.
     """
     windows = materialise(benchmark_windows(items, item_id, item_text, n), "benchmark-windows")
     sizes, bounded = _window_set(windows, set_windows)
@@ -113,7 +114,10 @@ def scan(
     listed = windows.select("window", "size", "item")
     if bounded:
         # At most ``set_windows`` windows of ``n`` words.
-        known, listed = F.broadcast(known), F.broadcast(listed)
+        known = F.broadcast(known)
+        # Items that share their wording have few windows and many rows.
+        if listed.limit(set_windows + 1).count() <= set_windows:
+            listed = F.broadcast(listed)
     places = places.join(known, ["window", "size"], "left_semi")
     matched = (
         places.select("row", "window", "size").distinct().join(listed, ["window", "size"])
