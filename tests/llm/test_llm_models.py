@@ -142,6 +142,29 @@ def test_language_of_odd_texts(spark, sf_dir):
     assert language_id.classify(odd.limit(0), model).count() == 0
 
 
+def test_language_dictionary_holds_every_sampled_row_from_across_its_text(spark):
+    # Texts of letters of three bytes: a letter of their own, then other ones to the end.
+    rows = [
+        (i, chr(0x4E00 + i) + "\u3042" * 2000 + "\u3044" * 900, "ja") for i in range(200)
+    ] + [(1000 + i, "short text", "en") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = language_id.train(docs, F.lit(True)).dictionaries
+    assert all(len(x) <= language_id.DICTIONARY_BYTES for x in found.values())
+    text = found["ja"].decode()
+    assert all(chr(0x4E00 + i) in text for i in range(200)) and "\u3044" in text
+    assert found["en"].decode().replace("\n", "") == "short text" * 3
+
+
+def test_language_bound_is_an_error(spark, monkeypatch):
+    rows = [(i, "some text", f"l{i}") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    monkeypatch.setattr(language_id, "LANGUAGES", 6)
+    assert len(language_id.train(docs, F.lit(True), rows=1).dictionaries) == 6
+    monkeypatch.setattr(language_id, "LANGUAGES", 5)
+    with pytest.raises(ValueError):
+        language_id.train(docs, F.lit(True), rows=1)
+
+
 def test_quality_on_held_out_labels(spark):
     sf_dir = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").groupBy("doc_id").agg(F.max("quality").alias("quality"))

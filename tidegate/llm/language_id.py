@@ -15,6 +15,8 @@ from tidegate.session import ship_package
 #: Labelled rows per language that a dictionary is made from at most, and its size.
 TRAINING_ROWS = 200
 DICTIONARY_BYTES = 1 << 15
+#: Slices, evenly spread, that a sampled text gives to a dictionary.
+SLICES = 4
 #: Texts are packed in pieces of this size, so that the dictionary counts and not what a long text
 #: repeats of itself.
 PIECE = 2048
@@ -43,43 +45,60 @@ def train(
 ) -> Model:
     """Dictionaries from labelled rows for which ``usable`` holds.
 
-    Of each language the ``rows`` rows with the smallest hash of their id are taken; equal parts
-    of their texts fill its dictionary. Rows with a null id, label or text are left out, as are
-    languages without any letter in the sample. Only ids are ranked; the texts of the bounded sample are
-    fetched afterwards.
+    Of each language the ``rows`` rows with the smallest hash of their id are taken. Each has an
+    equal share of the dictionary's bytes, filled with ``SLICES`` slices from across its text. Rows
+    with a null id, label or text are left out, as are languages without any letter in the sample;
+    more than ``LANGUAGES`` languages are an error. Only ids are ranked; slices of the texts of the
+    bounded sample are fetched afterwards.
     """
     fields = docs.select(
         F.col(id_col).alias("id"), F.col(label_col).cast("string").alias("label"), usable.alias("use")
     )
+    fields = fields.filter("use AND id IS NOT NULL AND label IS NOT NULL")
+    if fields.select("label").distinct().limit(LANGUAGES + 1).count() > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages in {label_col}")
     place = F.xxhash64(F.col("id").cast("string"))
     first = Window.partitionBy("label").orderBy("place", "id")
     ranked = (
-        fields.filter("use AND id IS NOT NULL AND label IS NOT NULL")
-        .select("id", "label", place.alias("place"))
+        fields.select("id", "label", place.alias("place"))
         .withColumn("rank", F.row_number().over(first))
         .filter(F.col("rank") <= rows)
     )
-    chosen = ranked.select("id", "label", "rank").limit(rows * LANGUAGES)
+    # An id that repeats is one sampled row, with all its texts.
+    chosen = ranked.groupBy("id", "label").agg(F.min("rank").alias("rank"))
+    taken = F.count(F.lit(1)).over(Window.partitionBy("label"))
+    chosen = chosen.withColumn("most", F.ceil(F.lit(DICTIONARY_BYTES // SLICES) / taken).cast("int"))
     texts = docs.select(
         F.col(id_col).alias("id"),
         F.col(label_col).cast("string").alias("label"),
         F.col(text_col).cast("string").alias("text"),
     ).filter("text IS NOT NULL")
-    share = max(300, 2 * DICTIONARY_BYTES // rows)
-    sample = texts.join(F.broadcast(chosen), ["id", "label"]).select(
-        "label", "rank", F.substring("text", 1, share).alias("text")
+    start = lambda i: F.floor(F.length("text") * F.lit(i) / F.lit(SLICES)).cast("int")
+    slices = F.array(
+        *(
+            F.substring(F.col("text"), start(i) + 1, F.least("most", start(i + 1) - start(i)))
+            for i in range(SLICES)
+        )
     )
+    sample = texts.join(F.broadcast(chosen), ["id", "label"]).select("label", "rank", slices.alias("slices"))
     found: dict[str, list] = {}
     for row in sample.collect():
-        found.setdefault(row["label"], []).append((row["rank"], row["text"]))
+        found.setdefault(row["label"], []).append((row["rank"], row["slices"]))
     out = {}
     for label, parts in found.items():
-        joined = "\n".join(text for _, text in sorted(parts))
+        # Each slice ends in a line feed.
+        size = max(DICTIONARY_BYTES // (SLICES * len(parts)) - 1, 0)
+        joined = "".join(_cut(text.lower(), size) + "\n" for _, texts in sorted(parts) for text in texts)
         if any(c.isalpha() for c in joined):
-            out[label] = joined.lower().encode()[:DICTIONARY_BYTES]
+            out[label] = joined.encode()[:DICTIONARY_BYTES]
     return Model(out)
 
 
+def _cut(text: str, size: int) -> str:
+    """The characters of ``text`` that lie whole in its first ``size`` bytes."""
+    return text.encode()[:size].decode(errors="ignore")
+
+
 def _classifier(shared, least: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -144,7 +163,7 @@ def classify(
     equals), ``und`` where the text is null or has no letter; ``score`` is by how large a share
     the second smallest size is undercut, ``rejected`` whether that is less than ``margin``. Rows
     are kept one for one, ids may be null or repeat, other columns are ignored. Dictionaries are
-    broadcast: 64 KiB a language.
+    broadcast: 32 KiB a language.
     """
     spark = docs.sparkSession
     ship_package(spark)
