@@ -1,4 +1,4 @@
-"""Line dedup: winnowed line fingerprints find passages that repeat, whole runs are deleted."""
+"""Line dedup: content hashes of runs of lines find passages that repeat, whole runs are deleted."""
 
 from __future__ import annotations
 
@@ -37,8 +37,8 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _passages(lines: DataFrame, least: int) -> DataFrame:
     """Shortest runs of at least ``least`` words that start, and that end, at each line.
 
-    ``content`` is the hash of the run's line hashes, ``anchor`` the fingerprint that winnowing
-    selects for it: the smallest line hash, and the line that has it.
+    ``content`` is the hash of the run's line hashes, ``anchor`` the smallest line hash, and the
+    line that has it.
     """
     along = Window.partitionBy("doc", "sig").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     placed = lines.withColumn("stop", F.sum("words").over(along)).withColumn(
@@ -87,11 +87,12 @@ def repeated_runs(
     run, at an earlier place (by document, then line) that does not overlap it. Lines are compared
     without outer white space; lines without a word take no part.
 
-    Winnowing: every run of at least ``least`` words selects its smallest line hash. Equal runs
-    select the same one, so only runs whose fingerprint stands at two places go on. Around such a
-    position the runs are compared by content; those that match overlap each other along the
-    document, which extends a match both ways as far as it goes. Of equal content the first place
-    is found by a partial aggregate: no list of places is gathered and no pairs are made.
+    The shortest runs of ``least`` words that start, and that end, at each line are grouped by a
+    hash of their content; it is not compared with the lines. Those that match overlap each other
+    along the document, which covers longer matches. Of equal content the first place is found by a
+    partial aggregate: no list of places is gathered and no pairs are made. Equal runs have the same
+    smallest line hash, so runs whose smallest hash stands at one place are left out before; that
+    saves work and changes no row.
     """
     passages = materialise(_passages(_lines(docs, id_col, text_col), least), "line-passages")
     at = passages.select(
