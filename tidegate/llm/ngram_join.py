@@ -43,15 +43,16 @@ def near_duplicates(
 
     Defined cases: null, empty and blank texts have no shingles and link with nothing; equal sets
     link; rows that share an id are one document, which links by any of its texts; a row with a
-    null id gets the component of the documents its set equals or links with, or null if there
-    are none. Other columns are ignored, whatever their names.
+    null id gets the component of the documents with an equal set, or null if there are none: it
+    is not compared with other sets. Other columns are ignored, whatever their names.
 
     How it runs. (1) One pass writes a profile per row and counts all grams in a sketch of fixed
     size. (2) A second pass lists, for each distinct set, its rarest grams: any linked pair shares
     one of them. Lists of one set are dropped. (3) Rows of a list are compared with one pivot of
     the list, then, where a list still joins several components, with its best linked member, and
     in the end every remaining pair from different components of a list is compared. Pairs within
-    a component need no comparison, so a group of near copies costs its size and not its square.
+    a component need no comparison, so a group of near copies costs its size and not its square;
+    nor are their links counted.
     """
     spark = docs.sparkSession
     ship_package(spark)
