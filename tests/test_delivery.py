@@ -149,8 +149,15 @@ def expected_timeouts(rows, limit):
                 break
             kept.append(row)
         late = len(kept) < len(mine)
-        out[stream] = (late, kept[-1][2] + (limit if late else dt.timedelta(0)), len(kept),
-                       sum(len(r[3]) for r in kept), len(mine) - len(kept))
+        out[stream] = {
+            "stream_id": stream,
+            "timed_out": late,
+            "end_time": kept[-1][2] + (limit if late else dt.timedelta(0)),
+            "rows_kept": len(kept),
+            "bytes_kept": sum(len(r[3]) for r in kept),
+            "rows_dropped": len(mine) - len(kept),
+            "last_seq": kept[-1][1],
+        }
     return out
 
 
@@ -158,7 +165,7 @@ def expected_timeouts(rows, limit):
 @pytest.mark.parametrize("limit", [5, 30, 60])
 def test_timeouts(hot, hot_rows, block_rows, limit):
     ends = d.no_data_timeouts(hot, f"{limit}s", block_rows=block_rows).collect()
-    got = {r["stream_id"]: tuple(r)[1:] for r in ends}
+    got = {r["stream_id"]: r.asDict() for r in ends}
     assert got == expected_timeouts(hot_rows, dt.timedelta(seconds=limit))
 
 

@@ -1,4 +1,4 @@
-"""Writers: message log, object cache, tee and console."""
+"""Writers: message log, object cache and tee."""
 
 from __future__ import annotations
 
