@@ -18,6 +18,7 @@ from tidegate.llm import (
     pii,
     quality,
     warc,
+    whitening,
 )
 from tidegate.session import scratch_path
 
@@ -129,6 +130,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_deleted", "text")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight leading components of all vectors, each of unit variance.
+
+    Null stands for a deviation beyond 64 bits; the operator returns it as a decimal.
+    """
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents through all stages of ``corpus_pipeline``."""
     import corpus_pipeline
@@ -148,6 +158,7 @@ QUERIES = {
     "op8_license_windows": op8_license_windows,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op12_whitening": op12_whitening,
     "pipeline": pipeline,
 }
 
