@@ -7,8 +7,9 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tidegate.llm import eigen, whitening
+from tidegate.llm import eigen, gnat, hard_negatives, whitening
 from tidegate.llm.queries import QUERIES
 
 ROWS = "vec_id bigint, embedding array<float>, label int, id string, n double, codes int"
@@ -118,3 +119,90 @@ def test_deviation_beyond_a_long_is_exact(spark):
     sums = [sum(c) for c in zip(*codes)]
     want = {i: sum((7 * c - s) ** 2 for c, s in zip(v, sums)) for i, v in enumerate(codes)}
     assert {r["vec_id"]: int(r["deviation"]) for r in whitening.whiten(df).collect()} == want
+
+
+def _brute_negatives(rows, anchors, scale=256, positives=5, negatives=10, window=(30, 90)):
+    """Lists of ``(id, vector, label)`` rows; every score is computed."""
+    kept = [
+        (i, [math.floor(scale * float(c)) for c in v], label) for i, v, label in rows
+        if i is not None and label is not None and v and all(c is not None and math.isfinite(c) for c in v)
+    ]
+    out = []
+    codes = np.array([v for _, v, _ in kept], object).reshape(len(kept), -1)
+    scores = codes @ codes.T if kept else []
+    for a, (i, _, label) in enumerate(kept):
+        if not anchors(i):
+            continue
+        mine = sorted((-scores[a][b], j) for b, (j, _, other) in enumerate(kept) if other == label and j != i)
+        others = sorted((-scores[a][b], j) for b, (j, _, other) in enumerate(kept) if other != label)
+        for p, j in mine[:positives]:
+            inside = [(-s, k) for s, k in others if window[0] * -p <= 100 * -s <= window[1] * -p]
+            out += [(i, j, rank + 1, k, -p, s) for rank, (s, k) in enumerate(inside[:negatives])]
+    return sorted(out)
+
+
+NEGATIVES = "anchor_id positive_id rank negative_id positive_score negative_score".split()
+
+
+def test_hard_negatives_query_matches_brute_force(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
+    shifted = lambda i, label: (label + 1) % 10 if i % 7 == 0 else label
+    rows = [(r["vec_id"], r["embedding"], shifted(r["vec_id"], r["label"])) for r in rows]
+    df = QUERIES["op11_hard_negatives"](spark, sf_dir)
+    kinds = dict.fromkeys(NEGATIVES, "bigint") | {"rank": "int"}
+    assert dict(df.dtypes) == kinds
+    got = sorted(tuple(r) for r in df.select(*NEGATIVES).collect())
+    assert got == _brute_negatives(rows, lambda i: i % 100 == 0) and got
+
+
+@pytest.mark.parametrize("tile, leaf, sample", [(16, 8, 64), (4, 30, 1000)])
+def test_hard_negatives_of_groups_and_ties(spark, monkeypatch, tile, leaf, sample):
+    rng = np.random.default_rng(tile)
+    centres = rng.standard_normal((12, 6)) * 3
+    x = centres[rng.integers(0, 12, 300)] + 0.05 * rng.standard_normal((300, 6))
+    x[100:200] = np.round(x[100:200])  # ties
+    x[200:260] = x[200]  # a hot vector
+    rows = [(int(i * 3), [float(c) for c in v], int(rng.integers(0, 3))) for i, v in enumerate(x)]
+    rows += rows[:20] + [(rows[5][0], rows[6][1], 1)]
+    monkeypatch.setattr(hard_negatives, "TILE_ROWS", tile)
+    monkeypatch.setattr(hard_negatives, "BLOCK_ROWS", 7)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(3)
+    got = hard_negatives.mine(df, F.col("vec_id") % 4 == 0, leaf_rows=leaf, sample_rows=sample)
+    assert sorted(tuple(r) for r in got.collect()) == _brute_negatives(rows, lambda i: i % 4 == 0)
+
+
+def test_hard_negatives_of_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.0], 1), (2, [0.9, 0.1], 1), (4, [0.5, 0.5], 2), (6, [0.4, 0.0], 3), (None, [0.5, 0.5], 2),
+        (8, [0.5, 0.5], None), (10, None, 2), (12, [], 2), (14, [0.5, None], 2), (16, [0.5, nan], 2),
+        (18, [inf, 0.5], 2), (20, [0.0, 0.0], 1), (22, [-1.0, 0.0], 2), (24, [-1.0, -1.0], 2), (26, [0.5, 0.5], 2),
+    ]
+    odd = [*rows, (28, [0.5] * 3, 2), (30, [1e30, 0.0], 2)]  # another length; beyond exact scores
+    df = spark.createDataFrame([(i, v, label, "x", 0.5, 1) for i, v, label in odd], ROWS.replace("float", "double"))
+    want = _brute_negatives(rows, lambda i: i % 2 == 0)
+    assert sorted(tuple(r) for r in hard_negatives.mine(df, F.col("vec_id") % 2 == 0).collect()) == want and want
+    for none in (hard_negatives.mine(df.limit(0), F.lit(True)), hard_negatives.mine(df, F.lit(None))):
+        assert none.columns == NEGATIVES and none.count() == 0
+
+
+def test_tree_leaves_out_no_reachable_leaf():
+    rng = np.random.default_rng(3)
+    x = np.round(rng.standard_normal((3000, 5)) * [90, 40, 20, 5, 1] + rng.integers(0, 3, (3000, 1)) * 150)
+    tree = gnat.fit(x[::10], 10, 60)
+    tree.measure(x)
+    leaf = tree.route(x)
+    assert tree.leaves > 20 and len(np.unique(leaf)) > 20
+    q = x[::100]
+    scores = q @ x.T
+    low = np.quantile(scores, [0.9, 0.999], axis=1).T
+    high = low + [[5000, np.inf]]
+    found = tree.reach(q, low, high)
+    searched = 0
+    for i in range(len(q)):
+        inside = ((scores[i][:, None] >= low[i]) & (scores[i][:, None] <= high[i])).any(axis=1)
+        mine = {at for at, who in found.items() if i in who}
+        assert set(leaf[inside]) <= mine
+        searched += len(mine)
+    assert searched < 0.8 * len(q) * tree.leaves  # and most others are left out
+    assert tree.reach(q, np.full((len(q), 1), 1.0), np.full((len(q), 1), 0.0)) == {}

@@ -10,6 +10,7 @@ from tidegate.llm import (
     byte_bpe,
     decontamination,
     embedding_dedup,
+    hard_negatives,
     language_id,
     license_scan,
     line_dedup,
@@ -130,6 +131,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_deleted", "text")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, for its five best positives."""
+    rows = _table(spark, sf_dir, "embeddings")
+    shifted = (F.col("label") + 1) % 10
+    label = F.when(F.col("vec_id") % 7 == 0, shifted).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the eight leading components of all vectors, each of unit variance.
 
@@ -158,6 +167,7 @@ QUERIES = {
     "op8_license_windows": op8_license_windows,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_whitening": op12_whitening,
     "pipeline": pipeline,
 }
