@@ -18,6 +18,7 @@ from tidegate.llm import (
     oracles,
     pii,
     quality,
+    secret_scan,
     warc,
     whitening,
 )
@@ -148,6 +149,20 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text: their number by base kind, and where they stand."""
+    found = secret_scan.scan(_table(spark, sf_dir, "documents"))
+    spans = F.transform("findings", lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"]))
+    base = F.filter(spans, lambda s: ~s.startswith(secret_scan.LITERAL + ":"))
+    number = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *(number(kind).alias(f"n_{kind}") for kind, _, _ in secret_scan.BASE),
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
+        F.array_join(spans, ",").alias("spans"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents through all stages of ``corpus_pipeline``."""
     import corpus_pipeline
@@ -169,6 +184,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_whitening": op12_whitening,
+    "op13_secret_scan": op13_secret_scan,
     "pipeline": pipeline,
 }
 
