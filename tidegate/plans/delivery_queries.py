@@ -13,12 +13,14 @@ from tidegate.plans.failure_queries import RETRY_CTES
 from tidegate.plans.fixtures import table, view, with_views
 from tidegate.plans.routing_queries import SLICE_CTES
 from tidegate.sources import sinks
+from tidegate.sources.ranges import read_ranges
 from tidegate.sources.tables import read_captures
 from tidegate.session import materialise, scratch_path
 
 SMALL_MESSAGE = 16
 TIMEOUT = "24h"
 LANDED_BYTES = 4096
+RANGE_BYTES = 1000
 
 
 def _init(offset: Column, start: Column, mime: str, container: Column) -> dict[str, Column]:
@@ -254,6 +256,35 @@ def landed_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_digests(_landed(spark, sf_dir), value="payload")
 
 
+def _page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages landed as one file for each fifty of them, read back in ranges of 1,000 bytes."""
+    path = scratch_path(spark, "page-files")
+    pages = table(spark, sf_dir, "pages").select(
+        F.expr("page_id div 50").alias("file"), "page_id", F.coalesce("html", F.lit("")).alias("html")
+    )
+    dealt = pages.repartition("file").sortWithinPartitions("file", "page_id")
+    dealt.select("file", "html").write.partitionBy("file").text(path, lineSep="\n")
+    rows = read_ranges(spark, path, RANGE_BYTES, partition_bytes=100 * RANGE_BYTES)
+    file = F.regexp_extract("stream_id", r"file=(-?\d+)/", 1).cast("bigint")
+    return rows.withColumn("stream_id", file)
+
+
+def landed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length and MD5 of files read by byte range, and the number and greatest length of their rows."""
+    rows = _page_files(spark, sf_dir)
+    sizes = rows.groupBy("stream_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max("n_bytes").alias("longest"))
+    return sizes.join(stream_digests(rows, value="payload"), "stream_id")
+
+
+def range_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Init, raw and eof messages of files read by byte range."""
+    rows = _page_files(spark, sf_dir)
+    prefix = F.concat(F.lit("task"), F.col("stream_id").cast("string"), F.lit("__"))
+    streams = rows.select("stream_id").distinct()
+    messages = d.envelope_from_rows(rows, streams, {"jobId": F.lit("j")}, prefix)
+    return _readable(messages)
+
+
 QUERIES = {
     "chunk_payloads": chunk_payloads,
     "stream_envelope": stream_envelope,
@@ -273,6 +304,8 @@ QUERIES = {
     "object_cache": object_cache,
     "landed_objects": landed_objects,
     "landed_digests": landed_digests,
+    "landed_ranges": landed_ranges,
+    "range_messages": range_messages,
 }
 
 _CHUNKS = """
@@ -322,7 +355,33 @@ gaps AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY stream_id ORDER BY s
          FROM v_bytes WHERE n_bytes > 0),
 flagged AS (SELECT *, bool_or(gap) OVER (PARTITION BY stream_id ORDER BY seq) AS late FROM gaps)"""
 
+_FILES = """
+files AS (
+  SELECT page_id // 50 AS stream_id, string_agg(coalesce(html, '') || chr(10), '' ORDER BY page_id) AS whole
+  FROM pages GROUP BY page_id // 50),
+sized AS (SELECT stream_id, whole, encode(whole) AS data, octet_length(encode(whole)) AS n FROM files)"""
+
 ORACLES = {
+    "landed_ranges": f"""
+WITH {_FILES}
+SELECT stream_id, CAST((n + 999) // 1000 AS BIGINT) AS n_rows, CAST(least(n, 1000) AS BIGINT) AS longest,
+       CAST(n AS BIGINT) AS n_bytes, md5(whole) AS md5
+FROM sized""",
+    "range_messages": f"""
+WITH {_FILES},
+pieces AS (SELECT stream_id, data, unnest(range(0, (n + 10239) // 10240)) AS i FROM sized),
+messages AS (
+  SELECT stream_id, 0 AS seq, 'stream_init' AS kind, 0 AS n_bytes, encode('{{"jobId":"j"}}') AS value FROM sized
+  UNION ALL
+  SELECT stream_id, i + 1, 'raw_stream', octet_length(data[i * 10240 + 1 : (i + 1) * 10240]),
+         data[i * 10240 + 1 : (i + 1) * 10240] FROM pieces
+  UNION ALL
+  SELECT stream_id, (n + 10239) // 10240 + 1, 'stream_eof', 0,
+         encode('{{"contentLength":' || n || ',"md5Checksum":"' || md5(whole) || '"}}') FROM sized)
+SELECT stream_id, CAST(seq AS BIGINT) AS seq, kind, 'task' || stream_id || '__' || kind AS key,
+       CAST(n_bytes AS BIGINT) AS n_bytes, md5(value) AS value_md5,
+       CASE WHEN kind <> 'raw_stream' THEN decode(value) END AS json
+FROM messages""",
     "landed_objects": """
 SELECT page_id AS stream_id, CAST(greatest((n + 4095) // 4096, 1) AS BIGINT) AS n_rows, CAST(n AS BIGINT) AS n_bytes,
        CAST((n + 10239) // 10240 + 2 AS BIGINT) AS n_messages
