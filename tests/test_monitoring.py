@@ -5,6 +5,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidegate.operators import monitoring as m
 from tidegate.plans import fixtures
@@ -134,3 +135,22 @@ def test_fixture_views_cover_every_rejection(spark, sf_dir):
 
     checked = t.validate(fixtures.tasks(spark, sf_dir))
     assert t.rejection_counts(checked).count() == 10
+
+
+@pytest.mark.parametrize("piece", [1, 3, 1 << 16])
+def test_ticks_come_in_pieces(spark, piece):
+    rows = [(1, 0, dt.datetime(2024, 1, 1), 5), (1, 1, dt.datetime(2024, 1, 1, 0, 0, 52), 7), (2, 0, dt.datetime(2024, 1, 1), 1)]
+    captures = spark.createDataFrame(rows, "stream_id BIGINT, seq BIGINT, ts TIMESTAMP, n_bytes BIGINT")
+    got = sorted(map(tuple, m.heartbeats(captures, "5s", piece=piece).collect()))
+    want = [(1, n + 1, "running", n * 5000, 5 if n else 0, 5 if n else 0) for n in range(11)]
+    assert got == [*want, (2, 1, "running", 0, 0, 0)]
+
+
+def test_a_gap_of_centuries(spark):
+    """More idle ticks than an array may hold: they are counted without being gathered."""
+    rows = [(1, 0, dt.datetime(1600, 1, 1), 5), (1, 1, dt.datetime(2000, 1, 1), 7)]
+    captures = spark.createDataFrame(rows, "stream_id BIGINT, seq BIGINT, ts TIMESTAMP_NTZ, n_bytes BIGINT")
+    seconds = (dt.date(2000, 1, 1) - dt.date(1600, 1, 1)).days * 86400
+    assert seconds // 5 > 1 << 31
+    assert len(m.heartbeats(captures, "5s").take(3)) == 3
+    assert m.heartbeats(captures, "1m").agg(F.max("ordinal")).first()[0] == seconds // 60 + 1

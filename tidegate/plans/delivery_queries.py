@@ -47,7 +47,7 @@ def document_messages(streams: DataFrame) -> DataFrame:
     return d.envelope(streams, "stream_id", "payload", document_init(), F.col("key_prefix"))
 
 
-def _readable(messages: DataFrame) -> DataFrame:
+def readable(messages: DataFrame) -> DataFrame:
     """Message table with the value as its digest, and as text where it is JSON."""
     is_raw = F.col("kind") == d.KIND_RAW
     return messages.select(
@@ -67,7 +67,7 @@ def chunk_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _readable(document_messages(view(spark, sf_dir, "v_streams")))
+    return readable(document_messages(view(spark, sf_dir, "v_streams")))
 
 
 def envelope_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +100,7 @@ def row_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key_prefix"),
         message_bytes=SMALL_MESSAGE,
     )
-    return _readable(messages)
+    return readable(messages)
 
 
 def ingest_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,7 +282,7 @@ def range_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = F.concat(F.lit("task"), F.col("stream_id").cast("string"), F.lit("__"))
     streams = rows.select("stream_id").distinct()
     messages = d.envelope_from_rows(rows, streams, {"jobId": F.lit("j")}, prefix)
-    return _readable(messages)
+    return readable(messages)
 
 
 QUERIES = {
@@ -350,7 +350,7 @@ row_chunks AS (
   SELECT stream_id, i AS chunk_no, substr(whole, CAST(i * 16 + 1 AS BIGINT), 16) AS value
   FROM (SELECT stream_id, whole, unnest(range(0, (length(whole) + 15) // 16)) AS i FROM texts))"""
 
-_FLAGGED = """
+FLAGGED = """
 gaps AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY stream_id ORDER BY seq) >= INTERVAL 24 HOUR, false) AS gap
          FROM v_bytes WHERE n_bytes > 0),
 flagged AS (SELECT *, bool_or(gap) OVER (PARTITION BY stream_id ORDER BY seq) AS late FROM gaps)"""
@@ -504,7 +504,7 @@ SELECT stream_id, bool_or(late) AS timed_out,
        CAST(count(*) FILTER (WHERE late) AS BIGINT) AS rows_dropped,
        max(seq) FILTER (WHERE NOT late) AS last_seq
 FROM flagged GROUP BY stream_id""",
-        _FLAGGED,
+        FLAGGED,
     ),
     "timed_out_messages": with_views(
         ["v_bytes"],
@@ -513,7 +513,7 @@ SELECT stream_id, CAST((sum(length(payload)) + {SMALL_MESSAGE - 1}) // {SMALL_ME
        CAST(sum(length(payload)) AS BIGINT) AS raw_bytes, false AS missing_seq, false AS length_mismatch,
        false AS digest_mismatch
 FROM flagged WHERE NOT late GROUP BY stream_id""",
-        _FLAGGED,
+        FLAGGED,
     ),
     "byte_progress": with_views(
         ["v_bytes"],

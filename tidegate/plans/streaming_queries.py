@@ -11,14 +11,25 @@ from pyspark.sql import functions as F
 
 from tidegate.operators import delivery as d
 from tidegate.operators.slicing import limit_us, slice_totals
-from tidegate.plans.delivery_queries import CHUNK_SQL, document_messages
+from tidegate.plans.delivery_queries import (
+    ORACLES as DELIVERY_ORACLES,
+)
+from tidegate.plans.delivery_queries import (
+    CHUNK_SQL,
+    FLAGGED,
+    SMALL_MESSAGE,
+    document_messages,
+    readable,
+    row_init,
+)
 from tidegate.plans.fixtures import table, view, with_views
 from tidegate.plans.routing_queries import BIN, SLICE_CTES
 from tidegate.plans.task_queries import _INTAKE_SQL, _intake, task_documents
 from tidegate.session import scratch_path
 from tidegate.sources.sinks import batch_folder, tee
 from tidegate.sources.tables import read_tasks
-from tidegate.streaming import jobs
+from tidegate.streaming import jobs, live
+from tidegate.streaming.progress import observed
 from tidegate.streaming.state import landed_digests, landed_rows
 
 INTERVAL = "6h"
@@ -66,6 +77,44 @@ def stream_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_envelope_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Init, raw and eof messages of live streams; the end of the input ends them."""
+    rows, end = jobs.ending(_byte_stream(spark, sf_dir))
+    messages = live.live_envelope(rows, DELAY, "87600h", message_bytes=SMALL_MESSAGE)
+    sent = live.framed(messages, view(spark, sf_dir, "v_stream_tasks"), row_init(), F.col("key_prefix"))
+    landed = jobs.run_to_table(sent, "stream-envelope", end=end, stateful=True)
+    return readable(live.with_checksums(landed))
+
+
+def stream_timed_out_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and eof claims of live streams that the no-data timer has ended."""
+    rows, end = jobs.ending(_byte_stream(spark, sf_dir).where("n_bytes > 0"))
+    messages = live.live_envelope(rows, DELAY, TIMEOUT, message_bytes=SMALL_MESSAGE)
+    streams = view(spark, sf_dir, "v_stream_tasks")
+    sent = live.framed(messages, streams, {"jobId": F.lit("j")}, F.col("key_prefix"))
+    landed = jobs.run_to_table(sent, "stream-timed-out", end=end, stateful=True)
+    audit = d.integrity_audit(live.with_checksums(landed))
+    return audit.select("stream_id", "n_messages", "raw_bytes", "missing_seq", "length_mismatch", "digest_mismatch")
+
+
+def stream_idle_heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heartbeats of live streams, idle ticks included, until the no-data timer ends them."""
+    rows, end = jobs.ending(_byte_stream(spark, sf_dir).where("n_bytes > 0"))
+    beats = live.live_heartbeats(rows, DELAY, INTERVAL, TIMEOUT)
+    return jobs.run_to_table(beats, "stream-idle-heartbeats", end=end, stateful=True)
+
+
+def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, bytes and late rows of a run, as its progress reports them, against what it has written."""
+    report: dict = {}
+    written = jobs.run_to_table(observed(_byte_stream(spark, sf_dir)), "stream-totals", report=report)
+    reported = [F.lit(report[name]).cast("bigint").alias(alias) for name, alias in (
+        ("rows", "reported_rows"), ("bytes", "reported_bytes"), ("late_rows", "late_rows"),
+    )]
+    totals = written.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_bytes").alias("n_bytes"))
+    return totals.select("*", *reported)
+
+
 def stream_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest and counters of live streams, from their landed rows."""
     return landed_digests(jobs.run_to_table(landed_rows(_byte_stream(spark, sf_dir)), "stream-digests"))
@@ -146,6 +195,10 @@ QUERIES = {
     "stream_heartbeats": stream_heartbeats,
     "stream_progress": stream_progress,
     "stream_timeouts": stream_timeouts,
+    "stream_envelope_live": stream_envelope_live,
+    "stream_timed_out_messages": stream_timed_out_messages,
+    "stream_idle_heartbeats": stream_idle_heartbeats,
+    "stream_totals": stream_totals,
     "stream_digests": stream_digests,
     "stream_slice": stream_slice,
     "stream_window_join": stream_window_join,
@@ -160,6 +213,30 @@ closed AS (
   GROUP BY stream_id, w)"""
 
 ORACLES = {
+    "stream_envelope_live": DELIVERY_ORACLES["row_envelope"],
+    "stream_timed_out_messages": DELIVERY_ORACLES["timed_out_messages"],
+    "stream_idle_heartbeats": with_views(
+        ["v_bytes"],
+        """
+SELECT ticks.stream_id, CAST(n + 1 AS BIGINT) AS ordinal, 'running' AS status,
+       CAST(n * 6 * 3600 * 1000 AS BIGINT) AS uptime_ms, CAST(coalesce(sum(n_bytes), 0) AS BIGINT) AS n_bytes
+FROM ticks LEFT JOIN flagged ON NOT late AND flagged.stream_id = ticks.stream_id AND ts < at
+GROUP BY ticks.stream_id, n""",
+        FLAGGED,
+        """
+spans AS (
+  SELECT stream_id, min(ts) AS first_ts, max(ts) + INTERVAL 24 HOUR AS until
+  FROM flagged WHERE NOT late GROUP BY stream_id),
+ticks AS (
+  SELECT stream_id, n, first_ts + n * INTERVAL 6 HOUR AS at
+  FROM (SELECT *, unnest(range(0, CAST(date_diff('microsecond', first_ts, until) // 21600000000 + 1 AS BIGINT))) AS n FROM spans))""",
+    ),
+    "stream_totals": with_views(
+        ["v_bytes"],
+        "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(n_bytes) AS BIGINT) AS n_bytes, "
+        "CAST(count(*) AS BIGINT) AS reported_rows, CAST(sum(n_bytes) AS BIGINT) AS reported_bytes, "
+        "CAST(0 AS BIGINT) AS late_rows FROM v_bytes",
+    ),
     "stream_chunks": CHUNK_SQL,
     "stream_heartbeats": with_views(["v_bytes"], "SELECT * FROM closed", _CLOSED),
     "stream_progress": with_views(

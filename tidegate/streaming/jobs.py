@@ -10,11 +10,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidegate.functions.constants import HEARTBEAT_INTERVAL, NO_DATA_TIMEOUT
 from tidegate.functions.values import literal_micros, micros
 from tidegate.operators.slicing import capture_slice, limit_us, window_bins
 from tidegate.session import scratch_path
+from tidegate.streaming.progress import Totals
+
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_table_stream(spark: SparkSession, folder: str, table: str, **options: str) -> DataFrame:
@@ -177,36 +182,59 @@ def run_to_table(
     mode: str = "append",
     end: Callable[[], None] | None = None,
     report: dict | None = None,
+    stateful: bool = False,
+    path: str | None = None,
 ) -> DataFrame:
     """Process everything available into Parquet and return the written table.
 
-    With ``end`` (of :func:`ending`) the input ends there: the job runs on from its checkpoint
-    until every window is closed. ``report`` gets the number of rows dropped as too late.
+    With ``end`` (of :func:`ending`) the input ends there: the same run goes on until every window,
+    session and timer is closed. ``report`` gets the run's totals: ``batches``, ``late_rows`` (dropped as
+    too late), and the sums of :func:`tidegate.streaming.progress.observed`. ``stateful`` picks
+    the state store that processors with timers need. A ``path`` used before goes on from its checkpoint.
     """
     spark = stream.sparkSession
-    path = scratch_path(spark, label)
-    late = 0
-    for finish in (None, end) if end else (None,):
-        if finish:
-            finish()
-        query = (
-            stream.writeStream.format("parquet")
-            .outputMode(mode)
-            .option("checkpointLocation", f"{path}/_progress")
-            .trigger(availableNow=True)
-            .start(f"{path}/rows")
-        )
-        query.awaitTermination()
-        late += sum(
-            state["numRowsDroppedByWatermark"]
-            for progress in query.recentProgress
-            for state in progress["stateOperators"]
-        )
+    path = path or scratch_path(spark, label)
+    writer = (
+        stream.writeStream.format("parquet")
+        .outputMode(mode)
+        .option("checkpointLocation", f"{path}/_progress")
+    )
+    totals = Totals()
     if report is not None:
-        report["late_rows"] = late
+        spark.streams.addListener(totals)
+    try:
+        if end is None:
+            query = _start(writer.trigger(availableNow=True), f"{path}/rows", stateful)
+            query.awaitTermination()
+        else:
+            query = _start(writer, f"{path}/rows", stateful)
+            try:
+                query.processAllAvailable()
+                end()
+                query.processAllAvailable()
+            finally:
+                query.stop()
+        if report is not None:
+            report.update(totals.of(query.runId))
+    finally:
+        if report is not None:
+            spark.streams.removeListener(totals)
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")
 
 
+def _start(writer: DataStreamWriter, path: str, stateful: bool) -> StreamingQuery:
+    """Start a query; it keeps the settings it was started with."""
+    spark = SparkSession.active()
+    before = spark.conf.get(_STORE, None)
+    if stateful:
+        spark.conf.set(_STORE, _ROCKSDB)
+    try:
+        return writer.start(path)
+    finally:
+        if stateful:
+            spark.conf.unset(_STORE) if before is None else spark.conf.set(_STORE, before)
+
+
 def run_batches(
     stream: DataFrame, label: str, write: Callable[[DataFrame, int], None], mode: str = "append"
 ) -> None:
