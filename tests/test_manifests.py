@@ -1,24 +1,28 @@
 from __future__ import annotations
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from tidegate.operators import manifests as m
+from tidegate.schemas import MANIFEST_TIMES, MANIFEST_TOTALS
 
 
-def manifest(reps, sets=1, period='id="0" start="PT0S" duration="PT2M52.572S"'):
+def manifest(reps, sets=1, period='id="0" start="PT0S" duration="PT6M13.25S"'):
     body = "".join(f"<AdaptationSet>{reps}</AdaptationSet>" for _ in range(sets))
     return ('<?xml version="1.0"?>\n<MPD xmlns="urn:mpeg:dash:schema:mpd:2011" profiles="p" type="static">'
             f"<Period {period}>{body}</Period></MPD>")
 
 
-def rep(i=0, mime="audio/mp4", bandwidth=100000, inner="", n=17):
+def rep(i=0, mime="audio/mp4", bandwidth=56000, inner="", n=12):
     segments = "".join(f'<SegmentURL media="m{k}"/>' for k in range(n))
     return (f'<Representation id="{i}" mimeType="{mime}" codecs="c" bandwidth="{bandwidth}">{inner}'
             f'<SegmentList timescale="10" duration="5"><Initialization sourceURL="init"/>{segments}</SegmentList></Representation>')
 
 
 AUDIO = manifest(rep())
-VIDEO = manifest(rep(mime="video/mp4", n=87))
+VIDEO = manifest(rep(mime="video/mp4", n=41))
 TEMPLATE = manifest(
     '<ContentProtection schemeIdUri="urn:a" value="cenc"/>'
     '<Representation id="t" bandwidth="7"><ContentProtection schemeIdUri="urn:b"/>'
@@ -49,14 +53,14 @@ def test_patch(spark):
     docs = {"audio": AUDIO, "video": VIDEO}
     patched = m.patch_manifests(parsed(spark, docs))
     xml = {r["manifest_id"]: r["patched_xml"] for r in patched.collect()}
-    assert "PT2M52.572S" not in xml["audio"] + xml["video"]
+    assert "PT6M13.25S" not in xml["audio"] + xml["video"]
     again = m.parse_manifests(patched.select("manifest_id", F.col("patched_xml").alias("xml")))
     rows = {(r["manifest_id"], r["rep_id"]): (r["mime_type"], r["bandwidth"], r["n_segments"], r["duration_units"])
             for r in m.renditions(again).collect()}
     assert rows == {
-        ("audio", "0"): ("audio/mp4", 100000, 17, 85), ("audio", "1"): ("audio/mp4", 0, 17, 85),
-        ("video", "0"): ("video/mp4", 100000, 87, 435)}
-    assert m.segments(again).where("manifest_id = 'video'").count() == 87
+        ("audio", "0"): ("audio/mp4", 56000, 12, 60), ("audio", "1"): ("audio/mp4", 0, 12, 60),
+        ("video", "0"): ("video/mp4", 56000, 41, 205)}
+    assert m.segments(again).where("manifest_id = 'video'").count() == 41
 
 
 def test_templates_and_protection(spark):
@@ -92,7 +96,86 @@ def test_every_period_is_read_and_written(spark):
     out = parsed(spark, docs)
     rows = [(r["period_no"], r["set_no"], r["rep_id"]) for r in m.renditions(out).collect()]
     assert sorted(rows) == [(0, 0, "0"), (1, 1, "7")]
-    assert m.segments(out).count() == 34 and m.best_rendition(out).first()["rep_id"] == "0"
+    assert m.segments(out).count() == 24 and m.best_rendition(out).first()["rep_id"] == "0"
     assert not out.select(m.is_single_audio().alias("x")).first()["x"]
     again = m.parse_manifests(m.patch_manifests(out).select("manifest_id", F.col("patched_xml").alias("xml")))
     assert sorted((r["period_no"], r["set_no"], r["rep_id"]) for r in m.renditions(again).collect()) == sorted(rows)
+
+
+def _unroll(timeline, start_number, end):
+    """(number, start, duration) of each segment, entry by entry."""
+    out, time, number = [], 0, start_number
+    for i, (t, length, r) in enumerate(timeline):
+        time = time if t is None else t
+        after = timeline[i + 1][0] if i + 1 < len(timeline) else end
+        if r is not None and r < 0:
+            n = 1 if after is None or length == 0 else max(0, -((time - after) // length))
+        else:
+            n = (r or 0) + 1
+        for _ in range(n):
+            out.append((number, time, length))
+            number, time = number + 1, time + length
+    return out
+
+
+PERIODS = {
+    'start="PT0S" duration="PT30S"': 300, 'duration="PT1M0.55S"': 605, "": 900, 'start="PT10S"': 800, 'duration="soon"': 900,
+}
+
+
+@pytest.mark.parametrize("piece", [2, 1 << 16])
+def test_timelines_are_unrolled(spark, piece):
+    rng = random.Random(8)
+    docs, want = {}, []
+    for i, (period, length) in enumerate(PERIODS.items()):
+        for j in range(6):
+            offset, first = rng.choice([0, 40]), rng.choice([None, 0, 7])
+            entries, at = [], 0
+            for k in range(rng.randrange(1, 7)):
+                restart = at + rng.choice([0, 25, 100]) if rng.random() < 0.6 else None
+                entries.append((restart, rng.choice([1, 7, 20]), rng.choice([None, 0, 1, 4])))
+                at = (restart if restart is not None else at) + entries[-1][1] * ((entries[-1][2] or 0) + 1)
+            for k in range(len(entries)):  # open repeats stand before a restart or at the end
+                if (k + 1 == len(entries) or entries[k + 1][0] is not None) and rng.random() < 0.5:
+                    entries[k] = (*entries[k][:2], -1)
+            parts = "".join(
+                "<S " + (f't="{t}" ' if t is not None else "") + f'd="{d}"' + (f' r="{r}"' if r is not None else "") + "/>"
+                for t, d, r in entries
+            )
+            number = f'startNumber="{first}"' if first is not None else ""
+            name = f"{i}-{j}"
+            docs[name] = (
+                f'<MPD mediaPresentationDuration="PT90S"><Period {period}><AdaptationSet><Representation id="x{j}" bandwidth="70">'
+                f'<SegmentTemplate timescale="10" presentationTimeOffset="{offset}" {number} initialization="$RepresentationID$.i" '
+                f'media="$$$RepresentationID$/$Bandwidth%04d$/$Number%03d$_$Time$_$Other$"><SegmentTimeline>{parts}</SegmentTimeline>'
+                "</SegmentTemplate></Representation></AdaptationSet></Period></MPD>"
+            )
+            for n, start, d in _unroll(entries, 1 if first is None else first, offset + length):
+                url = f"$x{j}/0070/{n:03d}_{start}_$Other$"
+                want.append((name, 0, 0, 0, f"x{j}", n, start, d, 10, f"x{j}.i", url, (start - offset) * 100_000))
+    texts = spark.createDataFrame(list(docs.items()), "manifest_id STRING, xml STRING")
+    out = m.parse_manifests(texts, schema=MANIFEST_TIMES)
+    names = "manifest_id period_no set_no rep_no rep_id number start_units duration_units timescale init_url url start_us".split()
+    assert sorted(map(tuple, m.segment_times(out, piece=piece).select(*names).collect())) == sorted(want)
+    totals = {r["manifest_id"]: (r["n_segments"], r["duration_units"]) for r in
+              m.renditions(m.parse_manifests(texts, schema=MANIFEST_TOTALS)).collect()}
+    assert totals == {k: (sum(w[0] == k for w in want), sum(w[7] for w in want if w[0] == k)) for k in docs}
+
+
+def test_next_period_bounds_an_open_repeat(spark):
+    rep = ('<AdaptationSet><Representation id="r"><SegmentTemplate media="$Number$$"><SegmentTimeline><S d="4" r="-1"/>'
+           "</SegmentTimeline></SegmentTemplate></Representation></AdaptationSet>")
+    docs = {
+        "next": f'<MPD><Period start="PT1M">{rep}</Period><Period start="PT1M30S"/></MPD>',
+        "unknown": f"<MPD><Period>{rep}</Period></MPD>",
+    }
+    texts = spark.createDataFrame(list(docs.items()), "manifest_id STRING, xml STRING")
+    out = m.segment_times(m.parse_manifests(texts, schema=MANIFEST_TIMES))
+    found = sorted((r["manifest_id"], r["number"], r["start_us"], r["url"]) for r in out.collect())
+    assert found == [("next", i + 1, i * 4_000_000, f"{i + 1}$") for i in range(8)] + [("unknown", 1, 0, "1$")]
+
+
+def test_listed_segments_have_times(spark):
+    out = m.segment_times(m.parse_manifests(spark.createDataFrame([("a", AUDIO)], "manifest_id STRING, xml STRING"), schema=MANIFEST_TIMES))
+    rows = out.orderBy("number").select("number", "start_units", "duration_units", "start_us", "init_url", "url").collect()
+    assert [tuple(r) for r in rows] == [(k + 1, 5 * k, 5, 500_000 * k, "init", f"m{k}") for k in range(12)]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegate.functions.values import MICROS, iso_duration_micros
+from tidegate.operators.blocks import PIECE, explode_range
 from tidegate.schemas import MANIFEST
 
 _CORRUPT = "_corrupt_record"
@@ -48,43 +50,226 @@ def union_uint(text: Column) -> Column:
     )
 
 
-def renditions(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
-    """One row per rendition with its positions (Period, set, rendition) and its segment totals."""
-    periods = parsed.select(key, F.posexplode("mpd.Period").alias("period_no", "period"))
-    sets = periods.select(
-        key, "period_no", F.posexplode("period.AdaptationSet").alias("set_no", "set")
+def _periods(parsed: DataFrame, key: str) -> DataFrame:
+    """Periods with their length: their duration, else up to the next start, else to the end of the
+    presentation. NULL where the manifest doesn't say."""
+    kinds = parsed.schema["mpd"].dataType
+    inside = kinds["Period"].dataType.elementType.names
+    time = lambda holder, field: iso_duration_micros(holder[field])
+    periods = parsed.select(key, "mpd", F.posexplode("mpd.Period").alias("period_no", "period"))
+    length = F.lit(None).cast("bigint")
+    if "_start" in inside:
+        first = F.when(F.col("period_no") == 0, F.lit(0).cast("bigint"))
+        start = F.coalesce(time(F.col("period"), "_start"), first)
+        after = time(F.get("mpd.Period", F.col("period_no") + 1), "_start")
+        if "_mediaPresentationDuration" in kinds.names:
+            final = F.col("period_no") == F.size("mpd.Period") - 1
+            after = F.when(final, time(F.col("mpd"), "_mediaPresentationDuration")).otherwise(after)
+        length = after - start
+    if "_duration" in inside:
+        length = F.coalesce(time(F.col("period"), "_duration"), length)
+    return periods.select(key, "period_no", "period", length.alias("period_us"))
+
+
+def _representations(parsed: DataFrame, key: str) -> DataFrame:
+    """Renditions with their positions, and the end of their Period in units of their template."""
+    sets = _periods(parsed, key).select(
+        key, "period_no", "period_us", F.posexplode("period.AdaptationSet").alias("set_no", "set")
     )
     reps = sets.select(
-        key, "period_no", "set_no", F.col("set._mimeType").alias("set_mime"),
-        F.posexplode("set.Representation").alias("rep_no", "rep"),
-    )
-    timeline = F.coalesce(
-        F.col("rep.SegmentTemplate.SegmentTimeline.S"),
-        F.array().cast("array<struct<_t: bigint, _d: bigint, _r: bigint>>"),
+        key, "period_no", "set_no", "set", "period_us", F.posexplode("set.Representation").alias("rep_no", "rep")
     )
-    listed = F.coalesce(F.size("rep.SegmentList.SegmentURL"), F.lit(0))
-    timed = F.aggregate(
-        timeline,
-        F.lit(0).cast("bigint"),
-        lambda n, s: n + 1 + F.coalesce(s["_r"], F.lit(0)),
-    )
-    timed_units = F.aggregate(
+    template = reps.schema["rep"].dataType["SegmentTemplate"].dataType.names
+    end = F.lit(None).cast("bigint")
+    if {"_timescale", "_presentationTimeOffset"} <= set(template):
+        scale = F.coalesce("rep.SegmentTemplate._timescale", F.lit(1).cast("bigint"))
+        offset = F.coalesce("rep.SegmentTemplate._presentationTimeOffset", F.lit(0).cast("bigint"))
+        units = F.col("period_us").cast("decimal(20,0)") * scale.cast("decimal(18,0)") / MICROS
+        end = offset + F.floor(units).try_cast("bigint")
+    return reps.withColumn("period_end", end)
+
+
+def _repeats(start: Column, d: Column, r: Column, bound: Column) -> Column:
+    """Segments of a timeline entry. A negative ``r`` fills the time up to ``bound``: the next entry's ``t``,
+    else the Period's end; without either, one segment is known."""
+    zero = F.lit(0).cast("bigint")
+    filled = F.when((d > 0) & bound.isNotNull(), F.greatest(F.ceil((bound - start).cast("decimal(20,0)") / d).cast("bigint"), zero))
+    open_ = F.coalesce(filled, F.lit(1).cast("bigint"))
+    return F.when(r < 0, open_).otherwise(F.coalesce(r, zero) + 1)
+
+
+def renditions(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
+    """One row per rendition with its positions (Period, set, rendition) and its segment totals.
+
+    A timeline is folded in place, with the running time that bounds open repeats.
+    """
+    reps = _representations(parsed, key)
+    nothing = F.array().cast("array<struct<_t: bigint, _d: bigint, _r: bigint>>")
+    timeline = F.coalesce(F.col("rep.SegmentTemplate.SegmentTimeline.S"), nothing)
+    # Each entry learns the time of the one after it.
+    bounded = F.zip_with(
         timeline,
-        F.lit(0).cast("bigint"),
-        lambda n, s: n + s["_d"] * (F.lit(1) + F.coalesce(s["_r"], F.lit(0))),
+        F.concat(
+            F.slice(F.transform(timeline, lambda s: s["_t"]), 2, F.greatest(F.size(timeline), F.lit(1))),
+            F.array(F.col("period_end")),
+        ),
+        lambda s, after: F.struct(s.alias("s"), after.alias("after")),
     )
+    zero = F.lit(0).cast("bigint")
+
+    def step(state: Column, entry: Column) -> Column:
+        s = entry["s"]
+        start = F.coalesce(s["_t"], state["time"])
+        n = _repeats(start, s["_d"], s["_r"], entry["after"])
+        return F.struct(
+            (start + n * s["_d"]).alias("time"),
+            (state["n"] + n).alias("n"),
+            (state["units"] + n * s["_d"]).alias("units"),
+        )
+
+    start = F.struct(zero.alias("time"), zero.alias("n"), zero.alias("units"))
+    # Entries without a struct come from the longer side of an empty timeline.
+    folded = F.aggregate(F.filter(bounded, lambda e: e["s"].isNotNull()), start, step)
+    listed = F.greatest(F.coalesce(F.size("rep.SegmentList.SegmentURL"), F.lit(0)), F.lit(0))
     listed_units = listed * F.coalesce(F.col("rep.SegmentList._duration"), F.lit(0))
-    return reps.select(
+    totals = reps.withColumn("timed", folded)
+    return totals.select(
         key,
         F.col("period_no").cast("bigint").alias("period_no"),
         F.col("set_no").cast("bigint").alias("set_no"),
         F.col("rep_no").cast("bigint").alias("rep_no"),
         F.col("rep._id").alias("rep_id"),
-        F.coalesce("rep._mimeType", "set_mime").alias("mime_type"),
+        F.coalesce("rep._mimeType", "set._mimeType").alias("mime_type"),
         F.col("rep._bandwidth").alias("bandwidth"),
-        (F.greatest(listed, F.lit(0)) + timed).cast("bigint").alias("n_segments"),
-        (F.greatest(listed_units, F.lit(0)) + timed_units).cast("bigint").alias("duration_units"),
+        (listed + F.col("timed.n")).cast("bigint").alias("n_segments"),
+        (listed_units + F.col("timed.units")).cast("bigint").alias("duration_units"),
+    )
+
+
+def template_parts(template: Column, fixed: dict[str, Column], later: tuple[str, ...] = ()) -> Column:
+    """A URL template taken apart: ``array<struct<text, field, width>>``.
+
+    ``fixed`` maps identifiers to columns; those of ``later`` become parts with a ``field`` and no text, for
+    :func:`fill_parts`. ``$Number%05d$`` pads with zeros, ``$$`` is a dollar sign. Unknown identifiers
+    and a last dollar sign without its pair stay as they are.
+    """
+    parts = F.split(template, r"\$")
+    last = F.size(parts) - 1
+
+    def one(part: Column, i: Column) -> Column:
+        name = F.substring_index(part, "%", 1)
+        suffix = F.regexp_extract(part, "^[A-Za-z]+%0?([0-9]+)d$", 1).try_cast("int")
+        inside = (i % 2 == 1) & (i < last)
+        # Identifiers without a width are the usual case, and need no pattern.
+        width = F.when(inside & part.contains("%"), suffix).otherwise(0)
+        text = F.lit(None).cast("string")
+        for known, value in fixed.items():
+            text = F.when(name == known, value.cast("string")).otherwise(text)
+        padded = F.when(width == 0, text).otherwise(F.lpad(text, F.greatest(width, F.length(text)), F.lit("0")))
+        field = F.when(inside & name.isin(*later) & width.isNotNull(), name) if later else F.lit(None).cast("string")
+        whole = (
+            F.when(i % 2 == 0, part)
+            .when(i == last, F.concat(F.lit("$"), part))
+            .when(part == "", F.lit("$"))
+            .otherwise(F.coalesce(F.when(width.isNotNull(), padded), F.concat(F.lit("$"), part, F.lit("$"))))
+        )
+        return F.named_struct(F.lit("text"), whole, F.lit("field"), field, F.lit("width"), width)
+
+    return F.filter(F.transform(parts, one), lambda p: (p["text"] != "") | p["field"].isNotNull())
+
+
+def fill_parts(parts: Column, values: dict[str, Column]) -> Column:
+    """The URL of parts that :func:`template_parts` has left open."""
+
+    def one(part: Column) -> Column:
+        text = F.lit(None).cast("string")
+        for field, value in values.items():
+            text = F.when(part["field"] == field, value.cast("string")).otherwise(text)
+        padded = F.lpad(text, F.greatest(part["width"], F.length(text)), F.lit("0"))
+        return F.when(part["field"].isNull(), part["text"]).otherwise(padded)
+
+    return F.array_join(F.transform(parts, one), "")
+
+
+def segment_times(parsed: DataFrame, key: str = "manifest_id", piece: int = PIECE) -> DataFrame:
+    """One row per segment with its number, start, duration and URL.
+
+    ``(key, period_no, set_no, rep_no, rep_id, number, start_units, duration_units, timescale, start_us,
+    init_url, url)``: timelines are unrolled, listed segments follow each other. Times run on
+    from entry to entry and start anew at each ``t``; ``start_us`` is within the Period, after the
+    presentation offset. Numbers begin at the template's start number (1 if it has none), and at
+    1 in lists. The time before an entry is a running sum over the entries of its
+    rendition since the last ``t``, the number one over all of them, so no fold carries an array along.
+    """
+    place = [key, "period_no", "set_no", "rep_no", "rep_id"]
+    reps = _representations(parsed, key).withColumn("rep_id", F.col("rep._id"))
+    template = F.col("rep.SegmentTemplate")
+    fixed = {"RepresentationID": F.col("rep_id"), "Bandwidth": F.col("rep._bandwidth")}
+    # URLs are taken apart below the explode: once for each rendition.
+    heads = reps.select(
+        *place,
+        "period_end",
+        F.coalesce(template["_timescale"], F.lit(1).cast("bigint")).alias("timescale"),
+        F.coalesce(template["_presentationTimeOffset"], F.lit(0).cast("bigint")).alias("offset"),
+        F.coalesce(template["_startNumber"], F.lit(1).cast("bigint")).alias("start_number"),
+        fill_parts(template_parts(template["_initialization"], fixed), {}).alias("init_url"),
+        template_parts(template["_media"], fixed, ("Number", "Time")).alias("media"),
+        template["SegmentTimeline"]["S"].alias("timeline"),
+    )
+    entries = heads.select(
+        *[c for c in heads.columns if c != "timeline"], F.posexplode("timeline").alias("entry_no", "s")
+    )
+    whole = Window.partitionBy(*place).orderBy("entry_no")
+    run = Window.partitionBy(*place, "run").orderBy("entry_no").rowsBetween(Window.unboundedPreceding, -1)
+    before = whole.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    # Only an entry that a ``t`` or the end follows can be open: what comes after it starts anew.
+    known = F.when(F.col("s._r") < 0, 1).otherwise(F.coalesce("s._r", zero) + 1)
+    timed = (
+        entries.withColumn("run", F.count("s._t").over(whole))
+        .withColumn("after", F.coalesce(F.lead("s._t").over(whole), F.when(F.lead("entry_no").over(whole).isNull(), F.col("period_end"))))
+        .withColumn("base", F.coalesce(F.max("s._t").over(Window.partitionBy(*place, "run")), zero))
+        .withColumn("start", F.col("base") + F.coalesce(F.sum(known * F.col("s._d")).over(run), zero))
+        .withColumn("n", _repeats(F.col("start"), F.col("s._d"), F.col("s._r"), F.col("after")))
+        .withColumn("first", F.col("start_number") + F.coalesce(F.sum("n").over(before), zero))
+    )
+    each = explode_range(timed, F.lit(0).cast("bigint"), F.col("n") - 1, "i", piece)
+    number, start = F.col("first") + F.col("i"), F.col("start") + F.col("i") * F.col("s._d")
+    unrolled = each.select(
+        *place,
+        number.alias("number"),
+        start.alias("start_units"),
+        F.col("s._d").alias("duration_units"),
+        "timescale",
+        "offset",
+        "init_url",
+        fill_parts(F.col("media"), {"Number": number, "Time": start}).alias("url"),
+    )
+    listed = F.col("rep.SegmentList")
+    length = F.coalesce(listed["_duration"], zero)
+    lists = reps.select(
+        *place,
+        listed.alias("rep_list"),
+        length.alias("duration_units"),
+        F.posexplode(listed["SegmentURL"]).alias("i", "segment"),
+    ).select(
+        *place,
+        (F.col("i") + 1).cast("bigint").alias("number"),
+        (F.coalesce(F.col("rep_list._presentationTimeOffset"), zero) + F.col("i") * F.col("duration_units")).alias("start_units"),
+        "duration_units",
+        F.coalesce(F.col("rep_list._timescale"), F.lit(1).cast("bigint")).alias("timescale"),
+        F.coalesce(F.col("rep_list._presentationTimeOffset"), zero).alias("offset"),
+        F.col("rep_list.Initialization._sourceURL").alias("init_url"),
+        F.col("segment._media").alias("url"),
     )
+    both = unrolled.unionByName(lists)
+    within = (F.col("start_units") - F.col("offset")).cast("decimal(20,0)") * MICROS / F.col("timescale")
+    return both.withColumns(
+        {
+            "start_us": F.floor(within).cast("bigint"),
+            **{c: F.col(c).cast("bigint") for c in ("period_no", "set_no", "rep_no")},
+        }
+    ).drop("offset")
 
 
 def segments(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:

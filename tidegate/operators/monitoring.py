@@ -19,11 +19,9 @@ from tidegate.functions.values import (
     media_time_micros,
     micros,
 )
-from tidegate.operators.blocks import BLOCK_ROWS, with_stream_extent
+from tidegate.operators.blocks import BLOCK_ROWS, PIECE, explode_range, with_stream_extent
 from tidegate.schemas import JOB_STATUS
 
-#: Ticks that one array holds at most.
-TICK_PIECE = 1 << 16
 _TIME_IN_LINE = r" time=([0-9:.]+) "
 
 
@@ -58,7 +56,7 @@ def heartbeats(
     read: str = "n_bytes",
     written: str = "n_bytes",
     block_rows: int = BLOCK_ROWS,
-    piece: int = TICK_PIECE,
+    piece: int = PIECE,
 ) -> DataFrame:
     """Running heartbeats: one at the start, then one per interval until the last row.
 
@@ -81,14 +79,7 @@ def heartbeats(
     )
     # The first data tick is always 1; it also emits the heartbeat sent at the start.
     since = F.when(F.col("tick") == 1, F.lit(0).cast("bigint")).otherwise(F.col("tick"))
-    step_ticks = F.lit(piece).cast("bigint")
-    pieces = F.when(F.col("upto") >= since, F.sequence(since, F.col("upto"), step_ticks))
-    # Generated code holds all that one row of a stage grows to: the exchange keeps that to a piece,
-    # and deals the pieces of a long gap over tasks.
-    cut = filled.select("k", "first_us", "r", "w", "upto", F.explode(pieces).alias("from"))
-    cut = cut.repartition("k", "from")
-    ticks = F.sequence("from", F.least(F.col("from") + step_ticks - 1, F.col("upto")))
-    each = cut.select("k", "first_us", "r", "w", F.explode(ticks).alias("tick"))
+    each = explode_range(filled.select("k", "r", "w", "upto", since.alias("since")), F.col("since"), F.col("upto"), "tick", piece)
     at_start = F.col("tick") == 0
     return each.select(
         F.col("k").alias(key),

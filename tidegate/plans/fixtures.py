@@ -152,6 +152,19 @@ SELECT l_orderkey AS manifest_id,
                              CASE WHEN l_linestatus = 'O' THEN concat('" r="', l_linenumber) ELSE '' END, '"/>'), '')
               WITHIN GROUP (ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice),
               '</SegmentTimeline></SegmentTemplate></Representation></AdaptationSet></Period></MPD>') AS xml
+FROM {lineitem} GROUP BY l_orderkey""",
+    "v_timed_manifests": """
+SELECT l_orderkey AS manifest_id,
+       concat('<MPD mediaPresentationDuration="PT5M"><Period start="PT0S"',
+              CASE WHEN l_orderkey % 4 = 0 THEN ' duration="PT4M50.5S"' ELSE '' END,
+              '><AdaptationSet><Representation id="r', l_orderkey % 9, '" bandwidth="', l_orderkey % 5 * 1000,
+              '"><SegmentTemplate timescale="10" startNumber="', l_orderkey % 3, '" presentationTimeOffset="', l_orderkey % 2 * 30,
+              '" initialization="$RepresentationID$/init" media="$RepresentationID$/$Bandwidth%06d$/$Number%04d$-$Time$.m4s"><SegmentTimeline>',
+              listagg(concat('<S ', CASE WHEN l_returnflag = 'A' THEN concat('t="', l_linenumber * 400, '" ') ELSE '' END,
+                             'd="', cast(l_quantity AS bigint) * 20,
+                             CASE l_linestatus WHEN 'O' THEN '" r="-1' ELSE concat('" r="', l_linenumber % 3) END, '"/>'), '')
+              WITHIN GROUP (ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice),
+              '</SegmentTimeline></SegmentTemplate></Representation></AdaptationSet></Period></MPD>') AS xml
 FROM {lineitem} GROUP BY l_orderkey""",
     "v_jobs": """
 SELECT to_json(named_struct('data', named_struct('job', named_struct('id', concat('job', l_orderkey), 'tasks', named_struct('records',

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from tidegate.operators import manifests as m
 from tidegate.plans.fixtures import view
-from tidegate.schemas import MANIFEST, MANIFEST_RENDITIONS, MANIFEST_SEGMENTS, MANIFEST_TOTALS
+from tidegate.schemas import (
+    MANIFEST,
+    MANIFEST_RENDITIONS,
+    MANIFEST_SEGMENTS,
+    MANIFEST_TIMES,
+    MANIFEST_TOTALS,
+)
 
 
 def _parsed(spark: SparkSession, sf_dir: str, schema: str = MANIFEST) -> DataFrame:
@@ -74,6 +80,23 @@ def manifest_template_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _timed(spark: SparkSession, sf_dir: str, schema: str) -> DataFrame:
+    return m.parse_manifests(view(spark, sf_dir, "v_timed_manifests"), schema=schema)
+
+
+def manifest_segment_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number, start and URLs of every segment of timelines with restarts and open repeats."""
+    times = m.segment_times(_timed(spark, sf_dir, MANIFEST_TIMES))
+    return times.select("manifest_id", "number", "start_units", "duration_units", "start_us", "init_url", "url")
+
+
+def manifest_open_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments and length of the same timelines, folded in place."""
+    return m.renditions(_timed(spark, sf_dir, MANIFEST_TOTALS)).select(
+        "manifest_id", "rep_id", "n_segments", "duration_units"
+    )
+
+
 def manifest_protections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.protections(_templates(spark, sf_dir))
 
@@ -108,6 +131,8 @@ QUERIES = {
     "best_rendition": best_rendition,
     "manifest_timelines": manifest_timelines,
     "manifest_template_totals": manifest_template_totals,
+    "manifest_segment_times": manifest_segment_times,
+    "manifest_open_totals": manifest_open_totals,
     "manifest_protections": manifest_protections,
     "manifest_alignment": manifest_alignment,
 }
@@ -132,7 +157,38 @@ WITH entries AS (
   FROM lineitem)
 """
 
+_TIMED = """
+WITH entries AS (
+  SELECT l_orderkey AS m, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS k,
+         CASE WHEN l_returnflag = 'A' THEN l_linenumber * 400 END AS t, CAST(floor(l_quantity) AS BIGINT) * 20 AS d,
+         CASE l_linestatus WHEN 'O' THEN -1 ELSE l_linenumber % 3 END AS r,
+         l_orderkey % 2 * 30 + CASE WHEN l_orderkey % 4 = 0 THEN 2905 ELSE 3000 END AS until
+  FROM lineitem),
+runs AS (
+  SELECT *, count(t) OVER (PARTITION BY m ORDER BY k) AS run,
+         CASE WHEN lead(k) OVER w IS NULL THEN until ELSE lead(t) OVER w END AS after
+  FROM entries WINDOW w AS (PARTITION BY m ORDER BY k)),
+starts AS (
+  SELECT *, coalesce(max(t) OVER (PARTITION BY m, run), 0)
+         + coalesce(sum(d * CASE WHEN r < 0 THEN 1 ELSE r + 1 END) OVER (PARTITION BY m, run ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+  FROM runs),
+counted AS (
+  SELECT *, CASE WHEN r >= 0 THEN r + 1 WHEN after IS NULL THEN 1 ELSE greatest(ceil((after - s) / d), 0) END AS n FROM starts),
+placed AS (
+  SELECT *, m % 3 + coalesce(sum(n) OVER (PARTITION BY m ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM counted),
+each AS (SELECT *, unnest(range(0, CAST(n AS BIGINT))) AS i FROM placed)
+"""
+
 ORACLES = {
+    "manifest_segment_times": _TIMED
+    + """SELECT m AS manifest_id, CAST(first + i AS BIGINT) AS number, CAST(s + i * d AS BIGINT) AS start_units, d AS duration_units,
+       CAST((s + i * d - m % 2 * 30) * 100000 AS BIGINT) AS start_us, 'r' || (m % 9) || '/init' AS init_url,
+       'r' || (m % 9) || '/' || printf('%06d', m % 5 * 1000) || '/' || printf('%04d', CAST(first + i AS BIGINT)) || '-'
+         || CAST(s + i * d AS BIGINT) || '.m4s' AS url
+FROM each""",
+    "manifest_open_totals": _TIMED
+    + """SELECT m AS manifest_id, 'r' || (m % 9) AS rep_id, CAST(sum(n) AS BIGINT) AS n_segments, CAST(sum(n * d) AS BIGINT) AS duration_units
+FROM placed GROUP BY m""",
     "manifest_rejections": "SELECT DISTINCT l_orderkey AS manifest_id FROM lineitem WHERE l_orderkey % 5 = 0",
     "manifest_parse": """
 SELECT l_orderkey AS manifest_id, 'urn:mpeg:dash:schema:mpd:2011' AS xmlns, 'static' AS type, 'p' AS profiles,

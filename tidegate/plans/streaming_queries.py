@@ -220,7 +220,7 @@ ORACLES = {
         """
 SELECT ticks.stream_id, CAST(n + 1 AS BIGINT) AS ordinal, 'running' AS status,
        CAST(n * 6 * 3600 * 1000 AS BIGINT) AS uptime_ms, CAST(coalesce(sum(n_bytes), 0) AS BIGINT) AS n_bytes
-FROM ticks LEFT JOIN flagged ON NOT late AND flagged.stream_id = ticks.stream_id AND ts < at
+FROM ticks LEFT JOIN flagged ON NOT late AND flagged.stream_id = ticks.stream_id AND ts < tick_at
 GROUP BY ticks.stream_id, n""",
         FLAGGED,
         """
@@ -228,7 +228,7 @@ spans AS (
   SELECT stream_id, min(ts) AS first_ts, max(ts) + INTERVAL 24 HOUR AS until
   FROM flagged WHERE NOT late GROUP BY stream_id),
 ticks AS (
-  SELECT stream_id, n, first_ts + n * INTERVAL 6 HOUR AS at
+  SELECT stream_id, n, first_ts + n * INTERVAL 6 HOUR AS tick_at
   FROM (SELECT *, unnest(range(0, CAST(date_diff('microsecond', first_ts, until) // 21600000000 + 1 AS BIGINT))) AS n FROM spans))""",
     ),
     "stream_totals": with_views(

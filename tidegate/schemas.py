@@ -70,13 +70,15 @@ MANIFEST_RENDITIONS = """
         Representation: ARRAY<STRUCT<_id: STRING, _mimeType: STRING, _bandwidth: BIGINT>>>>>>
 """
 
-# What the position, type and segment totals of renditions need of one.
+# What the position, type and segment totals of renditions need of one: Periods bound open repeats.
 MANIFEST_TOTALS = """
-    Period ARRAY<STRUCT<_id: STRING, AdaptationSet: ARRAY<STRUCT<
+    _mediaPresentationDuration STRING,
+    Period ARRAY<STRUCT<_id: STRING, _start: STRING, _duration: STRING, AdaptationSet: ARRAY<STRUCT<
         _mimeType: STRING,
         Representation: ARRAY<STRUCT<
             _id: STRING, _mimeType: STRING, _bandwidth: BIGINT,
             SegmentTemplate: STRUCT<
+                _timescale: BIGINT, _presentationTimeOffset: BIGINT,
                 SegmentTimeline: STRUCT<S: ARRAY<STRUCT<_t: BIGINT, _d: BIGINT, _r: BIGINT>>>>,
             SegmentList: STRUCT<
                 _duration: BIGINT, SegmentURL: ARRAY<STRUCT<_media: STRING>>>>>>>>>
@@ -91,3 +93,11 @@ MANIFEST_SEGMENTS = """
                 Initialization: STRUCT<_sourceURL: STRING>,
                 SegmentURL: ARRAY<STRUCT<_media: STRING>>>>>>>>>
 """
+
+# What the times and URLs of segments need.
+MANIFEST_TIMES = f"""
+    _mediaPresentationDuration STRING,
+    Period ARRAY<STRUCT<_id: STRING, _start: STRING, _duration: STRING, AdaptationSet: ARRAY<STRUCT<
+        Representation: ARRAY<STRUCT<
+            _id: STRING, _bandwidth: BIGINT, SegmentTemplate: {_SEGMENT_TEMPLATE}, SegmentList: {_SEGMENT_LIST}>>>>>>
+"""
