@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.session import ship_package
+from tidegate.session import materialise, ship_package
 
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -285,6 +285,9 @@ def resolve(found: DataFrame) -> DataFrame:
 
     Revisits take them from the record they refer to; only its id, size and digest are joined.
     A record whose payload does not have the digest its header states is not ``complete``.
+
+    Sizes and digests are written once, and that lean table is joined with itself: the archives
+    behind ``found`` are read and parsed for it alone.
     """
     read = found.select(
         "record_type",
@@ -298,6 +301,7 @@ def resolve(found: DataFrame) -> DataFrame:
     read = read.withColumn(
         "complete", F.expr("complete AND (payload_digest IS NULL OR digest IS NULL OR digest = payload_digest)")
     )
+    read = materialise(read, "warc-digests")
     plain = read.filter("record_type <> 'revisit'").drop("digest")
     sources = plain.select(
         F.col("record_id").alias("refers_to"),
