@@ -17,6 +17,8 @@ from tidegate.operators.blocks import BLOCK, BLOCK_ROWS, running_total, with_blo
 from tidegate.operators.digest import stream_digests
 
 INIT_FIELDS = ("jobId", "taskId", "tdoId", "offsetMS", "mediaStartTimeUTC", "mimeType", "ffmpegFormat")
+#: Fixed values of the public 32-bit FNV-1a hash.
+FNV_OFFSET, FNV_PRIME = 2166136261, 16777619
 EMPTY_MD5 = "d41d8cd98f00b204e9800998ecf8427e"
 
 
@@ -247,17 +249,97 @@ def empty_envelopes(
     )
 
 
+def fnv1a(text: Column) -> Column:
+    """32-bit FNV-1a hash of a text's UTF-8 bytes, as an unsigned number; NULL for NULL."""
+    digits = F.hex(text.cast("binary"))
+    places = F.when(F.octet_length(text) > 0, F.sequence(F.lit(0), F.octet_length(text) - 1))
+    places = F.when(text.isNotNull(), F.coalesce(places, F.array().cast("array<int>")))
+
+    def byte(i: Column) -> Column:
+        return F.conv(F.substr(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("bigint")
+
+    return F.aggregate(
+        F.transform(places, byte),
+        F.lit(FNV_OFFSET),
+        lambda h, b: (h.bitwiseXOR(b) * F.lit(FNV_PRIME)).bitwiseAND(F.lit(0xFFFFFFFF)),
+    )
+
+
 def place_messages(
     messages: DataFrame, topic: Column, partition: Column, partitions: int
 ) -> DataFrame:
-    """(topic, partition, key, value): a fixed partition, or one chosen by hash of the key."""
-    by_key = F.pmod(F.hash("key"), F.lit(partitions))
+    """(topic, partition, key, value): a fixed partition, or the producer's choice by the key.
+
+    A producer takes the key's 32-bit FNV-1a hash as a signed number, its remainder by the number of
+    partitions, and drops the sign. It deals messages without a key out at random; here they go
+    to partition 0.
+    """
+    hashed = fnv1a(F.coalesce(F.col("key").cast("string"), F.lit("")))
+    signed = hashed - F.when(hashed >= 1 << 31, F.lit(1 << 32)).otherwise(F.lit(0))
+    by_key = F.when(F.col("key").isNull(), 0).otherwise(F.abs(signed % partitions))
     fixed = F.when(partition >= 0, partition)
     return messages.withColumns(
         {"topic": topic, "partition": F.coalesce(fixed, by_key).cast("int")}
     )
 
 
+def sequence_ranges(
+    messages: DataFrame, key: str = "stream_id", order: str = "seq", block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """Which messages are lost or sent again: ``(key, from_seq, to_seq, state, n_messages)``.
+
+    A range of state ``missing`` holds numbers from 0 to the last one seen that no message has;
+    numbers of a ``repeated`` one have several, and ``n_messages`` counts the extra copies (else
+    the numbers). Ranges are as long as can be. What is lost after the last number seen can't be
+    told from numbers. A stream is cut into blocks of numbers; only their first and last numbers,
+    and the runs that touch a block's border, meet their whole stream.
+    """
+    size = int(block_rows)
+    seen = (
+        messages.select(F.col(key).alias("k"), F.col(order).cast("bigint").alias("o"))
+        .where("o >= 0")
+        .groupBy("k", "o")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    seen = with_block(seen, "o", size)
+    in_block = Window.partitionBy("k", BLOCK).orderBy("o")
+    over_blocks = Window.partitionBy("k").orderBy(BLOCK)
+
+    def gaps(df: DataFrame) -> DataFrame:
+        return df.where("o - before > 1").selectExpr(
+            "k", "before + 1 AS from_seq", "o - 1 AS to_seq", "'missing' AS state", "o - before - 1 AS n"
+        )
+
+    ends = seen.groupBy("k", BLOCK).agg(F.min("o").alias("o"), F.max("o").alias("last"))
+    last_before = F.coalesce(F.lag("last").over(over_blocks), F.lit(-1).cast("bigint"))
+
+    # Repeated numbers in a row differ from their rank by the same amount.
+    runs = (
+        seen.where("n > 1")
+        .withColumn("run", F.col("o") - F.row_number().over(in_block))
+        .groupBy("k", BLOCK, "run")
+        .agg(F.min("o").alias("from_seq"), F.max("o").alias("to_seq"), F.sum(F.col("n") - 1).alias("n"))
+    )
+    touches = (F.col("from_seq") == F.col(BLOCK) * size) | (F.col("to_seq") == (F.col(BLOCK) + 1) * size - 1)
+    over_runs = Window.partitionBy("k").orderBy("from_seq")
+    fresh = F.coalesce(F.lag("to_seq").over(over_runs) + 1 != F.col("from_seq"), F.lit(True))
+    stitched = (
+        runs.where(touches)
+        .withColumn("fresh", fresh.cast("int"))
+        .withColumn("run", F.sum("fresh").over(over_runs))
+        .groupBy("k", "run")
+        .agg(F.min("from_seq").alias("from_seq"), F.max("to_seq").alias("to_seq"), F.sum("n").alias("n"))
+    )
+    names = ["k", "from_seq", "to_seq", F.lit("repeated").alias("state"), "n"]
+    every = (
+        gaps(seen.withColumn("before", F.lag("o").over(in_block)))
+        .unionByName(gaps(ends.withColumn("before", last_before)))
+        .unionByName(runs.where(~touches).select(*names))
+        .unionByName(stitched.select(*names))
+    )
+    return every.select(F.col("k").alias(key), "from_seq", "to_seq", "state", F.col("n").alias("n_messages"))
+
+
 def integrity_audit(messages: DataFrame, key: str = "stream_id") -> DataFrame:
     """Check each stream of a message table against its own eof message.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegate.operators import delivery as d
@@ -21,6 +21,7 @@ SMALL_MESSAGE = 16
 TIMEOUT = "24h"
 LANDED_BYTES = 4096
 RANGE_BYTES = 1000
+RANGE_MESSAGE = 256
 
 
 def _init(offset: Column, start: Column, mime: str, container: Column) -> dict[str, Column]:
@@ -183,6 +184,7 @@ def key_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_messages"),
         F.count_distinct("task").alias("n_partitions"),
         F.count_distinct("partition").alias("n_places"),
+        F.min("partition").alias("place"),
     )
 
 
@@ -269,6 +271,36 @@ def _page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("stream_id", file)
 
 
+def missing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of messages that are lost or repeated, in streams where runs of both are made."""
+    streams = view(spark, sf_dir, "v_streams")
+    sent = d.envelope(streams, "stream_id", "payload", document_init(), F.col("key_prefix"), RANGE_MESSAGE)
+    lost = (F.col("stream_id") + F.expr("seq div 4")) % 5 == 0
+    again = (F.col("stream_id") + F.expr("seq div 3")) % 4 == 1
+    copies = F.when(again, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    kept = sent.select("stream_id", "seq").where(~lost)
+    return d.sequence_ranges(kept.select("stream_id", "seq", F.explode(copies).alias("copy")))
+
+
+def log_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets of document messages per partition: their number, ends and order along streams."""
+    messages = document_messages(view(spark, sf_dir, "v_streams"))
+    placed = d.place_messages(messages, F.lit("stream_1"), F.lit(-1), 8)
+    return offset_report(sinks.with_offsets(placed))
+
+
+def offset_report(log: DataFrame) -> DataFrame:
+    along = Window.partitionBy("topic", "partition", "stream_id").orderBy("seq")
+    falls = F.coalesce(F.col("offset") <= F.lag("offset").over(along), F.lit(False))
+    return log.withColumn("falls", falls).groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("n_messages"),
+        F.count_distinct("offset").alias("n_offsets"),
+        F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
+        F.count_if("falls").alias("n_falling"),
+    )
+
+
 def landed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length and MD5 of files read by byte range, and the number and greatest length of their rows."""
     rows = _page_files(spark, sf_dir)
@@ -304,6 +336,8 @@ QUERIES = {
     "object_cache": object_cache,
     "landed_objects": landed_objects,
     "landed_digests": landed_digests,
+    "missing_ranges": missing_ranges,
+    "log_offsets": log_offsets,
     "landed_ranges": landed_ranges,
     "range_messages": range_messages,
 }
@@ -355,6 +389,22 @@ gaps AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY stream_id ORDER BY s
          FROM v_bytes WHERE n_bytes > 0),
 flagged AS (SELECT *, bool_or(gap) OVER (PARTITION BY stream_id ORDER BY seq) AS late FROM gaps)"""
 
+#: The producer's partition of a key: the remainder of its signed FNV-1a hash, without the sign.
+PLACE_SQL = """abs((list_reduce(list_prepend(2166136261::BIGINT, list_transform(range(1, length({key}) + 1),
+  lambda i: ascii(({key})[i])::BIGINT)), lambda h, b: (xor(h, b) * 16777619) % 4294967296)
+  + 2147483648) % 4294967296 - 2147483648) % {n}"""
+
+PLACED_SQL = f"""
+keyed AS (SELECT key_prefix || kind AS k FROM messages JOIN v_streams USING (stream_id)),
+placed AS (SELECT 'stream_1' AS topic, CAST({PLACE_SQL.format(key="k", n=8)} AS INTEGER) AS partition FROM keyed)"""
+
+OFFSETS_SQL = """
+SELECT topic, partition, CAST(count(*) AS BIGINT) AS n_messages, CAST(count(*) AS BIGINT) AS n_offsets,
+       CAST(0 AS BIGINT) AS first_offset, CAST(count(*) - 1 AS BIGINT) AS last_offset, CAST(0 AS BIGINT) AS n_falling
+FROM placed GROUP BY topic, partition"""
+
+_PLACE_OF_KEY = PLACE_SQL.format(key="'key_' || user_id", n=8)
+
 _FILES = """
 files AS (
   SELECT page_id // 50 AS stream_id, string_agg(coalesce(html, '') || chr(10), '' ORDER BY page_id) AS whole
@@ -362,6 +412,17 @@ files AS (
 sized AS (SELECT stream_id, whole, encode(whole) AS data, octet_length(encode(whole)) AS n FROM files)"""
 
 ORACLES = {
+    "missing_ranges": """
+WITH numbers AS (
+  SELECT doc_id AS k, unnest(range(0, (coalesce(octet_length(encode(text)), 0) + 255) // 256 + 2)) AS o FROM documents),
+kept AS (SELECT k, o, CASE WHEN (k + o // 3) % 4 = 1 THEN 2 ELSE 1 END AS n FROM numbers WHERE (k + o // 4) % 5 <> 0),
+gaps AS (SELECT k, coalesce(lag(o) OVER (PARTITION BY k ORDER BY o), -1) AS b, o FROM kept),
+twice AS (SELECT k, o, o - row_number() OVER (PARTITION BY k ORDER BY o) AS run FROM kept WHERE n = 2)
+SELECT k AS stream_id, b + 1 AS from_seq, o - 1 AS to_seq, 'missing' AS state, CAST(o - b - 1 AS BIGINT) AS n_messages
+FROM gaps WHERE o - b > 1
+UNION ALL
+SELECT k, min(o), max(o), 'repeated', CAST(count(*) AS BIGINT) FROM twice GROUP BY k, run""",
+    "log_offsets": with_views(["v_streams"], OFFSETS_SQL, _CHUNKS, _DOC_MESSAGES, PLACED_SQL),
     "landed_ranges": f"""
 WITH {_FILES}
 SELECT stream_id, CAST((n + 999) // 1000 AS BIGINT) AS n_rows, CAST(least(n, 1000) AS BIGINT) AS longest,
@@ -489,9 +550,10 @@ WHERE policy = 'http' AND outcome IN ('exhausted', 'non_retryable')
   AND stream_id NOT IN (SELECT stream_id FROM v_attempts WHERE bytes_read > 0)""",
         *RETRY_CTES,
     ),
-    "key_partitions": """
+    "key_partitions": f"""
 SELECT prefix || 'key_' || user_id AS key, CAST(count(*) AS BIGINT) AS n_messages,
-       CAST(1 AS BIGINT) AS n_partitions, CAST(1 AS BIGINT) AS n_places
+       CAST(1 AS BIGINT) AS n_partitions, CAST(1 AS BIGINT) AS n_places,
+       CAST(CASE WHEN prefix = '' THEN {_PLACE_OF_KEY} ELSE 5 END AS INTEGER) AS place
 FROM events, (VALUES (''), ('fixed_')) p(prefix) GROUP BY ALL""",
     "no_data_timeouts": with_views(
         ["v_bytes"],

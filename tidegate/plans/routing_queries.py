@@ -24,7 +24,7 @@ def capture_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def slice_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.slice_totals(capture_slice(spark, sf_dir))
+    return s.window_totals(view(spark, sf_dir, "v_bytes"), view(spark, sf_dir, "v_windows"), BIN)
 
 
 def suffix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from tidegate.plans.delivery_queries import (
     FLAGGED,
     SMALL_MESSAGE,
     document_messages,
+    offset_report,
     readable,
     row_init,
 )
@@ -26,7 +27,7 @@ from tidegate.plans.fixtures import table, view, with_views
 from tidegate.plans.routing_queries import BIN, SLICE_CTES
 from tidegate.plans.task_queries import _INTAKE_SQL, _intake, task_documents
 from tidegate.session import scratch_path
-from tidegate.sources.sinks import batch_folder, tee
+from tidegate.sources.sinks import append_log, batch_folder, tee
 from tidegate.sources.tables import read_tasks
 from tidegate.streaming import jobs, live
 from tidegate.streaming.progress import observed
@@ -183,6 +184,18 @@ def stream_tee(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals("message_log", log).unionByName(totals("file_store", store))
 
 
+def stream_log_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets of a log that micro-batches append to: half the streams arrive after the others."""
+    path, source = scratch_path(spark, "stream-offsets"), scratch_path(spark, "offset-input")
+    messages = document_messages(view(spark, sf_dir, "v_streams"))
+    placed = d.place_messages(messages, F.lit("stream_1"), F.lit(-1), 8)
+    for half in (0, 1):
+        placed.where(F.col("stream_id") % 2 == half).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(placed.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    jobs.run_batches(stream, "stream-offsets-progress", append_log(path))
+    return offset_report(spark.read.parquet(f"{path}/log"))
+
+
 def stream_task_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream-tasks")
     task_documents(spark, sf_dir).write.text(path)
@@ -203,6 +216,7 @@ QUERIES = {
     "stream_slice": stream_slice,
     "stream_window_join": stream_window_join,
     "stream_tee": stream_tee,
+    "stream_log_offsets": stream_log_offsets,
     "stream_task_intake": stream_task_intake,
 }
 
@@ -290,5 +304,6 @@ kinds AS (
   UNION ALL SELECT 'stream_eof', count(*), 0 FROM sizes)
 SELECT sink, kind, CAST(n AS BIGINT) AS n_messages, CAST(b AS BIGINT) AS n_bytes
 FROM kinds, (VALUES ('message_log'), ('file_store')) s(sink)""",
+    "stream_log_offsets": DELIVERY_ORACLES["log_offsets"],
     "stream_task_intake": _INTAKE_SQL,
 }
