@@ -7,6 +7,7 @@ import pytest
 
 from tidegate.operators import routing as r
 from tidegate.operators import slicing as s
+from tidegate.operators.signatures import default_signatures, identify
 
 T0 = dt.datetime(2024, 1, 1)
 SEC = dt.timedelta(seconds=1)
@@ -97,3 +98,41 @@ def test_routes(spark):
     out = r.assign_routes(urls, domains, auth_word="vendor")
     got = {x["url"]: (x["route"], x["needs_auth"], x["patch_manifest"], x["failure_reason"]) for x in out.collect()}
     assert got == {u: c[1] for u, c in cases.items()}
+
+
+def test_signatures_match_brute_force(spark):
+    table = [(r["mime"], r["at"], bytes.fromhex(r["pattern"]), bytes.fromhex(r["mask"]), r["skip_space"])
+             for r in default_signatures(spark).collect()]
+    assert len(table) > 60 and all(len(p) == len(m) for _, _, p, m, _ in table)
+
+    def brute(data):
+        best = []
+        for mime, at, pattern, mask, skip in table:
+            text = data.lstrip(b"\t\n\f\r ") if skip else data
+            head = text[at : at + len(pattern)]
+            if len(head) == len(pattern) and all(a & m == p & m for a, p, m in zip(head, pattern, mask)):
+                best.append((-sum(m > 0 for m in mask), mime))
+        return min(best)[1] if best else None
+
+    rng = random.Random(2)
+    heads = [b"", b"\x00", b" \n<HtMl>x", b"<html\x00", b"<!doctype HTML ", b"  <!--x", b"RIFF1234WAVEfmt", b"RIFF1234WEBPVP8", b"<b>", b"<bODY>",
+             b"....ftypmp42", b"%PDF-1", b"<?xml v", b"x" * 34 + b"LP"]
+    for _, at, pattern, mask, _ in table:
+        body = bytes((p & m) | (rng.randrange(256) & ~m & 0xFF) for p, m in zip(pattern, mask))
+        heads += [bytes(rng.randrange(256) for _ in range(at)) + body + b"tail", body[:-1], b" " * 3 + body]
+    rows = [(i, h.hex().upper() if i % 2 else h.hex()) for i, h in enumerate(heads)] + [(len(heads), None)]
+    df = spark.createDataFrame(rows, "id INT, head STRING")
+    got = {r["id"]: r["mime"] for r in identify(df, "head", ["id"], default_signatures(spark), "mime").collect()}
+    assert got == {**{i: brute(h) for i, h in enumerate(heads)}, len(heads): None}
+
+
+def test_own_signatures_and_bounds(spark):
+    ddl = "mime STRING, at INT, pattern STRING, mask STRING, skip_space BOOLEAN"
+    own = spark.createDataFrame(
+        [("b/short", 0, "AABB", "FFFF", False), ("a/long", 0, "AABB00CC", "FFFF00FF", False), ("c/same", 1, "BB11", "FFFF", False), ("d/none", 0, "00", "00", False)], ddl)
+    df = spark.createDataFrame([(1, "AABB99CC"), (2, "AABB9900"), (3, "AABB11"), (4, "99")], "id INT, head STRING")
+    got = {r["id"]: r["mime"] for r in identify(df, "head", ["id"], own, "mime").collect()}
+    assert got == {1: "a/long", 2: "b/short", 3: "b/short", 4: None}
+    many = spark.range(101).selectExpr("'x' AS mime", "CAST(id AS INT) AS at", "'AA' AS pattern", "'FF' AS mask", "false AS skip_space")
+    with pytest.raises(ValueError, match="at most"):
+        identify(df, "head", ["id"], many)

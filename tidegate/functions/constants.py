@@ -33,16 +33,45 @@ TEXT_MIME_TYPES = (
 TEXT_SUFFIXES = (".docx", ".doc", ".pdf", ".eml", ".msg", ".txt", ".ppt", ".rtf")
 MJPEG_SUFFIXES = (".mjpeg", ".mjpg", ".cgi")
 
-# Leading bytes (hex) of common formats, used when a probe carries no content type.
-MAGIC_NUMBERS = (
-    ("89504E470D0A1A0A", "image/png"),
-    ("FFD8FF", "image/jpeg"),
-    ("474946383761", "image/gif"),
-    ("474946383961", "image/gif"),
-    ("424D", "image/bmp"),
-    ("255044462D", "application/pdf"),
-    ("7B5C727466", "application/rtf"),
+# Fixed values of the public table for sniffing content types, used when a probe carries none:
+# type, position of the signature, its bytes in hex, and its mask (None: all bits count).
+SIGNATURES = (
+    ("image/x-icon", 0, "00000100", None),
+    ("image/x-icon", 0, "00000200", None),
+    ("image/bmp", 0, "424D", None),
+    ("image/gif", 0, "474946383761", None),
+    ("image/gif", 0, "474946383961", None),
+    ("image/webp", 0, "5249464600000000574542505650", "FFFFFFFF00000000FFFFFFFFFFFF"),
+    ("image/png", 0, "89504E470D0A1A0A", None),
+    ("image/jpeg", 0, "FFD8FF", None),
+    ("audio/aiff", 0, "464F524D0000000041494646", "FFFFFFFF00000000FFFFFFFF"),
+    ("audio/mpeg", 0, "494433", None),
+    ("application/ogg", 0, "4F67675300", None),
+    ("audio/midi", 0, "4D54686400000006", None),
+    ("video/avi", 0, "524946460000000041564920", "FFFFFFFF00000000FFFFFFFF"),
+    ("audio/wave", 0, "524946460000000057415645", "FFFFFFFF00000000FFFFFFFF"),
+    ("video/mp4", 4, "66747970", None),
+    ("video/webm", 0, "1A45DFA3", None),
+    ("font/ttf", 0, "00010000", None),
+    ("font/otf", 0, "4F54544F", None),
+    ("font/collection", 0, "74746366", None),
+    ("font/woff", 0, "774F4646", None),
+    ("font/woff2", 0, "774F4632", None),
+    ("application/vnd.ms-fontobject", 34, "4C50", None),
+    ("application/x-gzip", 0, "1F8B08", None),
+    ("application/zip", 0, "504B0304", None),
+    ("application/x-rar-compressed", 0, "526172211A0700", None),
+    ("application/pdf", 0, "255044462D", None),
+    ("application/postscript", 0, "252150532D41646F62652D", None),
+    ("application/rtf", 0, "7B5C727466", None),
+    ("text/plain", 0, "FEFF", None),
+    ("text/plain", 0, "FFFE", None),
+    ("text/plain", 0, "EFBBBF", None),
 )
+HTML_OPENINGS = (
+    "<!DOCTYPE HTML", "<HTML", "<HEAD", "<SCRIPT", "<IFRAME", "<H1", "<DIV", "<FONT", "<TABLE", "<A",
+    "<STYLE", "<TITLE", "<B", "<BODY", "<BR", "<P", "<!--",
+)
 
 # Tool-log rules in order of precedence: (phrases, error class).
 LOG_RULES = (

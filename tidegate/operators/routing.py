@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.constants import (
     DASH_MIME,
-    MAGIC_NUMBERS,
     MAX_ATTEMPTS,
     MJPEG_MIME,
     MJPEG_SUFFIXES,
@@ -17,14 +16,7 @@ from tidegate.functions.constants import (
     TEXT_SUFFIXES,
 )
 from tidegate.functions.urls import HTTP_REGEX, RTSP_REGEX, has_suffix, url_host
-
-
-def sniff_mime(sniff_hex: Column) -> Column:
-    """MIME type of leading bytes given as upper-case hex; blank where unknown."""
-    return F.coalesce(
-        *[F.when(sniff_hex.startswith(magic), F.lit(mime)) for magic, mime in MAGIC_NUMBERS],
-        F.lit(""),
-    )
+from tidegate.operators.signatures import default_signatures, identify
 
 
 def classify_mime(
@@ -33,25 +25,30 @@ def classify_mime(
     text_types: Iterable[str] = TEXT_MIME_TYPES,
     text_suffixes: Iterable[str] = TEXT_SUFFIXES,
     max_attempts: int = MAX_ATTEMPTS,
+    signatures: DataFrame | None = None,
 ) -> DataFrame:
     """One row per probed URL: mime, is_image, is_text and probe_failed.
 
-    The first attempt that answers decides. A transport failure answers with a blank type.
+    The first attempt that answers decides. A transport failure answers with a blank type; an answer without
+    a type has that of its leading bytes in ``signatures`` (by default the public sniffing table).
     Picking the first answer is a partially aggregated ``min`` over a struct led by the attempt.
     """
     transport = F.col("error_kind").isNotNull()
     answered = transport | F.col("status_code").between(200, 299)
-    mime = F.when(transport, F.lit("")).otherwise(
-        F.coalesce(F.nullif(F.col("content_type"), F.lit("")), sniff_mime(F.col("sniff_hex")))
-    )
-    first = F.min(F.when(answered, F.struct("attempt", mime.alias("mime"))))
+    stated = F.when(transport, F.lit("")).otherwise(F.nullif(F.col("content_type"), F.lit("")))
+    answer = F.struct("attempt", stated.alias("mime"), F.col("sniff_hex").alias("hex"))
+    first = F.min(F.when(answered, answer))
     chosen = (
         probes.where(F.col("attempt") <= max_attempts)
         .groupBy(key, "url")
         .agg(first.alias("answer"))
     )
-    found = F.coalesce("answer.mime", F.lit(""))
-    return chosen.select(
+    bytes_known = chosen.withColumn("_hex", F.when(F.col("answer.mime").isNull(), F.col("answer.hex")))
+    if signatures is None:
+        signatures = default_signatures(probes.sparkSession)
+    typed = identify(bytes_known, "_hex", [key, "url"], signatures, "_sniffed")
+    found = F.coalesce("answer.mime", "_sniffed", F.lit(""))
+    return typed.select(
         key,
         "url",
         found.alias("mime"),
