@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.sqltext import ascii_lower, words
+from tidegate.llm.sqltext import ascii_lower, unused, words
 from tidegate.session import materialise
 
 WINDOW = 10
@@ -163,6 +163,7 @@ def remove_documents(
 
     A narrow filter: hashes are looked up in the literal set, then the words of the hits in the
     set of window texts. Beyond ``set_windows`` windows the rows are numbered and the hits joined.
+    Columns of ``docs`` may have any names.
     """
     windows = materialise(benchmark_windows(items, item_id, item_text, n), "benchmark-windows")
     sizes, bounded = _window_set(windows, set_windows)
@@ -172,13 +173,16 @@ def remove_documents(
         texts = sorted({text for known in sizes.values() for _, text in known})
         inside = ", ".join(f"'{text}'" for text in texts)
         # From a generator, so that the optimizer does not split the text anew for each window.
-        probe = docs.select("*", F.explode(F.array(_word_array(text_col))).alias("__words"))
-        hits = _hits(sizes, True, "__words")
+        found = unused(docs.columns, "__words")
+        probe = docs.select("*", F.explode(F.array(_word_array(text_col))).alias(found))
+        hits = _hits(sizes, True, found)
         clean = probe.filter(f"NOT exists({hits}, h -> h.window IN ({inside}))")
-        return clean.drop("__words")
-    numbered = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    places = numbered.select("__row", _word_array(text_col).alias("words")).select(
-        "__row", F.expr(f"inline({_hits(sizes, False)})")
+        return clean.drop(found)
+    row = unused(docs.columns, "__row")
+    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    places = numbered.select(F.col(row).alias("row"), _word_array(text_col).alias("words")).select(
+        "row", F.expr(f"inline({_hits(sizes, False)})")
     )
     hit = places.join(windows.select("window", "size"), ["window", "size"], "left_semi")
-    return numbered.join(hit.select("__row").distinct(), "__row", "left_anti").drop("__row")
+    dirty = hit.select(F.col("row").alias(row)).distinct()
+    return numbered.join(dirty, row, "left_anti").drop(row)

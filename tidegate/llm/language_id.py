@@ -64,7 +64,7 @@ def train(
         .withColumn("rank", F.row_number().over(first))
         .filter(F.col("rank") <= rows)
     )
-    # An id that repeats is one sampled row, with all its texts.
+    # An id that repeats is one sampled row, with one of its texts (the least).
     chosen = ranked.groupBy("id", "label").agg(F.min("rank").alias("rank"))
     taken = F.count(F.lit(1)).over(Window.partitionBy("label"))
     chosen = chosen.withColumn("most", F.ceil(F.lit(DICTIONARY_BYTES // SLICES) / taken).cast("int"))
@@ -80,7 +80,11 @@ def train(
             for i in range(SLICES)
         )
     )
-    sample = texts.join(F.broadcast(chosen), ["id", "label"]).select("label", "rank", slices.alias("slices"))
+    sample = (
+        texts.join(F.broadcast(chosen), ["id", "label"])
+        .groupBy("id", "label", "rank")
+        .agg(F.min(slices).alias("slices"))
+    )
     found: dict[str, list] = {}
     for row in sample.collect():
         found.setdefault(row["label"], []).append((row["rank"], row["slices"]))

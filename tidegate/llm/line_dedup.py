@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegate.llm.sqltext import unused
 from tidegate.session import materialise
 
 #: Words of the shortest run that counts as a passage.
@@ -141,29 +142,32 @@ def dedup(
     id and text are one document and treated alike. Columns of ``docs`` named like the two counts
     are replaced.
     """
+    own_doc, own_sig, own_runs, own_left = (
+        unused(docs.columns, name) for name in ("__doc", "__sig", "__runs", "__left")
+    )
     runs = materialise(
         repeated_runs(docs, id_col, text_col, least).select(
-            F.col("doc").alias("__doc"), F.col("sig").alias("__sig"), F.col("runs").alias("__runs")
+            F.col("doc").alias(own_doc), F.col("sig").alias(own_sig), F.col("runs").alias(own_runs)
         ),
         "line-runs",
     )
     own, sig = _key(id_col, text_col)
     # The runs follow the data and have no bound: they are never broadcast.
-    same = (sig == F.col("__sig")) & own.eqNullSafe(F.col("__doc"))
+    same = (sig == F.col(own_sig)) & own.eqNullSafe(F.col(own_doc))
     joined = docs.join(runs.hint("merge"), same, "left")
     text = F.col(text_col).cast("string")
     lines = F.split(text, "\n")
-    dead = lambda i: F.exists("__runs", lambda run: (i >= run["first"]) & (i <= run["last"]))
+    dead = lambda i: F.exists(own_runs, lambda run: (i >= run["first"]) & (i <= run["last"]))
     kept = F.filter(lines, lambda _, i: ~dead(i))
     solid = lambda parts: F.size(F.filter(parts, lambda part: part.rlike(r"\S")))
     n_lines = F.when(text.isNull(), F.lit(0)).otherwise(solid(lines))
-    cut = F.col("__runs").isNotNull()
-    out = joined.withColumn("__left", F.when(cut, F.array_join(kept, "\n")).otherwise(text))
-    left = F.split("__left", "\n")
+    cut = F.col(own_runs).isNotNull()
+    out = joined.withColumn(own_left, F.when(cut, F.array_join(kept, "\n")).otherwise(text))
+    left = F.split(own_left, "\n")
     n_deleted = F.when(cut, n_lines - solid(left)).otherwise(F.lit(0))
     names = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
     return out.select(
-        *(F.col("__left").alias(c) if c == text_col else F.col(c) for c in names),
+        *(F.col(own_left).alias(c) if c == text_col else F.col(c) for c in names),
         n_lines.cast("bigint").alias("n_lines"),
         n_deleted.cast("bigint").alias("n_deleted"),
     )

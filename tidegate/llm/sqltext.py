@@ -26,3 +26,11 @@ def words(text: Column) -> Column:
 def spaced(text: Column) -> Column:
     """Words of a lower-cased text with one space before, between and after them."""
     return F.concat(F.lit(" "), F.array_join(words(text), " "), F.lit(" "))
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column is called so (in any case)."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
