@@ -40,4 +40,4 @@ def test_an_id_on_many_rows_is_one_sampled_text(spark):
     few = spark.createDataFrame([(8, "der schnelle Fuchs springt", "de"), (9, "ein Hund", "de")], "doc_id bigint, text string, lang string")
     model = language_id.train(many.unionByName(few), F.lit(True))
     assert set(model.dictionaries) == {"en", "de"}
-    assert len(model.dictionaries["en"].split(b"fox")) == 2
+    assert len(model.dictionaries["en"]) < 30
