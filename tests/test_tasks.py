@@ -180,3 +180,21 @@ def test_source_documents(spark, tmp_path):
     (tmp_path / "s.json").write_text('{"id":"a","sourceType":{"isLive":true},"details":{"url":"","radioStreamUrl":"r"}}\n')
     row = read_sources(spark, str(tmp_path), "json").first()
     assert (row["source_id"], row["is_live"], row["details"]["url"], row["details"]["radio_stream_url"]) == ("a", True, None, "r")
+
+
+def test_repeated_ids_do_not_multiply_tasks(spark):
+    kinds = "source_id STRING, is_live BOOLEAN, details STRUCT<url: STRING, radio_stream_url: STRING>"
+    catalogue = spark.createDataFrame(
+        [("s", False, (None, "")), ("s", True, ("http://b", None)), ("s", False, ("http://a", None)), ("s", True, (None, "http://0"))],
+        kinds,
+    )
+    free = {"url": None, "record_start": None, "record_end": None, "source_id": "s"}
+    tasks = frame(spark, {"one": free, "two": free}).drop("is_live")
+    got = t.resolve_sources(tasks, catalogue)
+    assert got.count() == 2
+    assert set(by_case(got, "stream_url", "is_live").values()) == {("http://a", False)}
+    overrides = spark.createDataFrame(
+        [("task1", "b.url", ""), ("task1", "a.url", None), ("task1", "", "t")], "task_id STRING, url STRING, tdo_id STRING"
+    )
+    merged = t.merge_overrides(frame(spark, {"no url": {"url": ""}}), overrides)
+    assert [(r["url"], r["tdo_id"]) for r in merged.select("url", "tdo_id").collect()] == [("a.url", "t")]

@@ -118,20 +118,23 @@ def log_tail(
 ) -> DataFrame:
     """The last ``limit`` bytes of each log, line by line; the oldest line is cut to its tail.
 
+    Lines are cut to their last ``limit`` bytes before any shuffle; no more of one can be kept.
     Tails are taken per (stream, block) first. What reaches the per-stream window is at most
     ``limit`` bytes per block, so a hot log is reduced before it meets its own task.
     """
-    sized = with_block(logs, order, block_rows).withColumn(
-        "_size", F.octet_length(line).cast("bigint") + 1
-    )
+    whole = F.col(line).cast("binary")
+    length = F.octet_length(whole)
+    short = F.when(length > limit, F.substring(whole, length - limit + 1, F.lit(limit))).otherwise(whole)
+    lean = logs.select(key, order, short.alias("_raw"), (length.cast("bigint") + 1).alias("_size"))
+    sized = with_block(lean, order, block_rows)
     tails = _keep_tail(sized, [key, BLOCK], order, limit)
     kept = _keep_tail(tails, [key], order, limit)
     room = (F.lit(limit) - F.col("_after") - 1).cast("int")
-    raw = F.col(line).cast("binary")
+    raw = F.col("_raw")
     cut = F.when(room <= 0, F.lit("")).otherwise(
         F.substring(raw, F.octet_length(raw) - room + 1, room).cast("string")
     )
-    text = F.when(F.col("_size") + F.col("_after") > limit, cut).otherwise(F.col(line))
+    text = F.when(F.col("_size") + F.col("_after") > limit, cut).otherwise(raw.cast("string"))
     return kept.select(key, order, text.alias(line))
 
 

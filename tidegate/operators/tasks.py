@@ -101,7 +101,10 @@ def _spread(wanted: Column, *salt: str) -> Column:
 def merge_overrides(
     tasks: DataFrame, overrides: DataFrame, defaults: dict[str, object] | None = None
 ) -> DataFrame:
-    """Fields of ``overrides`` (unique ``task_id``) win over the task, defaults fill blanks."""
+    """Fields of ``overrides`` win over the task, defaults fill blanks.
+
+    A ``task_id`` that repeats counts once: of each field, the least value that is not blank.
+    """
     fields = [c for c in overrides.columns if c != "task_id"]
     defaults = defaults or {}
     keyed = overrides.select(
@@ -112,6 +115,8 @@ def merge_overrides(
             for c in fields
         ],
     )
+    # One row per task, whatever the table holds: a repeated id must not multiply tasks.
+    keyed = keyed.groupBy("_key").agg(*[F.min(f"_over_{c}").alias(f"_over_{c}") for c in fields])
     salted = tasks.withColumn("_key", _spread(F.col("task_id"), "job_id", "tdo_id"))
     merged = salted.join(keyed, "_key", "left")
     changes = {}
@@ -128,14 +133,20 @@ def resolve_sources(tasks: DataFrame, sources: DataFrame) -> DataFrame:
 
     Precedence: the task's URL, its inline details, the catalogue. Only tasks that need the
     catalogue carry its key into the join; whether the catalogue is broadcast is left to its
-    size, and a hot source in a shuffled join is split by adaptive execution.
+    size, and a hot source in a shuffled join is split by adaptive execution. A source that the
+    catalogue lists several times counts once: its first row with a URL, in order of its columns.
     """
     catalogue = sources.select(
         F.col("source_id").alias("_key"),
         F.col("is_live").alias("_live"),
         blank_to_null(F.col("details.url")).alias("_url"),
         blank_to_null(F.col("details.radio_stream_url")).alias("_radio"),
-        F.lit(True).alias("_found"),
+    )
+    # One row per source: a repeated id must not multiply tasks.
+    empty = (F.col("_url").isNull() & F.col("_radio").isNull()).alias("empty")
+    first = F.min(F.struct(empty, F.col("_url").isNull(), "_url", "_radio", "_live")).alias("first")
+    catalogue = catalogue.groupBy("_key").agg(first).select(
+        "_key", "first._live", "first._url", "first._radio", F.lit(True).alias("_found")
     )
     needs_details = F.col("url").isNull()
     inline = needs_details & F.col("source_details").isNotNull()
