@@ -9,8 +9,10 @@ from tidegate.llm.sqltext import ascii_lower, unused, words
 from tidegate.session import materialise
 
 WINDOW = 10
-#: Windows that the broadcast hash set holds at most; beyond it windows are joined by shuffle.
+#: Windows that the literal hash set holds at most.
 SET_WINDOWS = 50_000
+#: Hashes of windows (two longs each) that are broadcast at most, where there are more of them than that.
+BROADCAST_CODES = 2_000_000
 
 _SEPARATOR = " "
 
@@ -44,18 +46,20 @@ def _in_set(value: str, codes: list[int]) -> str:
     return f"{value} IN ({', '.join(listed)})" if codes else "false"
 
 
-def _hits(sizes: dict[int, list[tuple[int, str]]], filtered: bool, column: str = "words") -> str:
+def _starts(size: int, column: str) -> str:
+    return f"IF(size({column}) >= {size}, sequence(1, size({column}) - {size} + 1), array())"
+
+
+def _hits(sizes: dict[int, list[tuple[int, str]]], column: str = "words") -> str:
     """SQL for the places of a document's windows, ``array<struct<at, size, window>>``.
 
     The hash of each token window is looked up in the set; the words of those found are kept, so
-    that they can be compared. Without the set every window is a candidate.
+    that they can be compared.
     """
     parts = []
     for size, known in sorted(sizes.items()):
-        places = f"IF(size({column}) >= {size}, sequence(1, size({column}) - {size} + 1), array())"
-        if filtered:
-            codes = sorted({code for code, _ in known})
-            places = f"filter({places}, i -> {_in_set(f'xxhash64(slice({column}, i, {size}))', codes)})"
+        codes = sorted({code for code, _ in known})
+        places = f"filter({_starts(size, column)}, i -> {_in_set(f'xxhash64(slice({column}, i, {size}))', codes)})"
         parts.append(
             f"transform({places}, i -> struct(i - 1 AS at, {size} AS size,"
             f" array_join(slice({column}, i, {size}), '{_SEPARATOR}') AS window))"
@@ -63,6 +67,41 @@ def _hits(sizes: dict[int, list[tuple[int, str]]], filtered: bool, column: str =
     return f"concat({', '.join(parts)})" if parts else "cast(array() AS array<struct<at:int,size:int,window:string>>)"
 
 
+def _all_windows(sizes: dict[int, list], text: bool, column: str = "words") -> str:
+    """SQL for the hash of every window of a document, and with ``text`` its words."""
+    words = f", array_join(slice({column}, i, {{size}}), '{_SEPARATOR}') AS window" if text else ""
+    parts = [
+        f"transform({_starts(size, column)}, i -> struct(i - 1 AS at, {size} AS size,"
+        f" xxhash64(slice({column}, i, {size})) AS code{words.format(size=size)}))"
+        for size in sorted(sizes)
+    ]
+    return f"concat({', '.join(parts)})"
+
+
+def _bounded(table: DataFrame, most: int) -> DataFrame:
+    """``table``, to be broadcast if it has at most ``most`` rows."""
+    return F.broadcast(table) if table.limit(most + 1).count() <= most else table
+
+
+def _occurring(docs: DataFrame, text_col: str, windows: DataFrame, sizes: dict[int, list]) -> DataFrame:
+    """Those of ``windows`` whose hash occurs in a document: far fewer, unless the corpus is made of benchmarks.
+
+    Only hashes of the documents' windows meet the benchmark's; no text is written or shuffled.
+    """
+    codes = docs.select(F.explode(F.array(_word_array(text_col))).alias("words"))
+    codes = codes.select(F.expr(f"inline({_all_windows(sizes, False)})")).select("size", "code")
+    known = windows.select("size", "code").distinct()
+    seen = codes.join(_bounded(known, BROADCAST_CODES), ["size", "code"], "left_semi").distinct()
+    return windows.join(seen, ["size", "code"], "left_semi").select(*windows.columns)
+
+
+def _window_places(rows: DataFrame, windows: DataFrame, sizes: dict[int, list]) -> DataFrame:
+    """``(row, at, size, window)`` of the windows of ``rows(row, words)`` that have a hash among ``windows``."""
+    places = rows.select("row", F.expr(f"inline({_all_windows(sizes, True)})"))
+    known = windows.select("size", "code").distinct()
+    return places.join(_bounded(known, BROADCAST_CODES), ["size", "code"], "left_semi").drop("code")
+
+
 def _window_set(windows: DataFrame, limit: int) -> tuple[dict[int, list], bool]:
     """Windows by size, and whether all of them fit the bound of the broadcast set."""
     sizes = [row["size"] for row in windows.select("size").distinct().collect()]  # at most WINDOW
@@ -75,6 +114,18 @@ def _window_set(windows: DataFrame, limit: int) -> tuple[dict[int, list], bool]:
     return out, True
 
 
+def _benchmark(
+    docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str, n: int, limit: int
+) -> tuple[DataFrame, dict[int, list], bool]:
+    """Benchmark windows, those of the set by size, and whether the set holds all that can hit."""
+    windows = materialise(benchmark_windows(items, item_id, item_text, n), "benchmark-windows")
+    sizes, bounded = _window_set(windows, limit)
+    if not bounded:
+        windows = materialise(_occurring(docs, text_col, windows, sizes), "benchmark-occurring")
+        sizes, bounded = _window_set(windows, limit)
+    return windows, sizes, bounded
+
+
 def scan(
     docs: DataFrame,
     items: DataFrame,
@@ -94,22 +145,25 @@ def scan(
 
     One pass looks up the hash of every token window in a literal hash set of benchmark windows
     and keeps the words of the hits; those are compared with the windows themselves in a join of
-    the few that remain. No text is shuffled. With more than ``set_windows`` distinct windows
-    there is no set and the join, then unhinted, does all the work; with more rows of windows and
-    items than that, the items are joined unhinted too.
+    the few that remain. No text is shuffled. With more than ``set_windows`` distinct windows, a
+    pass over hashes alone first finds those that occur in the documents, and the set holds these. Only
+    if they are too many as well does the join find the hits: on hashes, broadcast up to
+    ``BROADCAST_CODES``, and the words of those that match are compared as before.
     """
-    windows = materialise(benchmark_windows(items, item_id, item_text, n), "benchmark-windows")
-    sizes, bounded = _window_set(windows, set_windows)
+    windows, sizes, bounded = _benchmark(docs, items, text_col, item_id, item_text, n, set_windows)
     # From a generator, so that the optimizer does not split the text anew for each window.
     split = F.explode(F.array(_word_array(text_col))).alias("words")
     scanned = docs.select(F.col(id_col).alias("id"), split).select(
         F.monotonically_increasing_id().alias("row"),
         "id",
         F.size("words").cast("bigint").alias("n_words"),
-        F.expr(_hits(sizes, bounded)).alias("hits"),
+        F.expr(_hits(sizes)).alias("hits") if bounded else F.col("words"),
     )
     scanned = materialise(scanned, "decontamination-rows")
-    places = scanned.select("row", F.inline("hits"))
+    if bounded:
+        places = scanned.select("row", F.inline("hits"))
+    else:
+        places = materialise(_window_places(scanned, windows, sizes), "decontamination-hits")
     known = windows.select("window", "size").distinct()
     listed = windows.select("window", "size", "item")
     if bounded:
@@ -162,11 +216,11 @@ def remove_documents(
     """Rows of ``docs`` in which no benchmark window occurs, with all their columns.
 
     A narrow filter: hashes are looked up in the literal set, then the words of the hits in the
-    set of window texts. Beyond ``set_windows`` windows the rows are numbered and the hits joined.
-    Columns of ``docs`` may have any names.
+    set of window texts. With more than ``set_windows`` windows the sets hold those that occur in
+    the documents; if these are too many as well, the rows are numbered and the hits joined, as in
+    :func:`scan`. Columns of ``docs`` may have any names.
     """
-    windows = materialise(benchmark_windows(items, item_id, item_text, n), "benchmark-windows")
-    sizes, bounded = _window_set(windows, set_windows)
+    windows, sizes, bounded = _benchmark(docs, items, text_col, item_id, item_text, n, set_windows)
     if not sizes:
         return docs
     if bounded:
@@ -175,14 +229,13 @@ def remove_documents(
         # From a generator, so that the optimizer does not split the text anew for each window.
         found = unused(docs.columns, "__words")
         probe = docs.select("*", F.explode(F.array(_word_array(text_col))).alias(found))
-        hits = _hits(sizes, True, found)
+        hits = _hits(sizes, found)
         clean = probe.filter(f"NOT exists({hits}, h -> h.window IN ({inside}))")
         return clean.drop(found)
     row = unused(docs.columns, "__row")
     numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    places = numbered.select(F.col(row).alias("row"), _word_array(text_col).alias("words")).select(
-        "row", F.expr(f"inline({_hits(sizes, False)})")
-    )
+    split = F.explode(F.array(_word_array(text_col))).alias("words")
+    places = _window_places(numbered.select(F.col(row).alias("row"), split), windows, sizes)
     hit = places.join(windows.select("window", "size"), ["window", "size"], "left_semi")
     dirty = hit.select(F.col("row").alias(row)).distinct()
     return numbered.join(dirty, row, "left_anti").drop(row)
