@@ -8,9 +8,11 @@ and later rows are dropped while the job runs. State needs Spark's RocksDB store
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -30,6 +32,9 @@ from tidegate.session import ship_package
 from tidegate.streaming.jobs import with_event_time
 
 _FAR = 1 << 62
+# Spark also loads a processor in a worker beside the driver that does not see shipped packages, so
+# the processors travel as code, not as names in this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class Delivery(StatefulProcessor):
