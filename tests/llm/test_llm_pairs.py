@@ -100,6 +100,15 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     assert ngram_join.near_duplicates(empty).count() == 0
 
 
+def test_texts_of_one_id_tie_their_classes(spark):
+    one, two = ("alpha beta gamma delta epsilon zeta eta", "one two three four five six seven")
+    rows = [(1, one), (5, one), (5, two), (9, two), (5, None), (7, ""), (12, "own words of a text alone"), (None, two)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(df).collect()]
+    want = [(1, 3, 1), (5, 3, 1), (5, 3, 1), (9, 3, 1), (5, 0, 1), (7, 0, 7), (12, 2, 12), (None, 3, 1)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_sketch_order_never_changes_the_result(spark, monkeypatch):
     rng = random.Random(1)
     rows = [(i, " ".join(rng.choices("abcdef", k=30))) for i in range(60)]

@@ -42,8 +42,8 @@ def near_duplicates(
     smallest id reachable over links. Links are exact up to collisions of 64-bit hashes.
 
     Defined cases: null, empty and blank texts have no shingles and link with nothing; equal sets
-    link; rows that share an id are one document, which links by any of its texts; a row with a
-    null id gets the component of the documents with an equal set, or null if there are none: it
+    link; rows that share an id are one document, which links by any of its texts and has one
+    component, so equal texts of other documents meet in it; a row with a null id gets the component of the documents with an equal set, or null if there are none: it
     is not compared with other sets. Other columns are ignored, whatever their names.
 
     How it runs. (1) One pass writes a profile per row and counts all grams in a sketch of fixed
@@ -100,11 +100,18 @@ def near_duplicates(
     tested3 = test(pairs, "ngram-cross")
     links = links.unionByName(tested3.filter("linked"))
     spark.sql(f"DROP TABLE {table}")
-    groups = connected_components(links)
+    ties = _ties(profiles, classes)
+    groups = materialise(
+        connected_components(links.select("a", "b").unionByName(ties)), "ngram-groups"
+    )
     member = classes.join(groups, "node", "left").select(
         "digest", "digest2", "n", F.coalesce("component", "node").alias("component")
     )
-    out = profiles.join(member, ["digest", "digest2", "n"], "left")
+    key = ["digest", "digest2", "n"]
+    worded = profiles.filter("n > 0").join(member, key, "left").select("id", "n", "component")
+    # A text without words belongs with the other texts of its id, if there are any.
+    blank = profiles.filter("n = 0").join(groups, F.col("id") == F.col("node"), "left")
+    out = worded.unionByName(blank.select("id", "n", "component"))
     return out.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
@@ -112,6 +119,21 @@ def near_duplicates(
     )
 
 
+def _ties(profiles: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(a, b)``: an id that stands on different sets, with the node of each of them."""
+    sizes = F.struct("n", "digest", "digest2")
+    several = (
+        profiles.filter("id IS NOT NULL")
+        .groupBy("id")
+        .agg(F.min(sizes).alias("low"), F.max(sizes).alias("high"))
+        .filter("low <> high")
+        .select("id")
+    )
+    held = profiles.filter("n > 0").join(several, "id", "left_semi")
+    tied = held.join(classes, ["digest", "digest2", "n"])
+    return tied.filter("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b")).distinct()
+
+
 def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose id is the smallest of its component; rows without an id stay."""
     dropped = groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
