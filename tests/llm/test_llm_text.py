@@ -70,6 +70,29 @@ def test_pseudonyms_keep_formats_and_link_values(spark):
     assert pii.pseudonymise(docs.limit(0), "key").count() == 0
 
 
+def _iban_rest(plain):
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+
+def test_pseudonyms_of_account_numbers_stay_valid_and_linked(spark):
+    def made(country, account):
+        return f"{country}{98 - _iban_rest(country + '00' + account):02d}{account}"
+
+    plain = ["GB82WEST12345698765432", "DE89370400440532013000", *(made("DE", f"{7 * k:018d}") for k in range(300))]
+    assert all(_iban_rest(p) == 1 for p in plain)
+    spaced = " ".join(plain[1][i : i + 4] for i in range(0, 22, 4))
+    texts = [*(f"pay {p}, soon" for p in plain), f"pay {spaced}, soon", "pay DE88370400440532013000, soon", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in pii.pseudonymise(docs, "key").collect()}
+    new = [got[i]["text"][4:-6] for i in range(len(plain))]
+    assert all(_iban_rest(n) == 1 and n[:2] == p[:2] and len(n) == len(p) for n, p in zip(new, plain))
+    assert len(set(new)) == len(plain) and new[0][4:8] == "WEST" and new[0] != plain[0]
+    n = len(plain)
+    assert got[n]["text"][4:-6].replace(" ", "") == new[1] and got[n]["text"].count(" ") == texts[n].count(" ")
+    assert got[n + 1]["text"] == texts[n + 1] and got[n + 2]["text"] is None
+    assert [got[i]["n_iban"] for i in (0, n, n + 1, n + 2)] == [1, 1, 0, 0]
+
+
 def test_feistel_is_a_permutation(spark):
     grid = spark.range(60).select((F.col("id") % 6).alias("l"), F.floor(F.col("id") / 6).alias("r"))
     state = pii._feistel("k", "t", F.col("l"), F.col("r"), F.lit(6), F.lit(10))

@@ -14,6 +14,7 @@ ROUNDS = 8
 # it fits as a whole.
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 _SECRET = r"(?i:\b(?:password|passwd|secret|token|api_?key)\s*[=:]\s*[\"']?)[A-Za-z0-9+/_-]{8,}"
+_IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
 _HEX = r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])"
 _CARD = r"(?<![0-9A-Za-z.+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])(?![.-][0-9])"
 _PHONE = r"(?<![0-9A-Za-z.-])(?:\+?1[^0-9A-Za-z\n]{0,5})?(?:\([0-9]{3}\)[^0-9A-Za-z\n]{0,5}|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
@@ -22,8 +23,10 @@ _SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 _ADDRESS = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])"
 _DATE = r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z])(?![./-][0-9])"
 
-_ALL = "|".join((_EMAIL, _SECRET, _HEX, _CARD, _SSN, _PHONE, _ABROAD, _ADDRESS, _DATE))
+_ALL = "|".join((_EMAIL, _SECRET, _HEX, _IBAN, _CARD, _SSN, _PHONE, _ABROAD, _ADDRESS, _DATE))
 KINDS = ("email", "secret", "card", "ssn", "phone", "ip", "date")
+#: Account numbers came later: their count follows the others.
+_COUNTED = (*KINDS, "iban")
 
 #: Days of the Gregorian calendar's cycle of 400 years, and the first one of the permuted range.
 _CYCLE = (189, 773)
@@ -35,13 +38,14 @@ def derive_key(secret: str) -> str:
     return hashlib.sha256(f"pseudonyms:{secret}".encode()).hexdigest()
 
 
-def _round(key: str, kind: str, i: Column, half: Column) -> Column:
+def _round(key: str, kind: str | Column, i: Column, half: Column) -> Column:
     """Round function: 60 bits of a digest of key, kind, round and the other half."""
-    text = F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), half.cast("string"))
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    text = F.concat_ws("|", F.lit(key), kind, i.cast("string"), half.cast("string"))
     return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("bigint")
 
 
-def _feistel(key: str, kind: str, left: Column, right: Column, a: Column, b: Column) -> Column:
+def _feistel(key: str, kind: str | Column, left: Column, right: Column, a: Column, b: Column) -> Column:
     """Permutation of ``[0, a) x [0, b)``: the halves are shifted in turn by a keyed hash of the other.
 
     Every round can be undone, whatever ``a`` and ``b``, so different values stay different.
@@ -98,7 +102,7 @@ def _luhn(digits: Column) -> Column:
 
 
 def _power(exponent: Column) -> Column:
-    return F.element_at(F.array(*(F.lit(10**i).cast("bigint") for i in range(12))), exponent + 1)
+    return F.element_at(F.array(*(F.lit(10**i).cast("bigint") for i in range(16))), exponent + 1)
 
 
 def _card(key: str, match: Column) -> Column:
@@ -238,8 +242,39 @@ def _date(key: str, match: Column) -> Column:
     return F.when(day.between(0, a * b - 1), F.element_at(shaped, 1))
 
 
+def _mod97(text: Column) -> Column:
+    """Remainder by 97 of a text read as a number, A to Z as 10 to 35."""
+    value = lambda c: F.when(c.rlike("^[0-9]$"), c.try_cast("int")).otherwise(F.ascii(c) - 55)
+    step = lambda s, c: F.pmod(s * F.when(c.rlike("^[0-9]$"), 10).otherwise(100) + value(c), F.lit(97))
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), step)
+
+
+def _check(country: Column, account: Column) -> Column:
+    """The two check digits of an account number."""
+    return _zeros(98 - _mod97(F.concat(account, country, F.lit("00"))), 2)
+
+
+def _iban(key: str, match: Column) -> Column:
+    """Country, letters and spaces stay, the account's digits are permuted, the check digits computed anew."""
+    plain = F.replace(match, F.lit(" "), F.lit(""))
+    country, account = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5))
+    digits = _digits(account)
+    low = F.floor(F.length(digits) / 2).cast("int")
+    high = (F.length(digits) - low).cast("int")
+    # The halves of one shape of account only are permuted among each other.
+    shape = F.concat(F.lit("iban|"), country, F.regexp_replace(account, "[0-9]", "0"))
+    state = _feistel(key, shape, _number(digits, 1, high), _number(digits, high + 1, low), _power(high), _power(low))
+    moved = F.transform(
+        F.array(state), lambda s: F.concat(_zeros(s["left"], high), _zeros(s["right"], low))
+    )
+    made = F.transform(moved, lambda d: _fill(account, d))
+    whole = F.transform(made, lambda a: _fill(match, _digits(F.concat(_check(country, a), a))))
+    valid = (F.substr(plain, F.lit(3), F.lit(2)) == _check(country, account)) & (low > 0) & (high <= 15)
+    return F.when(valid, F.element_at(whole, 1))
+
+
 def _email(key: str, match: Column) -> Column:
-    """A keyed name in a reserved domain; letter case does not matter."""
+    """A keyed name of 48 bits in a reserved domain; letter case does not matter."""
     name = F.substring(F.sha2(F.concat(F.lit(f"{key}|email|"), F.lower(match)), 256), 1, 12)
     return F.concat(F.lit("u"), name, F.lit("@example.invalid"))
 
@@ -272,6 +307,7 @@ def _pseudonym(key: str) -> Callable[[Column], Column]:
             F.when(match.contains("@"), named("email", _email(key, match), match))
             .when(match.rlike("[=:]"), named("secret", _secret(key, match), match))
             .when(match.rlike(whole(_HEX)), named("secret", mixed, match))
+            .when(match.rlike("^[A-Z]{2}[0-9]"), named("iban", _iban(key, match), match))
             .when(match.rlike(whole(_SSN)), named("ssn", _ssn(key, match), match))
             .when(match.rlike(whole(_DATE)), named("date", _date(key, match), match))
             .when(match.rlike(whole(_ADDRESS)), named("ip", _ip(key, match), match))
@@ -287,12 +323,13 @@ def pseudonymise(
 ) -> DataFrame:
     """``(id_col, text_col, n_<kind> ...)`` per row: the text with private values replaced.
 
-    Card numbers (13 to 19 digits, Luhn-valid), social security numbers, phone numbers, network
+    Card numbers (13 to 19 digits, Luhn-valid), account numbers (IBAN, check digits valid), social security numbers, phone numbers, network
     addresses and dates that are valid are permuted within their format: digits change, signs
     between them, lengths, check digits and validity stay. Equal values get equal pseudonyms in all
     documents, different values different ones, and only the key leads back. E-mail addresses and
     secrets (what follows a password or token sign, and 32 to 64 hexadecimal digits with a letter
-    among them) get keyed names. Numbers that are not valid stay as they are. Counts are by kind.
+    among them) get keyed names, cut to 48 bits and to four bits a character: different ones of those
+    may meet, as permuted numbers and dates never do. Numbers that are not valid stay as they are. Counts are by kind.
 
     Null texts stay null with counts of 0. Rows are kept one for one in a narrow pass without a
     shuffle; ids may be null or repeat; other columns are ignored.
@@ -312,5 +349,5 @@ def pseudonymise(
     return rows.select(
         F.col("id").alias(id_col),
         F.when(F.size("new") > 0, merged).otherwise(F.col("text")).alias(text_col),
-        *(count(kind).alias(f"n_{kind}") for kind in KINDS),
+        *(count(kind).alias(f"n_{kind}") for kind in _COUNTED),
     )
