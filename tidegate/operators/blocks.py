@@ -29,9 +29,13 @@ def running_total(
     block_rows: int = BLOCK_ROWS,
     inclusive: bool = True,
     attach: DataFrame | None = None,
+    extents: bool = False,
 ) -> DataFrame:
     """Add running sums per stream: ``amounts`` maps each new column to the summed one.
 
+    ``extents`` keeps the block number, and for each sum its value before and after the block, as
+    ``<name>_from`` and ``<name>_to``. Rows of a block then stand in one partition.
+
     ``attach`` (one row per stream) adds its columns on the way: it is joined to the block
     summaries, so the rows themselves are not shuffled for it. Streams it lacks are left out.
     """
@@ -43,8 +47,14 @@ def running_total(
     )
     before = Window.partitionBy(key).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy(key, BLOCK).agg(*[F.sum(v).alias(f"_sum_{k}") for k, v in amounts.items()])
+    ends = [
+        column
+        for k in amounts if extents
+        for base in (F.coalesce(F.sum(f"_sum_{k}").over(before), F.lit(0)),)
+        for column in (base.alias(f"{k}_from"), (base + F.col(f"_sum_{k}")).alias(f"{k}_to"))
+    ]
     bases = sums.select(
-        key, BLOCK, *[F.sum(f"_sum_{k}").over(before).alias(f"_base_{k}") for k in amounts]
+        key, BLOCK, *[F.sum(f"_sum_{k}").over(before).alias(f"_base_{k}") for k in amounts], *ends
     )
     if attach is not None:
         bases = bases.join(attach, key)
@@ -54,7 +64,7 @@ def running_total(
         for k, v in amounts.items()
     }
     out = rows.join(bases, [key, BLOCK]).withColumns(totals)
-    return out.drop(BLOCK, *[f"_base_{k}" for k in amounts])
+    return out.drop(*([] if extents else [BLOCK]), *[f"_base_{k}" for k in amounts])
 
 
 def with_stream_extent(

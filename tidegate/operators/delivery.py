@@ -150,8 +150,10 @@ def rechunk_rows(
     """Messages of streams captured as many rows; row borders leave no trace.
 
     Each row learns its byte offset, is cut at message borders, and the pieces of one message
-    (at most ``message_bytes`` bytes) are put together in offset order. ``attach`` adds columns
-    of a table with one row per stream.
+    (at most ``message_bytes`` bytes) are put together in offset order. Messages that lie inside
+    a block of rows are put together where the block's rows were numbered, so payload is exchanged
+    once; only the two messages at a block's ends are exchanged again. ``attach`` adds columns of a
+    table with one row per stream.
     """
     extra = [c for c in attach.columns if c != key] if attach is not None else []
     attach = attach.withColumnRenamed(key, "k") if attach is not None else None
@@ -160,30 +162,39 @@ def rechunk_rows(
         F.col(key).alias("k"), F.col(order).alias("o"), F.col(payload).cast("binary").alias("data")
     ).withColumn("n", _size(F.col("data")))
     placed = running_total(
-        rows.where("n > 0"), "k", "o", {"at": "n"}, block_rows, inclusive=False, attach=attach
+        rows.where("n > 0"), "k", "o", {"at": "n"}, block_rows, inclusive=False, attach=attach, extents=True
     )
-    pieces = placed.select(
-        "k",
-        *extra,
-        F.expr(f"""
-            inline_outer(transform(sequence(at div {size}L, (at + n - 1) div {size}L), c -> named_struct(
-                'chunk_no', c,
-                'piece_at', greatest(c * {size}L, at),
-                'piece', substring(data,
-                    cast(greatest(c * {size}L - at, 0L) as int) + 1,
-                    cast(least((c + 1) * {size}L, at + n) - greatest(c * {size}L, at) as int)))))
-        """),
-    )
-    return (
-        pieces.groupBy("k", "chunk_no", *extra)
-        .agg(F.expr("listagg(piece) within group (order by piece_at)").alias("value"))
-        .select(
-            F.col("k").alias(key),
-            "chunk_no",
-            F.octet_length("value").cast("bigint").alias("n_bytes"),
-            "value",
+
+    def assembled(chosen: str, *within: str) -> DataFrame:
+        pieces = placed.select(
+            "k",
+            BLOCK,
             *extra,
+            F.expr(f"""
+                inline_outer(transform(
+                    filter(sequence(at div {size}L, (at + n - 1) div {size}L), c -> {chosen}),
+                    c -> named_struct(
+                        'chunk_no', c,
+                        'piece_at', greatest(c * {size}L, at),
+                        'piece', substring(data,
+                            cast(greatest(c * {size}L - at, 0L) as int) + 1,
+                            cast(least((c + 1) * {size}L, at + n) - greatest(c * {size}L, at) as int)))))
+            """),
+        ).where("chunk_no IS NOT NULL")
+        return (
+            pieces.groupBy("k", *within, "chunk_no", *extra)
+            .agg(F.expr("listagg(piece) within group (order by piece_at)").alias("value"))
+            .select("k", "chunk_no", "value", *extra)
         )
+
+    inside = f"c * {size}L >= at_from AND (c + 1) * {size}L <= at_to"
+    whole, across = assembled(inside, BLOCK), assembled(f"NOT ({inside})")
+    return whole.unionByName(across).select(
+        F.col("k").alias(key),
+        "chunk_no",
+        F.octet_length("value").cast("bigint").alias("n_bytes"),
+        "value",
+        *extra,
     )
 
 
