@@ -179,3 +179,20 @@ def test_listed_segments_have_times(spark):
     out = m.segment_times(m.parse_manifests(spark.createDataFrame([("a", AUDIO)], "manifest_id STRING, xml STRING"), schema=MANIFEST_TIMES))
     rows = out.orderBy("number").select("number", "start_units", "duration_units", "start_us", "init_url", "url").collect()
     assert [tuple(r) for r in rows] == [(k + 1, 5 * k, 5, 500_000 * k, "init", f"m{k}") for k in range(12)]
+
+
+def test_segment_times_sort_once(spark):
+    """The windows share one sort of slim rows, and a manifest is parsed once."""
+    xml = (
+        '<MPD><Period start="PT0S"><AdaptationSet><Representation id="r" bandwidth="5">'
+        '<SegmentTemplate media="" startNumber="3"><SegmentTimeline><S t="7" d="2" r="1"/><S d="3"/><S t="40" d="1"/>'
+        '</SegmentTimeline></SegmentTemplate><SegmentList duration="4" presentationTimeOffset="9"><SegmentURL media="x"/>'
+        '<SegmentURL media="y"/></SegmentList></Representation></AdaptationSet></Period></MPD>'
+    )
+    rows = spark.createDataFrame([(1, xml)], "manifest_id bigint, xml string")
+    times = m.segment_times(m.parse_manifests(rows))
+    plan = times._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in plan.splitlines() if "Sort [" in line]) == 1
+    assert plan.count("from_xml(") == 1
+    got = sorted((r["number"], r["start_units"], r["duration_units"], r["url"]) for r in times.collect())
+    assert got == [(1, 9, 4, "x"), (2, 13, 4, "y"), (3, 7, 2, ""), (4, 9, 2, ""), (5, 11, 3, ""), (6, 40, 1, "")]

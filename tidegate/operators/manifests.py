@@ -191,6 +191,26 @@ def fill_parts(parts: Column, values: dict[str, Column]) -> Column:
     return F.array_join(F.transform(parts, one), "")
 
 
+def _packed(parts: Column) -> Column:
+    """Parts of a URL as one short text, for rows that are sorted; XML holds no NUL, so that parts them."""
+    open_ = lambda p: F.concat(p["field"], F.lit(":"), p["width"].cast("string"))
+    texts = F.transform(parts, lambda p: F.when(p["field"].isNull(), F.concat(F.lit("="), p["text"])).otherwise(open_(p)))
+    return F.array_join(texts, "\0")
+
+
+def _unpacked(packed: Column) -> Column:
+    def one(part: Column) -> Column:
+        # A template without a part is one empty text.
+        literal = part.startswith("=") | (part == "")
+        return F.struct(
+            F.when(literal, F.substr(part, F.lit(2))).alias("text"),
+            F.when(~literal, F.substring_index(part, ":", 1)).alias("field"),
+            F.when(~literal, F.substring_index(part, ":", -1).cast("int")).alias("width"),
+        )
+
+    return F.transform(F.split(packed, "\0"), one)
+
+
 def segment_times(parsed: DataFrame, key: str = "manifest_id", piece: int = PIECE) -> DataFrame:
     """One row per segment with its number, start, duration and URL.
 
@@ -198,71 +218,87 @@ def segment_times(parsed: DataFrame, key: str = "manifest_id", piece: int = PIEC
     init_url, url)``: timelines are unrolled, listed segments follow each other. Times run on
     from entry to entry and start anew at each ``t``; ``start_us`` is within the Period, after the
     presentation offset. Numbers begin at the template's start number (1 if it has none), and at
-    1 in lists. The time before an entry is a running sum over the entries of its
-    rendition since the last ``t``, the number one over all of them, so no fold carries an array along.
+    1 in lists. Times and numbers are running sums over the entries of a rendition, so no fold carries an
+    array along. All windows share one sort, whose rows hold the parts of a URL as one short text.
+    A manifest is parsed once for timelines and lists.
     """
     place = [key, "period_no", "set_no", "rep_no", "rep_id"]
     reps = _representations(parsed, key).withColumn("rep_id", F.col("rep._id"))
-    template = F.col("rep.SegmentTemplate")
-    fixed = {"RepresentationID": F.col("rep_id"), "Bandwidth": F.col("rep._bandwidth")}
-    # URLs are taken apart below the explode: once for each rendition.
-    heads = reps.select(
-        *place,
-        "period_end",
-        F.coalesce(template["_timescale"], F.lit(1).cast("bigint")).alias("timescale"),
-        F.coalesce(template["_presentationTimeOffset"], F.lit(0).cast("bigint")).alias("offset"),
-        F.coalesce(template["_startNumber"], F.lit(1).cast("bigint")).alias("start_number"),
-        fill_parts(template_parts(template["_initialization"], fixed), {}).alias("init_url"),
-        template_parts(template["_media"], fixed, ("Number", "Time")).alias("media"),
-        template["SegmentTimeline"]["S"].alias("timeline"),
+    template, listed = F.col("rep.SegmentTemplate"), F.col("rep.SegmentList")
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    entry = "array<struct<entry_no: int, t: bigint, d: bigint, r: bigint, listed_url: string>>"
+    nothing = F.array().cast(entry)
+    # A listed segment is an entry of its own, without repeats.
+    length = F.coalesce(listed["_duration"], zero)
+    timeline = F.transform(
+        template["SegmentTimeline"]["S"],
+        lambda s, i: F.struct(i.alias("entry_no"), s["_t"].alias("t"), s["_d"].alias("d"), s["_r"].alias("r"), F.lit(None).cast("string").alias("listed_url")),
+    )
+    urls = F.transform(
+        listed["SegmentURL"],
+        lambda s, i: F.struct(i.alias("entry_no"), F.lit(None).cast("bigint").alias("t"), length.alias("d"), zero.alias("r"), s["_media"].alias("listed_url")),
     )
-    entries = heads.select(
-        *[c for c in heads.columns if c != "timeline"], F.posexplode("timeline").alias("entry_no", "s")
+    fixed = {"RepresentationID": F.col("rep_id"), "Bandwidth": F.col("rep._bandwidth")}
+    kinds = F.array(
+        F.struct(
+            F.lit(False).alias("listed"),
+            F.coalesce(template["_timescale"], one).alias("timescale"),
+            F.coalesce(template["_presentationTimeOffset"], zero).alias("offset"),
+            F.coalesce(template["_startNumber"], one).alias("start_number"),
+            fill_parts(template_parts(template["_initialization"], fixed), {}).alias("init_url"),
+            _packed(template_parts(template["_media"], fixed, ("Number", "Time"))).alias("media"),
+            F.coalesce(timeline.cast(entry), nothing).alias("entries"),
+        ),
+        F.struct(
+            F.lit(True).alias("listed"),
+            F.coalesce(listed["_timescale"], one).alias("timescale"),
+            F.coalesce(listed["_presentationTimeOffset"], zero).alias("offset"),
+            one.alias("start_number"),
+            listed["Initialization"]["_sourceURL"].alias("init_url"),
+            F.lit(None).cast("string").alias("media"),
+            F.coalesce(urls.cast(entry), nothing).alias("entries"),
+        ),
     )
-    whole = Window.partitionBy(*place).orderBy("entry_no")
-    run = Window.partitionBy(*place, "run").orderBy("entry_no").rowsBetween(Window.unboundedPreceding, -1)
+    heads = reps.select(*place, "period_end", F.inline(kinds))
+    entries = heads.select(*[c for c in heads.columns if c != "entries"], F.inline("entries"))
+    whole = Window.partitionBy(*place, "listed").orderBy("entry_no")
+    upto = whole.rowsBetween(Window.unboundedPreceding, 0)
     before = whole.rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
     # Only an entry that a ``t`` or the end follows can be open: what comes after it starts anew.
-    known = F.when(F.col("s._r") < 0, 1).otherwise(F.coalesce("s._r", zero) + 1)
+    known = F.when(F.col("r") < 0, 1).otherwise(F.coalesce("r", zero) + 1)
+    gone = F.coalesce(F.sum(known * F.col("d")).over(before), zero)
     timed = (
-        entries.withColumn("run", F.count("s._t").over(whole))
-        .withColumn("after", F.coalesce(F.lead("s._t").over(whole), F.when(F.lead("entry_no").over(whole).isNull(), F.col("period_end"))))
-        .withColumn("base", F.coalesce(F.max("s._t").over(Window.partitionBy(*place, "run")), zero))
-        .withColumn("start", F.col("base") + F.coalesce(F.sum(known * F.col("s._d")).over(run), zero))
-        .withColumn("n", _repeats(F.col("start"), F.col("s._d"), F.col("s._r"), F.col("after")))
+        entries.withColumn("gone", gone)
+        .withColumn("after", F.coalesce(F.lead("t").over(whole), F.when(F.lead("entry_no").over(whole).isNull(), F.col("period_end"))))
+        # The last ``t`` so far, and what had gone by there.
+        .withColumn("base", F.last(F.when(F.col("t").isNotNull(), F.struct("t", "gone")), ignorenulls=True).over(upto))
+        .withColumn(
+            "start",
+            F.coalesce("base.t", F.when(F.col("listed"), F.col("offset")), zero)
+            + F.col("gone")
+            - F.coalesce("base.gone", zero),
+        )
+        .withColumn("n", _repeats(F.col("start"), F.col("d"), F.col("r"), F.col("after")))
         .withColumn("first", F.col("start_number") + F.coalesce(F.sum("n").over(before), zero))
     )
-    each = explode_range(timed, F.lit(0).cast("bigint"), F.col("n") - 1, "i", piece)
-    number, start = F.col("first") + F.col("i"), F.col("start") + F.col("i") * F.col("s._d")
-    unrolled = each.select(
+    opened = timed.select(
+        *place,
+        *("listed", "timescale", "offset", "start", "d", "n", "first", "init_url", "listed_url"),
+        _unpacked(F.col("media")).alias("media"),
+    )
+    each = explode_range(opened, zero, F.col("n") - 1, "i", piece)
+    number, start = F.col("first") + F.col("i"), F.col("start") + F.col("i") * F.col("d")
+    filled = fill_parts(F.col("media"), {"Number": number, "Time": start})
+    both = each.select(
         *place,
         number.alias("number"),
         start.alias("start_units"),
-        F.col("s._d").alias("duration_units"),
+        F.col("d").alias("duration_units"),
         "timescale",
         "offset",
         "init_url",
-        fill_parts(F.col("media"), {"Number": number, "Time": start}).alias("url"),
-    )
-    listed = F.col("rep.SegmentList")
-    length = F.coalesce(listed["_duration"], zero)
-    lists = reps.select(
-        *place,
-        listed.alias("rep_list"),
-        length.alias("duration_units"),
-        F.posexplode(listed["SegmentURL"]).alias("i", "segment"),
-    ).select(
-        *place,
-        (F.col("i") + 1).cast("bigint").alias("number"),
-        (F.coalesce(F.col("rep_list._presentationTimeOffset"), zero) + F.col("i") * F.col("duration_units")).alias("start_units"),
-        "duration_units",
-        F.coalesce(F.col("rep_list._timescale"), F.lit(1).cast("bigint")).alias("timescale"),
-        F.coalesce(F.col("rep_list._presentationTimeOffset"), zero).alias("offset"),
-        F.col("rep_list.Initialization._sourceURL").alias("init_url"),
-        F.col("segment._media").alias("url"),
+        F.when(F.col("listed"), F.col("listed_url")).otherwise(filled).alias("url"),
     )
-    both = unrolled.unionByName(lists)
     within = (F.col("start_units") - F.col("offset")).cast("decimal(20,0)") * MICROS / F.col("timescale")
     return both.withColumns(
         {
