@@ -121,15 +121,21 @@ def renditions(parsed: DataFrame, key: str = "manifest_id") -> DataFrame:
         s = entry["s"]
         start = F.coalesce(s["_t"], state["time"])
         n = _repeats(start, s["_d"], s["_r"], entry["after"])
-        return F.struct(
-            (start + n * s["_d"]).alias("time"),
-            (state["n"] + n).alias("n"),
-            (state["units"] + n * s["_d"]).alias("units"),
-        )
+        # The array of one binds what the new state uses several times: it is worked out once.
+        once = F.array(F.struct(start.alias("start"), n.alias("n")))
+        return F.transform(
+            once,
+            lambda e: F.struct(
+                (e["start"] + e["n"] * s["_d"]).alias("time"),
+                (state["n"] + e["n"]).alias("n"),
+                (state["units"] + e["n"] * s["_d"]).alias("units"),
+            ),
+        )[0]
 
     start = F.struct(zero.alias("time"), zero.alias("n"), zero.alias("units"))
     # Entries without a struct come from the longer side of an empty timeline.
     folded = F.aggregate(F.filter(bounded, lambda e: e["s"].isNotNull()), start, step)
+    folded = F.when(F.size(timeline) > 0, folded).otherwise(start)
     listed = F.greatest(F.coalesce(F.size("rep.SegmentList.SegmentURL"), F.lit(0)), F.lit(0))
     listed_units = listed * F.coalesce(F.col("rep.SegmentList._duration"), F.lit(0))
     totals = reps.withColumn("timed", folded)
