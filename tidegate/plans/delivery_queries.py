@@ -21,6 +21,8 @@ SMALL_MESSAGE = 16
 TIMEOUT = "24h"
 LANDED_BYTES = 4096
 RANGE_BYTES = 1000
+#: Of a scan's task; the rows don't depend on it.
+PAGE_PARTITION_BYTES = 16 << 20
 RANGE_MESSAGE = 256
 
 
@@ -259,16 +261,20 @@ def landed_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages landed as one file for each fifty of them, read back in ranges of 1,000 bytes."""
+    """Pages landed as one file for each fifty of them, read back in ranges of 1,000 bytes.
+
+    The ranges are written once, since messages and digests pass over them several times and a
+    Python source is read in full each time.
+    """
     path = scratch_path(spark, "page-files")
     pages = table(spark, sf_dir, "pages").select(
         F.expr("page_id div 50").alias("file"), "page_id", F.coalesce("html", F.lit("")).alias("html")
     )
     dealt = pages.repartition("file").sortWithinPartitions("file", "page_id")
     dealt.select("file", "html").write.partitionBy("file").text(path, lineSep="\n")
-    rows = read_ranges(spark, path, RANGE_BYTES, partition_bytes=100 * RANGE_BYTES)
+    rows = read_ranges(spark, path, RANGE_BYTES, PAGE_PARTITION_BYTES)
     file = F.regexp_extract("stream_id", r"file=(-?\d+)/", 1).cast("bigint")
-    return rows.withColumn("stream_id", file)
+    return materialise(rows.withColumn("stream_id", file), "page-ranges")
 
 
 def missing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

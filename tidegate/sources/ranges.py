@@ -38,6 +38,7 @@ _ARROW = {
     "payload": pa.binary(),
 }
 _BATCH_BYTES = 8 << 20
+_READ_BYTES = 1 << 20
 
 
 def _file_system(path: str) -> tuple[fs.FileSystem, str]:
@@ -109,12 +110,17 @@ class ByteRangeReader(DataSourceReader):
 
     def _rows(self, partition: _Ranges) -> Iterator[tuple]:
         system, _ = _file_system(self.path)
+        # Many short ranges of a file come with one read.
+        block = max(1, _READ_BYTES // self.range_bytes) * self.range_bytes
         for path, time, start, end in partition.pieces:
             file = system.open_input_file(path) if "payload" in self.columns else None
             try:
+                held, held_at = b"", start
                 for at in range(start, max(end, start + 1), self.range_bytes):
                     n = min(self.range_bytes, end - at)
-                    data = file.read_at(n, at) if file else None
+                    if file and at + n > held_at + len(held):
+                        held, held_at = file.read_at(min(block, end - at), at), at
+                    data = held[at - held_at : at - held_at + n] if file else None
                     if file and len(data) < n:
                         raise OSError(f"{path} was cut while it was read")
                     yield path, at // self.range_bytes, time, n, data
