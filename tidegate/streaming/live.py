@@ -32,11 +32,33 @@ from tidegate.session import ship_package
 from tidegate.streaming.jobs import with_event_time
 
 _FAR = 1 << 62
+#: Waiting rows that one entry of the state holds at most.
+_ENTRY_ROWS = 4096
 # Spark also loads a processor in a worker beside the driver that does not see shipped packages, so
 # the processors travel as code, not as names in this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def _packed(rows: list[tuple]) -> list[tuple]:
+    """Entries of columns: a call of the state store costs far more than the rows it carries."""
+    pieces = (rows[i : i + _ENTRY_ROWS] for i in range(0, len(rows), _ENTRY_ROWS))
+    return [tuple(map(list, zip(*piece))) for piece in pieces]
+
+
+def _unpacked(entries: Iterator[tuple]) -> list[tuple]:
+    return [row for entry in entries for row in zip(*entry)]
+
+
+def _wake_by(handle: StatefulProcessorHandle, wake: int) -> None:
+    """One timer, no later than ``wake``. It has milliseconds and must not fire before that microsecond."""
+    at = -(-wake // 1000)
+    armed = list(handle.listTimers())
+    if not armed or at < min(armed):
+        for timer in armed:
+            handle.deleteTimer(timer)
+        handle.registerTimer(at)
+
+
 class Delivery(StatefulProcessor):
     """Re-chunks the rows of one stream, in order, and ends it.
 
@@ -54,7 +76,7 @@ class Delivery(StatefulProcessor):
         self.handle = handle
         self.place = handle.getValueState("place", "seq BIGINT, n_bytes BIGINT, last_us BIGINT, ended BOOLEAN")
         self.rest = handle.getValueState("rest", "data BINARY")
-        self.waiting = handle.getListState("waiting", "o BIGINT, us BIGINT, data BINARY, is_end BOOLEAN")
+        self.waiting = handle.getListState("waiting", "o ARRAY<BIGINT>, us ARRAY<BIGINT>, data ARRAY<BINARY>, is_end ARRAY<BOOLEAN>")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         if key[0] is None:
@@ -67,10 +89,16 @@ class Delivery(StatefulProcessor):
                 return
             self._forget()
             place = None
-        fresh = [(r["o"], r["us"], r["data"], r["is_end"]) for r in rows if r["data"] or r["is_end"]]
-        if fresh:
-            self.waiting.appendList(fresh)
+        fresh = [(o, us, data, is_end) for _, o, _, us, data, is_end in rows if data or is_end]
+        if not fresh:
+            return
+        self.waiting.appendList(_packed(fresh))
+        first = min(r[1] for r in fresh)
+        if first <= timerValues.getCurrentWatermarkInMs() * 1000:
             yield from self._advance(key, place, timerValues)
+        else:
+            # None is due. What waits already has its timer, so it is not read again.
+            _wake_by(self.handle, first)
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[Row]:
         place = self.place.get()
@@ -90,7 +118,7 @@ class Delivery(StatefulProcessor):
     def _advance(self, key: Any, place: tuple | None, timers) -> Iterator[Row]:
         """Deliver what the watermark has passed and set the timer for what comes next."""
         passed = timers.getCurrentWatermarkInMs() * 1000
-        rows = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[0])
+        rows = sorted(_unpacked(self.waiting.get()), key=lambda r: r[0])
         due = [r for r in rows if r[1] <= passed]
         seq, size, last, _ = place or (0, 0, None, False)
         ended = False
@@ -122,7 +150,7 @@ class Delivery(StatefulProcessor):
         if not ended:
             left = [r for r in rows if r[1] > passed]
             if due:
-                self.waiting.put(left) if left else self.waiting.clear()
+                self.waiting.put(_packed(left)) if left else self.waiting.clear()
                 self.place.update((seq, size, last, False))
             wake = min((r[1] for r in left), default=_FAR)
             if last is not None and self.timeout_us is not None:
@@ -258,7 +286,7 @@ class Heartbeats(StatefulProcessor):
         self.place = handle.getValueState(
             "place", "first_us BIGINT, last_us BIGINT, tick BIGINT, n_bytes BIGINT, ended BOOLEAN"
         )
-        self.waiting = handle.getListState("waiting", "us BIGINT, n_bytes BIGINT")
+        self.waiting = handle.getListState("waiting", "us ARRAY<BIGINT>, n_bytes ARRAY<BIGINT>")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         if key[0] is None:
@@ -266,17 +294,22 @@ class Heartbeats(StatefulProcessor):
         place = self.place.get()
         if place and place[4]:
             return
-        fresh = [(r["us"], r["n"]) for r in rows]
-        if fresh:
-            self.waiting.appendList(fresh)
+        fresh = [(us, n) for _, _, us, n in rows]
+        if not fresh:
+            return
+        self.waiting.appendList(_packed(fresh))
+        first = min(fresh)[0]
+        if first <= timerValues.getCurrentWatermarkInMs() * 1000:
             yield from self._advance(key, place, timerValues)
+        else:
+            _wake_by(self.handle, first)
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[Row]:
         yield from self._advance(key, self.place.get(), timerValues)
 
     def _advance(self, key: Any, place: tuple | None, timers) -> Iterator[Row]:
         passed = timers.getCurrentWatermarkInMs() * 1000
-        rows = sorted(tuple(r) for r in self.waiting.get())
+        rows = sorted(_unpacked(self.waiting.get()))
         due = [r for r in rows if r[0] <= passed]
         left = rows[len(due) :]
         first, last, tick, size, ended = place or (None, None, 0, 0, False)
@@ -304,7 +337,7 @@ class Heartbeats(StatefulProcessor):
             self.waiting.clear()
             return
         if due:
-            self.waiting.put(left) if left else self.waiting.clear()
+            self.waiting.put(_packed(left)) if left else self.waiting.clear()
         wake = left[0][0] if left else _FAR
         if first is not None:
             wake = min(wake, first + tick * self.step_us, last + self.timeout_us)
