@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm import tokens
 from tidegate.llm.components import connected_components
-from tidegate.session import materialise, scratch_path, ship_package
+from tidegate.session import arrow_rows, materialise, scratch_path, ship_package
 
 #: Counters of the frequency sketch; its one byte each (a frequency class) is what gets broadcast.
 #: They blur the order of grams, not the result, once there are many more grams than counters.
@@ -23,6 +23,8 @@ RANGES = 64
 LIST_ROWS = 100_000
 #: Sets that a task remembers in order not to list equal sets twice.
 REMEMBERED = 500_000
+#: Texts, or blocks of counters, that a Python worker holds at once.
+BATCH_ROWS = 512
 
 _PROFILE = "block int, counts binary, id bigint, n bigint, digest bigint, digest2 bigint"
 
@@ -54,6 +56,13 @@ def near_duplicates(
     a component need no comparison, so a group of near copies costs its size and not its square;
     nor are their links counted.
     """
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return _components(docs, id_col, text_col, n, similar)
+
+
+def _components(
+    docs: DataFrame, id_col: str, text_col: str, n: int, similar: tuple[int, int]
+) -> DataFrame:
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(
@@ -178,7 +187,7 @@ def _digests(grams: np.ndarray) -> tuple[int, int]:
     return int(one.astype(np.int64)), int(two.astype(np.int64))
 
 
-def _small(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+def _small(batch: pa.RecordBatch, rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
 
