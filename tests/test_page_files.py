@@ -21,7 +21,7 @@ class _Counting:
         self.opened.close()
 
 
-def test_short_ranges_come_with_one_read(tmp_path, monkeypatch):
+def test_short_ranges_come_with_one_read(spark, tmp_path, monkeypatch):
     data = bytes(i * 31 % 251 for i in range(25_001))
     (tmp_path / "a").write_bytes(data)
     reads = []
