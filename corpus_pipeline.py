@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm import byte_bpe, decontamination, line_dedup, ngram_join, quality
 from tidegate.llm.queries import fold
-from tidegate.session import materialise
+from tidegate.session import arrow_rows, materialise
 
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +47,13 @@ def _decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def _encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text that is left; texts that do not decode to themselves would show."""
+    """Token ids of every text that is left; texts that do not decode to themselves would show.
+
+    The ids are written before they are decoded: a task that did both would need two Python workers.
+    """
     ranks = byte_bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    with arrow_rows(spark, ngram_join.BATCH_ROWS):
+        encoded = materialise(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN), "pipeline-tokens")
     decoded = byte_bpe.decode(encoded, ranks)
     return decoded.select(
         "doc_id",

@@ -1,14 +1,20 @@
-"""What Python workers of the n-gram join hold at once."""
+"""What Python workers hold at once, and between tasks."""
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tracemalloc
+from pathlib import Path
 
+import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from tidegate.llm import ngram_join
-from tidegate.session import arrow_rows
+import corpus_pipeline
+from tidegate.llm import byte_bpe, ngram_join, quality
+from tidegate.session import arrow_rows, give_back
 
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -46,3 +52,57 @@ def test_batches_of_texts_are_bounded(spark, monkeypatch, before, inside):
     finally:
         spark.conf.set(ROWS, usual)
     assert seen == [inside]
+
+
+def _own_mb() -> float:
+    status = Path("/proc/self/status").read_text()
+    return int(re.search(r"RssAnon:\s+(\d+)", status)[1]) / 1024
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="needs glibc")
+def test_freed_memory_goes_back_after_a_task():
+    kept = []
+
+    def run(batches):
+        # Blocks too small to be mapped one by one, and one above them that stays.
+        blocks = [np.ones(8_000) for _ in range(3_000)]
+        kept.append(np.ones(8_000))
+        yield from batches
+        del blocks
+
+    before = _own_mb()
+    batch = pa.record_batch([pa.array([1, 2])], ["x"])
+    assert [b.num_rows for b in run([batch, batch])] == [2, 2]
+    plain = _own_mb() - before
+    assert [b.num_rows for b in give_back(run)([batch, batch])] == [2, 2]
+    assert plain > 100
+    assert _own_mb() - before < 50
+
+
+def test_workers_of_the_pipeline_give_memory_back(spark, monkeypatch):
+    given = []
+
+    def noted(run):
+        given.append(run.__qualname__.split(".")[0])
+        return give_back(run)
+
+    for module in (quality, ngram_join, byte_bpe):
+        monkeypatch.setattr(module, "give_back", noted)
+    rows = [(i, f"some words of text {i}") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    quality.filter_quality(docs, quality.Model(np.zeros((1 << quality.BITS) + 1, np.float32)))
+    ngram_join.near_duplicates(docs)
+    corpus_pipeline._encoding(spark, docs, "")
+    wanted = ["filter_quality", "_profiles", "_sum_blocks", "_prefixes", "_sets", "_encoder", "_decoder"]
+    assert sorted(given) == sorted(wanted)
+
+
+def test_encoding_takes_one_python_worker_a_task(spark):
+    docs = spark.createDataFrame([(1, "some words"), (2, None), (None, "é")], "doc_id BIGINT, text STRING")
+    out = corpus_pipeline._encoding(spark, docs, "")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    ranks = byte_bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    straight = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    wanted = {(r["doc_id"], tuple(r["tokens"]), len(r["tokens"])) for r in straight.collect()}
+    assert {(r["doc_id"], tuple(r["tokens"]), r["n_tokens"]) for r in out.collect()} == wanted

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.session import ship_package
+from tidegate.session import give_back, ship_package
 
 #: Characters after which a text may be cut before white space, to bound a task's memory.
 SEGMENT = 1 << 16
@@ -192,7 +192,7 @@ def encode(
     kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("id", kind), T.StructField("tokens", T.ArrayType(T.IntegerType()))])
-    return rows.mapInArrow(_encoder(model, pattern), schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(give_back(_encoder(model, pattern)), schema).withColumnRenamed("id", id_col)
 
 
 def decode(tokens: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id") -> DataFrame:
@@ -208,4 +208,4 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id") -
     pieces = spark.sparkContext.broadcast((np.frombuffer(b"".join(parts), np.uint8), starts, sizes))
     rows = tokens.select(F.col(id_col).alias("id"), "tokens")
     schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())])
-    return rows.mapInArrow(_decoder(pieces), schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(give_back(_decoder(pieces)), schema).withColumnRenamed("id", id_col)

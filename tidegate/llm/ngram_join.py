@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm import tokens
 from tidegate.llm.components import connected_components
-from tidegate.session import arrow_rows, materialise, scratch_path, ship_package
+from tidegate.session import arrow_rows, give_back, materialise, scratch_path, ship_package
 
 #: Counters of the frequency sketch; its one byte each (a frequency class) is what gets broadcast.
 #: They blur the order of grams, not the result, once there are many more grams than counters.
@@ -68,7 +68,7 @@ def _components(
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")
     )
-    scanned = materialise(rows.mapInArrow(_profiles(n), _PROFILE), "ngram-profiles")
+    scanned = materialise(rows.mapInArrow(give_back(_profiles(n)), _PROFILE), "ngram-profiles")
     profiles = scanned.filter("block IS NULL").drop("block", "counts")
     classes = materialise(
         profiles.filter("n > 0")
@@ -247,7 +247,7 @@ def _frequency_classes(blocks: DataFrame) -> np.ndarray:
     summed = (
         blocks.select("block", "counts")
         .repartition(64, "block")
-        .mapInArrow(_sum_blocks, "block int, counts binary")
+        .mapInArrow(give_back(_sum_blocks), "block int, counts binary")
     )
     out = np.zeros((1 << (SKETCH_BITS - _BLOCK_BITS), 1 << _BLOCK_BITS), np.uint8)
     for row in summed.collect():
@@ -302,7 +302,7 @@ def _lists(
 ) -> DataFrame:
     """``(gram, node, n, pos)`` of grams that several sets list."""
     listed = rows.select("id", "text").mapInArrow(
-        _prefixes(order, n, similar), "gram bigint, digest bigint, place bigint"
+        give_back(_prefixes(order, n, similar)), "gram bigint, digest bigint, place bigint"
     )
     lists = F.shiftright("place", 56)
     listed = listed.withColumn(
@@ -356,7 +356,7 @@ def _sets(rows: DataFrame, postings: DataFrame, n: int) -> tuple[DataFrame, str]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = rows.repartition(parts, "id").join(nodes, "id", "left_semi")
     made = wanted.select("id", "text").mapInArrow(
-        run, "node bigint, grams array<bigint>, ranges array<int>"
+        give_back(run), "node bigint, grams array<bigint>, ranges array<int>"
     )
     path = scratch_path(spark, "ngram-sets")
     name = path.rsplit("/", 1)[-1].replace("-", "_")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.llm import tokens
-from tidegate.session import ship_package
+from tidegate.session import give_back, ship_package
 
 BITS = 18
 #: Labelled rows that training uses at most: those with the smallest hash of their id.
@@ -131,7 +131,7 @@ def train(
         .groupBy("id", "label", "place").agg(F.min("text").alias("text"))
     )
     ordered = sample.coalesce(1).sortWithinPartitions("place", "id").select("text", "label")
-    found = ordered.mapInArrow(_fit, "weights binary").collect()
+    found = ordered.mapInArrow(give_back(_fit), "weights binary").collect()
     if not found:
         return Model(np.zeros((1 << BITS) + 1, np.float32))
     return Model(np.frombuffer(bytes(found[0]["weights"]), np.float32))
@@ -162,7 +162,7 @@ def score(
     kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("id", kind), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(_scorer(shared), schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(give_back(_scorer(shared)), schema).withColumnRenamed("id", id_col)
 
 
 def filter_quality(
@@ -186,4 +186,4 @@ def filter_quality(
             kept = 1 / (1 + np.exp(-np.clip(margin, -35, 35))) >= least
             yield batch.filter(pa.array(kept))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(give_back(run), docs.schema)
