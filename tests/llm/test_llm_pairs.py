@@ -6,6 +6,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tidegate.llm import embedding_dedup, ngram_join
@@ -109,6 +111,61 @@ def test_texts_of_one_id_tie_their_classes(spark):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("list_rows", [100_000, 1])
+def test_lists_hold_sets_that_could_link(spark, monkeypatch, list_rows):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    # Beginnings of one text share all their grams; sizes alone tell which can link.
+    far, near = (rng.choices(vocabulary, k=400) for _ in range(2))
+    texts = [far[:k] for k in (20, 40, 80, 160, 320)]
+    texts += [near[:k] for k in (14, 40, 44, 45, 46, 60, 70, 76, 140, 141, 200, 230, 231, 300, 399)]
+    texts += [near[k:] for k in (1, 30, 90)] + [far[160:]]
+    rows = [(7 * i, " ".join(words)) for i, words in enumerate(texts)] + [(1, " ".join(near[:44]))]
+    monkeypatch.setattr(ngram_join, "LIST_ROWS", list_rows)
+    listed, make = set(), ngram_join._sets
+
+    def noted(docs, postings, n):
+        listed.update(r["node"] for r in postings.select("node").distinct().collect())
+        return make(docs, postings, n)
+
+    monkeypatch.setattr(ngram_join, "_sets", noted)
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    got = sorted(map(tuple, ngram_join.near_duplicates(docs, n=4, similar=(85, 100)).collect()))
+    sets = {i: _shingles(text, 4) for i, text in rows}
+    links = [
+        (i, j) for i in sets for j in sets
+        if i < j and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])
+    ]
+    component = _smallest(sets, links)
+    assert got == sorted((i, len(grams), component[i]) for i, grams in sets.items())
+    assert {k for i, j in links if sets[i] != sets[j] for k in (i, j)} - {49} <= listed  # 49 equals 1
+    if list_rows > 1:
+        assert not listed & {0, 7, 14, 21, 28}
+
+
+def test_blocks_of_counters_are_handed_on_packed():
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices("abcdefghijklmnop", k=200)) for _ in range(300)]
+    blocks, raw = [], 0
+    for part in (texts[:200], texts[150:]):
+        batch = pa.record_batch([pa.array(range(len(part))), pa.array(part)], ["id", "text"])
+        out = pa.Table.from_batches(ngram_join._profiles(4)([batch]))
+        made = out.filter(pc.is_valid(out["block"])).select(["block", "counts"])
+        raw += made.num_rows << ngram_join._BLOCK_BITS
+        blocks += made.to_batches()
+    assert sum(len(counts.as_py()) for batch in blocks for counts in batch["counts"]) < raw / 16
+    (summed,) = ngram_join._sum_blocks(blocks)
+    total = np.zeros(1 << ngram_join.SKETCH_BITS, np.int64)
+    for _, grams in ngram_join.batch_sets(pa.array(texts[:200] + texts[150:]), 4):
+        np.add.at(total, (grams >> np.uint64(64 - ngram_join.SKETCH_BITS)).astype(np.int64), 1)
+    want = np.minimum(255, 8 * np.log2(np.maximum(total, 1))).astype(np.uint8)
+    want = want.reshape(-1, 1 << ngram_join._BLOCK_BITS)
+    held = total.reshape(want.shape).any(axis=1)
+    assert sorted(summed["block"].to_pylist()) == np.flatnonzero(held).tolist()
+    for block, classes in zip(summed["block"].to_pylist(), summed["counts"].to_pylist()):
+        assert classes == want[block].tobytes()
+
+
 def test_sketch_order_never_changes_the_result(spark, monkeypatch):
     rng = random.Random(1)
     rows = [(i, " ".join(rng.choices("abcdef", k=30))) for i in range(60)]

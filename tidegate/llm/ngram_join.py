@@ -17,6 +17,8 @@ from tidegate.session import arrow_rows, give_back, materialise, scratch_path, s
 #: They blur the order of grams, not the result, once there are many more grams than counters.
 SKETCH_BITS = 24
 _BLOCK_BITS = 14
+#: Blocks of counters are mostly small numbers: tasks hand them on packed.
+_PACK = "zstd"
 #: Ranges of gram hashes whose counts the suffix filter compares.
 RANGES = 64
 #: Postings of a gram per list, before it is dealt out to several lists.
@@ -219,7 +221,8 @@ def _profiles(n: int) -> Callable:
             yield pa.record_batch([pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()), *own], names)
         parts = counts.reshape(-1, 1 << _BLOCK_BITS)
         for block in np.flatnonzero(parts.any(axis=1)).tolist():
-            head = [pa.array([block], pa.int32()), pa.array([parts[block].tobytes()])]
+            packed = pa.compress(parts[block].tobytes(), _PACK, asbytes=True)
+            head = [pa.array([block], pa.int32()), pa.array([packed])]
             yield pa.record_batch([*head, *(pa.nulls(1, pa.int64()) for _ in range(4))], names)
 
     return run
@@ -229,7 +232,8 @@ def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            part = np.frombuffer(counts, np.uint8).astype(np.int64)
+            plain = pa.decompress(counts, 1 << _BLOCK_BITS, _PACK, asbytes=True)
+            part = np.frombuffer(plain, np.uint8).astype(np.int64)
             total[block] = total[block] + part if block in total else part
     if total:
         classes = [
@@ -300,20 +304,30 @@ def _prefixes(order, n: int, similar: tuple[int, int]) -> Callable:
 def _lists(
     rows: DataFrame, classes: DataFrame, order, n: int, similar: tuple[int, int]
 ) -> DataFrame:
-    """``(gram, node, n, pos)`` of grams that several sets list."""
+    """``(gram, node, n, pos)`` of grams that several sets list.
+
+    A row stays only if its list has a set of a size that it could link with, by what the two can
+    share from this gram on. Linked sets meet at one gram whose rows both pass.
+    """
+    num, den = similar
     listed = rows.select("id", "text").mapInArrow(
         give_back(_prefixes(order, n, similar)), "gram bigint, digest bigint, place bigint"
     )
-    lists = F.shiftright("place", 56)
     listed = listed.withColumn(
         "deal", F.expr("pmod(xxhash64(digest), shiftleft(1L, cast(shiftright(place, 56) AS int)))")
     )
-    # Sets of other tasks may be equal: least and greatest tell whether a list has two.
-    within = Window.partitionBy("gram", "deal")
-    several = listed.withColumn("low", F.min("digest").over(within)).withColumn(
-        "high", F.max("digest").over(within)
+    # Sets of other tasks may be equal.
+    once = listed.repartition("gram", "deal").dropDuplicates(["gram", "deal", "digest", "place"])
+    once = once.withColumn("size", F.expr("shiftright(place, 28) & 268435455"))
+    # The nearest sizes tell: if these are too far off, or too large, so are all others. A dealt
+    # gram's rows may have their partners in another list.
+    nearest = Window.partitionBy("gram", "deal").orderBy("size", "digest")
+    several = once.withColumns(
+        {"below": F.lag("size").over(nearest), "above": F.lead("size").over(nearest)}
+    ).filter(
+        f"shiftright(place, 56) > 0 OR below * {den} >= size * {num} OR (size * {den} >= above * {num}"
+        f" AND (size - (place & 268435455)) * {num + den} >= {num} * (size + above))"
     )
-    several = several.filter((F.col("low") != F.col("high")) | (lists > 0))
     return (
         several.join(classes.select("digest", "node"), "digest")
         .select(
