@@ -239,3 +239,47 @@ def test_bounds_hold_for_every_pair():
     for threshold in (-0.2, 0.3, 0.8):
         found = {(i, j) for a, b in embedding_dedup._links(x, x, threshold) for i, j in zip(a, b)}
         assert found == set(zip(*np.nonzero(cosine >= threshold)))
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_pairs_of_tiles_are_neither_shuffled_nor_written(spark, monkeypatch, kind):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(300, 12))
+    x = np.concatenate([base, base[:90] + rng.normal(size=(90, 12)) * 0.2, base[7] + rng.normal(size=(110, 12)) * 0.1])
+    x = x.astype(kind if kind == "double" else np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"vec_id bigint, embedding array<{kind}>")
+    plans, materialise = {}, embedding_dedup.materialise
+
+    def seen(rows, label, *args, **more):
+        plans[label] = rows._jdf.queryExecution().executedPlan().toString()
+        return materialise(rows, label, *args, **more)
+
+    monkeypatch.setattr(embedding_dedup, "materialise", seen)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.files.maxPartitionBytes": "40k", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        got = sorted(map(tuple, embedding_dedup.near_duplicates(df, tile=16).collect()))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert "Exchange" not in plans["vector-links"]
+    unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    linked = unit @ unit.T >= 0.95
+    component = _smallest(range(len(x)), [(i, j) for i, j in zip(*np.nonzero(linked)) if j < i])
+    assert got == [(i, int(linked[i].sum()) - 1, component[i], component[i] == i) for i in range(len(x))]
+
+
+def test_counts_and_edges_of_a_task_are_folded():
+    held = embedding_dedup._Held()
+    for at in range(3):
+        held.add(np.array([5, 6, 7 + at]), np.array([1, 0, 2]))
+        held.edges.append(np.array([[5, 6], [6, 7 + at], [5, 7 + at]]))
+    assert held.size() == 15
+    held.fold()
+    assert held.size() == 8
+    out = held.flush().to_pydict()
+    assert list(zip(out["node"], out["n"]))[:4] == [(5, 3), (7, 2), (8, 2), (9, 2)]
+    assert out["other"][:4] == [None] * 4 and out["n"][4:] == [None] * 4
+    assert held.size() == 0

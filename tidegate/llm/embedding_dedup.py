@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tidegate.llm.components import connected_components
 from tidegate.session import materialise, ship_package
@@ -16,6 +18,8 @@ from tidegate.session import materialise, ship_package
 TILE = 4096
 #: Rounding slack of the single and double precision sums, far above what they can lose.
 SLACK = 1e-6
+#: Counts and edges that a task holds before it hands some on.
+HELD = 1 << 18
 
 
 def near_duplicates(
@@ -37,40 +41,41 @@ def near_duplicates(
     Rows that share an id and a vector count as two rows; rows that share an id alone are one node,
     with the links of both vectors. Other columns are ignored.
 
-    How it runs. Equal vectors become one class with a count. Classes are numbered into tiles of
-    ``tile`` vectors. A tile holds unit vectors, their int8 codes and a bound of each one's
-    rounding error. Each pair of tiles is one row of work: a product of the codes bounds every
-    cosine from above, and only pairs whose bound reaches the threshold are computed in double
-    precision. A task returns a count per vector and a forest of the links it found, so a large
-    group of near copies gives rows in proportion to its size. The work grows with the square of
-    the number of distinct vectors, in independent pieces of one bounded size.
+    How it runs. Equal vectors become one class with a count. Classes are packed into tiles of
+    ``tile`` vectors at most, written once. A task takes one partition of tiles with another, read
+    from where they are written: no pair of tiles is ever shuffled or written, so disk grows with
+    the rows, not with their square. Of each pair of tiles a product of the vectors' int8 codes
+    bounds every cosine from above, and only pairs whose bound reaches the threshold are computed
+    in double precision. A task returns a count per vector and a forest of the links it found, so a
+    large group of near copies gives rows in proportion to its size. The work grows with the square
+    of the number of distinct vectors, in independent pieces of one bounded size.
     """
     spark = vectors.sparkSession
     ship_package(spark)
+    kind = vectors.schema[vector_col].dataType
+    # Single precision stays as it is: it takes half the bytes, and doubles of it are the same numbers.
+    element = "float" if getattr(kind, "elementType", None) == FloatType() else "double"
     rows = vectors.select(
         F.col(id_col).cast("bigint").alias("id"),
-        F.col(vector_col).cast("array<double>").alias("vector"),
+        F.col(vector_col).cast(f"array<{element}>").alias("vector"),
     )
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("vector", lambda x: x != 0)
     usable = F.coalesce(F.col("id").isNotNull() & finite & some, F.lit(False))
-    key = F.sha2(F.to_json(F.struct(F.transform("vector", lambda x: x + F.lit(0.0)))), 256)
+    zero = F.lit(0.0).cast(element)  # added, it makes one number of both zeros
+    key = F.unhex(F.sha2(F.to_json(F.struct(F.transform("vector", lambda x: x + zero))), 256))
     rows = rows.withColumn("key", F.when(usable, key))
-    classes = materialise(
-        rows.filter("key IS NOT NULL")
-        .groupBy("key")
-        .agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")),
-        "vector-classes",
-    )
-    buckets = max(1, -(-classes.count() // max(1, tile * 3 // 4)))
-    tiles = materialise(_tiles(classes, tile, buckets), "vector-tiles")
-    found = materialise(_compare(tiles, threshold, buckets), "vector-links")
+    keyed = materialise(rows.select("id", "key"), "vector-keys")
+    of_class = (F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"))
+    classes = materialise(keyed.filter("key IS NOT NULL").groupBy("key").agg(*of_class), "vector-classes")
+    whole = rows.filter("key IS NOT NULL").groupBy("key").agg(*of_class, F.first("vector").alias("vector"))
+    tiles = materialise(_tiles(whole, tile, classes.count()), "vector-tiles", row_group_rows=1)
+    found = materialise(_compare(tiles, threshold), "vector-links")
     counts = found.filter("other IS NULL").groupBy("node").agg(F.sum("n").alias("n"))
     forest = found.filter("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b"))
     groups = connected_components(forest, "vector-groups")
     member = (
-        classes.select("key", "node", "copies")
-        .join(counts, "node", "left")
+        classes.join(counts, "node", "left")
         .join(groups, "node", "left")
         .select(
             "key",
@@ -78,7 +83,7 @@ def near_duplicates(
             F.coalesce("component", "node").alias("component_id"),
         )
     )
-    out = rows.select("id", "key").join(member, "key", "left")
+    out = keyed.join(member, "key", "left")
     component = F.coalesce("component_id", "id")
     return out.select(
         F.col("id").alias(id_col),
@@ -88,41 +93,65 @@ def near_duplicates(
     )
 
 
-def _tiles(classes: DataFrame, tile: int, buckets: int) -> DataFrame:
+def _tiles(classes: DataFrame, tile: int, number: int) -> DataFrame:
     """Classes packed into tiles: one row per tile with its vectors as bytes.
 
-    Tiles are cut within hash buckets; a tile has at most ``tile`` vectors, all of one length.
+    ``number`` is that of the classes. A tile has at most ``tile`` vectors, all of one length. Each
+    task packs what it holds of the aggregate, in few enough tasks that most tiles are full.
     """
-    dealt = classes.select(
-        "node", "copies", "vector", F.size("vector").alias("dim"),
-        F.pmod(F.xxhash64("key"), F.lit(buckets).cast("bigint")).alias("bucket"),
-    )
-    order = Window.partitionBy("bucket", "dim").orderBy("node")
-    dealt = dealt.withColumn("part", F.floor((F.row_number().over(order) - 1) / tile))
-
-    def pack(table: pa.Table) -> pa.Table:
-        bucket, dim, part = (table.column(c)[0].as_py() for c in ("bucket", "dim", "part"))
-        flat = np.concatenate([c.flatten().to_numpy() for c in table.column("vector").chunks])
-        x = flat.reshape(-1, dim)
-        # Scaled by the largest component first: squares neither overflow nor vanish.
-        x = x / np.abs(x).max(axis=1, keepdims=True)
-        x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-        node = table.column("node").to_numpy().astype(np.int64)
-        copies = table.column("copies").to_numpy().astype(np.int64)
-        return pa.table(
-            {
-                "bucket": pa.array([bucket], pa.int64()),
-                "dim": pa.array([dim], pa.int32()),
-                "part": pa.array([part], pa.int64()),
-                "nodes": [node.tobytes()],
-                "copies": [copies.tobytes()],
-                "units": [x.tobytes()],
-            }
-        )
+    kind = "<f4" if classes.schema["vector"].dataType.elementType == FloatType() else "<f8"
 
-    return dealt.groupBy("bucket", "dim", "part").applyInArrow(
-        pack, "bucket bigint, dim int, part bigint, nodes binary, copies binary, units binary"
-    )
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task, made, waiting = TaskContext.get().partitionId(), 0, {}
+
+        def packed(dim: int) -> pa.RecordBatch:
+            nonlocal made
+            made += 1
+            node, copies, flat = (np.concatenate(c) for c in zip(*waiting.pop(dim)))
+            return pa.RecordBatch.from_pylist(
+                [
+                    {
+                        "dim": dim,
+                        "task": task,
+                        "number": made,
+                        "nodes": node.tobytes(),
+                        "copies": copies.tobytes(),
+                        "vectors": flat.tobytes(),
+                    }
+                ],
+                pa.schema(
+                    [("dim", pa.int32()), ("task", pa.int32()), ("number", pa.int64())]
+                    + [(c, pa.binary()) for c in ("nodes", "copies", "vectors")]
+                ),
+            )
+
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+            for dim in np.unique(sizes).tolist():
+                mine = batch.filter(pa.array(sizes == dim))
+                columns = (mine.column(0).to_numpy(), mine.column(1).to_numpy(), mine.column(2).flatten().to_numpy())
+                node, copies, flat = (c.astype(k) for c, k in zip(columns, ("<i8", "<i8", kind)))
+                at = 0
+                while at < len(node):
+                    held = waiting.setdefault(dim, [])
+                    upto = min(len(node), at + tile - sum(len(h[0]) for h in held))
+                    held.append((node[at:upto], copies[at:upto], flat[at * dim : upto * dim]))
+                    at = upto
+                    if sum(len(h[0]) for h in held) == tile:
+                        yield packed(dim)
+        for dim in sorted(waiting):
+            yield packed(dim)
+
+    few = classes.select("node", "copies", "vector").coalesce(max(1, number // (4 * tile)))
+    return few.mapInArrow(pack, "dim int, task int, number bigint, nodes binary, copies binary, vectors binary")
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    # Scaled by the largest component first: squares neither overflow nor vanish.
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
 def _quantise(units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -134,27 +163,40 @@ def _quantise(units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return codes, scale[:, 0], lost, np.sqrt((back**2).sum(axis=1))
 
 
+class _Tile:
+    """Unit vectors, their decoded int8 codes in single precision, and what :func:`_quantise` says of them."""
+
+    def __init__(self, units: np.ndarray):
+        self.units = units
+        codes, scale, self.lost, self.left = _quantise(units)
+        self.decoded = (codes * scale[:, None]).astype(np.float32)
+
+
 def _links(a: np.ndarray, b: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions of linked pairs between two tiles of unit vectors, in strips.
+    """Positions of linked pairs between two matrices of unit vectors."""
+    return _tile_links(_Tile(a), _Tile(b), threshold)
+
 
-    |x.y - x'.y'| <= |x - x'| |y| + |x'| |y - y'| with x', y' the decoded vectors. Products of
-    codes are sums of integers: exact in single precision up to 2**24, so wide vectors are summed
-    in double precision.
+def _tile_links(a: _Tile, b: _Tile, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of linked pairs between two tiles, in strips.
+
+    |x.y - x'.y'| <= |x - x'| |y| + |x'| |y - y'| with x', y' the decoded vectors. The second part of
+    that bound is one more term of the product, so a pair costs one comparison with a number of x.
+    The product is rounded: by 2**-23 of the lengths at most for each of its terms, and some to spare.
     """
-    codes1, scale1, lost1, left1 = _quantise(a)
-    codes2, scale2, lost2, _ = _quantise(b)
-    exact = np.float32 if a.shape[1] * 127 * 127 < 1 << 24 else np.float64
-    right = codes2.astype(exact).T
-    for start in range(0, len(a), 256):
-        strip = slice(start, start + 256)
-        product = codes1[strip].astype(exact) @ right
-        # bound >= threshold, solved for the product of codes: one comparison for each pair
-        rest = threshold - SLACK - lost1[strip, None] - left1[strip, None] * lost2[None]
-        least = rest / (scale1[strip, None] * scale2[None])
-        i, j = np.nonzero(product >= least)
-        for low in range(0, i.size, 1 << 16):
-            x, y = i[low : low + (1 << 16)] + start, j[low : low + (1 << 16)]
-            linked = np.einsum("ij,ij->i", a[x], b[y]) >= threshold
+    dim = a.units.shape[1]
+    left = np.concatenate([a.decoded, a.left[:, None].astype(np.float32)], axis=1)
+    right = np.concatenate([b.decoded, b.lost[:, None].astype(np.float32)], axis=1).T
+    longest = 2 * max(a.left.max(), 1) * max(np.sqrt(b.left**2 + b.lost**2).max(), 1)
+    rest = threshold - SLACK - (dim + 8) * 2.0**-23 * longest - a.lost
+    least = np.nextafter(rest.astype(np.float32), np.float32(-np.inf))
+    for start in range(0, len(left), 128):
+        strip = slice(start, start + 128)
+        hits = np.flatnonzero(left[strip] @ right >= least[strip, None])
+        for low in range(0, hits.size, 1 << 16):
+            x, y = np.divmod(hits[low : low + (1 << 16)], right.shape[1])
+            x += start
+            linked = np.einsum("ij,ij->i", a.units[x], b.units[y]) >= threshold
             yield x[linked], y[linked]
 
 
@@ -177,59 +219,93 @@ def _forest(pairs: np.ndarray) -> np.ndarray:
     return np.array(kept, np.int64).reshape(-1, 2)
 
 
-def _compare(tiles: DataFrame, threshold: float, buckets: int) -> DataFrame:
-    """Rows ``(node, other, n)``: links of a forest (``n`` null), or a node's number of links.
+def _compare(tiles: DataFrame, threshold: float) -> DataFrame:
+    """Rows ``(node, other, n)``: links of a forest (``n`` null), or a number of links of a node.
 
-    Each tile goes to its own and every later bucket, where it meets the tiles of that bucket.
+    No equality tells the two sides apart, so Spark deals out pairs of partitions and reads both
+    where they lie; an equality of lengths would make it shuffle by them. Either of two tiles may
+    come first: which one does is settled so that any two partitions share their pairs evenly.
     """
-    columns = ("dim", "part", "nodes", "copies", "units")
-    first = tiles.select(
-        F.col("bucket").alias("bucket1"),
-        F.explode(F.sequence("bucket", F.lit(buckets - 1).cast("bigint"))).alias("bucket2"),
-        *(F.col(c).alias(f"{c}1") for c in columns),
-    )
-    second = tiles.select(
-        F.col("bucket").alias("bucket2"), *(F.col(c).alias(f"{c}2") for c in columns)
-    )
-    paired = (
-        first.withColumn("dim2", F.col("dim1"))
-        .join(second, ["bucket2", "dim2"])
-        .filter("bucket1 < bucket2 OR part1 <= part2")
-        .withColumn("same", F.expr("bucket1 = bucket2 AND part1 = part2"))
-        .repartition("bucket1", "bucket2", "part1", "part2")
-    )
+    columns = ("dim", "task", "number", "nodes", "copies", "vectors")
+    one, two = (tiles.select(*(F.col(c).alias(f"{c}{k}") for c in columns)) for k in (1, 2))
+    same, before = (F.expr(f"struct(task1, number1) {sign} struct(task2, number2)") for sign in ("=", "<"))
+    even = F.expr("(task1 + number1 + task2 + number2) % 2 = 0")
+    paired = one.crossJoin(two).filter((F.expr("dim1 - dim2") == 0) & (same | (before == even)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last, tile = _Held(), None, None
         for batch in batches:
-            for row in batch.to_pylist():
-                yield _compare_tiles(row, threshold)
+            for i in range(batch.num_rows):
+                row = {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
+                # A tile of the first partition meets all of the second before the next one comes.
+                if last != (row["task1"], row["number1"]):
+                    last, tile = (row["task1"], row["number1"]), _Tile(_units(row, 1))
+                _compare_tiles(row, tile, threshold, held)
+                if held.size() > HELD:
+                    held.fold()
+                    if held.size() > HELD // 2:
+                        yield held.flush()
+        if held.size():
+            held.fold()
+            yield held.flush()
+
+    fields = [f"{c}{k}" for k in (1, 2) for c in columns]
+    return paired.select(same.alias("same"), *fields).mapInArrow(run, "node bigint, other bigint, n bigint")
+
+
+class _Held:
+    """Numbers of links by node and edges of a forest, from several pairs of tiles."""
+
+    def __init__(self):
+        self.nodes, self.counts, self.edges = [], [], []
 
-    fields = ("same", "dim1", "nodes1", "copies1", "units1", "nodes2", "copies2", "units2")
-    return paired.select(*fields).mapInArrow(run, "node bigint, other bigint, n bigint")
+    def add(self, nodes: np.ndarray, counts: np.ndarray) -> None:
+        self.nodes.append(nodes[counts > 0])
+        self.counts.append(counts[counts > 0])
 
+    def size(self) -> int:
+        return sum(map(len, self.nodes)) + sum(map(len, self.edges))
 
-def _compare_tiles(row: dict, threshold: float) -> pa.RecordBatch:
+    def fold(self) -> None:
+        """One count for each node, and a forest of all edges."""
+        nodes, of = np.unique(np.concatenate([np.zeros(0, np.int64), *self.nodes]), return_inverse=True)
+        counts = np.zeros(len(nodes), np.int64)
+        np.add.at(counts, of, np.concatenate([np.zeros(0, np.int64), *self.counts]))
+        edges = np.concatenate([np.zeros((0, 2), np.int64), *self.edges])
+        self.nodes, self.counts, self.edges = [nodes], [counts], [_forest(edges) if len(self.edges) > 1 else edges]
+
+    def flush(self) -> pa.RecordBatch:
+        nodes, counts, edges = self.nodes[0], self.counts[0], self.edges[0]
+        self.__init__()
+        return pa.record_batch(
+            [
+                pa.array(np.concatenate([nodes, edges[:, 0]])),
+                pa.concat_arrays([pa.nulls(len(nodes), pa.int64()), pa.array(edges[:, 1])]),
+                pa.concat_arrays([pa.array(counts), pa.nulls(len(edges), pa.int64())]),
+            ],
+            ["node", "other", "n"],
+        )
+
+
+def _units(row: dict, side: int) -> np.ndarray:
+    data, values = row[f"vectors{side}"], len(row[f"nodes{side}"]) // 8 * row[f"dim{side}"]
+    return _unit(np.frombuffer(data, f"<f{len(data) // values}").reshape(-1, row[f"dim{side}"]).astype(float))
+
+
+def _compare_tiles(row: dict, tile: _Tile, threshold: float, held: _Held) -> None:
+    """Adds the links between the tiles of ``row``; ``tile`` is the first one."""
     node1, node2 = (np.frombuffer(row[c], np.int64) for c in ("nodes1", "nodes2"))
     copies1, copies2 = (np.frombuffer(row[c], np.int64) for c in ("copies1", "copies2"))
-    a, b = (np.frombuffer(row[c]).reshape(-1, row["dim1"]) for c in ("units1", "units2"))
-    count1, count2 = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    count1, count2 = np.zeros(len(node1), np.int64), np.zeros(len(node2), np.int64)
     edges = np.zeros((0, 2), np.int64)
-    for x, y in _links(a, b, threshold):
+    for x, y in _tile_links(tile, tile if row["same"] else _Tile(_units(row, 2)), threshold):
         if row["same"]:
             x, y = x[x < y], y[x < y]
         np.add.at(count1, x, copies2[y])
         np.add.at(count2, y, copies1[x])
         if x.size:
             edges = _forest(np.concatenate([edges, np.stack([node1[x], node2[y]], axis=1)]))
-    parts = [(node1, count1), (node2, count2)]
-    nodes = np.concatenate([n[c > 0] for n, c in parts])
-    counts = np.concatenate([c[c > 0] for _, c in parts])
-    none = len(nodes)
-    return pa.record_batch(
-        [
-            pa.array(np.concatenate([nodes, edges[:, 0]])),
-            pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(edges[:, 1])]),
-            pa.concat_arrays([pa.array(counts), pa.nulls(len(edges), pa.int64())]),
-        ],
-        ["node", "other", "n"],
-    )
+    held.add(node1, count1)
+    held.add(node2, count2)
+    if len(edges):
+        held.edges.append(edges)
