@@ -206,3 +206,52 @@ def test_tree_leaves_out_no_reachable_leaf():
         searched += len(mine)
     assert searched < 0.8 * len(q) * tree.leaves  # and most others are left out
     assert tree.reach(q, np.full((len(q), 1), 1.0), np.full((len(q), 1), 0.0)) == {}
+
+
+def test_anchors_and_tiles_are_not_shuffled_for_their_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(c) for c in v], int(rng.integers(0, 2))) for i, v in enumerate(rng.standard_normal((90, 4)))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    plans, materialise = [], hard_negatives.materialise
+
+    def seen(found, label, *args, **more):
+        if label == "negatives-found":
+            plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return materialise(found, label, *args, **more)
+
+    monkeypatch.setattr(hard_negatives, "materialise", seen)
+    monkeypatch.setattr(hard_negatives, "TILE_ROWS", 8)
+    monkeypatch.setattr(hard_negatives, "BLOCK_ROWS", 4)
+    got = hard_negatives.mine(df, F.col("vec_id") % 9 == 0, leaf_rows=16)
+    assert sorted(tuple(r) for r in got.collect()) == _brute_negatives(rows, lambda i: i % 9 == 0)
+    assert len(plans) == 2 and not any("Exchange" in plan for plan in plans)
+
+
+@pytest.mark.parametrize("held", [0, 1 << 16])
+def test_best_rows_of_windows_over_many_tiles(monkeypatch, held):
+    monkeypatch.setattr(hard_negatives, "HELD", held)
+    rng, n, k = np.random.default_rng(6), 9, 3
+    kind, codes = np.dtype("<i2"), rng.integers(-9, 10, (n, 5))
+    ids, labels = np.arange(n), rng.integers(0, 2, n)
+    owner = np.sort(rng.integers(0, n - 1, 14))  # the last anchor has no window
+    low = rng.integers(-40, 60, 14)
+    windows = np.column_stack([owner, np.arange(14), owner + 50, np.full(14, 70), low, low + rng.integers(0, 90, 14)])
+    bits = rng.random((2, n)) < 0.8
+    row = {
+        "block": 7, "ids": ids.astype("<i8").tobytes(), "labels": labels.astype("<i8").tobytes(),
+        "codes": codes.astype(kind).tobytes(), "windows": windows.astype("<i8").tobytes(), "leaves": [4, 2],
+        "reach": np.packbits(bits, axis=1).tobytes(),
+    }
+    best = hard_negatives._Best(row, kind, np.float32, k, same=False)
+    want = {w: [] for w in range(14)}
+    for t in range(40):
+        leaf = [4, 2][t % 2]
+        tile = hard_negatives._Rows(rng.integers(0, 99, 20), rng.integers(0, 2, 20), rng.integers(-9, 10, (20, 5)).astype(float))
+        best.meet(leaf, tile)
+        for w, (i, _, _, _, least, most) in enumerate(windows):
+            if bits[t % 2, i]:
+                scores = (tile.codes @ codes[i]).astype(int)
+                want[w] += [(-s, j) for s, j, at in zip(scores, tile.ids, tile.labels) if at != labels[i] and least <= s <= most]
+    got = best.found().to_pylist()
+    expected = [(7, owner[w], w, owner[w], owner[w] + 50, 70, j, -s) for w in want for s, j in sorted(want[w])[:k]]
+    assert sorted(tuple(r.values()) for r in got) == sorted(expected) and len(got) > 20

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ from tidegate.session import materialise, ship_package
 #: rows of a tile, anchors of a block.
 SAMPLE_ROWS, SAMPLE_BYTES = 8192, 1 << 25
 LEAF_ROWS, TILE_ROWS, BLOCK_ROWS = 2048, 2048, 1024
+#: Rows found that a task holds, besides twice those it keeps, before it looks for the best ones.
+HELD = 1 << 16
 _STRIP = 128
 _OUT = "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint"
 
@@ -52,8 +55,11 @@ def mine(
     How it runs. The tree is fitted on a bounded sample; every row is routed to its leaf, and the
     ranges are the extremes over all rows. Leaves are dealt into tiles of bounded size, anchors
     into blocks. The sample gives each anchor a score that its last positive reaches at least, and
-    each window a floor likewise; the tree then names the leaves that can hold better rows. Only to the
-    tiles of those an anchor is sent, where all its scores are computed, so the result is exact.
+    each window a floor likewise; the tree then names the leaves that can hold better rows. Only with
+    the tiles of those an anchor is compared, and there all its scores are computed, so the result is
+    exact. A task takes some blocks with one partition of tiles, both read from where they are written:
+    nothing is shuffled for a pair of them. It keeps the best rows of each window alone, and the last of
+    them is a higher floor for the tiles that follow.
     """
     spark = rows.sparkSession
     ship_package(spark)
@@ -67,6 +73,8 @@ def mine(
     if not facts["n"] or not facts["anchors"]:
         return spark.createDataFrame([], _OUT)
     kind = np.dtype("<i2" if facts["largest"] < 1 << 15 else "<i4")
+    # No partial sum of a score passes this, so it is exact in single precision up to 2**24.
+    exact = np.float32 if facts["largest"] ** 2 * facts["width"] < 1 << 24 else np.float64
     most = max(256, min(sample_rows, SAMPLE_BYTES // (8 * facts["width"])))
     taken = coded.sample(min(1.0, most / facts["n"]), seed=7).limit(2 * most).toArrow()
     sample = _Rows(
@@ -77,34 +85,31 @@ def mine(
     tree = gnat.fit(sample.codes, facts["n"] / max(1, len(sample.ids)), leaf_rows)
     routed = materialise(_routed(coded, tree, kind, facts["width"]), "negatives-routed")
     tree = _measured(routed, tree, kind)
-    tiles, parts = _tiles(routed)
+    tiles = _tiles(routed)
     blocks = _blocks(routed, facts["anchors"])
-    shared = spark.sparkContext.broadcast((tree, sample, parts, kind))
+    shared = spark.sparkContext.broadcast((tree, sample, kind, exact))
 
-    found = _meet(
-        blocks.mapInArrow(_seek_positives(shared, positives), _PIECE),
-        tiles,
-        _best_positives(kind, positives),
-        "block bigint, at int, anchor_id bigint, positive_id bigint, positive_score bigint",
-    )
+    meet = partial(_meet, tiles=tiles, kind=kind, exact=exact)
+    found = meet(blocks.mapInArrow(_seek_positives(shared, positives), _SOUGHT), k=positives, same=True)
+    found = found.select("block", "at", F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
     best = Window.partitionBy("block", "at").orderBy(F.desc("positive_score"), "positive_id")
     chosen = found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= positives)
     # A block has a bounded number of anchors, and each of them a bounded number of positives.
     wanted = chosen.groupBy("block").agg(
         F.collect_list(F.struct("at", "place", "positive_id", "positive_score")).alias("wanted")
     )
-    wanted = materialise(blocks.join(wanted, "block"), "negatives-windows")
-    found = _meet(
-        wanted.mapInArrow(_seek_negatives(shared, negatives, window), _PIECE),
-        tiles,
-        _best_negatives(kind, negatives),
-        "block bigint, at int, place int, anchor_id bigint, positive_id bigint, positive_score bigint,"
-        " negative_id bigint, negative_score bigint",
-    )
-    best = Window.partitionBy("block", "at", "place").orderBy(F.desc("negative_score"), "negative_id")
+    # Dealt out, since each block is looked up in the sample and the tree.
+    wanted = materialise(_dealt(blocks.join(wanted, "block"), facts["anchors"]), "negatives-windows")
+    found = meet(wanted.mapInArrow(_seek_negatives(shared, negatives, window), _SOUGHT), k=negatives, same=False)
+    best = Window.partitionBy("block", "at", "place").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= negatives)
     return ranked.select(
-        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
+        "anchor_id",
+        "positive_id",
+        "rank",
+        F.col("id").alias("negative_id"),
+        "positive_score",
+        F.col("score").alias("negative_score"),
     )
 
 
@@ -205,8 +210,8 @@ def _measured(routed: DataFrame, tree: gnat.Tree, kind: np.dtype) -> gnat.Tree:
     return tree
 
 
-def _tiles(routed: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-    """Rows of each leaf packed into tiles, and the number of tiles of each leaf."""
+def _tiles(routed: DataFrame) -> DataFrame:
+    """Rows of each leaf packed into tiles, written once."""
     sizes = {r["leaf"]: r["count"] for r in routed.groupBy("leaf").count().collect()}
     parts = {leaf: -(-count // TILE_ROWS) for leaf, count in sizes.items()}
     # One row a leaf; leaves are no more than the rows the tree was fitted on.
@@ -219,15 +224,21 @@ def _tiles(routed: DataFrame) -> tuple[DataFrame, dict[int, int]]:
         return pa.table(
             {
                 "leaf": table["leaf"][:1],
-                "part": table["part"][:1],
-                "ids": [table["id"].to_numpy().astype(np.int64).tobytes()],
-                "labels": [table["label"].to_numpy().astype(np.int64).tobytes()],
-                "codes": [b"".join(table["codes"].to_pylist())],
+                "tile_ids": [table["id"].to_numpy().astype(np.int64).tobytes()],
+                "tile_labels": [table["label"].to_numpy().astype(np.int64).tobytes()],
+                "tile_codes": [b"".join(table["codes"].to_pylist())],
             }
         )
 
-    schema = "leaf bigint, part bigint, ids binary, labels binary, codes binary"
-    return materialise(dealt.groupBy("leaf", "part").applyInArrow(pack, schema), "negatives-tiles"), parts
+    schema = "leaf bigint, tile_ids binary, tile_labels binary, tile_codes binary"
+    packed = dealt.groupBy("leaf", "part").applyInArrow(pack, schema)
+    return materialise(packed, "negatives-tiles", row_group_rows=1)
+
+
+def _dealt(rows: DataFrame, anchors: int) -> DataFrame:
+    """Rows dealt out by their block: they are few and short, and what is done with each is long."""
+    tasks = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(min(-(-anchors // BLOCK_ROWS), tasks), "block")
 
 
 def _blocks(routed: DataFrame, anchors: int) -> DataFrame:
@@ -247,15 +258,21 @@ def _blocks(routed: DataFrame, anchors: int) -> DataFrame:
             }
         )
 
-    packed = dealt.groupBy("block").applyInArrow(pack, "block bigint, ids binary, labels binary, codes binary")
+    schema = "block bigint, ids binary, labels binary, codes binary"
+    packed = _dealt(dealt, anchors).groupBy("block").applyInArrow(pack, schema)
     return materialise(packed, "negatives-anchors")
 
 
-#: Some anchors of a block on their way to a tile. ``windows`` holds six longs for each window:
-#: its anchor's index among them, the positive's place, id and score, the least and greatest score.
-_PIECE = (
-    "leaf bigint, part bigint, block bigint, at binary, anchor_ids binary, anchor_labels binary,"
-    " anchor_codes binary, windows binary"
+#: A block of anchors, and where to look. ``windows`` holds six longs for each window: its anchor's place in
+#: the block, the positive's place, id and score, the least and greatest score; they are sorted by
+#: anchor. ``reach`` has a row of bits for each of ``leaves``: whether an anchor needs that leaf.
+_SOUGHT = (
+    "block bigint, ids binary, labels binary, codes binary, windows binary, leaves array<bigint>, reach binary"
+)
+#: What a task found for a window.
+_FOUND = (
+    "block bigint, at int, place int, anchor_id bigint, positive_id bigint, positive_score bigint,"
+    " id bigint, score bigint"
 )
 
 
@@ -266,53 +283,137 @@ def _unpack(row: dict, prefix: str, kind: np.dtype) -> _Rows:
     return _Rows(ids, labels, codes.astype(float))
 
 
-def _pieces(block: int, mine: _Rows, windows: np.ndarray, low, high, shared) -> Iterator[pa.RecordBatch]:
-    """One row for each tile that may hold a score within some window of some anchor.
+def _sought(row: dict, mine: _Rows, windows: np.ndarray, low, high, tree: gnat.Tree) -> pa.RecordBatch:
+    """The row of a block for :func:`_meet`; ``low`` and ``high`` are matrices of anchors and windows."""
+    reached = tree.reach(mine.codes, low, high)
+    bits = np.zeros((len(reached), len(mine.ids)), bool)
+    for at, who in enumerate(reached.values()):
+        bits[at, who] = True
+    return pa.record_batch(
+        [
+            pa.array([row["block"]], pa.int64()),
+            *(pa.array([row[c]], pa.binary()) for c in ("ids", "labels", "codes")),
+            pa.array([windows.astype(np.int64).tobytes()], pa.binary()),
+            pa.array([list(reached)], pa.list_(pa.int64())),
+            pa.array([np.packbits(bits, axis=1).tobytes()], pa.binary()),
+        ],
+        ["block", "ids", "labels", "codes", "windows", "leaves", "reach"],
+    )
 
-    ``windows`` is sorted by anchor, ``low`` and ``high`` are matrices of anchors and windows.
-    """
-    tree, _, parts, kind = shared.value
-    for leaf, who in tree.reach(mine.codes, low, high).items():
-        place = np.full(len(mine.ids), -1)
-        place[who] = np.arange(who.size)
-        sent = windows[place[windows[:, 0]] >= 0].copy()
-        sent[:, 0] = place[sent[:, 0]]
-        for part in range(parts.get(leaf, 0)):
-            yield pa.RecordBatch.from_pylist(
-                [
-                    {
-                        "leaf": leaf,
-                        "part": part,
-                        "block": block,
-                        "at": who.astype(np.int32).tobytes(),
-                        "anchor_ids": mine.ids[who].tobytes(),
-                        "anchor_labels": mine.labels[who].tobytes(),
-                        "anchor_codes": mine.codes[who].astype(kind).tobytes(),
-                        "windows": sent.astype(np.int64).tobytes(),
-                    }
-                ]
-            )
 
+def _meet(sought: DataFrame, tiles: DataFrame, kind: np.dtype, exact: type, k: int, same: bool) -> DataFrame:
+    """The best ``k`` rows of each window among the tiles of a task, of the anchor's label or of others.
 
-def _meet(pieces: DataFrame, tiles: DataFrame, compare: Callable, schema: str) -> DataFrame:
-    """Each piece with its tile; ``compare`` yields what is found there."""
+    The hint asks for pairs of partitions, whatever the size: so a block meets all tiles of a
+    partition before the next block comes.
+    """
+    sought = materialise(sought, "negatives-sought", row_group_rows=1)
+    paired = sought.crossJoin(tiles.hint("shuffle_replicate_nl")).filter("array_contains(leaves, leaf)")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [field.split()[0] for field in schema.split(",")]
+        best = None
         for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns))
             for i in range(batch.num_rows):
-                row = {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
-                for columns in compare(row):
-                    yield pa.record_batch([pa.array(c) for c in columns], names)
-
-    return materialise(pieces.join(tiles, ["leaf", "part"]).mapInArrow(run, schema), "negatives-found")
-
-
-def _scores(mine: _Rows, others: _Rows) -> Iterator[tuple[int, np.ndarray]]:
+                row = _Lazy(columns, i)
+                if best is None or best.block != row["block"]:
+                    if best is not None:
+                        yield best.found()
+                    best = _Best(row, kind, exact, k, same)
+                best.meet(row["leaf"], _unpack(row, "tile_", kind))
+        if best is not None:
+            yield best.found()
+
+    return materialise(paired.mapInArrow(run, _FOUND), "negatives-found")
+
+
+class _Lazy:
+    """A row of Arrow columns that makes Python values of those asked for."""
+
+    def __init__(self, columns: dict[str, pa.Array], i: int):
+        self.columns, self.i = columns, i
+
+    def __getitem__(self, name: str):
+        return self.columns[name][self.i].as_py()
+
+
+class _Best:
+    """The best rows so far within each window of a block's anchors."""
+
+    def __init__(self, row, kind: np.dtype, exact: type, k: int, same: bool):
+        self.block, self.k, self.same, self.exact = row["block"], k, same, exact
+        self.mine = _unpack(row, "", kind)
+        self.mine.codes = self.mine.codes.astype(exact)
+        n, leaves = len(self.mine.ids), row["leaves"]
+        bits = np.frombuffer(row["reach"], np.uint8).reshape(len(leaves), -1)
+        self.reach = dict(zip(leaves, np.unpackbits(bits, axis=1, count=n).astype(bool)))
+        self.windows = np.frombuffer(row["windows"], np.int64).reshape(-1, 6)
+        # Exact too: bounds are no larger than scores, or a power of two.
+        self.low, self.high = (self.windows[:, c].astype(exact) for c in (4, 5))
+        self.first = np.searchsorted(self.windows[:, 0], np.arange(n))
+        self.number = np.bincount(self.windows[:, 0], minlength=n)
+        self.most = np.full(n, -np.inf, exact)
+        np.maximum.at(self.most, self.windows[:, 0], self.high)
+        none = np.zeros(0, np.int64)
+        self.held, self.size = [(none, none, none)], 0
+        self._raise()
+
+    def _raise(self) -> None:
+        """The least score that some window of an anchor still takes."""
+        self.least = np.full(len(self.most), np.inf, self.exact)
+        np.minimum.at(self.least, self.windows[:, 0], self.low)
+
+    def meet(self, leaf: int, tile: _Rows) -> None:
+        right = tile.codes.astype(self.exact).T
+        who = np.flatnonzero(self.reach[leaf])
+        for start in range(0, who.size, _STRIP):
+            some = who[start : start + _STRIP]
+            scores = self.mine.codes[some] @ right
+            hits = np.flatnonzero((scores >= self.least[some, None]) & (scores <= self.most[some, None]))
+            i, j = np.divmod(hits, scores.shape[1])
+            i = some[i]
+            fine = tile.labels[j] == self.mine.labels[i]
+            fine = fine & (tile.ids[j] != self.mine.ids[i]) if self.same else ~fine
+            i, j, score = i[fine], j[fine], scores.ravel()[hits[fine]]
+            # Each of them once for each window of its anchor.
+            number = self.number[i]
+            at = np.repeat(np.arange(i.size), number)
+            window = np.arange(at.size) + np.repeat(self.first[i] - (np.cumsum(number) - number), number)
+            inside = (score[at] >= self.low[window]) & (score[at] <= self.high[window])
+            at, window = at[inside], window[inside]
+            self.held.append((window, tile.ids[j[at]], score[at].astype(np.int64)))
+            self.size += at.size
+            if self.size > 2 * len(self.windows) * self.k + HELD:
+                self.fold()
+
+    def fold(self) -> None:
+        """Keep the best of each window; the last of them is its new floor."""
+        window, ids, score = (np.concatenate(c) for c in zip(*self.held))
+        order = np.lexsort((ids, -score, window))
+        window, ids, score = window[order], ids[order], score[order]
+        rank = np.arange(window.size) - np.searchsorted(window, window)
+        last = rank == self.k - 1
+        self.low[window[last]] = score[last]
+        self._raise()
+        kept = rank < self.k
+        self.held, self.size = [(window[kept], ids[kept], score[kept])], int(kept.sum())
+
+    def found(self) -> pa.RecordBatch:
+        self.fold()
+        window, ids, score = self.held[0]
+        at, place, positive, positive_score = self.windows[window, :4].T
+        columns = (np.full(len(at), self.block), at, place, self.mine.ids[at], positive, positive_score, ids, score)
+        kinds = (c.split()[1] for c in _FOUND.split(", "))
+        arrow = {"bigint": pa.int64(), "int": pa.int32()}
+        names = [c.split()[0] for c in _FOUND.split(", ")]
+        return pa.record_batch([pa.array(c, arrow[kind]) for c, kind in zip(columns, kinds)], names)
+
+
+def _scores(mine: _Rows, others: _Rows, exact: type) -> Iterator[tuple[int, np.ndarray]]:
     """Anchor and its integer score with each of the other rows."""
-    right = others.codes.T
+    left, right = mine.codes.astype(exact), others.codes.astype(exact).T
     for start in range(0, len(mine.ids), _STRIP):
-        for i, row in enumerate(mine.codes[start : start + _STRIP] @ right):
+        for i, row in enumerate(left[start : start + _STRIP] @ right):
             yield start + i, row
 
 
@@ -323,49 +424,26 @@ def _floor(scores: np.ndarray, k: int) -> float:
 
 def _seek_positives(shared, k: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, sample, _, kind = shared.value
+        tree, sample, kind, exact = shared.value
         for batch in batches:
             for row in batch.to_pylist():
                 mine = _unpack(row, "", kind)
                 low = np.full((len(mine.ids), 1), -np.inf)
-                for i, scores in _scores(mine, sample):
+                for i, scores in _scores(mine, sample, exact):
                     same = (sample.labels == mine.labels[i]) & (sample.ids != mine.ids[i])
                     low[i] = _floor(scores[same], k)
-                # The least score to reach stands in the fifth place; any higher one will do.
+                # One window for each anchor, open above.
                 windows = np.zeros((len(low), 6), np.int64)
                 windows[:, 0] = np.arange(len(low))
-                windows[:, 4] = np.maximum(low[:, 0], -(2.0**62))
-                yield from _pieces(row["block"], mine, windows, low, np.full(low.shape, np.inf), shared)
+                windows[:, 4], windows[:, 5] = np.maximum(low[:, 0], -(2.0**62)), 1 << 62
+                yield _sought(row, mine, windows, low, np.full(low.shape, np.inf), tree)
 
     return run
 
 
-def _best_positives(kind: np.dtype, k: int) -> Callable:
-    def compare(row: dict) -> Iterator[tuple]:
-        mine, tile = _unpack(row, "anchor_", kind), _unpack(row, "", kind)
-        at = np.frombuffer(row["at"], np.int32)
-        least = np.frombuffer(row["windows"], np.int64).reshape(-1, 6)[:, 4]
-        found = []
-        for i, scores in _scores(mine, tile):
-            fine = (tile.labels == mine.labels[i]) & (tile.ids != mine.ids[i]) & (scores >= least[i])
-            rows = np.flatnonzero(fine)
-            rows = rows[np.lexsort((tile.ids[rows], -scores[rows]))[:k]]
-            found.append((np.full(rows.size, i), tile.ids[rows], scores[rows]))
-        who, ids, scores = (np.concatenate(c) for c in zip(*found))
-        yield (
-            np.full(who.size, row["block"]),
-            at[who],
-            mine.ids[who],
-            ids,
-            scores.astype(np.int64),
-        )
-
-    return compare
-
-
 def _seek_negatives(shared, k: int, window: tuple[int, int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, sample, _, kind = shared.value
+        tree, sample, kind, exact = shared.value
         for batch in batches:
             for row in batch.to_pylist():
                 mine = _unpack(row, "", kind)
@@ -377,51 +455,13 @@ def _seek_negatives(shared, k: int, window: tuple[int, int]) -> Callable:
                 of = [np.flatnonzero(windows[:, 0] == i) for i in range(len(mine.ids))]
                 width = max(map(len, of))
                 low, high = np.full((len(of), width), np.inf), np.full((len(of), width), -np.inf)
-                for i, scores in _scores(mine, sample):
+                for i, scores in _scores(mine, sample, exact):
                     other = scores[sample.labels != mine.labels[i]]
                     for w, at in enumerate(of[i]):
                         inside = other[(other >= windows[at, 4]) & (other <= windows[at, 5])]
                         if inside.size >= k:
                             windows[at, 4] = _floor(inside, k)
                         low[i, w], high[i, w] = windows[at, 4:]
-                yield from _pieces(row["block"], mine, windows, low, high, shared)
+                yield _sought(row, mine, windows, low, high, tree)
 
     return run
-
-
-def _best_negatives(kind: np.dtype, k: int) -> Callable:
-    def compare(row: dict) -> Iterator[tuple]:
-        mine, tile = _unpack(row, "anchor_", kind), _unpack(row, "", kind)
-        at = np.frombuffer(row["at"], np.int32)
-        windows = np.frombuffer(row["windows"], np.int64).reshape(-1, 6)
-        starts = np.searchsorted(windows[:, 0], np.arange(len(at) + 1))
-        which, ids, found = [], [], []
-        for i, scores in _scores(mine, tile):
-            own = windows[starts[i] : starts[i + 1]]
-            if not len(own):
-                continue
-            fine = (tile.labels != mine.labels[i]) & (scores >= own[:, 4].min()) & (scores <= own[:, 5].max())
-            rows = np.flatnonzero(fine)
-            rows = rows[np.lexsort((tile.ids[rows], -scores[rows]))]
-            falling = -scores[rows]
-            for w, (low, high) in enumerate(own[:, 4:]):
-                first = np.searchsorted(falling, -high, "left")
-                last = min(np.searchsorted(falling, -low, "right"), first + k)
-                if last > first:
-                    which.append(np.full(last - first, starts[i] + w))
-                    ids.append(tile.ids[rows[first:last]])
-                    found.append(scores[rows[first:last]])
-        if which:
-            chosen = windows[np.concatenate(which)]
-            yield (
-                np.full(len(chosen), row["block"]),
-                at[chosen[:, 0]],
-                chosen[:, 1].astype(np.int32),
-                mine.ids[chosen[:, 0]],
-                chosen[:, 2],
-                chosen[:, 3],
-                np.concatenate(ids),
-                np.concatenate(found).astype(np.int64),
-            )
-
-    return compare
