@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidegate.functions.values import iso_duration_micros
 from tidegate.operators import manifests as m
 from tidegate.schemas import MANIFEST_TIMES, MANIFEST_TOTALS
 
@@ -196,3 +197,38 @@ def test_segment_times_sort_once(spark):
     assert plan.count("from_xml(") == 1
     got = sorted((r["number"], r["start_units"], r["duration_units"], r["url"]) for r in times.collect())
     assert got == [(1, 9, 4, "x"), (2, 13, 4, "y"), (3, 7, 2, ""), (4, 9, 2, ""), (5, 11, 3, ""), (6, 40, 1, "")]
+
+
+def test_urls_filled_by_whole_texts_are_those_of_their_parts(spark):
+    """Odd templates: pairs of dollar signs, widths of all kinds, several widths, nulls."""
+    rng = random.Random(3)
+    pieces = [
+        "$", "$$", "$Number$", "$Time$", "$RepresentationID$", "$Bandwidth$", "$Number%05d$", "$Number%5d$", "$Time%012d$",
+        "$Number%00d$", "$Number%03d$", "$Bandwidth%06d$", "$RepresentationID%07d$", "$Other$", "$Other%02d$", "%20", "/", "a",
+        "$Number%d$", "$Number%99999999999d$", "$Time%x$", "N", "<", ">", "Number", "$number$", "é",
+    ]
+    rows = [("".join(rng.choices(pieces, k=rng.randrange(7))), r, b, n, t) for _ in range(600) for r, b, n, t in [rng.choice(
+        [("v1", 70, 8, 123456), ("$Number$", None, 1, 0), (None, 5, None, 3), ("x%03d", 1, -4, None), ("a$b", 123456789, 100000, -12)]
+    )]]
+    rows += [(None, "v1", 70, 8, 1), ("$Number%00000000005d$", "v1", 70, 8, 1)]
+    df = spark.createDataFrame(rows, "t STRING, r STRING, b BIGINT, n BIGINT, s BIGINT")
+    fixed, values = {"RepresentationID": F.col("r"), "Bandwidth": F.col("b")}, {"Number": F.col("n"), "Time": F.col("s")}
+    out = m._with_url(m._with_url(df, "init", F.col("t"), fixed), "media", F.col("t"), fixed, later=True)
+    parts = m.template_parts(F.col("t"), fixed, ("Number", "Time"))
+    got = out.select(
+        "t", F.col("init"), m.fill_parts(m.template_parts(F.col("t"), fixed), {}).alias("want_init"),
+        m._filled("media", values).alias("media"), m.fill_parts(parts, values).alias("want_media"), "media_Number",
+    ).collect()
+    assert [r for r in got if r["init"] != r["want_init"] or r["media"] != r["want_media"]] == []
+    assert {r["media_Number"] for r in got} >= {None, -1, 0, 3, 5}
+
+
+def test_durations_in_iso_form(spark):
+    cases = {
+        "P1DT2H3M4.5S": 93_784_500_000, "PT5M": 300_000_000, "PT0S": 0, "P2D": 172_800_000_000, "PT1H": 3_600_000_000,
+        "PT3.S": 3_000_000, "P": None, "PT": None, "P1DT": None, "5M": None, "": None, "PT1M2H": None, "PDT5S": None,
+        "DHMS": None, "PT5S\n": 5_000_000, "PT\n": None, "PT123456789012345S": 0, None: None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "v STRING")
+    got = {r["v"]: r["x"] for r in df.select("v", iso_duration_micros(F.col("v")).alias("x")).collect()}
+    assert got == cases

@@ -217,6 +217,67 @@ def _unpacked(packed: Column) -> Column:
     return F.transform(F.split(packed, "\0"), one)
 
 
+#: Ends of an identifier in a URL, and what stands for one that is known later: plain, or padded to a width.
+_OPEN, _CLOSE = "\0<", "\0>"
+_LATER = {"Number": ("\0N", "\0n"), "Time": ("\0T", "\0t")}
+
+
+def _with_url(df: DataFrame, name: str, template: Column, fixed: dict[str, Column], later: bool = False) -> DataFrame:
+    """Add ``name``, the template with its identifiers filled in, and how ``later`` ones are padded.
+
+    The same text as :func:`fill_parts` gives, by whole-text functions, since lambdas over the parts of each template are
+    slow. ``later`` identifiers become marks, which XML can't hold, for :func:`_filled`; the width of
+    those that are padded is in ``<name>_Number`` and ``<name>_Time``, -1 without any. A width is null where one identifier has
+    several widths, or one that is no number: then ``name`` has the parts themselves, packed.
+    """
+    text, token = f"_{name}", f"_{name}_token"
+    marked = F.regexp_replace(template, r"\$([^$]*)\$", f"{_OPEN}$1{_CLOSE}")
+    plain = {k: F.coalesce(v.cast("string"), F.lit(f"${k}$")) for k, v in fixed.items()}
+    plain |= {k: F.lit(mark) for k, (mark, _) in _LATER.items() if later}
+    for known, value in plain.items():
+        marked = F.replace(marked, F.lit(f"{_OPEN}{known}{_CLOSE}"), value)
+    df = df.withColumn(text, marked)
+    for known in plain:
+        # Each step is a column of its own, so that none is worked out twice.
+        pattern = f"{_OPEN}{known}%0?[0-9]{{1,9}}d{_CLOSE}"
+        df = df.withColumn(token, F.when(F.contains(text, F.lit("%")), F.regexp_extract(text, pattern, 0)))
+        found = F.coalesce(F.col(token) != "", F.lit(False))
+        width = F.regexp_extract(token, "%([0-9]+)d", 1).cast("int")
+        if known in fixed:
+            value = fixed[known].cast("string")
+            padded = F.lpad(value, F.greatest(width, F.length(value)), F.lit("0"))
+            bare = F.concat(F.lit("$"), F.substring(token, 3, 1 << 20), F.lit("$"))
+            bare = F.replace(bare, F.lit(_CLOSE), F.lit(""))
+            padded = F.coalesce(padded, bare)
+        else:
+            padded = F.lit(_LATER[known][1])
+            df = df.withColumn(f"{name}_{known}", F.when(found, width).otherwise(-1))
+        df = df.withColumn(text, F.when(found, F.replace(text, F.col(token), padded)).otherwise(F.col(text)))
+    left = F.contains(text, F.lit("%")) & F.col(text).rlike(f"{_OPEN}[^\0]*%")
+    df = df.withColumn(token, F.coalesce(left, F.lit(False)))
+    parts = template_parts(template, fixed, tuple(_LATER) if later else ())
+    slow = _packed(parts) if later else fill_parts(parts, {})
+    ended = F.replace(F.col(text), F.lit(f"{_OPEN}{_CLOSE}"), F.lit("$"))
+    for end in (_OPEN, _CLOSE):
+        ended = F.replace(ended, F.lit(end), F.lit("$"))
+    df = df.withColumn(name, F.when(F.col(token), slow).otherwise(ended))
+    for known in _LATER if later else ():
+        df = df.withColumn(f"{name}_{known}", F.when(~F.col(token), F.col(f"{name}_{known}")))
+    return df.drop(text, token)
+
+
+def _filled(name: str, values: dict[str, Column]) -> Column:
+    """The URL that :func:`_with_url` has left open; a null value is an empty text, as in :func:`fill_parts`."""
+    text = F.col(name)
+    for known, (plain, padded) in _LATER.items():
+        value, width = values[known].cast("string"), F.col(f"{name}_{known}")
+        text = F.replace(text, F.lit(plain), F.coalesce(value, F.lit("")))
+        filled = F.coalesce(F.lpad(value, F.greatest(width, F.length(value)), F.lit("0")), F.lit(""))
+        text = F.replace(text, F.lit(padded), filled)
+    several = F.col(f"{name}_Number").isNull()
+    return F.when(several, fill_parts(_unpacked(F.col(name)), values)).otherwise(text)
+
+
 def segment_times(parsed: DataFrame, key: str = "manifest_id", piece: int = PIECE) -> DataFrame:
     """One row per segment with its number, start, duration and URL.
 
@@ -229,8 +290,12 @@ def segment_times(parsed: DataFrame, key: str = "manifest_id", piece: int = PIEC
     A manifest is parsed once for timelines and lists.
     """
     place = [key, "period_no", "set_no", "rep_no", "rep_id"]
-    reps = _representations(parsed, key).withColumn("rep_id", F.col("rep._id"))
+    reps = _representations(parsed, key).withColumn("rep_id", F.col("rep._id")).drop("set")
     template, listed = F.col("rep.SegmentTemplate"), F.col("rep.SegmentList")
+    fixed = {"RepresentationID": F.col("rep_id"), "Bandwidth": F.col("rep._bandwidth")}
+    reps = _with_url(reps, "init_url", template["_initialization"], fixed)
+    reps = _with_url(reps, "media", template["_media"], fixed, later=True)
+    widths = [f"media_{known}" for known in _LATER]
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     entry = "array<struct<entry_no: int, t: bigint, d: bigint, r: bigint, listed_url: string>>"
     nothing = F.array().cast(entry)
@@ -244,15 +309,15 @@ def segment_times(parsed: DataFrame, key: str = "manifest_id", piece: int = PIEC
         listed["SegmentURL"],
         lambda s, i: F.struct(i.alias("entry_no"), F.lit(None).cast("bigint").alias("t"), length.alias("d"), zero.alias("r"), s["_media"].alias("listed_url")),
     )
-    fixed = {"RepresentationID": F.col("rep_id"), "Bandwidth": F.col("rep._bandwidth")}
     kinds = F.array(
         F.struct(
             F.lit(False).alias("listed"),
             F.coalesce(template["_timescale"], one).alias("timescale"),
             F.coalesce(template["_presentationTimeOffset"], zero).alias("offset"),
             F.coalesce(template["_startNumber"], one).alias("start_number"),
-            fill_parts(template_parts(template["_initialization"], fixed), {}).alias("init_url"),
-            _packed(template_parts(template["_media"], fixed, ("Number", "Time"))).alias("media"),
+            F.col("init_url"),
+            F.col("media"),
+            *(F.col(c) for c in widths),
             F.coalesce(timeline.cast(entry), nothing).alias("entries"),
         ),
         F.struct(
@@ -262,6 +327,7 @@ def segment_times(parsed: DataFrame, key: str = "manifest_id", piece: int = PIEC
             one.alias("start_number"),
             listed["Initialization"]["_sourceURL"].alias("init_url"),
             F.lit(None).cast("string").alias("media"),
+            *(F.lit(None).cast("int").alias(c) for c in widths),
             F.coalesce(urls.cast(entry), nothing).alias("entries"),
         ),
     )
@@ -289,16 +355,17 @@ def segment_times(parsed: DataFrame, key: str = "manifest_id", piece: int = PIEC
     )
     opened = timed.select(
         *place,
-        *("listed", "timescale", "offset", "start", "d", "n", "first", "init_url", "listed_url"),
-        _unpacked(F.col("media")).alias("media"),
+        *("listed", "timescale", "offset", "start", "d", "n", "first", "init_url", "listed_url", "media"),
+        *widths,
     )
     each = explode_range(opened, zero, F.col("n") - 1, "i", piece)
-    number, start = F.col("first") + F.col("i"), F.col("start") + F.col("i") * F.col("d")
-    filled = fill_parts(F.col("media"), {"Number": number, "Time": start})
+    each = each.withColumn("number", F.col("first") + F.col("i"))
+    each = each.withColumn("start_units", F.col("start") + F.col("i") * F.col("d"))
+    filled = _filled("media", {"Number": F.col("number"), "Time": F.col("start_units")})
     both = each.select(
         *place,
-        number.alias("number"),
-        start.alias("start_units"),
+        "number",
+        "start_units",
         F.col("d").alias("duration_units"),
         "timescale",
         "offset",
