@@ -232,3 +232,18 @@ def test_durations_in_iso_form(spark):
     df = spark.createDataFrame([(k,) for k in cases], "v STRING")
     got = {r["v"]: r["x"] for r in df.select("v", iso_duration_micros(F.col("v")).alias("x")).collect()}
     assert got == cases
+
+
+def test_short_entries_are_dealt_out(spark):
+    """Entries with equal numbers of segments don't meet in one task."""
+    xml = ('<MPD><Period><AdaptationSet><Representation id="r"><SegmentTemplate media="$Number$"><SegmentTimeline><S d="4"/>'
+           '<S d="4"/></SegmentTimeline></SegmentTemplate></Representation></AdaptationSet></Period></MPD>')
+    rows = spark.createDataFrame([(i, xml) for i in range(200)], "manifest_id bigint, xml string")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        times = m.segment_times(m.parse_manifests(rows, schema=MANIFEST_TIMES))
+        sizes = [r["count"] for r in times.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(sizes) == 400 and max(sizes) < 200

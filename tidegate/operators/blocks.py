@@ -93,16 +93,19 @@ def with_stream_extent(
 PIECE = 1 << 16
 
 
-def explode_range(df: DataFrame, first: Column, last: Column, name: str, piece: int = PIECE) -> DataFrame:
+def explode_range(
+    df: DataFrame, first: Column, last: Column, name: str, piece: int = PIECE, apart: tuple[str, ...] = ()
+) -> DataFrame:
     """``df`` once for each integer from ``first`` to ``last``, in the new column ``name``; none if last < first.
 
     Generated code holds all that one row of a stage grows to, and an array has an end. So a
-    range is cut into pieces of ``piece`` numbers, and an exchange deals them over tasks.
+    range is cut into pieces of ``piece`` numbers, and an exchange deals them over tasks. Where many
+    ranges are equal, the columns ``apart`` keep them from meeting in one task.
     """
     step = F.lit(int(piece)).cast("bigint")
     starts = F.when(last >= first, F.sequence(first.cast("bigint"), last.cast("bigint"), step))
     cut = df.select("*", last.cast("bigint").alias("_last"), F.explode(starts).alias("_first"))
     # Only the first number tells the pieces of a row apart, and it also tells most rows apart.
-    dealt = cut.repartition(F.xxhash64("_first", "_last"))
+    dealt = cut.repartition(F.xxhash64("_first", "_last", *apart))
     numbers = F.sequence("_first", F.least(F.col("_first") + step - 1, F.col("_last")))
     return dealt.select("*", F.explode(numbers).alias(name)).drop("_first", "_last")

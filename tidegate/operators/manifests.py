@@ -358,7 +358,8 @@ def segment_times(parsed: DataFrame, key: str = "manifest_id", piece: int = PIEC
         *("listed", "timescale", "offset", "start", "d", "n", "first", "init_url", "listed_url", "media"),
         *widths,
     )
-    each = explode_range(opened, zero, F.col("n") - 1, "i", piece)
+    # All ranges begin at 0, and most are short.
+    each = explode_range(opened, zero, F.col("n") - 1, "i", piece, (*place, "first"))
     each = each.withColumn("number", F.col("first") + F.col("i"))
     each = each.withColumn("start_units", F.col("start") + F.col("i") * F.col("d"))
     filled = _filled("media", {"Number": F.col("number"), "Time": F.col("start_units")})
